@@ -184,7 +184,7 @@ def q_shadow_metrics(spark, sf_dir):
     return round_doubles(comparison_metrics(shadow_comparisons(spark, sf_dir), ["deployment_id"]))
 
 
-@query("shadow_decision", "H04", f"""WITH {_SH},
+ORACLE_DECISION = f"""WITH {_SH},
 f AS (SELECT deployment_id, total_comparisons, prediction_match_rate < 0.9 AS lm,
              shadow_latency_p95 > production_latency_p95 * 1.2 AS sl, total_comparisons < 1000 AS sm FROM met),
 c AS (SELECT *, 1.0::DOUBLE - CASE WHEN lm THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END AS c1 FROM f),
@@ -193,7 +193,10 @@ e AS (SELECT *, c2 - CASE WHEN sm THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END AS confi
 SELECT deployment_id, total_comparisons, round(confidence, 6) AS confidence,
        CASE WHEN (lm OR sl OR sm) AND confidence < 0.5 THEN 'do_not_promote' WHEN lm OR sl OR sm THEN 'promote_with_caution'
             ELSE 'promote' END AS recommendation
-FROM e""")
+FROM e"""
+
+
+@query("shadow_decision", "H04", ORACLE_DECISION)
 def q_shadow_decision(spark, sf_dir):
     m = comparison_metrics(shadow_comparisons(spark, sf_dir), ["deployment_id"])
     r = recommendation(m)
