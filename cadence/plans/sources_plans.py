@@ -1,3 +1,26 @@
-"""Queries (filled in below)."""
+"""Source queries (S02, S06, S07) over the driver tables."""
 
-from cadence.plans.catalog import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cadence.functions.columns import round_doubles
+from cadence.plans.catalog import query
+from cadence.sources.readers import read_source, union_by_name
+
+
+@query("mixed_union", "S07 S02 S05", """
+WITH u AS (SELECT * FROM orders UNION ALL BY NAME SELECT * FROM customer)
+SELECT o_orderkey IS NULL AS from_customer, CAST(count(*) AS BIGINT) AS n,
+       CAST(count(o_custkey) AS BIGINT) AS n_o_custkey, CAST(count(c_custkey) AS BIGINT) AS n_c_custkey,
+       round(sum(o_totalprice), 6) AS sum_totalprice, round(sum(c_acctbal), 6) AS sum_acctbal,
+       CAST(count(c_nationkey) AS BIGINT) AS n_nationkey
+FROM u GROUP BY 1""")
+def q_mixed_union(spark, sf_dir):
+    o = read_source(spark, f"{sf_dir}/orders.parquet")
+    c = read_source(spark, f"{sf_dir}/customer.parquet")
+    u = union_by_name([o, c])
+    return round_doubles(u.groupBy(F.col("o_orderkey").isNull().alias("from_customer")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.count("o_custkey").cast("bigint").alias("n_o_custkey"),
+        F.count("c_custkey").cast("bigint").alias("n_c_custkey"), F.sum("o_totalprice").alias("sum_totalprice"),
+        F.sum("c_acctbal").alias("sum_acctbal"), F.count("c_nationkey").cast("bigint").alias("n_nationkey")))

@@ -1,3 +1,44 @@
-"""Queries (filled in below)."""
+"""Training queries (T01-T06, B01, B02, E09, E10). Model fits are iterative, so these carry no
+SQL oracle; tests check them against invariants instead."""
 
-from cadence.plans.catalog import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cadence.functions.columns import round_doubles
+from cadence.operators.split import train_val_split
+from cadence.operators.train import assemble, evaluate, fit, loss_history, score
+from cadence.plans.catalog import query
+from cadence.tables import table
+
+
+def _embedding_data(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings")
+    d = emb.select("vec_id", F.slice(F.col("embedding"), 1, 8).alias("x"), "label")
+    return assemble(train_val_split(d, "vec_id", 0.2), "x", "label")
+
+
+def _model(spark, sf_dir):
+    data = _embedding_data(spark, sf_dir)
+    train = data.where(F.col("split") == "train")
+    return data, fit(train, "mlp", n_features=8, n_classes=10, hidden=[16], max_iter=60)
+
+
+@query("mlp_train_score", "T01 T02 T05 B01 E09")
+def q_mlp_train_score(spark, sf_dir):
+    data, model = _model(spark, sf_dir)
+    metrics, _ = evaluate(model, data.where(F.col("split") == "val"))
+    return round_doubles(metrics)
+
+
+@query("mlp_history", "T03 T04")
+def q_mlp_history(spark, sf_dir):
+    _, model = _model(spark, sf_dir)
+    return loss_history(model)
+
+
+@query("mlp_batch_scores", "B01 B04")
+def q_mlp_batch_scores(spark, sf_dir):
+    data, model = _model(spark, sf_dir)
+    s = score(model, data, version="1")
+    return s.groupBy("split", "prediction").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
