@@ -1,3 +1,110 @@
-"""Queries (filled in below)."""
+"""Streaming queries (W01-W06): file streams over the driver tables, run with trigger
+availableNow into sinks under the shared checkpoint folder, then read back."""
 
-from cadence.plans.catalog import query  # noqa: F401
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from cadence.operators.canary import requests_from_events
+from cadence.operators.score import nearest_centroid
+from cadence.plans.catalog import query
+from cadence.plans.evaluation import _EMB
+from cadence.plans.rollout import _SH
+from cadence.session import scratch_path
+from cadence.streaming.streams import (canary_windows, incremental_input, pair_streams,
+                                       rollout_state_machine, run_available, stream_gauges,
+                                       stream_scores, table_stream)
+from cadence.tables import table
+
+_BUCKET = "(('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100)"
+
+
+@query("stream_canary", "W01", f"""
+WITH w AS (SELECT time_bucket(INTERVAL '30 minutes', ts) AS ws, CASE WHEN {_BUCKET} < 25 THEN 'canary' ELSE 'production' END AS arm,
+                  event_type = 'error' AS is_error FROM events)
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, arm, CAST(count(*) AS BIGINT) AS requests,
+       CAST(count(*) FILTER (WHERE is_error) AS BIGINT) AS errors
+FROM w WHERE ws + INTERVAL '30 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '30 minutes'
+GROUP BY ws, arm""")
+def q_stream_canary(spark, sf_dir):
+    log = requests_from_events(table_stream(spark, sf_dir, "events"))
+    out = run_available(canary_windows(log, 25), "canary-windows")
+    return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                      "arm", "requests", "errors")
+
+
+@query("stream_scoring", "W02 B06", f"""WITH {_EMB}
+SELECT y AS label, pred AS prediction, CAST(count(*) AS BIGINT) AS n FROM ep GROUP BY 1, 2""")
+def q_stream_scoring(spark, sf_dir):
+    batch = table(spark, sf_dir, "embeddings")
+    stream = table_stream(spark, sf_dir, "embeddings")
+
+    def scorer(df):
+        return nearest_centroid(df, "embedding", "label", fit_df=batch)
+    out = run_available(stream_scores(stream, scorer, "centroid-v1").drop("embedding", "probabilities"), "scores")
+    return out.groupBy(F.col("label").cast("long").alias("label"), "prediction").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("stream_pairs", "W03 J01 H01", f"""WITH {_SH}
+SELECT deployment_id, CAST(count(*) AS BIGINT) AS pairs, CAST(count(*) FILTER (WHERE m) AS BIGINT) AS matches FROM cmp GROUP BY 1""")
+def q_stream_pairs(spark, sf_dir):
+    from cadence.operators.shadow import compare
+    ev = table_stream(spark, sf_dir, "events")
+    p = F.col("value") / (F.col("value") + F.lit(50.0))
+    shift = F.when(F.col("event_type") == "view", F.lit(0.0)).otherwise(((F.col("user_id") % 7) - 3) * F.lit(0.04))
+    q = p + shift
+    rid = F.col("event_id").cast("string").alias("request_id")
+    prod = ev.select(rid, F.concat(F.lit("shadow_"), F.col("event_type")).alias("deployment_id"), "ts",
+                     F.array(F.lit(1.0) - p, p).alias("production_prediction"))
+    # The shadow answer arrives a few seconds after production.
+    shadow = ev.select(rid, (F.col("ts") + F.make_interval(secs=(F.col("user_id") % 5).cast("int"))).alias("ts"),
+                       F.array(F.lit(1.0) - q, q).alias("shadow_prediction"))
+    pairs = compare(pair_streams(prod, shadow))
+    out = run_available(pairs.select("deployment_id", "predictions_match"), "pairs")
+    return out.groupBy("deployment_id").agg(F.count(F.lit(1)).cast("bigint").alias("pairs"),
+                                            F.count_if("predictions_match").cast("bigint").alias("matches"))
+
+
+@query("stream_state", "W04 C04")
+def q_stream_state(spark, sf_dir):
+    """Canary state machine over daily canary-arm windows (custom state: no SQL oracle)."""
+    log = requests_from_events(table_stream(spark, sf_dir, "events"))
+    windows = run_available(canary_windows(log, 25, window="1 day", watermark="1 hour"), "daily-windows")
+    src = windows.where(F.col("arm") == "canary").select(
+        F.lit("deploy_events").alias("deployment_id"), "window_start", "requests", "errors",
+        F.col("latency_pct")[1].alias("latency_p95_ms"))
+    # Re-read the written windows as a stream, then advance the state machine.
+    path = scratch_path(spark, f"streams/state-input-{uuid.uuid4().hex[:8]}")
+    src.write.mode("overwrite").parquet(path)
+    stream = spark.readStream.schema(src.schema).parquet(path)
+    sm = rollout_state_machine(stream, [1, 5, 25, 50, 100], 0.2, 150.0, 0.78)
+    out = run_available(sm, "rollout-state")
+    return out.withColumn("stages_completed", F.array_join(F.col("stages_completed").cast("array<string>"), ","))
+
+
+@query("stream_gauges", "W05 M03", """
+WITH u AS (SELECT event_type AS model_name, CAST(user_id % 3 AS VARCHAR) AS model_version, value / 500.0 AS accuracy, ts FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY model_name, model_version ORDER BY ts DESC, accuracy DESC) AS rn FROM u)
+SELECT model_name, model_version, round(accuracy, 6) AS accuracy FROM r WHERE rn = 1""")
+def q_stream_gauges(spark, sf_dir):
+    ev = table_stream(spark, sf_dir, "events")
+    u = ev.select(F.col("event_type").alias("model_name"), (F.col("user_id") % 3).cast("string").alias("model_version"),
+                  (F.col("value") / F.lit(500.0)).alias("accuracy"), "ts")
+    target = scratch_path(spark, f"streams/gauge-table-{uuid.uuid4().hex[:8]}")
+    stream_gauges(u, ["model_name", "model_version"], "accuracy", target)
+    return spark.read.parquet(target).select("model_name", "model_version", F.round("accuracy", 6).alias("accuracy"))
+
+
+@query("stream_incremental", "W06 S15", """
+SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, round(sum(o_totalprice), 6) AS total FROM orders GROUP BY 1""")
+def q_stream_incremental(spark, sf_dir):
+    base = scratch_path(spark, f"streams/retrain-input-{uuid.uuid4().hex[:8]}")
+    incremental_input(table_stream(spark, sf_dir, "orders"), f"{base}/data", f"{base}/_checkpoint")
+    # A second run finds nothing new: the checkpoint makes the append exactly-once.
+    incremental_input(table_stream(spark, sf_dir, "orders"), f"{base}/data", f"{base}/_checkpoint")
+    out = spark.read.parquet(f"{base}/data")
+    return out.groupBy("o_orderstatus").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                            F.round(F.sum("o_totalprice"), 6).alias("total"))
