@@ -14,18 +14,25 @@ def argmax(arr: Column) -> Column:
     return (F.array_position(arr, F.array_max(arr)) - 1).cast("int")
 
 
+def _with_scalar(arr: Column, scalar: Column, fn) -> Column:
+    """Element-wise ``fn(x, scalar)``. The scalar rides in as a second array so the lambda
+    only reads its own arguments: an outer reference inside a lambda body is re-evaluated
+    per element, which turns an inlined (expensive) scalar into O(n^2) work."""
+    return F.zip_with(arr, F.array_repeat(scalar, F.size(arr)), fn)
+
+
 def softmax(logits: Column) -> Column:
     """Numerically stable softmax: exp(x - max) / sum(exp(x - max))."""
-    m = F.array_max(logits)
-    ex = F.transform(logits, lambda x: F.exp(x - m))
+    ex = _with_scalar(logits, F.array_max(logits), lambda x, m: F.exp(x - m))
     total = F.aggregate(ex, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(ex, lambda x: x / total)
+    return _with_scalar(ex, total, lambda x, t: x / t)
 
 
 def log_softmax_at(logits: Column, idx: Column) -> Column:
     """log p[idx] via log-sum-exp, for cross-entropy from logits."""
     m = F.array_max(logits)
-    lse = m + F.log(F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - m)))
+    shifted = _with_scalar(logits, m, lambda x, mm: F.exp(x - mm))
+    lse = m + F.log(F.aggregate(shifted, F.lit(0.0), lambda acc, x: acc + x))
     return F.element_at(logits, idx + 1) - lse
 
 

@@ -33,19 +33,34 @@ def _as_text(c: str):
 
 
 def fit_label_codes(df: DataFrame, columns: list[str] | None = None) -> LabelCodes:
+    """One job for all columns: unpivot to (column, value), distinct (map-side combined, so
+    the shuffle carries distinct values only), then per column the size and the first
+    INLINE_MAX values in order (a window-group limit: top rows per task before the
+    shuffle). Only columns beyond INLINE_MAX values get a code table."""
     cols = columns if columns is not None else categorical_columns(df)
     codes = LabelCodes()
+    if not cols:
+        return codes
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), _as_text(c).alias("value")) for c in cols])).alias("kv")).select("kv.*")
+    distinct = long.distinct()
+    sizes = distinct.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    head = distinct.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy("value"))) \
+                   .where(F.col("rank") <= INLINE_MAX)
+    rows = head.join(sizes, "column").collect()  # <= INLINE_MAX rows per column
+    by_col: dict[str, dict[str, int]] = {c: {} for c in cols}
+    for r in rows:
+        codes.sizes[r["column"]] = r["n"]
+        by_col[r["column"]][r["value"]] = r["rank"] - 1
     for c in cols:
-        values = df.select(_as_text(c).alias("value")).distinct()
-        n = values.count()
-        codes.sizes[c] = n
+        n = codes.sizes.setdefault(c, 0)
         if n <= INLINE_MAX:
-            vs = sorted(r["value"] for r in values.collect())  # bounded by INLINE_MAX
-            codes.inline[c] = {v: i for i, v in enumerate(vs)}
-        elif n <= BROADCAST_MAX_ROWS:
+            codes.inline[c] = by_col[c]
+            continue
+        values = distinct.where(F.col("column") == c).select("value")
+        if n <= BROADCAST_MAX_ROWS:
             # Ranking over <= BROADCAST_MAX_ROWS distinct values: one small task.
-            w = Window.orderBy("value")
-            codes.tables[c] = values.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+            codes.tables[c] = values.withColumn("code", (F.row_number().over(Window.orderBy("value")) - 1).cast("int"))
         else:
             # Distributed rank: range-partitioned sort, then global offsets per partition.
             ranked = values.orderBy("value").rdd.zipWithIndex().map(lambda t: (t[0][0], int(t[1])))

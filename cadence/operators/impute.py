@@ -103,7 +103,12 @@ def column_modes(df: DataFrame, columns: list[str]) -> dict[str, Any]:
 
 
 def fit_missing(df: DataFrame, strategy: str = "mean", fill_value: Any = None,
-                columns: list[str] | None = None, exact: bool = True) -> Imputation:
+                columns: list[str] | None = None, exact: bool = True,
+                only_missing: bool = True) -> Imputation:
+    """Fit fill values. Pass 1 counts missing values of every column (and takes the mean,
+    when asked) in one aggregate; medians and modes are then computed only for columns that
+    hold missing values (``only_missing``) - a fill value of a complete column is never
+    used, and exact medians / modes are the expensive aggregates."""
     if strategy not in STRATEGIES:
         raise ValueError(f"Unknown strategy: {strategy}")
     params = Imputation(strategy)
@@ -113,26 +118,37 @@ def fit_missing(df: DataFrame, strategy: str = "mean", fill_value: Any = None,
         return params
     cols = columns or df.columns
     base = nan_to_null(df)
+    num = [c for c in numeric_columns(df) if c in cols]
+    cat = [c for c in categorical_columns(df) if c in cols]
+    aggs = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
+    if strategy == "mean":
+        aggs += [F.avg(c).cast("double").alias(f"a{i}") for i, c in enumerate(cols) if c in num]
+    row = base.agg(*aggs).first()  # one row: null counts (+ means)
+    has_null = {c for i, c in enumerate(cols) if row[f"n{i}"]}
+    need = (lambda c: c in has_null) if only_missing else (lambda c: True)
     if strategy == "mode":
-        modes = column_modes(df, cols)
+        targets = [c for c in cols if need(c)]
+        modes = column_modes(df, targets)
         default = fill_value if fill_value is not None else 0
-        params.fills = {c: modes.get(c, default) for c in cols}
+        params.fills = {c: modes.get(c, default) for c in targets}
         return params
-    num = [c for c in numeric_columns(df) if c in cols]
-    cat = [c for c in categorical_columns(df) if c in cols]
-    aggs = []
-    for i, c in enumerate(num):
-        center = F.avg(c) if strategy == "mean" else (
-            F.percentile(F.col(c), F.lit(0.5)) if exact else F.percentile_approx(c, 0.5, 10000))
-        aggs += [center.cast("double").alias(f"c{i}"), F.count_if(F.col(c).isNull()).alias(f"n{i}")]
-    if aggs:
-        row = base.agg(*aggs).first()  # one row: a centre and a null count per column
-        for i, c in enumerate(num):
-            params.fills[c] = row[f"c{i}"]
-            if row[f"n{i}"] and isinstance(df.schema[c].dataType, _INTEGRAL):
+    for i, c in enumerate(cols):
+        if c in num and need(c):
+            if strategy == "mean":
+                params.fills[c] = row[f"a{i}"]
+            if c in has_null and isinstance(df.schema[c].dataType, _INTEGRAL):
                 params.widen.append(c)
-    modes = column_modes(df, cat)
-    for c in cat:
+    if strategy == "median":
+        med_cols = [c for c in num if need(c)]
+        if med_cols:
+            meds = base.agg(*[
+                (F.percentile(F.col(c), F.lit(0.5)) if exact else F.percentile_approx(c, 0.5, 10000))
+                .cast("double").alias(f"m{j}") for j, c in enumerate(med_cols)]).first()
+            for j, c in enumerate(med_cols):
+                params.fills[c] = meds[f"m{j}"]
+    cat_targets = [c for c in cat if need(c)]
+    modes = column_modes(df, cat_targets)
+    for c in cat_targets:
         params.fills[c] = modes.get(c, "unknown")
     return params
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ from pyspark.sql import functions as F
 from cadence.functions.arrays import argmax, log_softmax_at
 from cadence.functions.stats import ratio_or_zero
 
-MAX_CLASSES = 10_000            # confusion grid / report are bounded by k^2 cells
-AUC_ROWS_PER_BUCKET = 200_000   # distinct scores per window partition in the AUC
+MAX_CLASSES = 1_000             # confusion grid is k^2 cells (<= 1e6)
+AUC_ROWS_PER_BUCKET = 200_000   # target distinct scores per window partition in the AUC
+AUC_MAX_BUCKETS = 10_000        # bucket cuts are collected: bounded
 
 
 def valid_targets(df: DataFrame, label: str, num_classes: int) -> tuple[DataFrame, DataFrame]:
@@ -97,7 +99,7 @@ def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
     grid = spark.range(1).select(F.explode(F.array(*[
         F.struct(F.lit(a).cast("long").alias("label"), F.lit(b).cast("long").alias("prediction"))
         for a in labs for b in labs])).alias("g")).select("g.*")
-    return grid.join(F.broadcast(pair_counts(df, label, pred)), ["label", "prediction"], "left") \
+    return grid.join(pair_counts(df, label, pred), ["label", "prediction"], "left") \
                .select("label", "prediction", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
@@ -111,8 +113,11 @@ def confusion_wide(df: DataFrame, label: str, pred: str) -> DataFrame:
 def _auc_from_counts(counts: DataFrame, groups: list[str]) -> DataFrame:
     """counts: (groups..., score, pos, neg) with one row per distinct score per group.
     Returns (groups..., pos_total, neg_total, auc) with ties counted one half."""
+    # The distinct-score table is read twice (size check, then the sums): keep it once,
+    # spilling to disk if large; lost blocks are recomputed from lineage.
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     n_distinct = counts.count()
-    buckets = max(1, math.ceil(n_distinct / AUC_ROWS_PER_BUCKET))
+    buckets = min(AUC_MAX_BUCKETS, max(1, math.ceil(n_distinct / AUC_ROWS_PER_BUCKET)))
     if buckets == 1:
         b = counts.withColumn("__b", F.lit(0.0))
     else:
@@ -126,7 +131,8 @@ def _auc_from_counts(counts: DataFrame, groups: list[str]) -> DataFrame:
     wb = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.withColumn("__off", F.coalesce(F.sum("__bn").over(wb), F.lit(0)))
     w = Window.partitionBy(*groups, "__b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    local = b.join(F.broadcast(offsets.select(*groups, "__b", "__off")), groups + ["__b"]) \
+    # offsets has groups x buckets rows; AQE broadcasts it when its runtime size is small.
+    local = b.join(offsets.select(*groups, "__b", "__off"), groups + ["__b"]) \
              .withColumn("__below", F.col("__off") + F.coalesce(F.sum("neg").over(w), F.lit(0)))
     return local.groupBy(*groups).agg(
         F.sum("pos").cast("bigint").alias("pos_total"), F.sum("neg").cast("bigint").alias("neg_total"),

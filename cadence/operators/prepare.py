@@ -68,9 +68,12 @@ class Preprocessor:
         """Re-apply the fitted values to new data."""
         if self.imputation is None:
             raise RuntimeError("Preprocessor is not fitted")
-        df = apply_missing(df, self.imputation)
+        # Imputation is recomputed on the frame at hand (the reference keeps no imputer
+        # state); encoders and scalers re-apply their fitted values.
+        df = apply_missing(df, fit_missing(df, self.missing_strategy, exact=self.exact))
         if self.zero_imputation is not None:
-            df = apply_missing(zero_as_missing(df, self.zero_as_missing_columns), self.zero_imputation)
+            df = zero_as_missing(df, self.zero_as_missing_columns)
+            df = apply_missing(df, fit_missing(df, "median", exact=self.exact))
         df = apply_label_codes(df, self.codes) if self.codes else one_hot(df)
         df = apply_scaler(df, self.scaler)
         if self.interactions or self.polynomial:
