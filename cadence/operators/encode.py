@@ -17,7 +17,7 @@ from cadence.functions.columns import categorical_columns
 
 NULL_TOKEN = "None"          # string form a missing value takes before encoding (fixed value)
 INLINE_MAX = 256             # code tables up to this size become a map literal
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 200_000  # code tables broadcast up to this many rows
 
 
 @dataclass

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from cadence.functions.hashing import hash32
 
 RESOLUTION = 10_000        # hash-fraction granularity of the default split
-_COARSE_SHIFT = 16         # 2^32 hash -> 65,536 coarse buckets for exact cuts
 MAX_GROUPS = 1_000         # stratification groups handled by the exact path
+PLAN_ROWS = 250_000        # size bound of the broadcast cut plan (groups x coarse buckets)
 
 
 def key_column(key: str | list[str]) -> Column:
@@ -56,10 +56,18 @@ def hash_split(df: DataFrame, key: str | list[str], test_size: float = 0.2,
 def _exact_split(df, key, h, sizes, by, split_col):
     spark = df.sparkSession
     by_cols = [by] if by else []
+    n_groups = 1
+    if by:
+        n_groups = len(df.select(by).distinct().limit(MAX_GROUPS + 1).collect())
+        if n_groups > MAX_GROUPS:
+            raise ValueError(f"exact stratified split supports at most {MAX_GROUPS} groups")
+    # Coarse buckets per group so that groups x buckets <= PLAN_ROWS (16 .. 65,536).
+    per_group = min(1 << 16, max(16, 1 << int(math.log2(max(1, PLAN_ROWS // n_groups)))))
+    shift = 32 - int(math.log2(per_group))
     work = df.withColumn("__h", h).withColumn("__k", key_column(key)) \
-             .withColumn("__cb", (F.col("__h") / F.lit(1 << _COARSE_SHIFT)).cast("int"))
+             .withColumn("__cb", F.shiftright(F.col("__h"), shift).cast("int"))
     counts = work.groupBy(*by_cols, "__cb").agg(F.count(F.lit(1)).alias("__n"))
-    # Bounded: groups x 65,536 rows at most.
+    # Bounded: groups x per_group <= PLAN_ROWS rows.
     groups: dict = {}
     for r in counts.collect():
         g = r[by] if by else None
@@ -82,7 +90,7 @@ def _exact_split(df, key, h, sizes, by, split_col):
     plan_df = plan_df.withColumnRenamed("__cb", "__pcb")
     if by:
         join_cond.append(F.col(by).eqNullSafe(F.col("__g")))
-    # The plan table is bounded (<= MAX_GROUPS x 65,536 rows): broadcast, the data never shuffles.
+    # The plan table is bounded (<= PLAN_ROWS rows): broadcast, the data never shuffles.
     tagged = work.join(F.broadcast(plan_df), join_cond, "inner")
     inside = ((F.col("__c0") + F.col("__cn") <= F.col("__t1")) |
               ((F.col("__c0") >= F.col("__t1")) & (F.col("__c0") + F.col("__cn") <= F.col("__t2"))) |

@@ -235,7 +235,7 @@ def validate_splits(df: DataFrame, key: str | list[str], split_col: str = "split
     per = df.groupBy(split_col).agg(
         F.count(F.lit(1)).cast("bigint").alias("rows"),
         F.count_if(any_null if any_null is not None else F.lit(False)).cast("bigint").alias("rows_with_nulls"))
-    shared = (df.groupBy(*keys).agg(F.count_distinct(split_col).alias("k")).where(F.col("k") > 1)
+    shared = (df.groupBy(*keys).agg(F.count_distinct(split_col).alias("__n_splits")).where(F.col("__n_splits") > 1)
               .count())  # one number
     return per.withColumn("shared_keys", F.lit(shared).cast("bigint")).withColumn(
         "valid", (F.col("rows_with_nulls") == 0) & (F.col("shared_keys") == 0))
