@@ -131,3 +131,17 @@ def write_splits(df: DataFrame, path: str, target: str) -> None:
     """One Parquet dataset partitioned by split, target as the last data column."""
     cols = [c for c in df.columns if c not in (target, "split")]
     df.select(*cols, target, "split").write.mode("overwrite").partitionBy("split").parquet(path)
+
+
+def drop_target_marker(df: DataFrame, target: str, marker: int = -1) -> DataFrame:
+    """Drop rows whose target equals the 'no label' marker (-1)."""
+    return df.where(F.col(target).isNull() | (F.col(target) != marker))
+
+
+def training_types(df: DataFrame, target: str | None = None) -> DataFrame:
+    """P03 + P10: target = given column or the last one; features cast to float, target to
+    bigint (truncating toward zero, as a float -> int64 cast does); target kept last."""
+    tgt = target or df.columns[-1]
+    feats = [c for c in df.columns if c != tgt]
+    return df.select(*[F.col(c).cast("float").alias(c) for c in feats],
+                     F.col(tgt).cast("double").cast("bigint").alias(tgt))

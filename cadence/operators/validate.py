@@ -239,3 +239,27 @@ def validate_splits(df: DataFrame, key: str | list[str], split_col: str = "split
               .count())  # one number
     return per.withColumn("shared_keys", F.lit(shared).cast("bigint")).withColumn(
         "valid", (F.col("rows_with_nulls") == 0) & (F.col("shared_keys") == 0))
+
+
+def validate_training_data(spark, path: str, schema: DataSchema | None = None) -> tuple[DataFrame, DataFrame]:
+    """Validate a directory (Parquet + CSV files), a ``.parquet`` or a ``.csv`` path;
+    anything else (or an empty directory) is an invalid result with one error finding."""
+    import os
+
+    from cadence.sources.readers import read_mixed_directory, read_source
+
+    def invalid(msg: str):
+        f = spark.createDataFrame([("source", None, "error", None, None, msg)], FINDINGS_SCHEMA)
+        s = spark.createDataFrame([(False, 0, 0, 1, 0, 0.0)], "is_valid boolean, num_samples bigint, "
+                                  "num_features bigint, n_errors bigint, n_warnings bigint, quality_score double")
+        return f, s
+    ext = os.path.splitext(path.rstrip("/"))[1]
+    if not ext:
+        df = read_mixed_directory(spark, path)
+        if df is None:
+            return invalid("No data files found in directory")
+    elif ext in (".parquet", ".csv"):
+        df = read_source(spark, path)
+    else:
+        return invalid(f"Unsupported file format: {ext}")
+    return validate(df, schema)

@@ -204,3 +204,40 @@ def q_softmax_argmax(spark, sf_dir):
 
 
 __all__ = ["argmax", "softmax"]
+
+
+# ----------------------------------------------------------------------------------------
+# Training frame preparation (P03-P05, P10) and feature validation
+
+from cadence.operators.prepare import drop_target_marker, resolve_target, training_types  # noqa: E402
+from cadence.operators.score import validate_features  # noqa: E402
+
+
+@query("training_frame", "P03 P04 P05 P10", """
+WITH t AS (SELECT doc_id, quality, toxic, quality - toxic AS label FROM labels)
+SELECT CAST(label AS BIGINT) AS label, CAST(count(*) AS BIGINT) AS n,
+       round(sum(CAST(CAST(doc_id AS FLOAT) AS DOUBLE)), 6) AS doc_id_sum, round(sum(CAST(quality AS FLOAT)), 6) AS quality_sum
+FROM t WHERE label <> -1 GROUP BY 1""")
+def q_training_frame(spark, sf_dir):
+    lab = table(spark, sf_dir, "labels").withColumn("label", F.col("quality") - F.col("toxic"))
+    tgt = resolve_target(lab.columns, "target")          # not configured, no 'target': last column
+    t = training_types(drop_target_marker(lab, tgt), tgt)
+    return round_doubles(t.groupBy(tgt).agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                            F.sum(F.col("doc_id").cast("double")).alias("doc_id_sum"),
+                                            F.sum(F.col("quality").cast("double")).alias("quality_sum")))
+
+
+@query("feature_validation", "B05", """
+WITH f AS (SELECT vec_id, CASE WHEN label = 0 THEN embedding[1:63] ELSE embedding END AS features FROM embeddings),
+r AS (SELECT CASE WHEN features IS NULL THEN 'missing features'
+                  WHEN len(features) <> 64 THEN printf('expected %d features, got %d', 64, len(features))
+                  WHEN list_bool_or(list_transform(features, lambda v: v IS NULL OR isnan(v))) THEN 'null or NaN feature' END AS reject_reason
+      FROM f)
+SELECT COALESCE(reject_reason, 'ok') AS outcome, CAST(count(*) AS BIGINT) AS n FROM r GROUP BY 1""")
+def q_feature_validation(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings")
+    f = emb.select("vec_id", F.when(F.col("label") == 0, F.slice("embedding", 1, 63))
+                   .otherwise(F.col("embedding")).alias("features"))
+    ok, bad = validate_features(f, "features", 64)
+    return ok.select(F.lit("ok").alias("outcome")).unionByName(bad.select(F.col("reject_reason").alias("outcome"))) \
+             .groupBy("outcome").agg(F.count(F.lit(1)).cast("bigint").alias("n"))

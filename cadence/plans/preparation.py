@@ -63,7 +63,7 @@ def prepared_lineitem(spark, sf_dir):
     return out, tgt
 
 
-@query("prepare_features", "F15 F14 P07 F01 F02 F05 F08 D01 S13", _PREP_SQL)
+@query("prepare_features", "F15 F14 P07 F01 F02 F05 F08 D01 S13 J04", _PREP_SQL)
 def prepare_features(spark, sf_dir):
     """Flagship: full prepare pipeline on lineitem, summarised per split."""
     out, tgt = prepared_lineitem(spark, sf_dir)

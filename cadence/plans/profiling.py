@@ -139,7 +139,7 @@ f AS (
 SELECT * FROM f"""
 
 
-@query("validation_findings", "V01 V02 V03 V04 V05 V06 V12", _FINDINGS_SQL)
+@query("validation_findings", "V01 V02 V03 V04 V05 V06 V12 J05", _FINDINGS_SQL)
 def q_validation_findings(spark, sf_dir):
     f, _ = findings(profiled_events(spark, sf_dir), EVENT_SCHEMA)
     return round_doubles(f)

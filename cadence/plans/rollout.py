@@ -230,3 +230,70 @@ def q_shadow_drift(spark, sf_dir):
         "production_class": argmax(F.col("production_prediction")),
         "shadow_class": argmax(F.col("shadow_prediction"))})
     return round_doubles(prediction_drift(c, ["deployment_id"]))
+
+
+# ----------------------------------------------------------------------------------------
+# Gates and deployment records
+
+from cadence.operators.canary import (deployment_config, evaluate_health, initialize,  # noqa: E402
+                                      metric_gate)
+
+_GROUPED = """g AS (SELECT 'deploy_' || CAST(user_id % 5 AS VARCHAR) AS deployment_id,
+              count(*) FILTER (WHERE event_type <> 'error') / count(*) AS accuracy, avg(value) AS latency_ms,
+              count(*) FILTER (WHERE event_type = 'error') / count(*) AS error_rate FROM events GROUP BY 1)"""
+
+
+def _grouped(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    err = F.col("event_type") == "error"
+    return ev.groupBy(F.concat(F.lit("deploy_"), (F.col("user_id") % 5).cast("string")).alias("deployment_id")).agg(
+        (F.count_if(~err) / F.count(F.lit(1))).alias("accuracy"), F.avg("value").alias("latency_ms"),
+        (F.count_if(err) / F.count(F.lit(1))).alias("error_rate"))
+
+
+@query("metric_gate", "C08", f"""WITH {_GROUPED},
+m AS (SELECT deployment_id, 'accuracy' AS metric, accuracy AS value, 0.8 AS threshold, accuracy >= 0.8 AS passed FROM g
+      UNION ALL SELECT deployment_id, 'latency_ms', latency_ms, 100.0, latency_ms <= 100.0 FROM g
+      UNION ALL SELECT deployment_id, 'error_rate', error_rate, 0.05, error_rate <= 0.05 FROM g)
+SELECT deployment_id, metric, round(value, 6) AS value, CAST(threshold AS DOUBLE) AS threshold, passed,
+       bool_and(passed) OVER (PARTITION BY deployment_id) AS all_passed FROM m""")
+def q_metric_gate(spark, sf_dir):
+    return round_doubles(metric_gate(_grouped(spark, sf_dir), ["deployment_id"]))
+
+
+@query("health_eval", "C09", f"""WITH {_GROUPED}
+SELECT deployment_id, accuracy >= 0.8 AND latency_ms <= 50.0 AS is_healthy,
+       CASE WHEN accuracy >= 0.8 AND latency_ms <= 50.0 THEN 'Healthy' ELSE
+         concat_ws('; ', CASE WHEN NOT accuracy >= 0.8 THEN printf('Success rate %.4f below %.4f', accuracy, 0.8) END,
+                   CASE WHEN NOT latency_ms <= 50.0 THEN printf('Average latency %.2fms above %.2fms', latency_ms, 50.0) END) END AS reason
+FROM g""")
+def q_health_eval(spark, sf_dir):
+    g = _grouped(spark, sf_dir).select("deployment_id", F.col("accuracy").alias("success_rate"),
+                                       F.col("latency_ms").alias("avg_latency_ms"))
+    return evaluate_health(g, 0.8, 50.0).select("deployment_id", "is_healthy", "reason")
+
+
+@query("deployment_config", "C10", """
+SELECT 'deploy_' || strftime(o_orderdate, '%Y%m%d') || '_' || CAST(o_orderkey AS VARCHAR) AS deployment_id,
+       CASE WHEN o_orderstatus = 'F' THEN 'shadow' ELSE 'canary' END AS strategy FROM orders""")
+def q_deployment_config(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    req = o.select(F.col("o_orderkey").cast("string").alias("model_version"),
+                   F.when(F.col("o_orderstatus") == "F", "shadow").alias("strategy"),
+                   F.col("o_orderdate").alias("requested_at"))
+    return deployment_config(req).select("deployment_id", "strategy")
+
+
+@query("deployment_init", "C11", """
+WITH ex AS (SELECT 'dep_' || CAST(o_orderkey AS VARCHAR) AS deployment_id, 'active' AS status FROM orders WHERE o_orderstatus = 'F'),
+nw AS (SELECT 'dep_' || CAST(o_orderkey AS VARCHAR) AS deployment_id FROM orders WHERE o_orderstatus <> 'O'),
+al AS (SELECT deployment_id, status FROM ex UNION ALL
+       SELECT deployment_id, 'initialized' FROM nw WHERE deployment_id NOT IN (SELECT deployment_id FROM ex))
+SELECT status, CAST(count(*) AS BIGINT) AS n FROM al GROUP BY 1""")
+def q_deployment_init(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    dep = F.concat(F.lit("dep_"), F.col("o_orderkey").cast("string")).alias("deployment_id")
+    existing = o.where(F.col("o_orderstatus") == "F").select(dep, F.lit("active").alias("status"),
+                                                             F.lit(100).alias("current_percentage"))
+    new = o.where(F.col("o_orderstatus") != "O").select(dep)
+    return initialize(existing, new).groupBy("status").agg(F.count(F.lit(1)).cast("bigint").alias("n"))

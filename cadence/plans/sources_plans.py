@@ -24,3 +24,109 @@ def q_mixed_union(spark, sf_dir):
         F.count(F.lit(1)).cast("bigint").alias("n"), F.count("o_custkey").cast("bigint").alias("n_o_custkey"),
         F.count("c_custkey").cast("bigint").alias("n_c_custkey"), F.sum("o_totalprice").alias("sum_totalprice"),
         F.sum("c_acctbal").alias("sum_acctbal"), F.count("c_nationkey").cast("bigint").alias("n_nationkey")))
+
+
+# ----------------------------------------------------------------------------------------
+# Round trips of the given tables through the shared scratch folder: every format's reader
+# is exercised on data Spark derives from the tables.
+
+import uuid  # noqa: E402
+
+from cadence.session import scratch_path  # noqa: E402
+from cadence.sources.readers import load_training_data  # noqa: E402
+from cadence.sources.sinks import (publish_features, write_feather, write_findings_json,  # noqa: E402
+                                   write_processed)
+from cadence.tables import table  # noqa: E402
+
+_ORDERS_AGG = """SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, round(sum(o_totalprice), 6) AS total,
+       CAST(sum(o_custkey) AS BIGINT) AS custkey_sum FROM orders GROUP BY 1"""
+
+
+def _orders_agg(df):
+    return round_doubles(df.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.sum("o_totalprice").alias("total"),
+        F.sum("o_custkey").cast("bigint").alias("custkey_sum")))
+
+
+def _scratch(spark, name):
+    return scratch_path(spark, f"roundtrip/{name}-{uuid.uuid4().hex[:8]}")
+
+
+@query("csv_roundtrip", "S01 S05 S06", _ORDERS_AGG)
+def q_csv_roundtrip(spark, sf_dir):
+    """orders written as a directory of CSV files, read back with header + inferred types."""
+    path = _scratch(spark, "orders-csv")
+    table(spark, sf_dir, "orders").drop("o_orderdate").write.option("header", True).csv(path)
+    return _orders_agg(read_source(spark, path))   # directory: format detected from its files
+
+
+@query("json_roundtrip", "S03 S17", _ORDERS_AGG)
+def q_json_roundtrip(spark, sf_dir):
+    path = _scratch(spark, "orders-json")
+    write_findings_json(table(spark, sf_dir, "orders").drop("o_orderdate"), path)
+    return _orders_agg(read_source(spark, path, "json", multiLine=False))
+
+
+@query("feather_roundtrip", "S04", _ORDERS_AGG)
+def q_feather_roundtrip(spark, sf_dir):
+    path = _scratch(spark, "orders-feather")
+    write_feather(table(spark, sf_dir, "orders").drop("o_orderdate"), path)
+    return _orders_agg(read_source(spark, path, "feather"))
+
+
+@query("processed_sink", "S12 S02", _ORDERS_AGG)
+def q_processed_sink(spark, sf_dir):
+    path = _scratch(spark, "orders-parquet")
+    write_processed(table(spark, sf_dir, "orders"), path)
+    return _orders_agg(read_source(spark, path))
+
+
+@query("mixed_directory", "S06 S07 S08 S11", """
+WITH u AS (SELECT o_orderkey, o_custkey, o_totalprice, NULL::BIGINT AS c_custkey, NULL::DOUBLE AS c_acctbal FROM orders
+           UNION ALL SELECT NULL, NULL, NULL, c_custkey, c_acctbal FROM customer)
+SELECT o_orderkey IS NULL AS from_customer, CAST(count(*) AS BIGINT) AS n, CAST(count(c_custkey) AS BIGINT) AS n_c_custkey,
+       round(sum(o_totalprice), 6) AS sum_totalprice, round(sum(c_acctbal), 6) AS sum_acctbal FROM u GROUP BY 1""")
+def q_mixed_directory(spark, sf_dir):
+    """A directory holding orders as Parquet and customer as CSV, loaded by the dispatcher:
+    all Parquet files, then all CSV files, unioned by column name."""
+    path = _scratch(spark, "mixed")
+    table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice").write.parquet(path)
+    (table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal").write.mode("append")
+     .option("header", True).csv(path))
+    u = load_training_data(spark, path)
+    return round_doubles(u.groupBy(F.col("o_orderkey").isNull().alias("from_customer")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.count("c_custkey").cast("bigint").alias("n_c_custkey"),
+        F.sum("o_totalprice").alias("sum_totalprice"), F.sum("c_acctbal").alias("sum_acctbal")))
+
+
+@query("feature_store", "S14", """
+SELECT '2024-01-01' AS feature_version, CAST(count(*) AS BIGINT) AS n, round(sum(l_extendedprice), 6) AS total FROM lineitem""")
+def q_feature_store(spark, sf_dir):
+    path = _scratch(spark, "features")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice")
+    publish_features(li, path, "2024-01-01")
+    back = spark.read.parquet(path).where(F.col("feature_version") == "2024-01-01")   # partition pruning
+    return round_doubles(back.groupBy(F.col("feature_version").cast("string").alias("feature_version")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.sum("l_extendedprice").alias("total")))
+
+
+@query("validate_path", "V13 V12 V16", """
+SELECT true AS is_valid, CAST(count(*) AS BIGINT) AS num_samples, CAST(5 AS BIGINT) AS num_features,
+       CAST(0 AS BIGINT) AS n_errors FROM customer""")
+def q_validate_path(spark, sf_dir):
+    from cadence.operators.validate import DataSchema, validate_training_data
+    path = _scratch(spark, "customer-dir")
+    table(spark, sf_dir, "customer").write.parquet(path)
+    _, s = validate_training_data(spark, path, DataSchema(required_columns=["c_custkey"], min_rows=1))
+    return s.select("is_valid", "num_samples", "num_features", "n_errors")
+
+
+@query("memory_estimate", "V07 V08", """
+SELECT CAST(count(*) AS BIGINT) AS num_rows, CAST(6 AS BIGINT) AS num_columns,
+       round((sum(COALESCE(strlen(o_orderstatus) + 49, 8) + COALESCE(strlen(o_orderpriority) + 49, 8) + 32) + 128)
+             / 1024.0 / 1024.0, 6) AS memory_usage_mb FROM orders""")
+def q_memory_estimate(spark, sf_dir):
+    from cadence.operators.validate import compute_statistics
+    st = compute_statistics(table(spark, sf_dir, "orders"))
+    return spark.createDataFrame([(st["num_rows"], st["num_columns"], round(st["memory_usage_mb"], 6))],
+                                 "num_rows bigint, num_columns bigint, memory_usage_mb double")

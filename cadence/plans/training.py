@@ -42,3 +42,39 @@ def q_mlp_batch_scores(spark, sf_dir):
     data, model = _model(spark, sf_dir)
     s = score(model, data, version="1")
     return s.groupBy("split", "prediction").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("model_roundtrip", "T06 S16 E10 R16 T05")
+def q_model_roundtrip(spark, sf_dir):
+    """Train entry: split -> fit -> evaluate -> save -> load -> re-evaluate; the final
+    metrics are returned as run_metrics rows (metric, value)."""
+    import uuid
+
+    from cadence.operators.registry import final_metrics
+    from cadence.operators.train import load_model, save_model, train_run
+    from cadence.session import scratch_path
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", F.slice(F.col("embedding"), 1, 8).alias("x"), "label")
+    res = train_run(emb, "x", "label", "vec_id", "mlp", n_features=8, n_classes=10, hidden=[16], max_iter=40)
+    if res["status"] != "FINISHED":
+        raise RuntimeError(res["error"])
+    path = save_model(res["model"], scratch_path(spark, f"models/mlp-{uuid.uuid4().hex[:8]}"))
+    loaded = load_model(path)
+    val = assemble(train_val_split(emb, "vec_id", 0.2), "x", "label").where(F.col("split") == "val")
+    m, _ = evaluate(loaded, val)
+    run = m.select(F.lit("run_mlp").alias("run_id"), F.lit(res["final_train_loss"]).alias("final_train_loss"),
+                   "accuracy", "f1_score")
+    return round_doubles(final_metrics(run, "final_train_loss", "accuracy", "f1_score"))
+
+
+@query("score_pair", "B02 B01")
+def q_score_pair(spark, sf_dir):
+    """Production (MLP) and shadow (logistic) models score one scan side by side."""
+    from cadence.operators.train import score_pair
+    data = _embedding_data(spark, sf_dir)
+    train = data.where(F.col("split") == "train")
+    prod = fit(train, "mlp", n_features=8, n_classes=10, hidden=[16], max_iter=40)
+    shadow = fit(train, "logistic", n_features=8, n_classes=10, max_iter=40)
+    both = score_pair(prod, shadow, data)
+    return both.groupBy("split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"),
+        F.count_if(F.col("production_prediction") == F.col("shadow_prediction")).cast("bigint").alias("agree"))
