@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.hashing import hash_bucket
-from cadence.functions.stats import quantiles, ratio
+from cadence.functions.quantiles import grouped_quantiles
+from cadence.functions.stats import ratio
 
 # Fixed values of the reference's canary manager: stage percentages, stage length and
 # health thresholds (error rate, p95 latency in ms, health score).
@@ -41,12 +42,12 @@ def assign_arm(df: DataFrame, key: str, percentage: float | Column, seed: int =
     return df.withColumn(out, F.when(hash_bucket(F.col(key), 100, seed) < p, "canary").otherwise("production"))
 
 
-def _traffic_aggs(exact: bool) -> list[Column]:
-    q = quantiles(F.col("latency_ms"), [0.5, 0.95, 0.99], exact)
-    return [F.count(F.lit(1)).cast("bigint").alias("requests_total"),
+def _traffic(df: DataFrame, groups: list[str], exact: bool) -> DataFrame:
+    """Counts per group plus exact (or sketched) latency p50 / p95 / p99 as ``__q``."""
+    aggs = [F.count(F.lit(1)).cast("bigint").alias("requests_total"),
             F.count_if(~F.col("is_error")).cast("bigint").alias("requests_success"),
-            F.count_if(F.col("is_error")).cast("bigint").alias("requests_error"),
-            q.alias("__q")]
+            F.count_if(F.col("is_error")).cast("bigint").alias("requests_error")]
+    return grouped_quantiles(df, aggs, ["latency_ms"], [0.5, 0.95, 0.99], groups, exact, names=["__q"])
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -58,7 +59,7 @@ def _finish(df: DataFrame) -> DataFrame:
 def arm_metrics(log: DataFrame, group: list[str] | None = None, exact: bool = True) -> DataFrame:
     """C02 per arm: totals, error rate, latency percentiles, health (= success rate of the arm)."""
     g = (group or []) + ["arm"]
-    out = _finish(log.groupBy(*g).agg(*_traffic_aggs(exact)))
+    out = _finish(_traffic(log, g, exact))
     return out.withColumn("health", F.coalesce(ratio(F.col("requests_success"), F.col("requests_total")), F.lit(0.0)))
 
 
@@ -69,14 +70,14 @@ def canary_metrics(log: DataFrame, percentage: float, key: str = "user_id",
     g = group or []
     a = assign_arm(log, key, percentage)
     canary = F.col("arm") == "canary"
-    q = quantiles(F.when(canary, F.col("latency_ms")), [0.5, 0.95, 0.99], exact)
-    out = a.groupBy(*g).agg(
+    a = a.withColumn("__canary_latency", F.when(canary, F.col("latency_ms")))
+    out = grouped_quantiles(a, [
         F.count_if(canary).cast("bigint").alias("requests_total"),
         F.count_if(canary & ~F.col("is_error")).cast("bigint").alias("requests_success"),
         F.count_if(canary & F.col("is_error")).cast("bigint").alias("requests_error"),
-        q.alias("__q"),
         F.count_if(~canary).cast("bigint").alias("__pt"),
-        F.count_if(~canary & ~F.col("is_error")).cast("bigint").alias("__ps"))
+        F.count_if(~canary & ~F.col("is_error")).cast("bigint").alias("__ps")],
+        ["__canary_latency"], [0.5, 0.95, 0.99], g, exact, names=["__q"])
     return (_finish(out).withColumn("current_percentage", F.lit(percentage))
             .withColumn("canary_health", ratio(F.col("requests_success"), F.col("requests_total")))
             .withColumn("production_health", ratio(F.col("__ps"), F.col("__pt"))).drop("__pt", "__ps"))
@@ -124,7 +125,7 @@ def stage_progression(log: DataFrame, stages: list[int] | None = None, stage_min
                                                 / F.lit(stage_minutes * 60 * 1_000_000)).cast("int"))
               .where(F.col("stage") < len(stages)).withColumn("percentage", pct))
     canary = staged.where(hash_bucket(F.col(key), 100) < F.col("percentage"))
-    per = _finish(canary.groupBy(*g, "stage", "percentage").agg(*_traffic_aggs(exact)))
+    per = _finish(_traffic(canary, g + ["stage", "percentage"], exact))
     per = per.withColumn("canary_health", ratio(F.col("requests_success"), F.col("requests_total")))
     per = check_health(per, **thresholds)
     w = Window.partitionBy(*g).orderBy("stage").rowsBetween(Window.unboundedPreceding, -1)

@@ -141,11 +141,11 @@ def fit_missing(df: DataFrame, strategy: str = "mean", fill_value: Any = None,
     if strategy == "median":
         med_cols = [c for c in num if need(c)]
         if med_cols:
-            meds = base.agg(*[
-                (F.percentile(F.col(c), F.lit(0.5)) if exact else F.percentile_approx(c, 0.5, 10000))
-                .cast("double").alias(f"m{j}") for j, c in enumerate(med_cols)]).first()
+            from cadence.functions.quantiles import grouped_quantiles
+            names = [f"m{j}" for j in range(len(med_cols))]
+            meds = grouped_quantiles(base.select(*med_cols), [], med_cols, [0.5], exact=exact, names=names).first()
             for j, c in enumerate(med_cols):
-                params.fills[c] = meds[f"m{j}"]
+                params.fills[c] = meds[f"m{j}"][0] if meds[f"m{j}"] is not None else None
     cat_targets = [c for c in cat if need(c)]
     modes = column_modes(df, cat_targets)
     for c in cat_targets:

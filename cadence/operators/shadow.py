@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.arrays import predictions_match, scalar_predictions_match
-from cadence.functions.stats import quantiles, ratio
+from cadence.functions.quantiles import grouped_quantiles
+from cadence.functions.stats import ratio
 
 # Fixed values of the reference's shadow manager: prediction tolerance 0.1, latency
 # regression factor 1.2, minimum sample 1000, confidence penalties 0.3 / 0.2 / 0.1 and the
@@ -53,14 +54,12 @@ def comparison_metrics(cmp: DataFrame, group: list[str] | None = None, exact: bo
     latency improvement (prod mean - shadow mean) / prod mean (0 when prod mean <= 0). A
     global aggregate over an empty log yields total 0 with a message."""
     g = group or []
-    qp = quantiles(F.col("production_latency_ms"), [0.5, 0.95, 0.99], exact)
-    qs = quantiles(F.col("shadow_latency_ms"), [0.5, 0.95, 0.99], exact)
-    agg = cmp.groupBy(*g).agg(
+    agg = grouped_quantiles(cmp, [
         F.count(F.lit(1)).cast("bigint").alias("total_comparisons"),
         F.count_if(F.col("predictions_match")).cast("bigint").alias("__m"),
-        qp.alias("__qp"), qs.alias("__qs"),
         F.avg("production_latency_ms").alias("production_latency_mean"),
-        F.avg("shadow_latency_ms").alias("shadow_latency_mean"))
+        F.avg("shadow_latency_ms").alias("shadow_latency_mean")],
+        ["production_latency_ms", "shadow_latency_ms"], [0.5, 0.95, 0.99], g, exact, names=["__qp", "__qs"])
     out = agg.select(
         *g, "total_comparisons",
         F.coalesce(ratio(F.col("__m"), F.col("total_comparisons")), F.lit(0.0)).alias("prediction_match_rate"),
