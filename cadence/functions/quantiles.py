@@ -15,25 +15,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadence.functions.ranking import global_rank
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     groups: list[str] | None = None, partitions: int | None = None) -> DataFrame:
     """Returns (groups..., column, n, quantiles array<double> in ``probs`` order); NULL and NaN
     values are ignored; quantiles are NULL for a (group, column) without values."""
     g = list(groups or [])
-    spark = df.sparkSession
     keys = g + ["column"]
     long = (df.select(*g, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])).alias("kv"))
         .select(*g, "kv.column", "kv.v").where(F.col("v").isNotNull() & ~F.isnan("v")))
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (long.repartitionByRange(nparts, *keys, "v").sortWithinPartitions(*keys, "v")
-              .withColumn("pid", F.spark_partition_id())
-              .withColumn("pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    # Partition offsets: one row per partition.
-    sizes = ranked.groupBy("pid").agg(F.count(F.lit(1)).alias("cnt"))
-    offsets = sizes.withColumn("off", F.coalesce(F.sum("cnt").over(
-        Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("pid", "off")
-    with_rank = ranked.join(F.broadcast(offsets), "pid").withColumn("rank", F.col("off") + F.col("pos"))
+    with_rank = global_rank(long, keys + ["v"], "rank", partitions)
     # Start rank of each (group, column) in the global order and the wanted order statistics.
     counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     key_order = [F.col(k).asc_nulls_first() for k in keys]

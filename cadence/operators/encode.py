@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.columns import categorical_columns
+from cadence.functions.ranking import global_rank
 
 NULL_TOKEN = "None"          # string form a missing value takes before encoding (fixed value)
 INLINE_MAX = 256             # code tables up to this size become a map literal
@@ -62,9 +63,8 @@ def fit_label_codes(df: DataFrame, columns: list[str] | None = None) -> LabelCod
             # Ranking over <= BROADCAST_MAX_ROWS distinct values: one small task.
             codes.tables[c] = values.withColumn("code", (F.row_number().over(Window.orderBy("value")) - 1).cast("int"))
         else:
-            # Distributed rank: range-partitioned sort, then global offsets per partition.
-            ranked = values.orderBy("value").rdd.zipWithIndex().map(lambda t: (t[0][0], int(t[1])))
-            codes.tables[c] = ranked.toDF("value string, code int")
+            # Distributed rank: range-partitioned sort plus per-partition offsets.
+            codes.tables[c] = global_rank(values, ["value"], "code").withColumn("code", F.col("code").cast("int"))
     return codes
 
 

@@ -123,6 +123,9 @@ def fit_missing(df: DataFrame, strategy: str = "mean", fill_value: Any = None,
     aggs = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
     if strategy == "mean":
         aggs += [F.avg(c).cast("double").alias(f"a{i}") for i, c in enumerate(cols) if c in num]
+    if strategy == "median" and exact:
+        # distinct-count estimate (fixed-size sketch) decides how the exact median is taken
+        aggs += [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols) if c in num]
     row = base.agg(*aggs).first()  # one row: null counts (+ means)
     has_null = {c for i, c in enumerate(cols) if row[f"n{i}"]}
     need = (lambda c: c in has_null) if only_missing else (lambda c: True)
@@ -141,9 +144,15 @@ def fit_missing(df: DataFrame, strategy: str = "mean", fill_value: Any = None,
     if strategy == "median":
         med_cols = [c for c in num if need(c)]
         if med_cols:
-            from cadence.functions.quantiles import grouped_quantiles
+            from cadence.functions.quantiles import PERCENTILE_MAX_DISTINCT, grouped_quantiles
             names = [f"m{j}" for j in range(len(med_cols))]
-            meds = grouped_quantiles(base.select(*med_cols), [], med_cols, [0.5], exact=exact, names=names).first()
+            if not exact:
+                method = "approx"
+            else:
+                worst = max(row[f"d{cols.index(c)}"] or 0 for c in med_cols)
+                method = "hash" if worst <= PERCENTILE_MAX_DISTINCT else "sort"
+            meds = grouped_quantiles(base.select(*med_cols), [], med_cols, [0.5], exact=exact, names=names,
+                                     method=method).first()
             for j, c in enumerate(med_cols):
                 params.fills[c] = meds[f"m{j}"][0] if meds[f"m{j}"] is not None else None
     cat_targets = [c for c in cat if need(c)]

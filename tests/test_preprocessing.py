@@ -89,6 +89,10 @@ def test_label_codes_null_token_and_large_table(spark, monkeypatch):
     assert "c" in codes.tables
     out = [r[0] for r in enc.apply_label_codes(big, codes).collect()]
     assert out == list(range(50))
+    monkeypatch.setattr(enc, "BROADCAST_MAX_ROWS", 10)     # distributed ranking path
+    codes = enc.fit_label_codes(big.repartition(5))
+    assert sorted(r[0] for r in enc.apply_label_codes(big, codes).collect()) == list(range(50))
+    assert [r[0] for r in enc.apply_label_codes(big, codes).orderBy("c").collect()] == list(range(50))
 
 
 def test_one_hot(spark):
