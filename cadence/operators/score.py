@@ -1,8 +1,8 @@
 """Scoring (B01-B06, P10-P13).
 
 Linear and nearest-centroid scorers are pure column expressions over array columns (the
-weights / centroids are small literals, size-checked), so scoring is a projection inside
-whole-stage codegen with no join and no shuffle. Spark ML models score through
+weights / centroids are small literals, size-checked), so scoring is a projection with no
+join and no shuffle (the array arithmetic runs as built-in higher-order functions). Spark ML models score through
 ``model.transform``; foreign Python models score through an Arrow-batched pandas UDF with
 the model broadcast once.
 """
@@ -19,8 +19,7 @@ from pyspark.sql import types as T
 
 from cadence.functions.arrays import argmax, dot, output_switch, softmax
 
-MAX_CENTROIDS = 1_000
-MAX_DIM = 4_096
+MAX_CENTROID_CELLS = 200_000   # k x d literal cells inlined in the scoring expression
 
 
 def linear_logits(x: Column, weights: list[list[float]], bias: list[float] | None = None) -> Column:
@@ -42,9 +41,9 @@ def fit_centroids(df: DataFrame, vec: str, label: str) -> tuple[list[int], list[
     k x d rows), collected under a checked bound."""
     cells = (df.select(F.col(label).alias("label"), F.posexplode(F.col(vec).cast("array<double>")).alias("pos", "x"))
              .groupBy("label", "pos").agg(F.avg("x").alias("c")))
-    rows = cells.limit(MAX_CENTROIDS * MAX_DIM + 1).collect()
-    if len(rows) > MAX_CENTROIDS * MAX_DIM:
-        raise ValueError("too many centroid cells to inline")
+    rows = cells.limit(MAX_CENTROID_CELLS + 1).collect()
+    if len(rows) > MAX_CENTROID_CELLS:
+        raise ValueError(f"more than {MAX_CENTROID_CELLS} centroid cells (classes x dimensions) to inline")
     by: dict[int, dict[int, float]] = {}
     for r in rows:
         by.setdefault(r["label"], {})[r["pos"]] = r["c"]

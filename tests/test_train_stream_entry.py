@@ -53,3 +53,19 @@ def test_entry_and_contract(spark):
     assert df.count() == 3 and "split" in df.columns
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs) and len(qs) >= 70
+
+
+def test_response_shape_and_foreign_model(spark):
+    import numpy as np
+
+    from cadence.operators.score import pandas_model_scorer, response_shape, score_logits
+    w = np.array([[1.0, -1.0], [0.5, 0.5]])
+    scorer = pandas_model_scorer(spark, lambda x: x @ w, 2)
+    df = spark.createDataFrame([("r1", [1.0, 0.0]), (None, [0.0, 2.0])], "request_id string, features array<double>")
+    s = score_logits(df.withColumn("logits", scorer(F.col("features"))), F.col("logits"), "v7")
+    rows = response_shape(s, "v7").collect()
+    assert rows[0]["request_id"] == "r1" and rows[1]["request_id"].startswith("req_")
+    assert rows[0]["prediction"] == 0.0 and rows[1]["prediction"] == 1.0
+    assert abs(sum(rows[0]["probabilities"]) - 1.0) < 1e-12 and rows[0]["model_version"] == "v7"
+    one = score_logits(spark.createDataFrame([([3.5],)], "z array<double>"), F.col("z")).first()
+    assert one["prediction"] == 3.5 and one["probabilities"] is None      # width-1 output: raw value
