@@ -98,12 +98,18 @@ def response_shape(df: DataFrame, version: str | None = None, request_id: str =
 def pandas_model_scorer(spark, predict: Callable[[Any], Any], n_features: int) -> Callable[[Column], Column]:
     """B01 for foreign (non-Spark) models: an Arrow-batched pandas UDF; ``predict`` maps an
     (n, d) float array to (n, k) logits and is shipped once per executor via broadcast."""
-    bc = spark.sparkContext.broadcast(predict)
+    from pyspark import cloudpickle
+    bc = spark.sparkContext.broadcast(cloudpickle.dumps(predict))   # closures and lambdas too
+    loaded: dict = {}
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _score(features: pd.Series) -> pd.Series:
+        import pickle
+
         import numpy as np
-        fn = bc.value
+        if "fn" not in loaded:               # once per Python worker
+            loaded["fn"] = pickle.loads(bc.value)
+        fn = loaded["fn"]
         x = np.stack(features.to_numpy()).astype("float32").reshape(-1, n_features)
         out = np.asarray(fn(x), dtype="float64")
         return pd.Series(list(out))
