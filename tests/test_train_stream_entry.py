@@ -61,7 +61,7 @@ def test_response_shape_and_foreign_model(spark):
     from cadence.operators.score import pandas_model_scorer, response_shape, score_logits
     w = np.array([[1.0, -1.0], [0.5, 0.5]])
     scorer = pandas_model_scorer(spark, lambda x: x @ w, 2)
-    df = spark.createDataFrame([("r1", [1.0, 0.0]), (None, [0.0, 2.0])], "request_id string, features array<double>")
+    df = spark.createDataFrame([("r1", [1.0, 0.0]), (None, [-1.0, 2.0])], "request_id string, features array<double>")
     s = score_logits(df.withColumn("logits", scorer(F.col("features"))), F.col("logits"), "v7")
     rows = response_shape(s, "v7").collect()
     assert rows[0]["request_id"] == "r1" and rows[1]["request_id"].startswith("req_")
