@@ -204,8 +204,10 @@ def metric_gate(metrics: DataFrame, group: list[str] | None = None, min_accuracy
         F.struct(F.lit("error_rate").alias("metric"), F.col("error_rate").cast("double").alias("value"),
                  F.lit(max_error_rate).alias("threshold"), (F.col("error_rate") <= max_error_rate).alias("passed"))
     )).alias("m")).select(*g, "m.*")
-    w = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(1))
-    return rows.withColumn("all_passed", F.bool_and("passed").over(w))
+    if g:
+        return rows.withColumn("all_passed", F.bool_and("passed").over(Window.partitionBy(*g)))
+    overall = rows.agg(F.bool_and("passed").alias("all_passed"))   # one row
+    return rows.withColumn("__one", F.lit(0)).join(overall.withColumn("__one", F.lit(0)), "__one").drop("__one")
 
 
 def evaluate_health(df: DataFrame, min_success_rate: float = 0.95, max_avg_latency_ms: float = 100.0) -> DataFrame:

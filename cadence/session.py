@@ -62,3 +62,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Sizing for a cluster run: enough initial shuffle partitions that each holds ~128 MB
+    of the input (AQE then coalesces small ones and splits skewed ones), 256 MB scan splits,
+    and a broadcast threshold that only ever covers the small, size-checked tables."""
+    mb = 1024 * 1024
+    partitions = max(2 * total_cores, -(-input_bytes // (128 * mb)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * mb),
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
+    }

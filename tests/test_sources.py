@@ -75,3 +75,16 @@ def test_split_sink_target_last(spark, tmp_dir):
     paths = write_splits(df, os.path.join(tmp_dir, "out"), "y")
     back = spark.read.parquet(paths["train"])
     assert back.columns[-1] == "y"
+
+
+def test_database_and_object_store_arguments(spark, monkeypatch):
+    import cadence.sources.readers as R
+    monkeypatch.delenv("DATABASE_URL", raising=False)
+    with pytest.raises(ValueError, match="connection string"):
+        R.read_database(spark, "SELECT 1")
+    seen = {}
+    monkeypatch.setattr(R, "_read_one", lambda s, path, fmt, schema, **o: seen.update(path=path, fmt=fmt) or "df")
+    assert R.load_training_data(spark, "s3://bucket/data/train.csv") == "df"
+    assert seen == {"path": "s3a://bucket/data/train.csv", "fmt": "csv"}       # suffix decides, not "always parquet"
+    R.load_training_data(spark, "s3://bucket/data/part")
+    assert seen["fmt"] == "parquet"
