@@ -22,6 +22,12 @@ MAX_GROUPS = 1_000         # stratification groups handled by the exact path
 PLAN_ROWS = 250_000        # size bound of the broadcast cut plan (groups x coarse buckets)
 
 
+def content_key(columns: list[str]) -> Column:
+    """Row key for tables without one: a 64-bit hash of all columns. Identical rows share the
+    key and therefore land in the same split (no train/test leakage of duplicates)."""
+    return F.xxhash64(*[F.col(c) for c in columns]).cast("string")
+
+
 def key_column(key: str | list[str]) -> Column:
     cols = [key] if isinstance(key, str) else list(key)
     if len(cols) == 1:
