@@ -78,3 +78,25 @@ def q_score_pair(spark, sf_dir):
     return both.groupBy("split").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),
         F.count_if(F.col("production_prediction") == F.col("shadow_prediction")).cast("bigint").alias("agree"))
+
+
+@query("training_cycle", "T06 R01 R02 R03 R05 R06 R13 R14 R15 V14 F15")
+def q_training_cycle(spark, sf_dir):
+    """Two continuous-training cycles on the embeddings (first 8 dimensions) against an
+    append-only registry in the shared scratch folder; returns the versions with their
+    current stage and run status."""
+    import uuid
+
+    from cadence.operators.lifecycle import training_cycle
+    from cadence.operators.registry_store import RegistryStore
+    from cadence.operators.validate import DataSchema
+    from cadence.session import scratch_path
+    emb = table(spark, sf_dir, "embeddings")
+    df = emb.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)], "label")
+    store = RegistryStore(spark, scratch_path(spark, f"registry-{uuid.uuid4().hex[:8]}"))
+    loose = {"min_accuracy": 0.0, "min_f1": 0.0, "min_precision": 0.0, "min_recall": 0.0}
+    for _ in range(2):
+        training_cycle(df, "vec_id", "label", store, "embedding-classifier", schema=DataSchema(min_rows=10),
+                       thresholds=loose, hidden=[16], max_iter=30)
+    return store.versions().join(store.runs().select("run_id", "status"), "run_id") \
+                .select("model_name", "version", "stage", "status")

@@ -65,3 +65,30 @@ def test_whole_raw_directory_union(spark):
     by_type = {r["interaction_type"]: r["count"] for r in df.where("interaction_type IS NOT NULL")
                .groupBy("interaction_type").count().collect()}
     assert by_type == {"view": 22, "apply": 8}
+
+
+def test_training_cycle_on_diabetes(spark, tmp_dir):
+    from cadence.operators.lifecycle import training_cycle
+    from cadence.operators.registry_store import RegistryStore
+    store = RegistryStore(spark, os.path.join(tmp_dir, "registry"))
+    df = read_source(spark, PATH)
+    df = df.withColumn("row_key", content_key(df.columns))
+    loose = {"min_accuracy": 0.5, "min_f1": 0.5, "min_precision": 0.0, "min_recall": 0.0}
+    first = training_cycle(df, "row_key", "Outcome", store, "diabetes", zero_as_missing_columns=ZERO_COLS,
+                           thresholds=loose, hidden=[16], max_iter=50)
+    assert first["status"] == "FINISHED" and first["version"] == 1
+    assert first["new_stage"] == "Production" and first["reason"] == "No production model exists"
+    assert 0.6 < first["metrics"]["accuracy"] <= 1.0
+    second = training_cycle(df, "row_key", "Outcome", store, "diabetes", zero_as_missing_columns=ZERO_COLS,
+                            thresholds=loose, hidden=[16], max_iter=50)
+    champ_val = {r["metric"]: r["value"] for r in store.latest_metrics().where(f"run_id = '{first['run_id']}'").collect()}
+    expect_better = second["metrics"]["accuracy"] - champ_val["final_accuracy"] >= 0.01   # D12 rule
+    assert second["version"] == 2 and second["is_better"] == expect_better
+    assert second["new_stage"] == ("Production" if expect_better else "Staging")
+    stages = {r["version"]: r["stage"] for r in store.versions().collect()}
+    assert stages == ({1: "Archived", 2: "Production"} if expect_better else {1: "Production", 2: "Staging"})
+    assert {r["status"] for r in store.runs().collect()} == {"FINISHED"}
+    assert store.latest_metrics().where("metric = 'final_accuracy'").count() == 2
+    store.transition("diabetes", 1, "Production")
+    assert {r["version"]: r["stage"] for r in store.versions().collect()}[1] == "Production"
+    assert sum(r["stage"] == "Production" for r in store.versions().collect()) == 1
