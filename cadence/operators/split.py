@@ -5,17 +5,18 @@ the split needs no shuffle, is stable under repartitioning / task retries, and m
 DuckDB formula. ``exact=True`` cuts at exact counts in the (hash, key) order without a
 global sort: rows are counted per coarse hash bucket (65,536 buckets, a tiny grouped
 aggregate), buckets entirely inside a split are labelled directly, and only the rows of the
-at most two boundary buckets per group are ranked with a window.
+at most two boundary buckets per group are ranked (range-partitioned sort, no window).
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.hashing import hash32
+from cadence.functions.ranking import global_rank
 
 RESOLUTION = 10_000        # hash-fraction granularity of the default split
 MAX_GROUPS = 1_000         # stratification groups handled by the exact path
@@ -106,10 +107,29 @@ def _exact_split(df, key, h, sizes, by, split_col):
         return F.when(rank <= F.col("__t1"), "test").when(rank <= F.col("__t2"), "val").otherwise("train")
 
     direct = tagged.where(inside).withColumn(split_col, label(F.col("__c0") + 1))
-    w = Window.partitionBy(*by_cols, "__cb").orderBy("__h", "__k")
-    boundary = tagged.where(~inside).withColumn(
-        split_col, label(F.col("__c0") + F.row_number().over(w)))
     drop = ["__h", "__k", "__cb", "__pcb", "__g", "__c0", "__t1", "__t2", "__cn"]
+    # Boundary buckets (at most two per group) need row ranks. They come from a range-
+    # partitioned sort of just those rows, ordered by (group, bucket, hash, key, content hash):
+    # a key that holds a large share of the rows still spreads over many partitions, because
+    # its rows differ in the content hash. Rank in bucket = global rank - rows of the
+    # boundary buckets ordered before it.
+    bnd = sorted(((g, b, cn) for g, b, c0, t1, t2, cn in plan
+                  if not (c0 + cn <= t1 or (c0 >= t1 and c0 + cn <= t2) or c0 >= t2)),
+                 key=lambda x: ((0,) if x[0] is None else (1, x[0]), x[1]))
+    if not bnd:
+        return direct.drop(*drop)
+    offs, acc = [], 0
+    for g, b, cn in bnd:
+        offs.append((g, b, acc))
+        acc += cn
+    off_df = spark.createDataFrame(offs, f"__og {gtype}, __ocb int, __off long")
+    boundary = tagged.where(~inside).withColumn("__tb", F.xxhash64(*[F.col(c) for c in df.columns]))
+    ranked = global_rank(boundary, by_cols + ["__cb", "__h", "__k", "__tb"], "__gr")
+    cond = [F.col("__cb") == F.col("__ocb")] + ([F.col(by).eqNullSafe(F.col("__og"))] if by else [])
+    # off_df has at most two rows per group: a proven bound for the broadcast.
+    boundary = ranked.join(F.broadcast(off_df), cond, "inner").withColumn(
+        split_col, label(F.col("__c0") + (F.col("__gr") - F.col("__off")) + 1)) \
+        .drop("__tb", "__gr", "__og", "__ocb", "__off")
     return direct.unionByName(boundary).drop(*drop)
 
 

@@ -40,3 +40,15 @@ def test_train_val_floor(spark):
     df = spark.range(101).withColumnRenamed("id", "k")
     c = {r["split"]: r["count"] for r in train_val_split(df, "k", 0.2, exact=True).groupBy("split").count().collect()}
     assert c == {"val": 20, "train": 81}
+
+
+def test_exact_split_with_hot_key(spark):
+    # a third of the rows share one key: its bucket is large and may sit on a cut
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+                                  F.col("id").alias("payload"))
+    for t, v in ((0.15, 0.15), (0.5, 0.2), (0.3, 0.05)):
+        s = hash_split(df, "k", t, v, exact=True)
+        got = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
+        n_test = -(-3000 * t // 1)
+        assert got["test"] == int(__import__("math").ceil(3000 * t)) and sum(got.values()) == 3000
+        assert s.select("payload").distinct().count() == 3000
