@@ -93,8 +93,9 @@ def grouped_quantiles(df: DataFrame, aggs: list, value_cols: list[str], probs: l
     if not g:
         if not aggs:
             return wide
-        # Both sides are one row; join them on a constant key.
-        return base.withColumn("__one", F.lit(0)).join(wide.withColumn("__one", F.lit(0)), "__one").drop("__one")
+        # Both sides are one row: stack them and keep each column's non-null value (no join).
+        both = base.unionByName(wide, allowMissingColumns=True)
+        return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
     return _join_null_safe(base, wide, g)
 
 

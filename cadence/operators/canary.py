@@ -206,8 +206,8 @@ def metric_gate(metrics: DataFrame, group: list[str] | None = None, min_accuracy
     )).alias("m")).select(*g, "m.*")
     if g:
         return rows.withColumn("all_passed", F.bool_and("passed").over(Window.partitionBy(*g)))
-    overall = rows.agg(F.bool_and("passed").alias("all_passed"))   # one row
-    return rows.withColumn("__one", F.lit(0)).join(overall.withColumn("__one", F.lit(0)), "__one").drop("__one")
+    overall = rows.agg(F.bool_and("passed")).first()[0]   # one boolean
+    return rows.withColumn("all_passed", F.lit(overall))
 
 
 def evaluate_health(df: DataFrame, min_success_rate: float = 0.95, max_avg_latency_ms: float = 100.0) -> DataFrame:

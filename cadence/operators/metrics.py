@@ -119,21 +119,23 @@ def _auc_from_counts(counts: DataFrame, groups: list[str]) -> DataFrame:
     n_distinct = counts.count()
     buckets = min(AUC_MAX_BUCKETS, max(1, math.ceil(n_distinct / AUC_ROWS_PER_BUCKET)))
     if buckets == 1:
-        b = counts.withColumn("__b", F.lit(0.0))
+        # <= AUC_ROWS_PER_BUCKET distinct scores: the running sum is one window per group.
+        w = Window.partitionBy(*groups).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+        local = counts.withColumn("__below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
     else:
         probs = [i / buckets for i in range(1, buckets)]
         cuts = counts.agg(F.percentile_approx("score", probs, 10000).alias("q")).first()["q"]
         splits = [-math.inf] + sorted(set(float(x) for x in cuts)) + [math.inf]
         b = Bucketizer(splits=splits, inputCol="score", outputCol="__b",
                        handleInvalid="keep").transform(counts)
-    # negatives per (group, bucket): <= groups x buckets rows
-    per_bucket = b.groupBy(*groups, "__b").agg(F.sum("neg").alias("__bn"))
-    wb = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.withColumn("__off", F.coalesce(F.sum("__bn").over(wb), F.lit(0)))
-    w = Window.partitionBy(*groups, "__b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    # offsets has groups x buckets rows; AQE broadcasts it when its runtime size is small.
-    local = b.join(offsets.select(*groups, "__b", "__off"), groups + ["__b"]) \
-             .withColumn("__below", F.col("__off") + F.coalesce(F.sum("neg").over(w), F.lit(0)))
+        # negatives per (group, bucket): <= groups x buckets rows
+        per_bucket = b.groupBy(*groups, "__b").agg(F.sum("neg").alias("__bn"))
+        wb = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per_bucket.withColumn("__off", F.coalesce(F.sum("__bn").over(wb), F.lit(0)))
+        w = Window.partitionBy(*groups, "__b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+        # offsets has groups x buckets rows; AQE broadcasts it when its runtime size is small.
+        local = b.join(offsets.select(*groups, "__b", "__off"), groups + ["__b"]) \
+                 .withColumn("__below", F.col("__off") + F.coalesce(F.sum("neg").over(w), F.lit(0)))
     return local.groupBy(*groups).agg(
         F.sum("pos").cast("bigint").alias("pos_total"), F.sum("neg").cast("bigint").alias("neg_total"),
         F.sum(F.col("pos") * (F.col("__below") + F.col("neg") / 2.0)).alias("__num")).select(

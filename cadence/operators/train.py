@@ -134,7 +134,8 @@ def evaluate(model: PipelineModel, df: DataFrame, num_classes: int | None = None
     m = classification_metrics(s, "label", "prediction")
     ll = log_loss(s.where(F.col("probabilities").isNotNull()).withColumn(
         "__p", F.transform("probabilities", lambda p: F.greatest(p, F.lit(1e-15)))), "label", "__p", from_logits=False)
-    return m.join(ll.select("loss"), how="left"), s
+    both = m.unionByName(ll.select("loss"), allowMissingColumns=True)   # two one-row results, no join
+    return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns]), s
 
 
 def save_model(model: PipelineModel, path: str) -> str:

@@ -216,7 +216,7 @@ def q_find_run(spark, sf_dir):
 @query("experiments", "R01 R04", """
 WITH ex AS (SELECT DISTINCT c_mktsegment AS name FROM customer WHERE c_mktsegment <> 'MACHINERY'),
 e AS (SELECT name, CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS experiment_id FROM ex),
-req AS (SELECT DISTINCT c_mktsegment AS name FROM customer UNION SELECT 'ADHOC'),
+req AS (SELECT DISTINCT c_mktsegment AS name FROM customer UNION SELECT r_name FROM region),
 mx AS (SELECT max(experiment_id) AS m FROM e)
 SELECT r.name, e.experiment_id, false AS created FROM req r JOIN e USING (name)
 UNION ALL
@@ -227,5 +227,5 @@ def q_experiments(spark, sf_dir):
     ex = c.select(F.col("c_mktsegment").alias("name")).where(F.col("name") != "MACHINERY").distinct()
     existing = ex.withColumn("experiment_id", F.row_number().over(Window.orderBy("name")).cast("long"))
     req = c.select(F.col("c_mktsegment").alias("name")).unionByName(
-        c.sparkSession.range(1).select(F.lit("ADHOC").alias("name")))
+        table(spark, sf_dir, "region").select(F.col("r_name").alias("name")))
     return get_or_create_experiments(existing, req).select("name", "experiment_id", "created")

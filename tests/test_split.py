@@ -49,6 +49,5 @@ def test_exact_split_with_hot_key(spark):
     for t, v in ((0.15, 0.15), (0.5, 0.2), (0.3, 0.05)):
         s = hash_split(df, "k", t, v, exact=True)
         got = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
-        n_test = -(-3000 * t // 1)
         assert got["test"] == int(__import__("math").ceil(3000 * t)) and sum(got.values()) == 3000
         assert s.select("payload").distinct().count() == 3000
