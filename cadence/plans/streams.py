@@ -14,8 +14,8 @@ from cadence.plans.evaluation import _EMB
 from cadence.plans.rollout import _SH
 from cadence.session import scratch_path
 from cadence.streaming.streams import (canary_windows, incremental_input, pair_streams,
-                                       rollout_state_machine, run_available, stream_gauges,
-                                       stream_scores, table_stream)
+                                       read_gauges, rollout_state_machine, run_available,
+                                       stream_gauges, stream_scores, table_stream)
 from cadence.tables import table
 
 _BUCKET = "(('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100)"
@@ -95,7 +95,7 @@ def q_stream_gauges(spark, sf_dir):
                   (F.col("value") / F.lit(500.0)).alias("accuracy"), "ts")
     target = scratch_path(spark, f"streams/gauge-table-{uuid.uuid4().hex[:8]}")
     stream_gauges(u, ["model_name", "model_version"], "accuracy", target)
-    return spark.read.parquet(target).select("model_name", "model_version", F.round("accuracy", 6).alias("accuracy"))
+    return read_gauges(spark, target).select("model_name", "model_version", F.round("accuracy", 6).alias("accuracy"))
 
 
 @query("stream_incremental", "W06 S15", """

@@ -1,8 +1,8 @@
 """Structured Streaming operators."""
 
 from cadence.streaming.streams import (canary_windows, file_stream, incremental_input,
-                                       pair_streams, rollout_state_machine, run_available,
+                                       pair_streams, read_gauges, rollout_state_machine, run_available,
                                        stream_gauges, stream_scores, table_stream)
 
-__all__ = ["canary_windows", "file_stream", "incremental_input", "pair_streams",
+__all__ = ["canary_windows", "file_stream", "incremental_input", "pair_streams", "read_gauges",
            "rollout_state_machine", "run_available", "stream_gauges", "stream_scores", "table_stream"]

@@ -140,29 +140,65 @@ def rollout_state_machine(stage_metrics: DataFrame, stages: list[int], error_rat
 
 # W05 ----------------------------------------------------------------------------------
 
-def stream_gauges(updates: DataFrame, labels: list[str], value: str, target_path: str) -> None:
-    """Last-value gauges kept up to date from a stream: each micro-batch is reduced to one
-    row per label set (``max_by`` on event time) and merged into the gauge table (newest
-    wins), written with overwrite - the gauge table is one row per label set."""
+def _fs(path: str):
+    import pyarrow.fs as pafs
+    return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path)
+
+
+def _epochs(target_path: str) -> list[int]:
+    """Complete gauge snapshots under ``target_path`` (``epoch=<n>`` with a _SUCCESS marker)."""
+    import pyarrow.fs as pafs
+    fs, base = _fs(target_path)
+    try:
+        infos = fs.get_file_info(pafs.FileSelector(base, allow_not_found=True))
+    except (FileNotFoundError, OSError):
+        return []
+    out = []
+    for i in infos:
+        name = i.path.rstrip("/").split("/")[-1]
+        if i.type == pafs.FileType.Directory and name.startswith("epoch="):
+            if fs.get_file_info(f"{i.path}/_SUCCESS").type == pafs.FileType.File:
+                out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
+
+
+def read_gauges(spark: SparkSession, target_path: str) -> DataFrame:
+    """The newest complete gauge snapshot."""
+    eps = _epochs(target_path)
+    if not eps:
+        raise FileNotFoundError(f"no gauge snapshot under {target_path}")
+    return spark.read.parquet(f"{target_path}/epoch={eps[-1]}")
+
+
+def stream_gauges(updates: DataFrame, labels: list[str], value: str, target_path: str,
+                  keep: int = 2) -> None:
+    """Last-value gauges kept up to date from a stream. Each micro-batch is reduced to one
+    row per label set (``max_by`` on event time), merged with the previous snapshot (newest
+    wins) and written as snapshot ``epoch=<batch id>``. A retried batch rewrites its own
+    snapshot from the untouched previous one, so executor or driver loss never loses
+    gauges; readers take the newest complete snapshot (``read_gauges``). The table is one
+    row per label set."""
     spark = updates.sparkSession
     ckpt = scratch_path(spark, f"streams/gauges-{uuid.uuid4().hex[:8]}/_checkpoint")
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         b = batch.groupBy(*labels).agg(F.max_by(F.struct("ts", value), F.struct("ts", value)).alias("g"))
-        try:
-            cur = batch.sparkSession.read.parquet(target_path)
-            cur = cur.select(*labels, F.struct("ts", value).alias("g"))
-            b = cur.unionByName(b).groupBy(*labels).agg(F.max("g").alias("g"))
-        except Exception:
-            pass
-        out = b.select(*labels, "g.ts", F.col(f"g.{value}").alias(value))
-        tmp = f"{target_path}.epoch{epoch_id}"
-        out.write.mode("overwrite").parquet(tmp)
-        batch.sparkSession.read.parquet(tmp).write.mode("overwrite").parquet(target_path)
+        prev = [e for e in _epochs(target_path) if e < epoch_id]
+        if prev:
+            cur = batch.sparkSession.read.parquet(f"{target_path}/epoch={prev[-1]}")
+            b = cur.select(*labels, F.struct("ts", value).alias("g")).unionByName(b) \
+                   .groupBy(*labels).agg(F.max("g").alias("g"))
+        b.select(*labels, "g.ts", F.col(f"g.{value}").alias(value)) \
+         .write.mode("overwrite").parquet(f"{target_path}/epoch={epoch_id}")
+        fs, base = _fs(target_path)
+        for old in prev[:-max(1, keep - 1)]:
+            fs.delete_dir(f"{base}/epoch={old}")
 
     q = (updates.select(*labels, "ts", value).writeStream.foreachBatch(merge)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
+    if q.exception():
+        raise q.exception()
 
 
 # W06 ----------------------------------------------------------------------------------

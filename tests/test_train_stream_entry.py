@@ -69,3 +69,23 @@ def test_response_shape_and_foreign_model(spark):
     assert abs(sum(rows[0]["probabilities"]) - 1.0) < 1e-12 and rows[0]["model_version"] == "v7"
     one = score_logits(spark.createDataFrame([([3.5],)], "z array<double>"), F.col("z")).first()
     assert one["prediction"] == 3.5 and one["probabilities"] is None      # width-1 output: raw value
+
+
+def test_gauges_merge_across_micro_batches(spark, tmp_dir):
+    import datetime as dt
+
+    from cadence.streaming.streams import _epochs, read_gauges, stream_gauges
+    src = os.path.join(tmp_dir, "updates")
+    schema = "m string, ts timestamp, value double"
+    batches = [[("a", dt.datetime(2024, 1, 1, 0, 0), 1.0), ("b", dt.datetime(2024, 1, 1, 0, 0), 5.0)],
+               [("a", dt.datetime(2024, 1, 1, 0, 5), 2.0)],
+               [("a", dt.datetime(2024, 1, 1, 0, 1), 9.0), ("c", dt.datetime(2024, 1, 1, 0, 2), 3.0)]]  # late 'a'
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, f"b{i}"))
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    target = os.path.join(tmp_dir, "gauges")
+    stream_gauges(stream, ["m"], "value", target)
+    got = {r["m"]: r["value"] for r in read_gauges(spark, target).collect()}
+    assert got == {"a": 2.0, "b": 5.0, "c": 3.0}          # newest event time wins, not newest arrival
+    assert len(_epochs(target)) <= 2                        # older snapshots trimmed
