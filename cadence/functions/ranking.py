@@ -1,8 +1,9 @@
 """Global ranks without a single-partition window.
 
-Rows are range-partitioned and sorted; a row's rank is the number of rows in earlier
-partitions plus its position in its own partition. Everything stays in the JVM (no Python
-RDD), and the only driver-free bookkeeping is a per-partition count (one row per partition).
+Rows are range-partitioned and sorted once, and that placement is written to the shared
+checkpoint folder before anything else reads it. A row's rank is the number of rows in
+earlier partitions plus its position in its own. Both the rows and the partition sizes are
+read from the written placement, so there is one set of range boundaries, ever.
 """
 
 from __future__ import annotations
@@ -10,17 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadence.session import checkpoint_dir
+
 
 def global_rank(df: DataFrame, order: list[str], out: str = "rank", partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ``order`` (ascending, nulls first); ties get
-    consecutive ranks in an unspecified order."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    sizes = ranked.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
+    consecutive ranks in an unspecified order, fixed for the returned frame.
+
+    A running row id is the last range key, so rows with equal keys (also fully equal rows)
+    spread over as many partitions as their number asks for.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = (df.withColumn("__tie", F.monotonically_increasing_id())
+              .repartitionByRange(n, *order, "__tie").sortWithinPartitions(*order, "__tie").drop("__tie")
+              # Documented contract of this id: partition number in the upper 31 bits,
+              # record number within the partition in the lower 33.
+              .withColumn("__at", F.monotonically_increasing_id()).checkpoint())
+    part, pos = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("__pid")).agg(F.count(F.lit(1)).alias("__cnt"))
     offsets = sizes.withColumn("__off", F.coalesce(F.sum("__cnt").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__pid", "__off")
     # offsets has one row per partition: a proven bound for the broadcast.
-    return ranked.join(F.broadcast(offsets), "__pid").withColumn(out, F.col("__off") + F.col("__pos")) \
-                 .drop("__pid", "__pos", "__off")
+    return (placed.withColumn("__pid", part).join(F.broadcast(offsets), "__pid")
+            .withColumn(out, F.col("__off") + pos).drop("__pid", "__at", "__off"))
