@@ -4,7 +4,7 @@ import importlib
 
 from cadence.llm.common import QUERIES
 
-MODULES = ("decontaminate", "embeddings", "language", "packing", "pii", "scoring", "sharding", "simhash", "warc")
+MODULES = ("decontaminate", "embeddings", "language", "packing", "pii", "scoring", "sharding", "simhash", "suffixes", "warc")
 
 #: DuckDB SQL of the queries that SQL can express: none of the ten. Their hashes (XXH64, CRC-32),
 #: tokenizers, archives, trained models and permutations have no DuckDB counterpart; tests/llm
