@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -41,9 +42,30 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, as ``--py-files`` would:
+    functions run by workers import it, and only the driver's folder is sure to have it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="cadence-package-"), "cadence_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), os.path.dirname(root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
