@@ -5,7 +5,7 @@ read as one space), square roots of their shares, so its length is one. Families
 apart by linear support vector machines, one per pair of families; the languages of the
 family that wins are told apart by one machine per pair of them. Machines are fitted by dual
 coordinate descent on a bounded sample of the labelled rows: at most `SAMPLE` documents a
-language, those with the smallest hash of their id (production parameter; all else covers all
+language, those with the smallest hash (production parameter; all else covers all
 rows). Scoring reads every whole text once, in Arrow batches, and moves nothing.
 """
 
@@ -33,6 +33,7 @@ LANGUAGES = 200     # most languages a model may have
 WIDTH = 8192        # hashed trigrams
 SHARPNESS = 4.0     # margin to probability
 UNKNOWN = "und"
+HASHES = 1 << 40
 
 _LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(r"[\W\d_]+")
@@ -106,10 +107,20 @@ def fit(labelled: DataFrame, families: dict[str, str] = FAMILIES, per_language:
     """Model from (doc_id, text, lang) rows; rows without language or without a letter are
     left out. No labelled row: a model that answers `und`. One language: always that one."""
     usable = labelled.filter("lang is not null and text is not null").filter(F.col("text").rlike(r"\p{L}"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    pick = (usable.select("doc_id", "lang").withColumn("__rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-            .filter(F.col("__rank") <= per_language).select("doc_id", "lang"))
     small_batches(labelled.sparkSession, 200)
+    sizes = {r.lang: r["count"] for r in usable.groupBy("lang").count().limit(LANGUAGES + 1).collect()}
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"over {LANGUAGES} languages")
+    names = sorted(sizes)
+    if not names:
+        return LanguageModel({}, {}, np.zeros((1, WIDTH + 1), np.float32))
+    # A threshold on the hash leaves a little more than the sample; only that much is ranked.
+    most = F.create_map(*[F.lit(v) for n in names for v in
+                          (n, int(HASHES * min(1.0, (1.5 * per_language + 100) / sizes[n])))])
+    spot = F.pmod(F.xxhash64("doc_id", "text"), F.lit(HASHES))
+    few = usable.select("doc_id", "text", "lang", spot.alias("__spot")).filter(F.col("__spot") < F.element_at(most, F.col("lang")))
+    ranked = F.row_number().over(Window.partitionBy("lang").orderBy("__spot", "doc_id"))
+    few = few.withColumn("__rank", ranked).filter(F.col("__rank") <= per_language)
 
     @F.pandas_udf("struct<place: array<int>, n: array<int>>")
     def counted(text: pd.Series) -> pd.DataFrame:
@@ -117,14 +128,9 @@ def fit(labelled: DataFrame, families: dict[str, str] = FAMILIES, per_language:
         return pd.DataFrame({"place": [np.flatnonzero(c).astype(np.int32) for c in counts],
                              "n": [c[c > 0].astype(np.int32) for c in counts]})
 
-    # The pick is at most per_language rows for each of at most LANGUAGES languages.
-    names = sorted(r.lang for r in pick.select("lang").distinct().limit(LANGUAGES + 1).collect())
-    if len(names) > LANGUAGES:
-        raise ValueError(f"over {LANGUAGES} languages")
-    rows = (usable.join(F.broadcast(pick.withColumnsRenamed({"doc_id": "__id", "lang": "__lang"})),
-                        (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")))
-            .select("doc_id", "lang", counted("text").alias("c")).select("doc_id", "lang", "c.place", "c.n").collect())
-    rows.sort(key=lambda r: (r.lang, r.doc_id))
+    # At most per_language rows for each of at most LANGUAGES languages.
+    rows = few.select("lang", "__rank", counted("text").alias("c")).select("lang", "__rank", "c.place", "c.n").collect()
+    rows.sort(key=lambda r: (r.lang, r["__rank"]))
     x, lang = np.zeros((len(rows), WIDTH), np.float32), np.array([r.lang for r in rows])
     for i, r in enumerate(rows):
         x[i, r.place] = np.sqrt(np.array(r.n) / sum(r.n))
