@@ -1,13 +1,14 @@
-"""Exact quantiles without a single-task merge.
-
-Spark's ``percentile`` keeps a value -> count map per group and merges all of a group's
-distinct values in one task; for a high-cardinality column (or a group that holds a third of
-the rows) that is one task holding the whole column. Here the values are instead range-
-partitioned and sorted by (group, column, value) - a hot group is spread over many range
-partitions - and each value's global rank is ``partition offset + position in partition``.
-Only the 2 x len(probs) order statistics per (group, column) are then picked out with a
-broadcast of the wanted ranks and interpolated linearly (same definition as ``percentile``,
-``quantile_cont`` and NumPy's default).
+"""Exact quantiles by one method for every size.
+
+Values collapse to (group, column, value, count) first, so a value that a third of the rows
+hold is one row. The distinct values are range-partitioned by (group, column, value), once, into
+the shared checkpoint folder; a value's rank is the count of smaller values in earlier
+partitions (a table of one row per partition and group) plus that in its own. Only values that
+hold a wanted order statistic go on, and are interpolated linearly (the definition of
+``percentile``, ``quantile_cont`` and NumPy's default). NULL and NaN count as missing. No task
+ever holds the values of a whole column.
+
+``exact=False`` gives ``percentile_approx`` with its fixed-size sketch instead.
 """
 
 from __future__ import annotations
@@ -15,88 +16,82 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.functions.ranking import global_rank
+from cadence.session import checkpoint_dir
+
+
+def _present(c: str):
+    """The column as double, NULL where it is NULL or NaN."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     groups: list[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """Returns (groups..., column, n, quantiles array<double> in ``probs`` order); NULL and NaN
-    values are ignored; quantiles are NULL for a (group, column) without values."""
+    """(groups..., column, n, quantiles array<double> in ``probs`` order), one row for every
+    (group, column) that has a value."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
     g = list(groups or [])
     keys = g + ["column"]
-    long = (df.select(*g, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])).alias("kv"))
-        .select(*g, "kv.column", "kv.v").where(F.col("v").isNotNull() & ~F.isnan("v")))
-    with_rank = global_rank(long, keys + ["v"], "rank", partitions)
-    # Start rank of each (group, column) in the global order and the wanted order statistics.
-    counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    key_order = [F.col(k).asc_nulls_first() for k in keys]
-    starts = counts.withColumn("start", F.coalesce(F.sum("n").over(
-        Window.orderBy(*key_order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    wanted = starts.select(*keys, "n", "start", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("pi", "p")) \
-        .withColumn("h", (F.col("n") - 1) * F.col("p")) \
-        .withColumn("lo", F.floor("h")).withColumn("hi", F.ceil("h")).withColumn("frac", F.col("h") - F.col("lo")) \
-        .select(*keys, "pi", "frac", F.explode(F.array(
-            F.struct(F.lit(0).alias("side"), (F.col("start") + F.col("lo")).alias("rank")),
-            F.struct(F.lit(1).alias("side"), (F.col("start") + F.col("hi")).alias("rank")))).alias("w")) \
-        .select(*keys, "pi", "frac", "w.side", "w.rank")
-    # Without groups the wanted table has columns x probs x 2 rows: a proven bound, broadcast.
-    # With groups its size follows the group count; AQE broadcasts it when it is small.
-    picked = with_rank.select("rank", "v").join(F.broadcast(wanted) if not g else wanted, "rank")
-    per_p = picked.groupBy(*keys, "pi").agg(
-        F.max(F.when(F.col("side") == 0, F.col("v"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("v"))).alias("b"),
-        F.first("frac").alias("frac")) \
-        .withColumn("q", F.col("a") + F.col("frac") * (F.col("b") - F.col("a")))
-    qs = per_p.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pi", "q"))).alias("s")) \
-        .select(*keys, F.transform("s", lambda x: x["q"]).alias("quantiles"))
-    out = _join_null_safe(counts, qs, keys)
-    return out.select(*keys, F.col("n").cast("bigint").alias("n"),
-                      F.coalesce(F.col("quantiles"), F.array_repeat(F.lit(None).cast("double"), len(probs)))
-                      .alias("quantiles"))
-
-
-# A group's distinct values up to this many may be merged by ``percentile`` in one task.
-PERCENTILE_MAX_DISTINCT = 1_000_000
-
-
-def quantile_method(df: DataFrame, columns: list[str], groups: list[str] | None = None,
-                    exact: bool = True) -> str:
-    """``approx`` when not exact; ``hash`` (Spark ``percentile``) when every (group, column)
-    has at most PERCENTILE_MAX_DISTINCT distinct values by a HyperLogLog estimate (fixed-size
-    buffers, one cheap pass); ``sort`` (``exact_quantiles``) otherwise."""
-    if not exact:
-        return "approx"
-    g = list(groups or [])
-    per = df.groupBy(*g).agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)])
-    row = per.agg(*[F.max(f"d{i}").alias(f"d{i}") for i in range(len(columns))]).first()
-    worst = max([row[f"d{i}"] or 0 for i in range(len(columns))] or [0])
-    return "hash" if worst <= PERCENTILE_MAX_DISTINCT else "sort"
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = (df.select(*g, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), _present(c).alias("v")) for c in columns])).alias("kv"))
+        .select(*g, "kv.column", "kv.v").where(F.col("v").isNotNull())
+        .groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("__c")))
+    placed = (counts.repartitionByRange(parts, *keys, "v")
+              .withColumn("__part", F.spark_partition_id()).checkpoint())
+    by_group = Window.partitionBy(*keys)
+    sums = (placed.groupBy(*keys, "__part").agg(F.sum("__c").alias("__s"))
+            .withColumn("n", F.sum("__s").over(by_group))
+            .withColumn("__off", F.sum("__s").over(by_group.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__s")))
+    mine = Window.partitionBy(*keys, "__part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.withColumn("__in", F.sum("__c").over(mine) - F.col("__c"))
+    ranked = _join_null_safe(ranked, sums.drop("__s"), [*keys, "__part"]).withColumn("__first", F.col("__off") + F.col("__in"))
+
+    def holds(rank):
+        return (F.col("__first") <= rank) & (rank < F.col("__first") + F.col("__c"))
+
+    ranks = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    wanted = [holds(f(r)) for r in ranks for f in (F.floor, F.ceil)]
+    picked = ranked.where(_any(wanted)).groupBy(*keys).agg(
+        F.max("n").cast("bigint").alias("n"),
+        *[F.max(F.when(holds(f(r)), F.col("v"))).alias(f"__{side}{i}")
+          for i, r in enumerate(ranks) for side, f in (("a", F.floor), ("b", F.ceil))])
+    q = []
+    for i, r in enumerate(ranks):
+        a, b, share = F.col(f"__a{i}"), F.col(f"__b{i}"), r - F.floor(r)
+        q.append(F.when(share == 0, a).otherwise(a + share * (b - a)))
+    return picked.select(*keys, "n", F.array(*q).alias("quantiles"))
 
 
 def grouped_quantiles(df: DataFrame, aggs: list, value_cols: list[str], probs: list[float],
-                      groups: list[str] | None = None, exact: bool = True, method: str = "auto",
+                      groups: list[str] | None = None, exact: bool = True,
                       names: list[str] | None = None) -> DataFrame:
     """``df.groupBy(groups).agg(*aggs)`` plus one quantile array per value column (named
-    ``names``), computed by the method ``quantile_method`` picks (or the one given)."""
-    from cadence.functions.stats import quantiles
+    ``names``; NULL for a group without values). ``df`` is read twice: pass a written table
+    or a scan, not an unwritten join."""
     g = list(groups or [])
     names = names or [f"q_{c}" for c in value_cols]
-    m = quantile_method(df, value_cols, g, exact) if method == "auto" else method
-    if m in ("hash", "approx"):
-        qa = [quantiles(F.col(c), probs, exact=(m == "hash")).alias(n) for c, n in zip(value_cols, names)]
-        return df.groupBy(*g).agg(*aggs, *qa)
+    if not exact:
+        sketch = [F.percentile_approx(_present(c), [float(p) for p in probs], 10000).alias(n) for c, n in zip(value_cols, names)]
+        return df.groupBy(*g).agg(*aggs, *sketch)
     base = df.groupBy(*g).agg(*aggs) if aggs else df.select(*g).distinct()
-    qt = exact_quantiles(df, value_cols, probs, g)
-    wide = qt.groupBy(*g).agg(*[F.max(F.when(F.col("column") == c, F.col("quantiles"))).alias(n)
-                                for c, n in zip(value_cols, names)]) if g else \
-        qt.agg(*[F.max(F.when(F.col("column") == c, F.col("quantiles"))).alias(n) for c, n in zip(value_cols, names)])
-    if not g:
-        if not aggs:
-            return wide
-        # Both sides are one row: stack them and keep each column's non-null value (no join).
-        both = base.unionByName(wide, allowMissingColumns=True)
-        return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
-    return _join_null_safe(base, wide, g)
+    wide = exact_quantiles(df, value_cols, probs, g).groupBy(*g).agg(
+        *[F.max(F.when(F.col("column") == c, F.col("quantiles"))).alias(n) for c, n in zip(value_cols, names)])
+    if g:
+        return _join_null_safe(base, wide, g)
+    if not aggs:
+        return wide
+    # Both sides are one row: stack them and keep each column's non-null value (no join).
+    both = base.unionByName(wide, allowMissingColumns=True)
+    return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+
+
+def _any(conditions: list):
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,20 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def quantiles(c: Column | str, probs: list[float], exact: bool = True,
-              accuracy: int = 10000) -> Column:
-    """Array of quantiles with linear interpolation between order statistics.
-
-    ``exact=True`` is Spark's ``percentile`` (partial aggregation of a value->count map, so
-    the buffer grows with the number of DISTINCT values, not rows); ``exact=False`` is
-    ``percentile_approx`` with a fixed-size sketch for very high-cardinality columns.
-    """
-    c = F.col(c) if isinstance(c, str) else c
-    if exact:
-        return F.percentile(c, F.array(*[F.lit(float(p)) for p in probs]))
-    return F.percentile_approx(c, [float(p) for p in probs], accuracy)
-
-
 def ratio(num: Column, den: Column) -> Column:
     """ANSI-safe ratio: NULL instead of an error on a zero denominator."""
     return F.try_divide(num.cast("double"), den.cast("double"))

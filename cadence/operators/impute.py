@@ -79,26 +79,17 @@ def column_modes(df: DataFrame, columns: list[str]) -> dict[str, Any]:
     if not columns:
         return {}
     out: dict[str, Any] = {}
-    fam_num = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
-    fam_other = [c for c in columns if c not in fam_num]
-    for fam, vtype in ((fam_num, "double"), (fam_other, "string")):
-        if not fam:
-            continue
-        base = nan_to_null(df.select(*fam))
-        long = base.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast(vtype).alias("value")) for c in fam
+    families: dict[T.DataType, list[str]] = {}
+    for c in columns:
+        families.setdefault(df.schema[c].dataType, []).append(c)
+    for family in families.values():  # one unpivot per type: values keep it, no detour through double
+        long = nan_to_null(df.select(*family)).select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in family
         ])).alias("kv")).select("kv.column", "kv.value").where(F.col("value").isNotNull())
         counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
         best = counts.groupBy("column").agg(
             F.min_by("value", F.struct((-F.col("n")).alias("neg_n"), F.col("value"))).alias("mode"))
-        for r in best.collect():  # one row per column
-            t = df.schema[r["column"]].dataType
-            v = r["mode"]
-            if isinstance(t, _INTEGRAL):
-                v = int(v)
-            elif isinstance(t, T.BooleanType):
-                v = v == "true"
-            out[r["column"]] = v
+        out.update({r["column"]: r["mode"] for r in best.collect()})  # one row per column
     return out
 
 
@@ -123,9 +114,6 @@ def fit_missing(df: DataFrame, strategy: str = "mean", fill_value: Any = None,
     aggs = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
     if strategy == "mean":
         aggs += [F.avg(c).cast("double").alias(f"a{i}") for i, c in enumerate(cols) if c in num]
-    if strategy == "median" and exact:
-        # distinct-count estimate (fixed-size sketch) decides how the exact median is taken
-        aggs += [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols) if c in num]
     row = base.agg(*aggs).first()  # one row: null counts (+ means)
     has_null = {c for i, c in enumerate(cols) if row[f"n{i}"]}
     need = (lambda c: c in has_null) if only_missing else (lambda c: True)
@@ -144,15 +132,9 @@ def fit_missing(df: DataFrame, strategy: str = "mean", fill_value: Any = None,
     if strategy == "median":
         med_cols = [c for c in num if need(c)]
         if med_cols:
-            from cadence.functions.quantiles import PERCENTILE_MAX_DISTINCT, grouped_quantiles
+            from cadence.functions.quantiles import grouped_quantiles
             names = [f"m{j}" for j in range(len(med_cols))]
-            if not exact:
-                method = "approx"
-            else:
-                worst = max(row[f"d{cols.index(c)}"] or 0 for c in med_cols)
-                method = "hash" if worst <= PERCENTILE_MAX_DISTINCT else "sort"
-            meds = grouped_quantiles(base.select(*med_cols), [], med_cols, [0.5], exact=exact, names=names,
-                                     method=method).first()
+            meds = grouped_quantiles(base.select(*med_cols), [], med_cols, [0.5], exact=exact, names=names).first()
             for j, c in enumerate(med_cols):
                 params.fills[c] = meds[f"m{j}"][0] if meds[f"m{j}"] is not None else None
     cat_targets = [c for c in cat if need(c)]

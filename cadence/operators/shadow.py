@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cadence.functions.arrays import predictions_match, scalar_predictions_match
 from cadence.functions.quantiles import grouped_quantiles
 from cadence.functions.stats import ratio
+from cadence.session import checkpoint_dir
 
 # Fixed values of the reference's shadow manager: prediction tolerance 0.1, latency
 # regression factor 1.2, minimum sample 1000, confidence penalties 0.3 / 0.2 / 0.1 and the
@@ -54,6 +55,9 @@ def comparison_metrics(cmp: DataFrame, group: list[str] | None = None, exact: bo
     latency improvement (prod mean - shadow mean) / prod mean (0 when prod mean <= 0). A
     global aggregate over an empty log yields total 0 with a message."""
     g = group or []
+    checkpoint_dir(cmp.sparkSession)
+    # The log is usually a join: it runs once, and the narrow result is read from the written copy.
+    cmp = cmp.select(*g, "predictions_match", "production_latency_ms", "shadow_latency_ms").checkpoint()
     agg = grouped_quantiles(cmp, [
         F.count(F.lit(1)).cast("bigint").alias("total_comparisons"),
         F.count_if(F.col("predictions_match")).cast("bigint").alias("__m"),

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.functions.columns import categorical_columns, is_missing, nan_to_null, numeric_columns
-from cadence.functions.stats import quantiles
 
 FINDINGS_SCHEMA = ("check string, column string, severity string, value double, "
                    "threshold double, message string")
@@ -113,26 +112,23 @@ def null_profile(df: DataFrame, max_null_ratio: float = 0.3,
         .when(F.col("null_ratio") > warn_ratio, "warning").otherwise("ok"))
 
 
-def numeric_summary(df: DataFrame, columns: list[str] | None = None, exact: bool = True,
-                    method: str = "auto") -> DataFrame:
+def numeric_summary(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, std (ddof 1), min, 25/50/75 % (linear interpolation), max.
-    Quantiles are exact by default; the method (one-task ``percentile`` merge for bounded
-    cardinality, distributed range-sort beyond) is picked by a HyperLogLog pre-check."""
-    from cadence.functions.quantiles import exact_quantiles, quantile_method
+    Quantiles are exact (``exact_quantiles``); ``exact=False`` takes fixed-size sketches."""
+    from cadence.functions.quantiles import exact_quantiles
     cols = columns if columns is not None else numeric_columns(df)
     base = nan_to_null(df.select(*cols))
-    m = quantile_method(base, cols, None, exact) if method == "auto" else method
+    probs = [0.25, 0.5, 0.75]
     structs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = quantiles(x, [0.25, 0.5, 0.75], exact=(m == "hash")) if m in ("hash", "approx") \
-            else F.lit(None).cast("array<double>")
+        q = F.lit(None).cast("array<double>") if exact else F.percentile_approx(x, probs, 10000)
         structs.append(F.struct(F.lit(c).alias("column"), F.count(x).cast("bigint").alias("count"),
                                 F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                                 F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max")))
     out = base.agg(F.array(*structs).alias("a")).select(F.explode("a").alias("s")).select("s.*")
-    if m == "sort":
-        qt = exact_quantiles(base, cols, [0.25, 0.5, 0.75]).select("column", F.col("quantiles").alias("__q"))
+    if exact:
+        qt = exact_quantiles(base, cols, probs).select("column", F.col("quantiles").alias("__q"))
         out = out.drop("q").join(qt, "column", "left").withColumnRenamed("__q", "q")
     return out.select("column", "count", "mean", "std", "min",
                       F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
