@@ -13,10 +13,10 @@ ever holds the values of a whole column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.session import checkpoint_dir
+from cadence.functions.ranking import join_null_safe, running_totals
 
 
 def _present(c: str):
@@ -29,24 +29,13 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     groups: list[str] | None = None, partitions: int | None = None) -> DataFrame:
     """(groups..., column, n, quantiles array<double> in ``probs`` order), one row for every
     (group, column) that has a value."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     g = list(groups or [])
     keys = g + ["column"]
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = (df.select(*g, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), _present(c).alias("v")) for c in columns])).alias("kv"))
         .select(*g, "kv.column", "kv.v").where(F.col("v").isNotNull())
         .groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("__c")))
-    placed = (counts.repartitionByRange(parts, *keys, "v")
-              .withColumn("__part", F.spark_partition_id()).checkpoint())
-    by_group = Window.partitionBy(*keys)
-    sums = (placed.groupBy(*keys, "__part").agg(F.sum("__c").alias("__s"))
-            .withColumn("n", F.sum("__s").over(by_group))
-            .withColumn("__off", F.sum("__s").over(by_group.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__s")))
-    mine = Window.partitionBy(*keys, "__part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.withColumn("__in", F.sum("__c").over(mine) - F.col("__c"))
-    ranked = _join_null_safe(ranked, sums.drop("__s"), [*keys, "__part"]).withColumn("__first", F.col("__off") + F.col("__in"))
+    ranked = running_totals(counts, keys, ["v"], "__c", before="__first", total="n", partitions=partitions)
 
     def holds(rank):
         return (F.col("__first") <= rank) & (rank < F.col("__first") + F.col("__c"))
@@ -79,7 +68,7 @@ def grouped_quantiles(df: DataFrame, aggs: list, value_cols: list[str], probs: l
     wide = exact_quantiles(df, value_cols, probs, g).groupBy(*g).agg(
         *[F.max(F.when(F.col("column") == c, F.col("quantiles"))).alias(n) for c, n in zip(value_cols, names)])
     if g:
-        return _join_null_safe(base, wide, g)
+        return join_null_safe(base, wide, g)
     if not aggs:
         return wide
     # Both sides are one row: stack them and keep each column's non-null value (no join).
@@ -92,13 +81,3 @@ def _any(conditions: list):
     for c in conditions[1:]:
         out = out | c
     return out
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on keys where NULL equals NULL (group keys may be NULL)."""
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, "left").drop(*[f"__r_{k}" for k in keys])

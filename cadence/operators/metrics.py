@@ -4,26 +4,19 @@ Everything starts from one grouped count per (label, prediction) pair - a map-si
 aggregate whose output has at most k^2 rows - so accuracy, precision / recall / F1
 (weighted, macro, micro, per class), the confusion matrix and the report never move rows.
 ROC-AUC is exact (ties count one half) and distributed: rows collapse to distinct scores
-with positive / negative counts, the scores are cut into range buckets, negatives are summed
-per bucket, and a window inside each bucket adds the bucket's offset. No window ever runs
-over an unpartitioned table of rows.
+with positive / negative counts, are range-partitioned once, and each takes the negatives
+below it from its partition and the partition's offset. No window runs over a whole table.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.arrays import argmax, log_softmax_at
+from cadence.functions.arrays import log_softmax_at
+from cadence.functions.ranking import running_totals
 from cadence.functions.stats import ratio_or_zero
-
-MAX_CLASSES = 1_000             # confusion grid is k^2 cells (<= 1e6)
-AUC_ROWS_PER_BUCKET = 200_000   # target distinct scores per window partition in the AUC
-AUC_MAX_BUCKETS = 10_000        # bucket cuts are collected: bounded
+from cadence.session import checkpoint_dir
 
 
 def valid_targets(df: DataFrame, label: str, num_classes: int) -> tuple[DataFrame, DataFrame]:
@@ -81,61 +74,33 @@ def classification_metrics(df: DataFrame, label: str, pred: str, average: str =
               .withColumnRenamed("f1", "f1_score")
 
 
-def class_labels(df: DataFrame, label: str, pred: str) -> list[int]:
-    """Sorted union of true and predicted labels (bounded by MAX_CLASSES, checked)."""
-    pc = pair_counts(df, label, pred)
-    labs = pc.select(F.explode(F.array("label", "prediction")).alias("c")).distinct() \
-             .limit(MAX_CLASSES + 1).collect()
-    if len(labs) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return sorted(r["c"] for r in labs if r["c"] is not None)
-
-
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """E04 long form (label, prediction, count), zero-filled over the label grid. The grid
-    comes from the bounded label list, exploded from a literal: no join of data rows."""
-    labs = class_labels(df, label, pred)
-    spark = df.sparkSession
-    grid = spark.range(1).select(F.explode(F.array(*[
-        F.struct(F.lit(a).cast("long").alias("label"), F.lit(b).cast("long").alias("prediction"))
-        for a in labs for b in labs])).alias("g")).select("g.*")
-    return grid.join(pair_counts(df, label, pred), ["label", "prediction"], "left") \
+    """E04 long form (label, prediction, count), zero-filled over the grid of all classes seen.
+
+    The pair counts are written once (at most one row per pair that occurs); the classes are
+    gathered into one array per row of classes and exploded, so the grid is data, built by the
+    executors, however many classes there are."""
+    checkpoint_dir(df.sparkSession)
+    pc = pair_counts(df, label, pred).checkpoint()
+    classes = pc.select(F.explode(F.array("label", "prediction")).alias("c")).where(F.col("c").isNotNull()).distinct()
+    # k classes make k*k cells of output; the list of k is exploded against itself.
+    every = classes.agg(F.collect_list("c").alias("all"))
+    grid = (every.select(F.explode("all").alias("label"), "all").repartition("label")
+            .select("label", F.explode("all").alias("prediction")))
+    return grid.join(pc, ["label", "prediction"], "left") \
                .select("label", "prediction", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
 def confusion_wide(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """E04 dense form: one row per true label, one column per predicted label."""
-    labs = class_labels(df, label, pred)
-    long = confusion_matrix(df, label, pred)
-    return long.groupBy("label").pivot("prediction", labs).agg(F.sum("count"))
+    """E04 dense form: one row per true label with the counts of all predictions, by class."""
+    return confusion_matrix(df, label, pred).groupBy("label").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("prediction", "count")))).alias("counts"))
 
 
 def _auc_from_counts(counts: DataFrame, groups: list[str]) -> DataFrame:
     """counts: (groups..., score, pos, neg) with one row per distinct score per group.
     Returns (groups..., pos_total, neg_total, auc) with ties counted one half."""
-    # The distinct-score table is read twice (size check, then the sums): keep it once,
-    # spilling to disk if large; lost blocks are recomputed from lineage.
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    n_distinct = counts.count()
-    buckets = min(AUC_MAX_BUCKETS, max(1, math.ceil(n_distinct / AUC_ROWS_PER_BUCKET)))
-    if buckets == 1:
-        # <= AUC_ROWS_PER_BUCKET distinct scores: the running sum is one window per group.
-        w = Window.partitionBy(*groups).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-        local = counts.withColumn("__below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    else:
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = counts.agg(F.percentile_approx("score", probs, 10000).alias("q")).first()["q"]
-        splits = [-math.inf] + sorted(set(float(x) for x in cuts)) + [math.inf]
-        b = Bucketizer(splits=splits, inputCol="score", outputCol="__b",
-                       handleInvalid="keep").transform(counts)
-        # negatives per (group, bucket): <= groups x buckets rows
-        per_bucket = b.groupBy(*groups, "__b").agg(F.sum("neg").alias("__bn"))
-        wb = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = per_bucket.withColumn("__off", F.coalesce(F.sum("__bn").over(wb), F.lit(0)))
-        w = Window.partitionBy(*groups, "__b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-        # offsets has groups x buckets rows; AQE broadcasts it when its runtime size is small.
-        local = b.join(offsets.select(*groups, "__b", "__off"), groups + ["__b"]) \
-                 .withColumn("__below", F.col("__off") + F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    local = running_totals(counts, groups, ["score"], "neg", before="__below")
     return local.groupBy(*groups).agg(
         F.sum("pos").cast("bigint").alias("pos_total"), F.sum("neg").cast("bigint").alias("neg_total"),
         F.sum(F.col("pos") * (F.col("__below") + F.col("neg") / 2.0)).alias("__num")).select(
@@ -143,8 +108,16 @@ def _auc_from_counts(counts: DataFrame, groups: list[str]) -> DataFrame:
         F.try_divide(F.col("__num"), F.col("pos_total") * F.col("neg_total").cast("double")).alias("auc"))
 
 
+def scored(df: DataFrame, score: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with a score (neither NULL nor NaN), and a one-row count of the others (dropped)."""
+    ok = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+    return df.where(ok), df.agg(F.count_if(~ok).cast("bigint").alias("dropped"))
+
+
 def roc_auc(df: DataFrame, label: str, score: str, positive: int = 1) -> DataFrame:
-    """One row (pos_total, neg_total, auc); auc NULL with a single class."""
+    """One row (pos_total, neg_total, auc); auc NULL with a single class. Rows without a
+    score don't rank; ``scored`` counts them."""
+    df = scored(df, score)[0]
     counts = df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == positive).alias("pos"), F.count_if(F.col(label) != positive).alias("neg"))
     out = _auc_from_counts(counts, [])
@@ -157,6 +130,7 @@ def roc_auc_ovr(df: DataFrame, label: str, probs: str, average: str = "weighted"
     (``weighted``) or plainly (``macro``). Returns one row (classes, auc)."""
     exploded = df.select(F.col(label).cast("long").alias("y"),
                          F.posexplode(probs).alias("cls", "score"))
+    exploded = scored(exploded, "score")[0]
     counts = exploded.groupBy("cls", F.col("score").cast("double").alias("score")).agg(
         F.count_if(F.col("y") == F.col("cls")).alias("pos"), F.count_if(F.col("y") != F.col("cls")).alias("neg"))
     per = _auc_from_counts(counts, ["cls"]).where(F.col("pos_total") > 0)
@@ -181,7 +155,8 @@ def classification_report(df: DataFrame, label: str, pred: str,
                           class_names: dict[int, str] | None = None) -> DataFrame:
     """E07 as rows: one per class (name, precision, recall, f1, support) then accuracy,
     macro avg and weighted avg."""
-    per = per_class_scores(df, label, pred).cache()
+    checkpoint_dir(df.sparkSession)
+    per = per_class_scores(df, label, pred).checkpoint()  # read four times, one row per class
     names = class_names or {}
     name = F.col("label").cast("string")
     if names:
@@ -198,8 +173,3 @@ def classification_report(df: DataFrame, label: str, pred: str,
                        n.alias("support"))
     return rows.unionByName(acc).unionByName(macro).unionByName(weighted) \
                .withColumn("support", F.col("support").cast("bigint"))
-
-
-def with_argmax(df: DataFrame, probs: str, out: str = "prediction") -> DataFrame:
-    """Class index of the largest probability / logit (first on ties)."""
-    return df.withColumn(out, argmax(F.col(probs)))

@@ -3,24 +3,22 @@
 Default: each row's split is a pure function of its key and the seed (md5 hash bucket), so
 the split needs no shuffle, is stable under repartitioning / task retries, and matches the
 DuckDB formula. ``exact=True`` cuts at exact counts in the (hash, key) order without a
-global sort: rows are counted per coarse hash bucket (65,536 buckets, a tiny grouped
-aggregate), buckets entirely inside a split are labelled directly, and only the rows of the
-at most two boundary buckets per group are ranked (range-partitioned sort, no window).
+global sort: rows are counted per coarse hash bucket (a tiny grouped aggregate), buckets
+entirely inside a split are labelled directly, and only the rows of the at most two boundary
+buckets per group are ranked (one written range placement, ``running_totals``).
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.hashing import hash32
-from cadence.functions.ranking import global_rank
+from cadence.functions.ranking import join_null_safe, running_totals
 
 RESOLUTION = 10_000        # hash-fraction granularity of the default split
-MAX_GROUPS = 1_000         # stratification groups handled by the exact path
-PLAN_ROWS = 250_000        # size bound of the broadcast cut plan (groups x coarse buckets)
 
 
 def content_key(columns: list[str]) -> Column:
@@ -54,51 +52,28 @@ def hash_split(df: DataFrame, key: str | list[str], test_size: float = 0.2,
         t1 = round(test_size * RESOLUTION)
         t2 = round((test_size + val_size) * RESOLUTION)
         return df.withColumn(split_col, F.when(b < t1, "test").when(b < t2, "val").otherwise("train"))
-    def sizes(n):
-        _, n_val, n_test = split_sizes(n, test_size, val_size)
-        return n_test, n_val
+
+    def sizes(n: Column) -> tuple[Column, Column]:  # split_sizes as expressions
+        n_test = F.ceil(n.cast("double") * F.lit(float(test_size)))
+        return n_test, F.ceil((n - n_test).cast("double") * F.lit(val_size / (1 - test_size)))
     return _exact_split(df, key, h, sizes, stratify_by, split_col)
 
 
 def _exact_split(df, key, h, sizes, by, split_col):
-    spark = df.sparkSession
-    by_cols = [by] if by else []
-    n_groups = 1
-    if by:
-        n_groups = len(df.select(by).distinct().limit(MAX_GROUPS + 1).collect())
-        if n_groups > MAX_GROUPS:
-            raise ValueError(f"exact stratified split supports at most {MAX_GROUPS} groups")
-    # Coarse buckets per group so that groups x buckets <= PLAN_ROWS (16 .. 65,536).
-    per_group = min(1 << 16, max(16, 1 << int(math.log2(max(1, PLAN_ROWS // n_groups)))))
-    shift = 32 - int(math.log2(per_group))
+    groups = [by] if by else []
+    # A whole column has 65,536 coarse buckets, a stratum 1,024: counted, never collected.
+    shift = 32 - (10 if by else 16)
     work = df.withColumn("__h", h).withColumn("__k", key_column(key)) \
              .withColumn("__cb", F.shiftright(F.col("__h"), shift).cast("int"))
-    counts = work.groupBy(*by_cols, "__cb").agg(F.count(F.lit(1)).alias("__n"))
-    # Bounded: groups x per_group <= PLAN_ROWS rows.
-    groups: dict = {}
-    for r in counts.collect():
-        g = r[by] if by else None
-        groups.setdefault(g, []).append((r["__cb"], r["__n"]))
-    if len(groups) > MAX_GROUPS:
-        raise ValueError(f"exact stratified split supports at most {MAX_GROUPS} groups")
-    plan = []  # (group, bucket, rows before bucket, test cut, val cut, bucket size)
-    for g, bs in groups.items():
-        bs.sort()
-        n = sum(c for _, c in bs)
-        n_test, n_val = sizes(n)
-        before = 0
-        for b, c in bs:
-            plan.append((g, b, before, n_test, n_test + n_val, c))
-            before += c
-    gtype = df.schema[by].dataType.simpleString() if by else "string"
-    plan_df = spark.createDataFrame(
-        plan, f"__g {gtype}, __cb int, __c0 long, __t1 long, __t2 long, __cn long")
-    join_cond = [F.col("__cb") == F.col("__pcb")]
-    plan_df = plan_df.withColumnRenamed("__cb", "__pcb")
-    if by:
-        join_cond.append(F.col(by).eqNullSafe(F.col("__g")))
-    # The plan table is bounded (<= PLAN_ROWS rows): broadcast, the data never shuffles.
-    tagged = work.join(F.broadcast(plan_df), join_cond, "inner")
+    per_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    plan = work.groupBy(*groups, "__cb").agg(F.count(F.lit(1)).alias("__cn"))
+    up_to = per_group.orderBy("__cb").rowsBetween(Window.unboundedPreceding, 0)
+    plan = plan.withColumn("__c0", F.sum("__cn").over(up_to) - F.col("__cn")).withColumn("__n", F.sum("__cn").over(per_group))
+    n_test, n_val = sizes(F.col("__n"))
+    plan = plan.withColumn("__t1", n_test).withColumn("__t2", n_test + n_val).drop("__n")
+    # Without strata the plan has 65,536 rows at most: a proven bound. With strata its size
+    # follows their number, and AQE decides by the size it turns out to have.
+    tagged = join_null_safe(work, plan if by else F.broadcast(plan), [*groups, "__cb"])
     inside = ((F.col("__c0") + F.col("__cn") <= F.col("__t1")) |
               ((F.col("__c0") >= F.col("__t1")) & (F.col("__c0") + F.col("__cn") <= F.col("__t2"))) |
               (F.col("__c0") >= F.col("__t2")))
@@ -107,30 +82,13 @@ def _exact_split(df, key, h, sizes, by, split_col):
         return F.when(rank <= F.col("__t1"), "test").when(rank <= F.col("__t2"), "val").otherwise("train")
 
     direct = tagged.where(inside).withColumn(split_col, label(F.col("__c0") + 1))
-    drop = ["__h", "__k", "__cb", "__pcb", "__g", "__c0", "__t1", "__t2", "__cn"]
-    # Boundary buckets (at most two per group) need row ranks. They come from a range-
-    # partitioned sort of just those rows, ordered by (group, bucket, hash, key, content hash):
-    # a key that holds a large share of the rows still spreads over many partitions, because
-    # its rows differ in the content hash. Rank in bucket = global rank - rows of the
-    # boundary buckets ordered before it.
-    bnd = sorted(((g, b, cn) for g, b, c0, t1, t2, cn in plan
-                  if not (c0 + cn <= t1 or (c0 >= t1 and c0 + cn <= t2) or c0 >= t2)),
-                 key=lambda x: ((0,) if x[0] is None else (1, x[0]), x[1]))
-    if not bnd:
-        return direct.drop(*drop)
-    offs, acc = [], 0
-    for g, b, cn in bnd:
-        offs.append((g, b, acc))
-        acc += cn
-    off_df = spark.createDataFrame(offs, f"__og {gtype}, __ocb int, __off long")
-    boundary = tagged.where(~inside).withColumn("__tb", F.xxhash64(*[F.col(c) for c in df.columns]))
-    ranked = global_rank(boundary, by_cols + ["__cb", "__h", "__k", "__tb"], "__gr")
-    cond = [F.col("__cb") == F.col("__ocb")] + ([F.col(by).eqNullSafe(F.col("__og"))] if by else [])
-    # off_df has at most two rows per group: a proven bound for the broadcast.
-    boundary = ranked.join(F.broadcast(off_df), cond, "inner").withColumn(
-        split_col, label(F.col("__c0") + (F.col("__gr") - F.col("__off")) + 1)) \
-        .drop("__tb", "__gr", "__og", "__ocb", "__off")
-    return direct.unionByName(boundary).drop(*drop)
+    # At most two boundary buckets a group need row ranks, by (hash, key, content hash); a key
+    # that holds a large share of the rows, or a row that does, still spreads over partitions.
+    boundary = tagged.where(~inside).withColumn("__tb", F.xxhash64(*[F.col(c) for c in df.columns])).withColumn("__one", F.lit(1))
+    ranked = running_totals(boundary, [*groups, "__cb"], ["__h", "__k", "__tb"], "__one")
+    ranked = ranked.withColumn(split_col, label(F.col("__c0") + F.col("__before") + 1))
+    drop = ["__h", "__k", "__cb", "__c0", "__t1", "__t2", "__cn"]
+    return direct.unionByName(ranked.drop("__tb", "__one", "__before", "__total")).drop(*drop)
 
 
 def train_val_split(df: DataFrame, key: str | list[str], val_split: float = 0.2, seed: int = 42,
@@ -139,7 +97,7 @@ def train_val_split(df: DataFrame, key: str | list[str], val_split: float = 0.2,
     if not exact:
         return hash_split(df, key, 0.0, val_split, seed)
     h = hash32(key_column(key), seed)
-    return _exact_split(df, key, h, lambda n: (0, int(n * val_split)), None, "split")
+    return _exact_split(df, key, h, lambda n: (F.lit(0).cast("long"), F.floor(n.cast("double") * F.lit(float(val_split)))), None, "split")
 
 
 def sample_rate_filter(df: DataFrame, key: str, rate: float, seed: int = 42) -> DataFrame:

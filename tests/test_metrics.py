@@ -44,11 +44,17 @@ def test_auc_matches_spark_ml(spark):
     assert ours == pytest.approx(ref, abs=1e-12)
 
 
-def test_auc_bucketed_path_equals_single(spark, monkeypatch):
+def test_auc_does_not_depend_on_partitions(spark):
     df = _scored(spark)
-    single = M.roc_auc(df, "y", "s").first()["auc"]
-    monkeypatch.setattr(M, "AUC_ROWS_PER_BUCKET", 7)
-    assert M.roc_auc(df, "y", "s").first()["auc"] == pytest.approx(single, abs=1e-12)
+    got = []
+    for parts in ("1", "13"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got.append(M.roc_auc(df, "y", "s").first()["auc"])
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1]
 
 
 def test_auc_single_class_is_null(spark):
@@ -84,3 +90,23 @@ def test_valid_targets(spark):
     df = spark.createDataFrame([(0,), (1,), (-1,), (2,), (None,)], "y int")
     kept, counts = M.valid_targets(df, "y", 2)
     assert kept.count() == 2 and counts.first()["dropped"] == 3
+
+
+def test_auc_drops_missing_scores_and_counts_them(spark):
+    from cadence.operators.metrics import roc_auc, scored
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, 0.4), (0, 0.4), (1, None), (0, float("nan"))], "y int, s double")
+    assert scored(df, "s")[1].first()["dropped"] == 2
+    r = roc_auc(df, "y", "s").first()
+    assert (r["pos_total"], r["neg_total"]) == (2, 2) and r["auc"] == (1 + 1 + 1 + 0.5) / 4
+
+
+def test_confusion_of_many_classes(spark):
+    import time
+    from cadence.operators.metrics import confusion_matrix, confusion_wide
+    df = spark.range(20_000).selectExpr("id % 1000 as y", "(id * 7) % 1000 as p")
+    t = time.time()
+    cells = confusion_matrix(df, "y", "p")
+    r = cells.selectExpr("count(*) n", "sum(count) c").first()
+    assert (r["n"], r["c"]) == (1_000_000, 20_000) and time.time() - t < 60
+    small = confusion_wide(df.where("y < 3 and p < 3"), "y", "p").orderBy("label").collect()
+    assert all(sorted(x["counts"]) == sorted(y["label"] for y in small) for x in small)
