@@ -38,21 +38,29 @@ SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long, sequ
           "fill long, open boolean, part int")
 
 
-class WordIds:
-    """Ids of texts as little-endian unsigned 32-bit bytes, by a bounded word cache."""
+# Byte-level models name bytes by printable characters: those that have one keep it, the rest
+# follow from 256 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_NAMES = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+class WordIds(dict):
+    """Ids of words as little-endian unsigned 32-bit bytes: a bounded cache that asks the
+    tokenizer for a word it misses. One letter run in Latin letters, with a full stop or comma
+    at most, is lower-cased and goes to the model directly, since the tokenizer's normalizer and
+    pre-tokenizer would leave it whole; anything else goes through the whole tokenizer."""
 
     by_path: dict = {}
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
-        # Lower-case Latin letters pass the normalizer unchanged and form one pre-token.
-        self.plain = Tokenizer(self.whole.model)
-        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words: dict[str, bytes] = {}
+        self.model = self.whole.model
+        self.table = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
         self.cores: dict[str, bytes] = {}
-        self.marks = {m: self._bytes(self.whole.encode(m, add_special_tokens=False).ids) for m in (".", ",")}
+        self.marks = {m: self._whole(m) for m in (".", ",")}
 
     @classmethod
     def get(cls, path: str) -> WordIds:
@@ -60,49 +68,33 @@ class WordIds:
             cls.by_path[path] = cls(path)
         return cls.by_path[path]
 
-    @staticmethod
-    def _bytes(ids: list[int]) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
-
-    def _learn(self, new: list[str]) -> None:
-        if len(self.words) + len(new) > CACHE:
-            self.words.clear()
-            self.cores.clear()
-        simple, other, cores = [], [], set()
-        for w in new:
-            low = w.lower()
-            mark = low[-1] if low[-1] in self.marks else ""
-            core = low[:-1] if mark else low
-            if PLAIN(core):
-                simple.append((w, core, mark))
-                if core not in self.cores:
-                    cores.add(core)
-            else:
-                other.append(w)
-        if cores:
-            todo = list(cores)
-            for c, e in zip(todo, self.plain.encode_batch_fast(todo, add_special_tokens=False)):
-                self.cores[c] = self._bytes(e.ids)
-        for w, core, mark in simple:
-            self.words[w] = self.cores[core] + self.marks[mark] if mark else self.cores[core]
-        if other:
-            for w, e in zip(other, self.whole.encode_batch_fast(other, add_special_tokens=False)):
-                self.words[w] = self._bytes(e.ids)
+    def _whole(self, text: str) -> bytes:
+        return b"".join([self.table[i] for i in self.whole.encode(text, add_special_tokens=False).ids])
+
+    def __missing__(self, word: str) -> bytes:
+        core, tail = word.lower(), b""
+        if core[-1] in self.marks:
+            core, tail = core[:-1], self.marks[core[-1]]
+        ids = self.cores.get(core)
+        if ids is None:
+            if not PLAIN(core):
+                self[word] = ids = self._whole(word)
+                return ids
+            name = core if core.isascii() else core.encode().decode("latin-1").translate(BYTE_NAMES)
+            self.cores[core] = ids = b"".join([self.table[t.id] for t in self.model.tokenize(name)])
+        self[word] = ids = ids + tail
+        return ids
 
     def encode(self, batch: list[str]):
         """Bytes of the ids of each text, one after the other."""
         for text in batch:
             if INFORMATION_SEPARATORS(text):
-                yield self._bytes(self.whole.encode(text, add_special_tokens=False).ids)
+                yield self._whole(text)
                 continue
-            words = text.split()
-            try:
-                yield b"".join(map(self.words.__getitem__, words))
-            except KeyError:
-                self._learn(list(set(words).difference(self.words)))
-                if len(set(words).difference(self.words)):  # the cache was emptied meanwhile
-                    self._learn(list(set(words).difference(self.words)))
-                yield b"".join(map(self.words.__getitem__, words))
+            if len(self) > CACHE:
+                self.clear()
+                self.cores.clear()
+            yield b"".join(map(self.__getitem__, text.split()))
 
 
 def best_fit_decreasing(sizes: list[int], capacity: int) -> list[list[int]]:
