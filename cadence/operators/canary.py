@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.hashing import hash_bucket
 from cadence.functions.quantiles import grouped_quantiles
+from cadence.functions.ranking import join_null_safe
 from cadence.functions.stats import ratio
 
 # Fixed values of the reference's canary manager: stage percentages, stage length and
@@ -108,7 +109,9 @@ def stage_progression(log: DataFrame, stages: list[int] | None = None, stage_min
     """Stage i covers [t0 + i*d, t0 + (i+1)*d) of each deployment's log (t0 = first
     request) and routes ``stages[i]`` % of keys to the canary. Per stage: canary metrics,
     health, and status - ``passed``, ``failed`` (first unhealthy stage, triggers rollback) or
-    ``skipped`` (after a failure), found with ``bool_or`` over the preceding stages."""
+    ``skipped`` (after a failure), found with ``bool_or`` over the preceding stages. Stages up to
+    the last one that the log reaches are listed; one without canary requests has no health
+    and fails."""
     stages = stages or STAGES
     g = group or []
     pct = F.element_at(F.array(*[F.lit(p) for p in stages]), F.col("stage") + 1)
@@ -126,9 +129,16 @@ def stage_progression(log: DataFrame, stages: list[int] | None = None, stage_min
               .where(F.col("stage") < len(stages)).withColumn("percentage", pct))
     canary = staged.where(hash_bucket(F.col(key), 100) < F.col("percentage"))
     per = _finish(_traffic(canary, g + ["stage", "percentage"], exact))
+    reached = staged.groupBy(*g).agg(F.max("stage").alias("__last"))
+    listed = (reached.where(F.col("__last").isNotNull())
+              .select(*g, F.explode(F.sequence(F.lit(0), F.col("__last").cast("int"))).alias("stage"))
+              .withColumn("percentage", pct))
+    per = join_null_safe(listed, per, g + ["stage", "percentage"])
+    per = per.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("requests_total", "requests_success", "requests_error")})
+    per = per.withColumn("error_rate", F.coalesce("error_rate", F.lit(0.0)))
     per = per.withColumn("canary_health", ratio(F.col("requests_success"), F.col("requests_total")))
     per = check_health(per, **thresholds)
-    w = Window.partitionBy(*g).orderBy("stage").rowsBetween(Window.unboundedPreceding, -1)
+    w = (Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))).orderBy("stage").rowsBetween(Window.unboundedPreceding, -1)
     failed_before = F.coalesce(F.bool_or(~F.col("healthy")).over(w), F.lit(False))
     return per.withColumn("status", F.when(failed_before, "skipped")
                           .when(F.col("healthy"), "passed").otherwise("failed"))

@@ -112,20 +112,42 @@ def code_table(codes: LabelCodes, spark) -> DataFrame:
     return out
 
 
-def one_hot(df: DataFrame, columns: list[str] | None = None,
-            max_categories: int = INLINE_MAX) -> DataFrame:
-    """drop each source column and append boolean ``<col>_<value>`` columns in sorted
-    value order; NULL gives all false. The category list is collected under a checked cap."""
-    cols = columns if columns is not None else categorical_columns(df)
-    out = df
-    for c in cols:
-        vals = out.select(F.col(c).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
+def load_codes(table: DataFrame) -> LabelCodes:
+    """Codes back from a ``code_table``: small columns inline, large ones as tables."""
+    codes = LabelCodes()
+    for r in table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect():  # one row per column
+        c, n = r["column"], r["n"]
+        codes.sizes[c] = n
+        part = table.where(F.col("column") == c).select("value", "code")
+        if n <= INLINE_MAX:
+            codes.inline[c] = {x["value"]: x["code"] for x in part.collect()}
+        else:
+            codes.tables[c] = part
+    return codes
+
+
+def fit_categories(df: DataFrame, columns: list[str] | None = None,
+                   max_categories: int = INLINE_MAX) -> dict[str, list[str]]:
+    """F07 fit: the sorted categories of each column, under a checked cap on new columns."""
+    out = {}
+    for c in columns if columns is not None else categorical_columns(df):
+        vals = df.select(F.col(c).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
         capped = vals.limit(max_categories + 1).collect()
         if len(capped) > max_categories:
             raise ValueError(f"column {c} has more than {max_categories} categories; "
                              "use label codes or the vector form instead")
-        cats = sorted(r["v"] for r in capped)
-        keep = [x for x in out.columns if x != c]
-        out = out.select(*keep, *[F.coalesce(F.col(c).cast("string") == F.lit(v), F.lit(False))
-                                  .alias(f"{c}_{v}") for v in cats])
+        out[c] = sorted(r["v"] for r in capped)
     return out
+
+
+def apply_categories(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:
+    """F07 apply: drop each column, append its boolean ``<col>_<value>`` columns; NULL and
+    unseen values give all false."""
+    keep = [F.col(x) for x in df.columns if x not in categories]
+    return df.select(*keep, *[F.coalesce(F.col(c).cast("string") == F.lit(v), F.lit(False)).alias(f"{c}_{v}")
+                              for c, cats in categories.items() for v in cats])
+
+
+def one_hot(df: DataFrame, columns: list[str] | None = None, max_categories: int = INLINE_MAX) -> DataFrame:
+    """fit and apply on one frame."""
+    return apply_categories(df, fit_categories(df, columns, max_categories))

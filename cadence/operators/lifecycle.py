@@ -56,7 +56,7 @@ def training_cycle(df: DataFrame, key: str | list[str], target: str, store: Regi
         return {"status": "FINISHED", "run_id": run_id, "version": version, "model": model,
                 "metrics": t.asDict(), **decision}
     except Exception as e:
-        store.run_event(run_id, exp_id, model_name, "FAILED", str(e)[:1000])
+        store.run_event(run_id, exp_id, model_name, "FAILED", str(e))
         raise
 
 

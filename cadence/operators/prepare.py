@@ -8,16 +8,18 @@ train rows only (no test leakage); ``"all"`` (default) matches the reference.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.operators.encode import LabelCodes, apply_label_codes, fit_label_codes, one_hot
+from cadence.operators.encode import (LabelCodes, apply_categories, apply_label_codes, code_table, fit_categories,
+                                      fit_label_codes, load_codes)
 from cadence.operators.features import create_features
 from cadence.operators.impute import Imputation, apply_missing, fit_missing, zero_as_missing
-from cadence.operators.scale import ScaleParams, apply_scaler, fit_scaler
+from cadence.operators.scale import ScaleParams, apply_scaler, fit_scaler, load_scaler, scaler_table
 from cadence.operators.split import hash_split
 
 
@@ -40,46 +42,72 @@ class Preprocessor:
     polynomial: list[str] | None = None
     exclude_from_scaling: list[str] = field(default_factory=list)
     exact: bool = True
+    keys: list[str] = field(default_factory=list)   # neither imputed, encoded nor scaled
     # fitted state
     imputation: Imputation | None = None
     zero_imputation: Imputation | None = None
     codes: LabelCodes | None = None
+    categories: dict[str, list[str]] | None = None
     scaler: ScaleParams | None = None
 
-    def fit_transform(self, df: DataFrame) -> DataFrame:
+    def fit(self, df: DataFrame) -> Preprocessor:
+        """Fit every step on ``df``, each on what the steps before made of it."""
+        cols = [c for c in df.columns if c not in self.keys]
+        df = df.select(*cols)
         self.imputation = fit_missing(df, self.missing_strategy, exact=self.exact)
         df = apply_missing(df, self.imputation)
         if self.zero_as_missing_columns:
             df = zero_as_missing(df, self.zero_as_missing_columns)
-            self.zero_imputation = fit_missing(df, "median", exact=self.exact)
+            self.zero_imputation = fit_missing(df, "median", exact=self.exact, columns=self.zero_as_missing_columns)
             df = apply_missing(df, self.zero_imputation)
         if self.encoding_method == "label":
             self.codes = fit_label_codes(df)
             df = apply_label_codes(df, self.codes)
         else:
-            df = one_hot(df)
+            self.categories = fit_categories(df)
+            df = apply_categories(df, self.categories)
         self.scaler = fit_scaler(df, method=self.scaling_method, exclude=self.exclude_from_scaling)
-        df = apply_scaler(df, self.scaler)
-        if self.interactions or self.polynomial:
-            df = create_features(df, self.interactions, self.polynomial)
-        return df
+        return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Re-apply the fitted values to new data."""
+        """Apply the fitted values, to the frame they came from or to new data (F06, F09):
+        nothing is fitted again."""
         if self.imputation is None:
             raise RuntimeError("Preprocessor is not fitted")
-        # Imputation is recomputed on the frame at hand (the reference keeps no imputer
-        # state); encoders and scalers re-apply their fitted values.
-        df = apply_missing(df, fit_missing(df, self.missing_strategy, exact=self.exact))
+        df = apply_missing(df, self.imputation)
         if self.zero_imputation is not None:
-            df = zero_as_missing(df, self.zero_as_missing_columns)
-            df = apply_missing(df, fit_missing(df, "median", exact=self.exact))
-        df = apply_label_codes(df, self.codes) if self.codes else one_hot(df)
+            df = apply_missing(zero_as_missing(df, self.zero_as_missing_columns), self.zero_imputation)
+        df = apply_label_codes(df, self.codes) if self.codes else apply_categories(df, self.categories or {})
         df = apply_scaler(df, self.scaler)
         if self.interactions or self.polynomial:
             df = create_features(df, self.interactions, self.polynomial)
         return df
 
+    def fit_transform(self, df: DataFrame) -> DataFrame:
+        return self.fit(df).transform(df)
+
+    def save(self, spark, path: str) -> None:
+        """Fitted label codes and scaler as tables under ``path``, fill values as JSON rows."""
+        code_table(self.codes or LabelCodes(), spark).write.mode("overwrite").parquet(f"{path}/codes")
+        scaler_table(self.scaler, spark).write.mode("overwrite").parquet(f"{path}/scaler")
+        state = {"missing": asdict(self.imputation), "zero": asdict(self.zero_imputation) if self.zero_imputation else None,
+                 "categories": self.categories, "settings": {k: getattr(self, k) for k in (
+                     "missing_strategy", "encoding_method", "scaling_method", "zero_as_missing_columns", "interactions",
+                     "polynomial", "exclude_from_scaling", "keys")}}
+        spark.createDataFrame([(json.dumps(state),)], "state string").write.mode("overwrite").parquet(f"{path}/state")
+
+    @classmethod
+    def load(cls, spark, path: str) -> Preprocessor:
+        state = json.loads(spark.read.parquet(f"{path}/state").first()["state"])
+        out = cls(**state["settings"])
+        out.imputation = Imputation(**state["missing"])
+        out.zero_imputation = Imputation(**state["zero"]) if state["zero"] else None
+        out.categories = state["categories"]
+        if out.encoding_method == "label":
+            out.codes = load_codes(spark.read.parquet(f"{path}/codes"))
+        out.scaler = load_scaler(spark.read.parquet(f"{path}/scaler"), out.scaling_method)
+        return out
+
 
 def run_pipeline(df: DataFrame, config: dict[str, Any] | None = None,
                  output_path: str | None = None) -> DataFrame:
@@ -103,9 +131,13 @@ def prepare(df: DataFrame, key: str | list[str], target: str | None = None,
             exact_split: bool = False, fit_on: str = "all", config: dict | None = None):
     """returns (prepared DataFrame with ``split``, target column, fitted Preprocessor).
 
-    The target is kept as the last column (S13). ``scale_target=False`` keeps the target out
-    of scaling (the reference scales it; see README decisions).
+    Rows are split by their raw key, which no step changes, so a row keeps its split when data
+    are added. ``fit_on="train"`` fits on the train rows only; what the other rows get are the
+    fitted values. The target is kept as the last column (S13). ``scale_target=False`` keeps
+    the target out of scaling (the reference scales it; see README decisions).
     """
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on must be 'all' or 'train'")
     config = config or {}
     tgt = resolve_target(df.columns, target)
     keys = [key] if isinstance(key, str) else list(key)
@@ -115,22 +147,24 @@ def prepare(df: DataFrame, key: str | list[str], target: str | None = None,
                        scaling_method=config.get("scaling_method", "standard"),
                        zero_as_missing_columns=zero_as_missing_columns or [],
                        interactions=fc.get("interactions"), polynomial=fc.get("polynomial"),
-                       exclude_from_scaling=keys + ([] if scale_target else [tgt]))
-    if fit_on == "train":
-        split = hash_split(df, key, test_size, val_size, seed, exact=exact_split)
-        pre.fit_transform(split.where(F.col("split") == "train").drop("split"))
-        # transform is a projection: the split column rides along, no join back.
-        out = pre.transform(split)
-    else:
-        out = hash_split(pre.fit_transform(df), key, test_size, val_size, seed, exact=exact_split)
+                       exclude_from_scaling=[] if scale_target else [tgt], keys=[*keys, "split"])
+    split = hash_split(df, key, test_size, val_size, seed, exact=exact_split)
+    pre.fit(split.where(F.col("split") == "train") if fit_on == "train" else df)
+    out = pre.transform(split)
     feats = [c for c in out.columns if c not in (tgt, "split")]
     return out.select(*feats, "split", tgt), tgt, pre
 
 
-def write_splits(df: DataFrame, path: str, target: str) -> None:
-    """One Parquet dataset partitioned by split, target as the last data column."""
-    cols = [c for c in df.columns if c not in (target, "split")]
-    df.select(*cols, target, "split").write.mode("overwrite").partitionBy("split").parquet(path)
+def prepare_path(spark, source: str, output: str, key: str | list[str], **settings) -> dict:
+    """F15 from a data path to written splits (S11 -> F15 -> S13): paths and row counts of train,
+    val and test, and the fitted preprocessor saved beside them."""
+    from cadence.sources.readers import load_training_data
+    from cadence.sources.sinks import write_splits
+    out, tgt, pre = prepare(load_training_data(spark, source), key, **settings)
+    paths = write_splits(out, f"{output}/splits", tgt)
+    pre.save(spark, f"{output}/preprocessor")
+    counts = {r["split"]: r["count"] for r in spark.read.parquet(f"{output}/splits").groupBy("split").count().collect()}
+    return {"target": tgt, "paths": paths, "counts": {k: counts.get(k, 0) for k in paths}, "preprocessor": f"{output}/preprocessor"}
 
 
 def drop_target_marker(df: DataFrame, target: str, marker: int = -1) -> DataFrame:

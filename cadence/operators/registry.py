@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadence.functions.ranking import global_rank, running_totals
 # Fixed values of the reference's promotion thresholds.
 MIN_ACCURACY = 0.85
 MIN_F1 = 0.80
@@ -31,8 +32,8 @@ def get_or_create_experiments(experiments: DataFrame, names: DataFrame,
     found = req.join(existing, "name", "inner").withColumn("created", F.lit(False))
     start = experiments.agg(F.coalesce(F.max("experiment_id"), F.lit(0)).alias("m")).first()["m"]
     new = req.join(existing, "name", "left_anti")
-    # Ids for the new names: ranked on the (small) set of new names.
-    new = new.withColumn("experiment_id", (F.lit(start) + F.row_number().over(Window.orderBy("name"))).cast("long")) \
+    new = global_rank(new, ["name"], "__rank")
+    new = new.withColumn("experiment_id", (F.lit(start) + F.col("__rank") + 1).cast("long")).drop("__rank") \
              .withColumn("created", F.lit(True))
     return found.unionByName(new).withColumn(
         "artifact_location", F.concat_ws("/", F.lit(artifact_root), F.col("experiment_id").cast("string")))
@@ -65,24 +66,28 @@ def register_versions(model_versions: DataFrame, new: DataFrame, metric_cols: li
     """Next integer version per model = current max + rank of the new registration
     (by created_at, then run_id). Returns the new version rows (stage ``None``)."""
     cur = model_versions.groupBy("model_name").agg(F.max("version").alias("__max"))
-    w = Window.partitionBy("model_name").orderBy("created_at", "run_id")
-    out = (new.join(cur, "model_name", "left")
-           .withColumn("version", (F.coalesce(F.col("__max"), F.lit(0)) + F.row_number().over(w)).cast("long"))
+    # One busy model may register most rows: its rank is spread over range partitions.
+    ranked = running_totals(new.withColumn("__one", F.lit(1)), ["model_name"], ["created_at", "run_id"], "__one")
+    out = (ranked.join(cur, "model_name", "left")
+           .withColumn("version", (F.coalesce(F.col("__max"), F.lit(0)) + F.col("__before") + 1).cast("long"))
            .withColumn("stage", F.lit("None"))
            .withColumn("description", metrics_description(cols=metric_cols) if metric_cols else F.lit(None).cast("string")))
     return out.select("model_name", "version", "run_id", "stage", "description", "created_at")
 
 
 def transition_stage(model_versions: DataFrame, targets: DataFrame, archive_existing: bool = True) -> DataFrame:
-    """Targets (model_name, version, stage); other versions already in that stage of
-    the same model become ``Archived`` when ``archive_existing``."""
-    t = targets.select("model_name", F.col("version").alias("__tv"), F.col("stage").alias("__ts"))
-    j = model_versions.join(t, "model_name", "left")
-    is_target = F.col("version") == F.col("__tv")
-    new_stage = F.when(is_target, F.col("__ts"))
+    """Targets (model_name, version, stage), any number per model; one row per version
+    comes out. A version's own target wins (the last stage by name if it has several);
+    versions already in a stage that one of their model's targets moves to become ``Archived``
+    when ``archive_existing``."""
+    own = targets.groupBy("model_name", "version").agg(F.max("stage").alias("__to"))
+    out = model_versions.join(own, ["model_name", "version"], "left")
+    new_stage = F.col("__to")
     if archive_existing:
-        new_stage = new_stage.when(F.col("stage") == F.col("__ts"), F.lit("Archived"))
-    return j.withColumn("stage", new_stage.otherwise(F.col("stage"))).drop("__tv", "__ts")
+        filled = targets.select("model_name", "stage").distinct().withColumn("__filled", F.lit(True))
+        out = out.join(filled, ["model_name", "stage"], "left")
+        new_stage = F.coalesce(new_stage, F.when(F.col("__filled"), F.lit("Archived")))
+    return out.withColumn("stage", F.coalesce(new_stage, F.col("stage"))).select(*model_versions.columns)
 
 
 def find_run(runs: DataFrame, name_col: str = "run_name") -> DataFrame:
@@ -116,13 +121,17 @@ def resolve_model(model_versions: DataFrame, requests: DataFrame) -> DataFrame:
                     resolved.cast("long").alias("resolved_version"), source.alias("source"))
 
 
-def compare_versions(metrics: DataFrame, version_a: int, version_b: int) -> DataFrame:
+def compare_versions(metrics: DataFrame, version_a: int, version_b: int,
+                     lower_is_better: tuple[str, ...] = ()) -> DataFrame:
     """Metrics (model_name, version, metric, value); per model and metric present in
-    both versions: a, b, diff = b - a, improvement = b > a."""
+    both versions: a, b, diff = b - a, improvement = b > a (b < a for the metrics that
+    ``lower_is_better`` names, such as losses and latencies)."""
     a = metrics.where(F.col("version") == version_a).select("model_name", "metric", F.col("value").alias("a"))
     b = metrics.where(F.col("version") == version_b).select("model_name", "metric", F.col("value").alias("b"))
     j = a.join(b, ["model_name", "metric"]).where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    return j.withColumn("diff", F.col("b") - F.col("a")).withColumn("improvement", F.col("b") > F.col("a"))
+    better = F.when(F.col("metric").isin(*lower_is_better), F.col("b") < F.col("a")).otherwise(F.col("b") > F.col("a")) \
+        if lower_is_better else F.col("b") > F.col("a")
+    return j.withColumn("diff", F.col("b") - F.col("a")).withColumn("improvement", better)
 
 
 def threshold_gate(df: DataFrame, min_accuracy: float = MIN_ACCURACY, min_f1: float = MIN_F1,

@@ -2,16 +2,17 @@
 
 Every write is an append: experiments, run events (start / end with status), metrics,
 params, model versions and stage events. "Current" views are aggregates over the events
-(``max_by`` on time), so a stage transition never rewrites a table in place, concurrent
-writers only add files, and a retried job at worst appends rows that the views already
-de-duplicate by key and time.
+(``max_by`` on time), so a stage transition never rewrites a table in place and a retried job
+at worst appends rows that the views de-duplicate by key and time. Experiment ids and model
+versions are claims: a writer appends one, reads back who claimed it first (time, then run or
+name), and claims the next number if another did; views show the first claim of a number.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,12 +36,13 @@ class RegistryStore:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        p = self.path(name)
-        if p.startswith("file:") or "://" not in p:
-            local = p[len("file:"):] if p.startswith("file:") else p
-            if not os.path.exists(local):
-                return self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).parquet(p)
+        """The table, empty where nothing was written yet; Spark looks, whatever the store."""
+        try:
+            return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], SCHEMAS[name])
 
     def append(self, name: str, df: DataFrame) -> None:
         cols = [c.strip().split(" ")[0] for c in SCHEMAS[name].split(",")]
@@ -51,16 +53,22 @@ class RegistryStore:
 
     # R01
     def experiment(self, name: str) -> int:
-        ex = self.read("experiments")
-        hit = ex.where(F.col("name") == name).select("experiment_id").limit(1).collect()
+        hit = self.experiments().where(F.col("name") == name).select("experiment_id").limit(1).collect()
         if hit:
             return hit[0][0]
-        new_id = (ex.agg(F.max("experiment_id")).first()[0] or 0) + 1
+        new_id = (self.read("experiments").agg(F.max("experiment_id")).first()[0] or 0) + 1
         row = self.spark.range(1).select(F.lit(new_id).cast("bigint").alias("experiment_id"), F.lit(name).alias("name"),
                                          F.lit(f"{self.root}/artifacts/{new_id}").alias("artifact_location"),
                                          self._now().alias("created_at"))
         self.append("experiments", row)
-        return new_id
+        first = self.experiments().where(F.col("experiment_id") == new_id).first()["name"]
+        return new_id if first == name else self.experiment(name)
+
+    def experiments(self) -> DataFrame:
+        """Experiments, every id with the first name that claimed it."""
+        return self.read("experiments").groupBy("experiment_id").agg(
+            F.min_by(F.struct("name", "artifact_location", "created_at"), F.struct("created_at", "name")).alias("e")) \
+            .select("experiment_id", "e.*")
 
     # R02
     def run_event(self, run_id: str, experiment_id: int, run_name: str, status: str, error: str | None = None) -> None:
@@ -104,6 +112,8 @@ class RegistryStore:
                          (metrics_description(cols=list(m)) if m else F.lit(None).cast("string")).alias("description"),
                          self._now().alias("created_at"))
         self.append("model_versions", row)
+        if self._claims().where((F.col("model_name") == model_name) & (F.col("version") == version)).first()["run_id"] != run_id:
+            return self.register(model_name, run_id, metrics)
         self.append("stage_events", row.select("model_name", "version", F.lit("None").alias("stage"),
                                                 F.col("created_at").alias("ts")))
         return version
@@ -127,4 +137,10 @@ class RegistryStore:
         """Model versions with their current stage (latest stage event)."""
         st = self.read("stage_events").groupBy("model_name", "version").agg(
             F.max_by("stage", F.struct("ts", "stage")).alias("stage"))
-        return self.read("model_versions").join(st, ["model_name", "version"], "left")
+        return self._claims().join(st, ["model_name", "version"], "left")
+
+    def _claims(self) -> DataFrame:
+        """Model versions, every number with the run that claimed it first."""
+        return self.read("model_versions").groupBy("model_name", "version").agg(
+            F.min_by(F.struct("run_id", "description", "created_at"), F.struct("created_at", "run_id")).alias("v")) \
+            .select("model_name", "version", "v.*")

@@ -79,3 +79,8 @@ def minmax_scale(df: DataFrame, columns: list[str] | None = None,
 def scaler_table(sp: ScaleParams, spark) -> DataFrame:
     rows = [(c, a, b) for c, (a, b) in sp.params.items()]
     return spark.createDataFrame(rows, "column string, centre double, divisor double")
+
+
+def load_scaler(table: DataFrame, method: str) -> ScaleParams:
+    """Parameters back from a ``scaler_table`` (one row per column)."""
+    return ScaleParams(method, {r["column"]: (r["centre"], r["divisor"]) for r in table.collect()})

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.arrays import argmax
-from cadence.operators.metrics import classification_metrics, log_loss
+from cadence.operators.metrics import (classification_metrics, confusion_matrix, log_loss, roc_auc_ovr,
+                                       valid_targets)
+from cadence.session import checkpoint_dir
 
 
 def _mlp(n_features: int, n_classes: int, hidden: list[int] | None = None, max_iter: int = 100,
@@ -128,9 +130,13 @@ def score_pair(production: PipelineModel, shadow: PipelineModel, df: DataFrame)
     return b
 
 
-def evaluate(model: PipelineModel, df: DataFrame, num_classes: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(metrics row incl. loss, scored rows) on an assembled frame."""
-    s = score(model, df)
+def evaluate(model: PipelineModel, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(metrics row incl. loss, scored rows) on an assembled frame."""
+    return evaluate_scored(score(model, df))
+
+
+def evaluate_scored(s: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Metrics row incl. loss of scored rows (label, prediction, probabilities)."""
     m = classification_metrics(s, "label", "prediction")
     ll = log_loss(s.where(F.col("probabilities").isNotNull()).withColumn(
         "__p", F.transform("probabilities", lambda p: F.greatest(p, F.lit(1e-15)))), "label", "__p", from_logits=False)
@@ -138,6 +144,48 @@ def evaluate(model: PipelineModel, df: DataFrame, num_classes: int | None = None
     return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns]), s
 
 
+def evaluate_rows(rows: DataFrame, label: str, scorer, num_classes: int) -> tuple[DataFrame, DataFrame]:
+    """E09 / E10 core: drop rows without a valid target (P06; an error when none is left), score
+    the rest with ``scorer`` (a function or a Spark ML model giving prediction and
+    probabilities), and return (metrics with loss, AUC over all classes and the number of
+    rows kept and dropped; confusion matrix)."""
+    kept, counts = valid_targets(rows, label, num_classes)
+    n = counts.first()
+    if not n["kept"]:
+        raise ValueError("no row with a valid target is left")
+    data = kept.withColumn("label", F.col(label).cast("double"))
+    checkpoint_dir(rows.sparkSession)
+    s = (score(scorer, data) if hasattr(scorer, "transform") else scorer(data)) \
+        .select("label", F.col("prediction").cast("long").alias("prediction"), "probabilities").checkpoint()
+    metrics, _ = evaluate_scored(s)
+    auc = roc_auc_ovr(s, "label", "probabilities").select("auc")
+    both = metrics.unionByName(auc, allowMissingColumns=True)
+    row = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+    return (row.withColumns({"kept": F.lit(n["kept"]).cast("bigint"), "dropped": F.lit(n["dropped"]).cast("bigint")}),
+            confusion_matrix(s, "label", "prediction"))
+
+
+def evaluate_path(spark, model, data_path: str, feature_cols: list[str] | str, label: str, num_classes: int):
+    """Evaluate a model (a scorer, or the path of a saved Spark ML model) on a data path."""
+    from cadence.sources.readers import load_training_data
+    scorer = load_model(model) if isinstance(model, str) else model
+    rows = load_training_data(spark, data_path)
+    if hasattr(scorer, "transform"):
+        rows = assemble(rows, feature_cols)
+    return evaluate_rows(rows, label, scorer, num_classes)
+
+
+def evaluate_run(runs: DataFrame, run_name: str, load, rows: DataFrame, label: str, num_classes: int):
+    """The newest run of that name (R07; an error when there is none) -> ``load(run_id)`` its
+    scorer -> evaluate. Returns (run id, metrics, confusion matrix)."""
+    from cadence.operators.registry import find_run
+    hit = find_run(runs.where(F.col("run_name") == run_name)).select("run_id").limit(1).collect()
+    if not hit:
+        raise ValueError(f"no run named {run_name}")
+    metrics, cells = evaluate_rows(rows, label, load(hit[0]["run_id"]), num_classes)
+    return hit[0]["run_id"], metrics, cells
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     """Persist the fitted pipeline (overwrite)."""
     model.write().overwrite().save(path)
@@ -151,26 +199,20 @@ def load_model(path: str) -> PipelineModel:
 def train_run(df: DataFrame, feature_cols: list[str] | str, label: str, key: str, model_type: str = "mlp",
               val_split: float = 0.2, seed: int = 42, **params) -> dict:
     """Split (D02) -> fit (T01) -> evaluate on val (T05) -> result dict with the metrics
-    logged at run end (R16); on failure the status and error are returned."""
+    logged at run end (R16). Errors are raised; ``lifecycle.training_cycle`` records them as a
+    failed run first."""
     from cadence.operators.split import train_val_split
-    try:
-        split = train_val_split(df, key, val_split, seed)
-        data = assemble(split, feature_cols, label)
-        model = fit(data.where(F.col("split") == "train"), model_type, seed=seed, **params)
-        metrics, _ = evaluate(model, data.where(F.col("split") == "val"))
-        row = metrics.first().asDict()
-        hist = loss_history(model)
-        final_loss = hist.orderBy(F.col("iteration").desc()).first()["loss"] if hist is not None else None
-        return {"status": "FINISHED", "model": model, "final_train_loss": final_loss,
-                "final_accuracy": row["accuracy"], "final_f1_score": row["f1_score"], "val_loss": row["loss"]}
-    except Exception as e:  # recorded like the reference's failed run
-        return {"status": "FAILED", "error": str(e)}
-
-
-def pipeline(stages: list) -> Pipeline:
-    return Pipeline(stages=stages)
-
-
-__all__ = ["MODELS", "assemble", "argmax", "best_epoch", "create_estimator", "evaluate", "fit",
+    split = train_val_split(df, key, val_split, seed)
+    data = assemble(split, feature_cols, label)
+    model = fit(data.where(F.col("split") == "train"), model_type, seed=seed, **params)
+    metrics, _ = evaluate(model, data.where(F.col("split") == "val"))
+    row = metrics.first().asDict()
+    hist = loss_history(model)
+    final_loss = hist.orderBy(F.col("iteration").desc()).first()["loss"] if hist is not None else None
+    return {"status": "FINISHED", "model": model, "final_train_loss": final_loss,
+            "final_accuracy": row["accuracy"], "final_f1_score": row["f1_score"], "val_loss": row["loss"]}
+
+
+__all__ = ["MODELS", "assemble", "argmax", "best_epoch", "create_estimator", "evaluate", "evaluate_path", "evaluate_rows", "evaluate_run", "fit",
            "list_model_types", "load_model", "loss_history", "register_model_type", "save_model",
            "score", "score_pair", "train_run"]

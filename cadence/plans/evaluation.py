@@ -180,23 +180,21 @@ def q_classification_report(spark, sf_dir):
 # ----------------------------------------------------------------------------------------
 # Logit helpers
 
-_W = [[1.0, -0.5, 0.25], [-0.25, 1.0, 0.5], [0.5, 0.5, -1.0]]
+_CLASSES = 3
+_W = [[((i * (c + 2)) % 7 - 3) / 4.0 for i in range(64)] for c in range(_CLASSES)]
+_LOGIT = "list_sum(list_transform(range(0, 64), lambda i: CAST(embedding[i + 1] AS DOUBLE) * ((i * ({c} + 2)) % 7 - 3) / 4.0)) AS l{c}"
 
 
 @query("softmax_argmax", "P11 P12 P13 B03 B01", f"""
-WITH x AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b,
-                  CAST(embedding[3] AS DOUBLE) AS c FROM embeddings),
-l AS (SELECT vec_id, {_W[0][0]} * a + {_W[0][1]} * b + {_W[0][2]} * c AS l0,
-             {_W[1][0]} * a + {_W[1][1]} * b + {_W[1][2]} * c AS l1,
-             {_W[2][0]} * a + {_W[2][1]} * b + {_W[2][2]} * c AS l2 FROM x),
+WITH l AS (SELECT vec_id, {", ".join(_LOGIT.format(c=c) for c in range(_CLASSES))} FROM embeddings),
 m AS (SELECT *, greatest(l0, l1, l2) AS mx FROM l),
 p AS (SELECT vec_id, CASE WHEN l0 = mx THEN 0 WHEN l1 = mx THEN 1 ELSE 2 END AS k,
              1.0 / (exp(l0 - mx) + exp(l1 - mx) + exp(l2 - mx)) AS pmax FROM m)
 SELECT CAST(k AS DOUBLE) AS prediction, CAST(count(*) AS BIGINT) AS n, round(avg(pmax), 6) AS mean_top_probability
 FROM p GROUP BY k""")
 def q_softmax_argmax(spark, sf_dir):
-    emb = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.slice(F.col("embedding").cast("array<double>"), 1, 3).alias("x"))
+    """A linear model over all 64 dimensions with weights from a rule."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
     s = score_logits(emb, linear_logits(F.col("x"), _W), version="linear-v1")
     return round_doubles(s.groupBy("prediction").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),

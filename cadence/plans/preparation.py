@@ -63,7 +63,7 @@ def prepared_lineitem(spark, sf_dir):
     return out, tgt
 
 
-@query("prepare_features", "F15 F14 P07 F01 F02 F05 F08 D01 S13 J04", _PREP_SQL)
+@query("prepare_features", "F15 P07 F02 F05 F08 D01 J04", _PREP_SQL)
 def prepare_features(spark, sf_dir):
     """Flagship: full prepare pipeline on lineitem, summarised per split."""
     out, tgt = prepared_lineitem(spark, sf_dir)
@@ -276,7 +276,7 @@ def q_hash_split(spark, sf_dir):
 _H32 = "('0x' || substr(md5(CAST({k} AS VARCHAR) || ':42'), 1, 8))::BIGINT"
 
 
-@query("exact_split", "D01 S13", f"""
+@query("exact_split", "D01", f"""
 WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY {_H32.format(k='o_orderkey')}, CAST(o_orderkey AS VARCHAR)) AS rn,
                   count(*) OVER () AS n FROM orders),
 c AS (SELECT o_orderkey, rn, CAST(ceil(n * 0.15) AS BIGINT) AS t1, n FROM r),
@@ -329,3 +329,47 @@ def q_shadow_sample(spark, sf_dir):
 SELECT CAST(count(DISTINCT quality) AS BIGINT) AS num_classes, CAST(2 AS BIGINT) AS num_features FROM labels""")
 def q_dataset_shape(spark, sf_dir):
     return dataset_shape(table(spark, sf_dir, "labels"), "quality")
+
+
+# ----------------------------------------------------------------------------------------
+# Whole pipelines: from a path to written splits (S13), fitted on the train rows only, and F14
+
+_PART_SPLIT = _hash_case("o_orderkey", 1500, 3000)
+
+
+@query("prepare_written", "F15 S13 S11 F09 F06", f"""
+WITH b AS (SELECT *, {_PART_SPLIT} AS split FROM orders),
+t AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS s, avg(o_custkey) AS mc, stddev_pop(o_custkey) AS sc FROM b WHERE split = 'train')
+SELECT split, CAST(count(*) AS BIGINT) AS n, round(avg((o_totalprice - m) / s), 6) AS mean_totalprice,
+       round(avg((o_custkey - mc) / sc), 6) AS mean_custkey, CAST(sum(o_orderkey) AS BIGINT) AS keys,
+       round(avg(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END), 6) AS mean_status
+FROM b, t GROUP BY split""")
+def q_prepare_written(spark, sf_dir):
+    """orders: folder -> prepare, fitted on the train rows -> written splits -> read again; the saved
+    preprocessor, loaded, gives the same rows as the one that was fitted."""
+    import uuid
+
+    from cadence.operators.prepare import Preprocessor, prepare_path
+    from cadence.session import scratch_path
+    base = scratch_path(spark, f"prepared/orders-{uuid.uuid4().hex[:8]}")
+    raw = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    raw.write.parquet(f"{base}/raw")
+    done = prepare_path(spark, f"{base}/raw", f"{base}/out", "o_orderkey", target="o_orderstatus", fit_on="train")
+    again = Preprocessor.load(spark, done["preprocessor"]).transform(raw).select("o_orderkey", "o_totalprice", "o_custkey", "o_orderstatus")
+    splits = spark.read.parquet(f"{base}/out/splits").select("o_orderkey", F.col("split").cast("string").alias("split"))
+    return round_doubles(again.join(splits, "o_orderkey").groupBy("split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("o_totalprice").alias("mean_totalprice"),
+        F.avg("o_custkey").alias("mean_custkey"), F.sum("o_orderkey").cast("bigint").alias("keys"),
+        F.avg("o_orderstatus").alias("mean_status")))
+
+
+@query("run_pipeline", "F14 F01 F05 F08", """
+WITH c AS (SELECT c_acctbal, CAST(c_nationkey AS DOUBLE) AS n, dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS seg FROM customer)
+SELECT CAST(count(*) AS BIGINT) AS n, round(max((c_acctbal - a) / s), 6) AS max_acctbal, round(min((n - an) / sn), 6) AS min_nation,
+       round(max((seg - ag) / sg), 6) AS max_segment
+FROM c, (SELECT avg(c_acctbal) AS a, stddev_pop(c_acctbal) AS s, avg(n) AS an, stddev_pop(n) AS sn, avg(seg) AS ag, stddev_pop(seg) AS sg FROM c)""")
+def q_run_pipeline(spark, sf_dir):
+    from cadence.operators.prepare import run_pipeline
+    out = run_pipeline(table(spark, sf_dir, "customer").select("c_acctbal", "c_nationkey", "c_mktsegment"))
+    return round_doubles(out.agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.max("c_acctbal").alias("max_acctbal"),
+                                 F.min("c_nationkey").alias("min_nation"), F.max("c_mktsegment").alias("max_segment")))

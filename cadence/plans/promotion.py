@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cadence.functions.columns import round_doubles
 from cadence.operators.registry import (champion_challenger, compare_versions, find_run,
                                         get_or_create_experiments, latest_metrics,
-                                        latest_versions, promotion_decisions,
+                                        latest_versions, params_as_strings, promotion_decisions,
                                         register_versions, resolve_model, run_status,
                                         threshold_gate, transition_stage)
 from cadence.plans.catalog import query
@@ -133,7 +133,7 @@ def q_champion_challenger(spark, sf_dir):
     return round_doubles(out.select("model_name", "version", "champion_version", "improvement", "is_better"))
 
 
-@query("promotion", "R13 R14 R15", f"""WITH {_CC},
+@query("promotion", "R15", f"""WITH {_CC},
 g AS (SELECT *, {_GATE_SQL} = '' AS passes FROM d)
 SELECT model_name, version, passes, is_better,
        CASE WHEN passes AND is_better THEN 'Production' WHEN passes THEN 'Staging' END AS new_stage,
@@ -182,7 +182,7 @@ def run_metrics(spark, sf_dir):
                      F.col("event_type").alias("metric"), F.col("event_id").alias("step"), "value", "ts")
 
 
-@query("run_latest_metrics", "R03 R16", """
+@query("run_latest_metrics", "R03", """
 SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_id, event_type AS metric, round(arg_max(value, event_id), 6) AS value,
        max(event_id) AS step FROM events GROUP BY 1, 2""")
 def q_run_latest_metrics(spark, sf_dir):
@@ -213,7 +213,7 @@ def q_find_run(spark, sf_dir):
     return w.select("run_name", F.col("run_id").cast("string").alias("run_id"))
 
 
-@query("experiments", "R01 R04", """
+@query("experiments", "R01", """
 WITH ex AS (SELECT DISTINCT c_mktsegment AS name FROM customer WHERE c_mktsegment <> 'MACHINERY'),
 e AS (SELECT name, CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS experiment_id FROM ex),
 req AS (SELECT DISTINCT c_mktsegment AS name FROM customer UNION SELECT r_name FROM region),
@@ -229,3 +229,49 @@ def q_experiments(spark, sf_dir):
     req = c.select(F.col("c_mktsegment").alias("name")).unionByName(
         table(spark, sf_dir, "region").select(F.col("r_name").alias("name")))
     return get_or_create_experiments(existing, req).select("name", "experiment_id", "created")
+
+
+@query("promotion_staging", "R13", f"""WITH {_CC}, g AS (SELECT *, {_GATE_SQL} = '' AS passes FROM d)
+SELECT model_name, version, CASE WHEN passes THEN 'Staging' END AS new_stage, passes AS promoted FROM g""")
+def q_promotion_staging(spark, sf_dir):
+    d = promotion_decisions(*_candidates(spark, sf_dir), target="Staging")
+    return d.select("model_name", "version", "new_stage", "promoted")
+
+
+@query("promotion_production", "R14", f"""WITH {_CC}
+SELECT model_name, version, CASE WHEN is_better THEN 'Production' END AS new_stage, is_better AS promoted,
+       CASE WHEN is_better THEN champion_version END AS previous_production_version FROM d""")
+def q_promotion_production(spark, sf_dir):
+    d = promotion_decisions(*_candidates(spark, sf_dir), target="Production")
+    return d.select("model_name", "version", "new_stage", "promoted", "previous_production_version")
+
+
+@query("stage_transition_many", "R06", f"""WITH {_MV},
+n AS (SELECT model_name, CASE WHEN version = 1 THEN 'Production' WHEN version = 2 THEN 'Staging'
+                              WHEN stage IN ('Production', 'Staging') THEN 'Archived' ELSE stage END AS stage FROM mv)
+SELECT model_name, stage, CAST(count(*) AS BIGINT) AS n FROM n GROUP BY 1, 2""")
+def q_stage_transition_many(spark, sf_dir):
+    """Two targets for every model at once: version 1 to Production, version 2 to Staging."""
+    mv = model_versions(spark, sf_dir)
+    models = mv.select("model_name").distinct()
+    targets = models.select("model_name", F.lit(1).cast("long").alias("version"), F.lit("Production").alias("stage")).unionByName(
+        models.select("model_name", F.lit(2).cast("long").alias("version"), F.lit("Staging").alias("stage")))
+    return transition_stage(mv, targets).groupBy("model_name", "stage").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("compare_lower_is_better", "R10", f"""WITH {_MV},
+a AS (SELECT model_name, recall AS a FROM mv WHERE version = 1), b AS (SELECT model_name, recall AS b FROM mv WHERE version = 2)
+SELECT model_name, 'recall' AS metric, round(b - a, 6) AS diff, b < a AS improvement FROM a JOIN b USING (model_name)""")
+def q_compare_lower_is_better(spark, sf_dir):
+    """recall read as a loss."""
+    long = _metrics_long(model_versions(spark, sf_dir)).where(F.col("metric") == "recall")
+    out = compare_versions(long, 1, 2, lower_is_better=("recall",))
+    return round_doubles(out.select("model_name", "metric", "diff", "improvement"))
+
+
+@query("run_params", "R04", """
+SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_id, 'events' AS param, CAST(count(*) AS VARCHAR) AS value FROM events GROUP BY 1, 2""")
+def q_run_params(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return params_as_strings(ev.groupBy(F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("run_id"))
+                             .agg(F.lit("events").alias("param"), F.count(F.lit(1)).alias("value")).select("run_id", "param", "value"))

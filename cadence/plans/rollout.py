@@ -94,10 +94,14 @@ def q_canary_health(spark, sf_dir):
 _STAGES_SQL = f"""WITH {_LOG},
 st AS (SELECT *, CAST(floor((epoch_us(ts) - epoch_us((SELECT min(ts) FROM events))) / {STAGE_MINUTES * 60 * 1_000_000}) AS INTEGER) AS stage FROM lg),
 sp AS (SELECT st.*, [1, 5, 25, 50, 100][stage + 1] AS percentage FROM st WHERE stage < 5),
-m AS (SELECT stage, percentage, {_ARM_SQL},
+m0 AS (SELECT stage, {_ARM_SQL},
              count(*) FILTER (WHERE NOT is_error) / count(*) AS canary_health
-      FROM sp WHERE b < percentage GROUP BY stage, percentage),
-h AS (SELECT *, NOT (error_rate > 0.2 OR latency_p95_ms > 150.0 OR canary_health < 0.78) AS healthy FROM m),
+      FROM sp WHERE b < percentage GROUP BY stage),
+m AS (SELECT r.stage, r.percentage, COALESCE(requests_total, 0) AS requests_total, COALESCE(error_rate, 0) AS error_rate,
+             latency_p95_ms, canary_health FROM (SELECT DISTINCT stage, percentage FROM
+               (SELECT CAST(i AS INTEGER) AS stage, [1, 5, 25, 50, 100][i + 1] AS percentage
+                FROM (SELECT unnest(range(0, (SELECT max(stage) + 1 FROM sp))) AS i))) r LEFT JOIN m0 USING (stage)),
+h AS (SELECT *, NOT (error_rate > 0.2 OR COALESCE(latency_p95_ms, 0) > 150.0 OR COALESCE(canary_health, 0) < 0.78) AS healthy FROM m),
 s AS (SELECT *, COALESCE(bool_or(NOT healthy) OVER (ORDER BY stage ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS fb FROM h)"""
 
 
@@ -110,7 +114,7 @@ def q_canary_stages(spark, sf_dir):
                                   "canary_health", "healthy", "status"))
 
 
-@query("canary_outcome", "C05 C06 C07", _STAGES_SQL + """,
+@query("canary_outcome", "C05", _STAGES_SQL + """,
 r AS (SELECT *, CASE WHEN fb THEN 'skipped' WHEN healthy THEN 'passed' ELSE 'failed' END AS status FROM s)
 SELECT array_to_string(list_sort(list_distinct(list(percentage) FILTER (WHERE status = 'passed'))), ',') AS stages_completed,
        CASE WHEN bool_or(status = 'failed') THEN 'rolled_back'
@@ -235,8 +239,8 @@ def q_shadow_drift(spark, sf_dir):
 # ----------------------------------------------------------------------------------------
 # Gates and deployment records
 
-from cadence.operators.canary import (deployment_config, evaluate_health, initialize,  # noqa: E402
-                                      metric_gate)
+from cadence.operators.canary import (deployment_config, deployment_status, evaluate_health,  # noqa: E402
+                                      finalize, initialize, metric_gate, rollback)
 
 _GROUPED = """g AS (SELECT 'deploy_' || CAST(user_id % 5 AS VARCHAR) AS deployment_id,
               count(*) FILTER (WHERE event_type <> 'error') / count(*) AS accuracy, avg(value) AS latency_ms,
@@ -297,3 +301,48 @@ def q_deployment_init(spark, sf_dir):
                                                              F.lit(100).alias("current_percentage"))
     new = o.where(F.col("o_orderstatus") != "O").select(dep)
     return initialize(existing, new).groupBy("status").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+# ----------------------------------------------------------------------------------------
+# Deployment records: one per event type, its percentage the canary share of its users
+
+_DEP = f"""dep AS (SELECT 'deploy_' || event_type AS deployment_id, CASE WHEN event_type = 'view' THEN 100
+                       ELSE CAST(count(DISTINCT user_id) % 5 * 25 AS INTEGER) END AS current_percentage FROM events GROUP BY event_type)"""
+
+
+def deployment_records(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.groupBy("event_type").agg(F.count_distinct("user_id").alias("u")).select(
+        F.concat(F.lit("deploy_"), F.col("event_type")).alias("deployment_id"), F.lit("in_progress").alias("status"),
+        F.when(F.col("event_type") == "view", 100).otherwise((F.col("u") % 5 * 25).cast("int")).alias("current_percentage"),
+        F.array(F.lit(25), F.lit(1), F.lit(25)).alias("stages_completed"))
+
+
+@query("rollback", "C05", f"""WITH {_DEP}
+SELECT deployment_id, CASE WHEN deployment_id = 'deploy_error' THEN 'rolled_back' ELSE 'in_progress' END AS status,
+       CASE WHEN deployment_id = 'deploy_error' THEN 0 ELSE current_percentage END AS current_percentage,
+       CASE WHEN deployment_id = 'deploy_error' THEN current_percentage END AS previous_percentage FROM dep""")
+def q_rollback(spark, sf_dir):
+    d = deployment_records(spark, sf_dir)
+    out = rollback(d, d.where(F.col("deployment_id") == "deploy_error").select("deployment_id"))
+    return out.select("deployment_id", "status", "current_percentage", "previous_percentage")
+
+
+@query("finalize", "C06", f"""WITH {_DEP}
+SELECT deployment_id, CASE WHEN current_percentage = 100 THEN 'completed' ELSE 'in_progress' END AS status,
+       CASE WHEN current_percentage <> 100 THEN 'Cannot finalize: deployment at ' || current_percentage || '%, not 100%' END AS error
+FROM dep""")
+def q_finalize(spark, sf_dir):
+    return finalize(deployment_records(spark, sf_dir)).select("deployment_id", "status", "error")
+
+
+@query("deployment_status", "C07", f"""WITH {_DEP}, req AS (SELECT deployment_id FROM dep UNION SELECT 'deploy_' || r_name FROM region)
+SELECT req.deployment_id, COALESCE(CASE WHEN dep.deployment_id IS NOT NULL THEN 'in_progress' END, 'not_found') AS status,
+       dep.current_percentage, CASE WHEN dep.deployment_id IS NOT NULL THEN '1,25' END AS stages_completed
+FROM req LEFT JOIN dep USING (deployment_id)""")
+def q_deployment_status(spark, sf_dir):
+    d = deployment_records(spark, sf_dir)
+    asked = d.select("deployment_id").unionByName(table(spark, sf_dir, "region").select(
+        F.concat(F.lit("deploy_"), F.col("r_name")).alias("deployment_id"))).distinct()
+    out = deployment_status(d, asked)
+    return out.withColumn("stages_completed", F.array_join(F.col("stages_completed").cast("array<string>"), ","))

@@ -15,24 +15,29 @@ from cadence.plans.rollout import _SH
 from cadence.session import scratch_path
 from cadence.streaming.streams import (canary_windows, incremental_input, pair_streams,
                                        read_gauges, rollout_state_machine, run_available,
-                                       stream_gauges, stream_scores, table_stream)
+                                       run_updates, stream_gauges, stream_scores, table_stream)
 from cadence.tables import table
 
 _BUCKET = "(('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100)"
 
 
+_RANKED = "list_sort(list({v}))[CAST(ceil({p} * count(*)) AS BIGINT)]"   # a sketch's answer is exact below 10,000 rows
+
+
 @query("stream_canary", "W01", f"""
 WITH w AS (SELECT time_bucket(INTERVAL '30 minutes', ts) AS ws, CASE WHEN {_BUCKET} < 25 THEN 'canary' ELSE 'production' END AS arm,
-                  event_type = 'error' AS is_error FROM events)
+                  event_type = 'error' AS is_error, value FROM events)
 SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, arm, CAST(count(*) AS BIGINT) AS requests,
-       CAST(count(*) FILTER (WHERE is_error) AS BIGINT) AS errors
-FROM w WHERE ws + INTERVAL '30 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '30 minutes'
-GROUP BY ws, arm""")
+       CAST(count(*) FILTER (WHERE is_error) AS BIGINT) AS errors,
+       round({_RANKED.format(v="value", p=0.5)}, 6) AS p50, round({_RANKED.format(v="value", p=0.95)}, 6) AS p95,
+       round({_RANKED.format(v="value", p=0.99)}, 6) AS p99
+FROM w GROUP BY ws, arm""")
 def q_stream_canary(spark, sf_dir):
+    """All windows of the log, the newest ones included (update mode)."""
     log = requests_from_events(table_stream(spark, sf_dir, "events"))
-    out = run_available(canary_windows(log, 25), "canary-windows")
-    return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                      "arm", "requests", "errors")
+    out = run_updates(canary_windows(log, 25), "canary-windows", ["window_start", "window_end", "arm"])
+    return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "arm", "requests", "errors",
+                      *[F.round(F.col("latency_pct")[i], 6).alias(c) for i, c in enumerate(("p50", "p95", "p99"))])
 
 
 @query("stream_scoring", "W02 B06", f"""WITH {_EMB}
@@ -68,21 +73,40 @@ def q_stream_pairs(spark, sf_dir):
                                             F.count_if("predictions_match").cast("bigint").alias("matches"))
 
 
-@query("stream_state", "W04 C04")
+_STATE_STAGES = [1, 5, 25, 50, 100]
+
+
+@query("stream_state", "W04 C04", f"""
+WITH w AS (SELECT 'deploy_' || event_type AS deployment_id, time_bucket(INTERVAL '1 day', ts) AS ws, count(*) AS n,
+                  count(*) FILTER (WHERE user_id % 5 = 0) AS errors, {_RANKED.format(v="value", p=0.95)} AS p95
+           FROM events WHERE {_BUCKET} < 25 GROUP BY 1, 2),
+h AS (SELECT *, NOT (errors / n > 0.26 OR p95 > 400.0 OR 1.0 - errors / n < 0.74) AS healthy,
+             row_number() OVER (PARTITION BY deployment_id ORDER BY ws) AS rn FROM w),
+f AS (SELECT *, COALESCE(min(rn) FILTER (WHERE NOT healthy) OVER (PARTITION BY deployment_id), 1000000) AS bad FROM h)
+SELECT deployment_id, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
+       CAST(CASE WHEN healthy THEN least(rn, 4) ELSE rn - 1 END AS INTEGER) AS stage_index,
+       CAST({_STATE_STAGES}[rn] AS INTEGER) AS percentage, healthy,
+       CASE WHEN NOT healthy THEN 'rolled_back' WHEN rn = 5 THEN 'completed' ELSE 'in_progress' END AS status,
+       array_to_string({_STATE_STAGES}[1:CASE WHEN healthy THEN rn ELSE rn - 1 END], ',') AS stages_completed
+FROM f WHERE rn <= least(bad, 5)""")
 def q_stream_state(spark, sf_dir):
-    """Canary state machine over daily canary-arm windows (custom state: no SQL oracle)."""
-    log = requests_from_events(table_stream(spark, sf_dir, "events"))
-    windows = run_available(canary_windows(log, 25, window="1 day", watermark="1 hour"), "daily-windows")
+    """Canary state machines of all deployments (one per event type) over daily windows; the SQL
+    twin is the batch rule of C04."""
+    ev = table_stream(spark, sf_dir, "events")
+    log = ev.select("user_id", "ts", F.concat(F.lit("deploy_"), F.col("event_type")).alias("deployment_id"),
+                    (F.col("user_id") % 5 == 0).alias("is_error"), F.col("value").alias("latency_ms"))
+    windows = run_updates(canary_windows(log, 25, window="1 day", watermark="1 hour", group=["deployment_id"]), "daily-windows",
+                          ["window_start", "window_end", "arm", "deployment_id"])
     src = windows.where(F.col("arm") == "canary").select(
-        F.lit("deploy_events").alias("deployment_id"), "window_start", "requests", "errors",
-        F.col("latency_pct")[1].alias("latency_p95_ms"))
-    # Re-read the written windows as a stream, then advance the state machine.
+        "deployment_id", "window_start", "requests", "errors", F.col("latency_pct")[1].alias("latency_p95_ms"))
+    # Re-read the written windows as a stream, then advance the state machines.
     path = scratch_path(spark, f"streams/state-input-{uuid.uuid4().hex[:8]}")
     src.write.mode("overwrite").parquet(path)
     stream = spark.readStream.schema(src.schema).parquet(path)
-    sm = rollout_state_machine(stream, [1, 5, 25, 50, 100], 0.2, 150.0, 0.78)
+    sm = rollout_state_machine(stream, _STATE_STAGES, 0.26, 400.0, 0.74)
     out = run_available(sm, "rollout-state")
-    return out.withColumn("stages_completed", F.array_join(F.col("stages_completed").cast("array<string>"), ","))
+    return out.withColumns({"stages_completed": F.array_join(F.col("stages_completed").cast("array<string>"), ","),
+                            "window_start": F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")})
 
 
 @query("stream_gauges", "W05 M03", """
@@ -98,7 +122,7 @@ def q_stream_gauges(spark, sf_dir):
     return read_gauges(spark, target).select("model_name", "model_version", F.round("accuracy", 6).alias("accuracy"))
 
 
-@query("stream_incremental", "W06 S15", """
+@query("stream_incremental", "W06", """
 SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, round(sum(o_totalprice), 6) AS total FROM orders GROUP BY 1""")
 def q_stream_incremental(spark, sf_dir):
     base = scratch_path(spark, f"streams/retrain-input-{uuid.uuid4().hex[:8]}")

@@ -1,8 +1,7 @@
 """Scans (S01-S11): CSV / Parquet / JSON / Feather, format detection, directory and mixed
 directory scans, object store, JDBC and the source dispatcher.
 
-All readers return lazy DataFrames; only file LISTINGS (bounded by the number of files) are
-looked at on the driver.
+All readers return lazy DataFrames; listings and schemas are left to Spark.
 """
 
 from __future__ import annotations
@@ -10,6 +9,7 @@ from __future__ import annotations
 import os
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,17 +25,20 @@ def detect_format(path: str) -> str:
     return SUPPORTED[ext]
 
 
-def list_files(spark: SparkSession, path: str, pattern: str) -> list[str]:
-    """Files under ``path`` matching a glob, via the binaryFile source without reading the
-    file contents (only path / length are selected). Sorted for a stable order."""
+# What Spark says where there is no file to read.
+_NOTHING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
+def has_files(spark: SparkSession, path: str, pattern: str = "*") -> bool:
+    """Is there a file under ``path`` that matches the glob? Spark lists (on executors where there
+    are many paths); one path at most comes back."""
     try:
-        rows = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-                .option("recursiveFileLookup", "false").load(path).select("path").collect())
-    except Exception as e:  # empty or missing directory
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return []
-        raise
-    return sorted(r["path"] for r in rows)
+        return bool(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+                    .select("path").limit(1).count())
+    except AnalysisException as e:
+        if e.getCondition() not in _NOTHING:
+            raise
+        return False
 
 
 def _read_one(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None, **options) -> DataFrame:
@@ -52,15 +55,11 @@ def _read_one(spark: SparkSession, path: str, fmt: str, schema: T.StructType | N
         return r.option("multiLine", options.pop("multiLine", True)).options(**options).json(path)
     if fmt == "feather":
         if schema is None:
-            schema = feather_schema(path if not os.path.isdir(path) else list_local(path, ".feather")[0])
+            schema = feather_schema(spark, path)
         return read_feather(spark, path, schema)
     raise ValueError(f"Unsupported file format: {fmt}")
 
 
-def list_local(path: str, suffix: str) -> list[str]:
-    return sorted(os.path.join(path, f) for f in os.listdir(path) if f.endswith(suffix))
-
-
 def read_source(spark: SparkSession, path: str, file_format: str = "auto",
                 schema: T.StructType | None = None, **options) -> DataFrame:
     """One file or a directory of one format. ``auto`` detects by suffix; for a
@@ -70,8 +69,7 @@ def read_source(spark: SparkSession, path: str, file_format: str = "auto",
         if os.path.splitext(path.rstrip("/"))[1]:
             fmt = detect_format(path)
         else:
-            found = {SUPPORTED[os.path.splitext(p)[1].lower()] for p in list_files(spark, path, "*")
-                     if os.path.splitext(p)[1].lower() in SUPPORTED}
+            found = {fmt for ext, fmt in SUPPORTED.items() if has_files(spark, path, f"*{ext}")}
             if len(found) != 1:
                 raise ValueError(f"cannot detect one format in directory {path}: {sorted(found)}")
             fmt = found.pop()
@@ -121,13 +119,40 @@ def union_by_name(dfs: list[DataFrame], widen_missing_ints: bool = True) -> Data
     return reduce(lambda a, b: a.unionByName(b), aligned)
 
 
+MAX_HEADERS = 1_000   # different CSV headers in one directory
+
+
+def _csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of every CSV file under ``path``."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
+    first = lines.where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    return first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+
+
+def _read_csv_directory(spark: SparkSession, path: str) -> list[DataFrame]:
+    """One scan of the directory if its CSV files share their header; else one scan per header,
+    of the files that have it (their names are then gathered on the driver)."""
+    headers = _csv_headers(spark, path)
+    seen = sorted(r["header"] for r in headers.select("header").distinct().limit(MAX_HEADERS + 1).collect())
+    if len(seen) > MAX_HEADERS:
+        raise ValueError(f"over {MAX_HEADERS} different CSV headers in {path}")
+    if len(seen) == 1:
+        return [_read_one(spark, path, "csv", None, pathGlobFilter="*.csv")]
+    files = {h: [r["file"] for r in headers.where(F.col("header") == h).select("file").collect()] for h in seen}
+    return [spark.read.option("header", True).option("inferSchema", True).csv(sorted(f)) for f in files.values()]
+
+
 def read_mixed_directory(spark: SparkSession, path: str) -> DataFrame | None:
-    """Every ``*.parquet`` then every ``*.csv`` file of a directory, unioned by
-    name. Returns None for a directory without data files."""
-    files = list_files(spark, path, "*.parquet") + list_files(spark, path, "*.csv")
-    if not files:
-        return None
-    return union_by_name([_read_one(spark, f, detect_format(f), None) for f in files])
+    """All ``*.parquet`` and all ``*.csv`` files of a directory, unioned by name. One
+    scan for Parquet (schemas merged) and one for each CSV header, however many files there
+    are. Returns None for a directory without data files."""
+    found = []
+    if has_files(spark, path, "*.parquet"):
+        found.append(spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", True).parquet(path))
+    if has_files(spark, path, "*.csv"):
+        found += _read_csv_directory(spark, path)
+    return union_by_name(found) if found else None
 
 
 def require_data(df: DataFrame | None, path: str) -> DataFrame:
@@ -168,12 +193,14 @@ def read_database(spark: SparkSession, query: str, url: str | None = None, prope
 
 def load_training_data(spark: SparkSession, source: str, config: dict | None = None) -> DataFrame:
     """``s3://bucket/key`` goes to the object store (format by suffix), anything else
-    to the file readers (directories may mix Parquet and CSV)."""
+    to the file readers. A path without a data suffix is a directory, which may mix Parquet and
+    CSV; no data in it is an error (S08)."""
     config = config or {}
     if source.startswith("s3://"):
         bucket, _, key = source[len("s3://"):].partition("/")
         return read_object(spark, bucket, key, config.get("file_format"))
-    if os.path.isdir(source) and config.get("file_format") in (None, "auto"):
+    suffix = os.path.splitext(source.rstrip("/"))[1].lower()
+    if suffix not in SUPPORTED and config.get("file_format") in (None, "auto"):
         return require_data(read_mixed_directory(spark, source), source)
     return read_source(spark, source, config.get("file_format", "auto"))
 
@@ -181,31 +208,52 @@ def load_training_data(spark: SparkSession, source: str, config: dict | None = N
 # ----------------------------------------------------------------------------------------
 # Feather (Arrow IPC) as a parallel scan: one task per file, decoded inside the task.
 
-def feather_schema(path: str) -> T.StructType:
+def feather_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of the Feather files at ``path``: a task opens one of them, and only its Arrow
+    schema reaches the driver."""
     import pyarrow.ipc as ipc
     from pyspark.sql.pandas.types import from_arrow_schema
-    with open(path, "rb") as f:
-        return from_arrow_schema(ipc.open_file(f).schema)
+
+    def head(batches):
+        import pyarrow as pa
+        for b in batches:
+            for content in b.column(0):
+                yield pa.RecordBatch.from_pydict({"schema": [ipc.open_file(content.as_buffer()).schema.serialize().to_pybytes()]})
+
+    found = _feather_files(spark, path).select("content").limit(1).mapInArrow(head, "schema binary").collect()
+    if not found:
+        raise FileNotFoundError(f"No Feather files found in {path}")
+    return from_arrow_schema(ipc.read_schema(pa_buffer(found[0]["schema"])))
+
+
+def pa_buffer(data: bytes):
+    import pyarrow as pa
+    return pa.py_buffer(bytes(data))
+
+
+def _feather_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.feather").load(path)
 
 
 def read_feather(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """``binaryFile`` lists the files (one row each) and ``mapInArrow`` decodes every
-    file's Arrow IPC batches inside the executor task."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.feather").load(path)
+    """``binaryFile`` gives every file as a row, and tasks decode them (``decode_feather``).
+    A file is read whole by its task, as binaryFile rows are."""
+    return decode_feather(_feather_files(spark, path).select("content"), schema)
+
+
+def decode_feather(files: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of Feather (Arrow IPC) files given as a binary column ``content``, batch by batch."""
     names = [f.name for f in schema.fields]
 
     def decode(batches):
-        import io
-
         import pyarrow as pa
         import pyarrow.ipc as ipc
         for b in batches:
-            for content in b.column("content").to_pylist():
-                reader = ipc.open_file(io.BytesIO(content))
+            for content in b.column("content"):
+                reader = ipc.open_file(content.as_buffer())
                 for i in range(reader.num_record_batches):
                     rb = reader.get_batch(i)
                     yield pa.RecordBatch.from_arrays([rb.column(rb.schema.get_field_index(n)) for n in names],
                                                      names=names)
 
-    # One input split per file (binaryFile never splits a file), so decoding is parallel.
     return files.select("content").mapInArrow(decode, schema)

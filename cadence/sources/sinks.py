@@ -45,36 +45,3 @@ def append_log(df: DataFrame, path: str) -> None:
 def write_findings_json(df: DataFrame, path: str) -> None:
     """Findings / metrics as JSON lines."""
     df.write.mode("overwrite").json(path)
-
-
-def write_feather(df: DataFrame, path: str) -> int:
-    """Feather (Arrow IPC) sink, written in parallel: task ``p`` writes ``part-<p>.feather``
-    from the Arrow batches it holds, through pyarrow's file system layer (local, HDFS or
-    object store by URI). A retried task rewrites the same file name (write to a hidden
-    temporary name, then move over the target), so a lost executor never leaves duplicate
-    rows. Returns the number of rows written."""
-    names = df.columns
-
-    def write(batches):
-        import uuid
-
-        import pyarrow as pa
-        import pyarrow.fs as pafs
-        import pyarrow.ipc as ipc
-        batches = list(batches)
-        n = sum(b.num_rows for b in batches)
-        if n:
-            pid = next(b for b in batches if b.num_rows).column("__pid")[0].as_py()
-            data = [pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in names], names=names)
-                    for b in batches]
-            fs, base = pafs.FileSystem.from_uri(path if "://" in path else "file://" + path)
-            fs.create_dir(base, recursive=True)
-            target, tmp = f"{base}/part-{pid:05d}.feather", f"{base}/_tmp-{pid:05d}-{uuid.uuid4().hex}"
-            with fs.open_output_stream(tmp) as sink, ipc.new_file(sink, data[0].schema) as w:
-                for b in data:
-                    w.write_batch(b)
-            fs.move(tmp, target)
-        yield pa.RecordBatch.from_pydict({"rows": [n]})
-
-    out = df.withColumn("__pid", F.spark_partition_id()).mapInArrow(write, "rows long")
-    return out.agg(F.sum("rows")).first()[0] or 0

@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,33 +40,58 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def run_available(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
+def run_available(df: DataFrame, name: str, output_mode: str = "append", base: str | None = None) -> DataFrame:
     """Run a streaming plan over everything available now (trigger availableNow) into a
-    Parquet sink in the shared checkpoint folder; returns the written table."""
+    Parquet sink; returns the written table. With the same ``base`` folder a later run resumes
+    from its checkpoint and appends what is new, exactly once; without one, a new folder
+    under the shared checkpoint folder is used."""
     spark = df.sparkSession
-    base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:8]}")
-    q = (df.writeStream.format("parquet").outputMode(output_mode)
-         .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/data")
-         .trigger(availableNow=True).start())
+    base = base or scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:8]}")
+    _run(df.writeStream.format("parquet").outputMode(output_mode)
+         .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/data"))
+    return spark.read.parquet(f"{base}/data")
+
+
+def run_updates(df: DataFrame, name: str, keys: list[str], base: str | None = None) -> DataFrame:
+    """Run a streaming aggregate in update mode and return the last row of every key, open
+    windows included. Every micro-batch writes the rows it changed as ``epoch=<batch id>``
+    (a retried batch replaces its own); a later run with the same ``base`` resumes."""
+    spark = df.sparkSession
+    base = base or scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:8]}")
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/data/epoch={epoch}")
+
+    _run(df.writeStream.outputMode("update").option("checkpointLocation", f"{base}/_checkpoint").foreachBatch(write))
+    rows = spark.read.parquet(f"{base}/data")
+    values = [c for c in df.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "epoch").alias("__v")).select(*keys, "__v.*")
+
+
+def _run(writer) -> None:
+    q = writer.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.read.parquet(f"{base}/data")
 
 
 # W01 ----------------------------------------------------------------------------------
 
 def canary_windows(log: DataFrame, percentage: float, window: str = "30 minutes",
-                   watermark: str = "30 minutes", key: str = "user_id", approx_accuracy: int = 10000) -> DataFrame:
-    """Canary metrics per tumbling window and arm. Late rows beyond the watermark are
-    dropped; in append mode a window is emitted once the watermark passes its end."""
+                   watermark: str = "30 minutes", key: str = "user_id", approx_accuracy: int = 10000,
+                   group: list[str] | None = None) -> DataFrame:
+    """Canary metrics per tumbling window and arm (and ``group``). Late rows beyond the
+    watermark are dropped; in append mode a window is emitted once the watermark passes its
+    end, in update mode (``run_updates``) whenever it changes, open windows included. The
+    percentiles have a rank error of at most 1 / ``approx_accuracy``."""
+    g = group or []
     arm = F.when(hash_bucket(F.col(key), 100) < F.lit(percentage), "canary").otherwise("production")
     return (log.withWatermark("ts", watermark).withColumn("arm", arm)
-            .groupBy(F.window("ts", window).alias("w"), "arm")
+            .groupBy(F.window("ts", window).alias("w"), "arm", *g)
             .agg(F.count(F.lit(1)).cast("bigint").alias("requests"),
                  F.count_if(F.col("is_error")).cast("bigint").alias("errors"),
                  F.percentile_approx("latency_ms", [0.5, 0.95, 0.99], approx_accuracy).alias("latency_pct"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "arm",
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "arm", *g,
                     "requests", "errors", "latency_pct"))
 
 
@@ -93,7 +119,7 @@ def pair_streams(production: DataFrame, shadow: DataFrame, max_delay: str = "10
 
 # W04 ----------------------------------------------------------------------------------
 
-ROLLOUT_STATE_SCHEMA = "stage_index int, status string, stages_completed array<int>"
+ROLLOUT_STATE_SCHEMA = "stage_index int, status string, stages_completed array<int>, last_window timestamp"
 ROLLOUT_OUTPUT_SCHEMA = ("deployment_id string, window_start timestamp, stage_index int, percentage int, "
                          "healthy boolean, status string, stages_completed array<int>")
 
@@ -102,34 +128,40 @@ def rollout_state_machine(stage_metrics: DataFrame, stages: list[int], error_rat
                           latency_threshold_ms: float, health_threshold: float) -> DataFrame:
     """Per deployment, consume window metrics (deployment_id, window_start, requests,
     errors, latency_p95_ms) in event-time order and advance the canary: healthy -> next
-    stage (completed after 100 %), unhealthy -> rolled_back (terminal). State per
-    deployment is three small fields; one deployment is one group."""
+    stage (completed after 100 %), unhealthy -> rolled_back (terminal). A micro-batch's windows
+    of a deployment are ordered together, however Arrow cut them; a window not newer than the
+    last one consumed is ignored. One row per window of a deployment at most."""
 
     def step(key, batches: Iterator[pd.DataFrame], state):
         if state.exists:
-            idx, status, done = state.get
+            idx, status, done, last = state.get
             done = list(done)
         else:
-            idx, status, done = 0, "in_progress", []
+            idx, status, done, last = 0, "in_progress", [], None
+        windows = pd.concat(list(batches)).sort_values("window_start")
+        if last is not None:
+            windows = windows[windows["window_start"] > pd.Timestamp(last)]
+        # Health of all windows at once; the walk below is as long as the list of stages.
+        errors = (windows["errors"] / windows["requests"]).where(windows["requests"] > 0, 0.0)
+        health = (1.0 - errors).where(windows["requests"] > 0, 0.0)
+        good = ~((errors > error_rate_threshold) | (windows["latency_p95_ms"].fillna(0.0) > latency_threshold_ms)
+                 | (health < health_threshold))
         rows = []
-        for pdf in batches:
-            for r in pdf.sort_values("window_start").itertuples(index=False):
-                if status != "in_progress":
-                    continue
-                er = r.errors / r.requests if r.requests else 0.0
-                health = 1.0 - er if r.requests else 0.0
-                healthy = not (er > error_rate_threshold or (r.latency_p95_ms or 0.0) > latency_threshold_ms
-                               or health < health_threshold)
-                pct = stages[idx]
-                if healthy:
-                    done.append(pct)
-                    idx += 1
-                    if idx >= len(stages):
-                        status, idx = "completed", len(stages) - 1
-                else:
-                    status = "rolled_back"
-                rows.append((key[0], r.window_start, idx, pct, healthy, status, list(done)))
-        state.update((idx, status, done))
+        for start, healthy in zip(windows["window_start"], good):
+            if status != "in_progress":
+                break
+            pct = stages[idx]
+            if healthy:
+                done.append(pct)
+                idx += 1
+                if idx >= len(stages):
+                    status, idx = "completed", len(stages) - 1
+            else:
+                status = "rolled_back"
+            rows.append((key[0], start, idx, pct, bool(healthy), status, list(done)))
+        if len(windows):
+            last = windows["window_start"].iloc[-1].to_pydatetime()
+        state.update((idx, status, done, last))
         if rows:
             yield pd.DataFrame(rows, columns=["deployment_id", "window_start", "stage_index", "percentage",
                                               "healthy", "status", "stages_completed"])
@@ -171,15 +203,15 @@ def read_gauges(spark: SparkSession, target_path: str) -> DataFrame:
 
 
 def stream_gauges(updates: DataFrame, labels: list[str], value: str, target_path: str,
-                  keep: int = 2) -> None:
+                  checkpoint: str | None = None, keep: int = 2) -> None:
     """Last-value gauges kept up to date from a stream. Each micro-batch is reduced to one
     row per label set (``max_by`` on event time), merged with the previous snapshot (newest
     wins) and written as snapshot ``epoch=<batch id>``. A retried batch rewrites its own
     snapshot from the untouched previous one, so executor or driver loss never loses
     gauges; readers take the newest complete snapshot (``read_gauges``). The table is one
-    row per label set."""
-    spark = updates.sparkSession
-    ckpt = scratch_path(spark, f"streams/gauges-{uuid.uuid4().hex[:8]}/_checkpoint")
+    row per label set. The checkpoint belongs to the target (``<target_path>-checkpoint``
+    unless given), so a later run resumes, takes only new input, and its epochs go on rising."""
+    ckpt = checkpoint or f"{target_path.rstrip('/')}-checkpoint"
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         b = batch.groupBy(*labels).agg(F.max_by(F.struct("ts", value), F.struct("ts", value)).alias("g"))
@@ -194,11 +226,7 @@ def stream_gauges(updates: DataFrame, labels: list[str], value: str, target_path
         for old in prev[:-max(1, keep - 1)]:
             fs.delete_dir(f"{base}/epoch={old}")
 
-    q = (updates.select(*labels, "ts", value).writeStream.foreachBatch(merge)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    _run(updates.select(*labels, "ts", value).writeStream.foreachBatch(merge).option("checkpointLocation", ckpt))
 
 
 # W06 ----------------------------------------------------------------------------------
@@ -206,8 +234,16 @@ def stream_gauges(updates: DataFrame, labels: list[str], value: str, target_path
 def incremental_input(stream: DataFrame, target_path: str, checkpoint: str) -> int:
     """Append newly arrived rows to the training input (exactly once via the checkpoint);
     run on the retraining schedule with trigger availableNow. Returns rows appended by this
-    run (from the query's progress)."""
-    q = (stream.writeStream.format("parquet").option("path", target_path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return sum(p["numInputRows"] for p in q.recentProgress)
+    run, counted in the target (from its file footers) before and after."""
+    spark = stream.sparkSession
+
+    def rows() -> int:
+        try:
+            return spark.read.schema(stream.schema).parquet(target_path).count()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0
+    before = rows()
+    _run(stream.writeStream.format("parquet").option("path", target_path).option("checkpointLocation", checkpoint))
+    return rows() - before

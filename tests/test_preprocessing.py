@@ -125,3 +125,37 @@ def test_features_and_date_parts(spark):
     r = create_features(df, [("a", "b"), ("a", "zz")], ["a"]).collect()[0]
     assert r["a_x_b"] == 6.0 and r["a_squared"] == 4.0
     assert (r["t_year"], r["t_month"], r["t_day"], r["t_dayofweek"]) == (2024, 1, 1, 0)  # Monday = 0
+
+
+def test_prepare_fitted_on_train_does_not_leak(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from cadence.operators.prepare import Preprocessor, prepare
+    df = spark.range(400).selectExpr("concat('key', id) as k", "case when id % 4 > 0 then cast(id as double) end as x",
+                                     "case when id % 2 = 0 then 'a' else 'b' end as c", "cast(id % 3 as int) as y")
+    out, tgt, pre = prepare(df, "k", "y", fit_on="train")
+    train = out.where("split = 'train'").select("k")
+    mean = df.join(train, "k").agg(F.avg("x")).first()[0]
+    assert pre.imputation.fills["x"] == mean and pre.imputation.fills["x"] != df.agg(F.avg("x")).first()[0]
+    assert {r["k"] for r in out.collect()} == {f"key{i}" for i in range(400)}      # keys come out as they went in
+    more = df.unionByName(spark.range(400, 500).selectExpr("concat('key', id) as k", "cast(id as double) as x", "'a' as c", "1 as y"))
+    again = {r["k"]: r["split"] for r in prepare(more, "k", "y")[0].collect()}
+    assert all(again[r["k"]] == r["split"] for r in out.collect())                # a row keeps its split
+    pre.save(spark, tmp_dir + "/state")
+    same = Preprocessor.load(spark, tmp_dir + "/state").transform(df)
+    assert sorted(map(tuple, same.collect()), key=str) == sorted(map(tuple, pre.transform(df).collect()), key=str)
+
+
+def test_one_hot_of_new_data_has_the_fitted_columns(spark):
+    from cadence.operators.prepare import Preprocessor
+    a = spark.createDataFrame([("x", 1.0), ("y", 2.0)], "c string, v double")
+    b = spark.createDataFrame([("z", 3.0), ("x", 4.0)], "c string, v double")
+    pre = Preprocessor(encoding_method="onehot").fit(a)
+    assert pre.transform(b).columns == pre.transform(a).columns == ["v", "c_x", "c_y"]
+
+
+def test_mode_of_large_integers(spark):
+    from cadence.operators.impute import column_modes
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, True), (big, True), (big - 1, False), (None, None)], "v long, b boolean")
+    assert column_modes(df, ["v", "b"]) == {"v": big, "b": True}

@@ -56,3 +56,30 @@ def test_routes_and_histogram(spark):
     runs = spark.createDataFrame([(0.05,), (1.0,), (20.0,)], "duration_seconds double")
     h = {r["le"]: r["count"] for r in duration_histogram(runs).collect()}
     assert h["0.05"] == 1 and h["1.0"] == 2 and h["+Inf"] == 3
+
+
+def test_two_targets_of_one_model(spark):
+    mv = spark.createDataFrame([("m", 1, "Production"), ("m", 2, "Staging"), ("m", 3, "None"), ("o", 1, "Production")],
+                               "model_name string, version long, stage string")
+    t = spark.createDataFrame([("m", 2, "Production"), ("m", 3, "Staging")], "model_name string, version long, stage string")
+    got = {(r["model_name"], r["version"]): r["stage"] for r in transition_stage(mv, t).collect()}
+    assert got == {("m", 1): "Archived", ("m", 2): "Production", ("m", 3): "Staging", ("o", 1): "Production"}
+    assert transition_stage(mv, t).count() == 4
+
+
+def test_claimed_versions_are_not_given_twice(spark, tmp_dir):
+    from cadence.operators.registry_store import RegistryStore
+    store = RegistryStore(spark, "file://" + tmp_dir + "/registry")
+    assert store.register("m", "run_a") == 1
+    # Another writer read the same maximum and claims version 2 with an earlier clock.
+    early = spark.sql("select 'm' model_name, 2L version, 'run_b' run_id, cast(null as string) description, timestamp'2000-01-01' created_at")
+    store.append("model_versions", early)
+    late = RegistryStore(spark, "file://" + tmp_dir + "/registry")
+    real = late.read
+
+    def stale(name):  # this writer still sees version 1 only, once
+        late.read = real
+        return real(name).where("version = 1")
+    late.read = stale
+    assert late.register("m", "run_c") == 3
+    assert {(r["version"], r["run_id"]) for r in store.versions().collect()} == {(1, "run_a"), (2, "run_b"), (3, "run_c")}

@@ -125,3 +125,20 @@ def test_match_predicate_and_mismatch_order(spark):
     got = {r["request_id"]: r["predictions_match"] for r in c.collect()}
     assert got == {"a": True, "b": False, "c": False}     # |diff| 0.1 <= 0.1 + 1e-5; length differs
     assert [r["request_id"] for r in mismatch_samples(c, 10).collect()] == ["b", "c"]
+
+
+def test_stages_without_canary_traffic_are_listed_and_fail(spark):
+    import datetime as dt
+
+    from cadence.operators.canary import rollout_outcome, stage_progression
+    from cadence.functions.hashing import hash_bucket
+    from pyspark.sql import functions as F
+    # A user outside the first four stages' canary shares, active all the time.
+    user = spark.range(1000).where(hash_bucket(F.col("id"), 100) >= 50).first()["id"]
+    rows = [(user, dt.datetime(2024, 1, 1, h), False, 1.0, "d") for h in range(5)]
+    log = spark.createDataFrame(rows, "user_id long, ts timestamp, is_error boolean, latency_ms double, dep string")
+    for group in (None, ["dep"]):
+        st = stage_progression(log, stage_minutes=60, group=group)
+        assert [(r["stage"], r["requests_total"], r["status"]) for r in st.orderBy("stage").collect()] == [
+            (0, 0, "failed"), (1, 0, "skipped"), (2, 0, "skipped"), (3, 0, "skipped"), (4, 1, "skipped")]
+        assert rollout_outcome(st, group).first()["status"] == "rolled_back"

@@ -8,35 +8,38 @@ from cadence.sources import (detect_format, load_training_data, read_mixed_direc
 
 
 def _small():
-    return pd.DataFrame({"feature1": [1, 2, 3], "feature2": [4, 5, 6], "target": [0, 1, 0]})
+    return pd.DataFrame({"width": [11, 12, 14, 17], "height": [0.5, 1.5, 2.5, 4.5], "grade": ["b", "a", "c", "a"]})
 
 
 def test_csv_scan_keeps_rows_and_column_order(spark, tmp_dir):
     p = os.path.join(tmp_dir, "d.csv")
     _small().to_csv(p, index=False)
     df = read_source(spark, p)
-    assert df.count() == 3
-    assert df.columns == ["feature1", "feature2", "target"]
-    assert dict(df.dtypes)["feature1"] == "int"
+    assert df.count() == 4
+    assert df.columns == ["width", "height", "grade"]
+    assert dict(df.dtypes) == {"width": "int", "height": "double", "grade": "string"}
 
 
 def test_parquet_and_json_scan(spark, tmp_dir):
     p = os.path.join(tmp_dir, "d.parquet")
     _small().to_parquet(p, index=False)
-    assert read_source(spark, p).count() == 3
+    assert read_source(spark, p).count() == 4
     j = os.path.join(tmp_dir, "d.json")
     _small().to_json(j, orient="records")
-    assert sorted(r["feature1"] for r in read_source(spark, j).collect()) == [1, 2, 3]
+    assert sorted(r["width"] for r in read_source(spark, j).collect()) == [11, 12, 14, 17]
 
 
 def test_feather_scan_is_parallel_and_typed(spark, tmp_dir):
     d = os.path.join(tmp_dir, "feather")
     os.makedirs(d)
     for i in range(3):
-        _small().assign(feature1=lambda x, i=i: x.feature1 + 10 * i).to_feather(os.path.join(d, f"p{i}.feather"))
+        _small().assign(width=lambda x, i=i: x.width + 10 * i).to_feather(os.path.join(d, f"p{i}.feather"))
     df = read_source(spark, d, "feather")
-    assert df.count() == 9
-    assert sorted(r["feature1"] for r in df.collect())[-1] == 23
+    assert df.count() == 12 and dict(df.dtypes) == {"width": "bigint", "height": "double", "grade": "string"}
+    assert sorted(r["width"] for r in df.collect())[-1] == 37
+    assert read_source(spark, d).count() == 12 and read_source(spark, os.path.join(d, "p1.feather")).count() == 4
+    with pytest.raises(FileNotFoundError):
+        read_source(spark, tmp_dir, "feather")
 
 
 def test_unsupported_format():
@@ -88,3 +91,38 @@ def test_database_and_object_store_arguments(spark, monkeypatch):
     assert seen == {"path": "s3a://bucket/data/train.csv", "fmt": "csv"}       # suffix decides, not "always parquet"
     R.load_training_data(spark, "s3://bucket/data/part")
     assert seen["fmt"] == "parquet"
+
+
+def test_object_store_scan_through_another_scheme(spark, tmp_dir):
+    """The object reader takes its scheme as an argument; ``file`` needs no store."""
+    from cadence.sources.readers import read_object
+    _small().to_csv(os.path.join(tmp_dir, "d.csv"), index=False)
+    _small().to_parquet(os.path.join(tmp_dir, "part"), index=False)
+    assert read_object(spark, tmp_dir, "d.csv", scheme="file").count() == 4
+    assert read_object(spark, tmp_dir, "part", scheme="file").columns == ["width", "height", "grade"]
+
+
+def test_directory_of_many_csv_files_with_three_headers(spark, tmp_dir):
+    for i in range(30):
+        d = _small().assign(**{"n": i}) if i % 3 else _small()[["grade", "width"]] if i % 2 else _small()
+        d.to_csv(os.path.join(tmp_dir, f"f{i}.csv"), index=False)
+    df = read_mixed_directory(spark, tmp_dir)
+    assert df.count() == 120 and set(df.columns) == {"width", "height", "grade", "n"}
+    assert df.where("n is null").count() == 40 and df.where("height is null").count() == 20
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 3
+
+
+def test_append_log(spark, tmp_dir):
+    from cadence.sources.sinks import append_log
+    for _ in range(2):
+        append_log(spark.createDataFrame(_small()), os.path.join(tmp_dir, "log"))
+    assert spark.read.parquet(os.path.join(tmp_dir, "log")).count() == 8
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from cadence.session import checkpoint_dir
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(fake)
