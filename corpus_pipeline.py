@@ -10,8 +10,7 @@ from __future__ import annotations
 import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,24 +23,22 @@ from cadence.llm.pii import redact  # noqa: E402
 from cadence.llm.simhash import simhash_components  # noqa: E402
 from cadence.session import ship_package  # noqa: E402
 
-#: Language predictions below this score are rejected: family and language are both near a coin toss.
-MIN_LANGUAGE_SCORE = 0.3
-
 #: No stage can be expressed in DuckDB SQL (trained model, XXH64 bits, alignments, tokenizer).
 ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told: null texts, texts without a letter and near coin tosses go.
-    The model is learned from the labelled documents of the stage's own input; without any
-    label nothing can be told, and only texts without a letter go."""
+    """Documents whose language can be told: those that the operator calls `und` go, which are null
+    texts and texts without a letter. Short texts have low scores and stay. The model is learned
+    from the labelled documents of the stage's own input; without any label no language can be
+    told, and the same texts go."""
     ship_package(spark)
     model = fit(docs.select("doc_id", "text", "lang"))
     small_batches(spark)
     if not model.families:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     judged = docs.withColumn("__told", predict(model))
-    return judged.filter((F.col("__told.lang_pred") != UNKNOWN) & (F.col("__told.score") >= MIN_LANGUAGE_SCORE)).drop("__told")
+    return judged.filter(F.col("__told.lang_pred") != UNKNOWN).drop("__told")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
