@@ -82,3 +82,9 @@ def test_split_validation(spark):
     out = {r["split"]: r for r in validate_splits(df, "k").collect()}
     assert out["val"]["rows_with_nulls"] == 1 and out["train"]["shared_keys"] == 1
     assert not out["train"]["valid"]
+
+
+def test_duplicates_tell_null_places_apart(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", None), (None, None), (None, None), ("a", "a")], "x string, y string")
+    r = duplicate_ratio(df).first()
+    assert (r["n"], r["duplicates"]) == (6, 2)
