@@ -1,17 +1,21 @@
 """Documents in blocks that several passes can meet again without moving the text.
 
 Texts are written once to the shared folder as a table bucketed by block number; a block is a
-run of rows of one task, at most `BLOCK_BYTES` of text or one document longer than that. A pass
+run of rows of one task, at most a stated number of bytes of text or one document longer than
+that. A pass
 groups the table by block, and answers that other stages computed for a block are
 cogrouped with it: the bucketing spares the shuffle of the text each time, and since blocks are
 data, not tasks, a lost executor changes nothing.
 
 Passes ask questions about keys (hashes). A block sends its sorted keys to key buckets, one
-binary row per bucket; the bucket answers in the same order, so an answer needs no keys.
+binary row per bucket; the bucket answers in the same order, so an answer needs no keys. Blocks
+and buckets grow with the root of the text, so that such a row holds hundreds of keys at any
+size (8 MB blocks up to 80 GB of text, 300 MB blocks for 100 TB).
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 
 import numpy as np
@@ -21,8 +25,8 @@ from pyspark.sql import functions as F
 
 from cadence.llm.common import shared_folder, small_batches
 
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 128 << 20   # most text behind a bucket of blocks or of keys, on average
+BLOCK_BYTES = 8 << 20      # at least
+ROW_KEYS = 800             # a block times half a bucket has this many bytes for each byte of text, at least
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -36,17 +40,18 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def bucket_count(docs: DataFrame) -> int:
-    """Buckets for blocks and for keys: what the session asks for, more if the text needs it."""
+def layout(docs: DataFrame) -> tuple[int, int]:
+    """(bytes of a block; buckets for blocks and for keys): a bucket stands for two blocks' worth of
+    text, or less where the session asks for more partitions."""
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
+    block = max(BLOCK_BYTES, math.isqrt(ROW_KEYS * total))
+    return block, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * block)))
 
 
-def write_blocks(docs: DataFrame, buckets: int, block_bytes: int | None = None) -> DataFrame:
+def write_blocks(docs: DataFrame, block_bytes: int, buckets: int) -> DataFrame:
     """``docs`` (with a text column) with a column block, read back from the written table."""
     spark = docs.sparkSession
     small_batches(spark)
-    block_bytes = block_bytes or BLOCK_BYTES
     at = docs.columns.index("text")
 
     def number(batches):

@@ -13,12 +13,15 @@ from cadence.session import checkpoint_dir, scratch_path
 SPACE = "\x20\x09-\x0d"
 
 QUERIES: dict = {}
+ORACLE: dict[str, str] = {}
 
 
-def query(name: str):
-    """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
+def query(name: str, sql: str | None = None):
+    """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``, with its DuckDB SQL if SQL can say it."""
     def deco(fn):
         QUERIES[name] = fn
+        if sql:
+            ORACLE[name] = sql.strip()
         return fn
     return deco
 
@@ -38,10 +41,20 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the written copy."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` to the shared checkpoint folder and continue from the written copy. The
+    shuffle files it took are not needed any more, and Spark is asked to remove them."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint()
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -2,14 +2,13 @@
 
 import importlib
 
-from cadence.llm.common import QUERIES
+from cadence.llm.common import ORACLE, QUERIES
 
 MODULES = ("decontaminate", "embeddings", "language", "packing", "pii", "scoring", "sharding", "simhash", "suffixes", "warc")
 
-#: DuckDB SQL of the queries that SQL can express: none of the ten. Their hashes (XXH64, CRC-32),
-#: tokenizers, archives, trained models and permutations have no DuckDB counterpart; tests/llm
-#: holds each against a brute-force version, a round trip or held-out accuracy.
-ORACLE: dict[str, str] = {}
+# op7 and op10 have DuckDB SQL, beside their queries. The other eight have none: their hashes (XXH64,
+# CRC-32), tokenizer, trained models, alignments, bootstrapped patterns and byte spans have no DuckDB
+# counterpart; tests/llm holds each against a brute-force version or held-out accuracy.
 
 
 def load() -> tuple[dict, dict]:

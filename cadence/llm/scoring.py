@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.blocks import GOLDEN, bucket_count, by_bucket, mix, write_blocks
+from cadence.llm.blocks import GOLDEN, by_bucket, layout, mix, write_blocks
 from cadence.llm.common import crc_mod, cut, query, read
 
 START, END = b"\n", b" "   # no word contains white space
@@ -114,8 +114,8 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     """
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~held_out).alias("train"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    buckets = bucket_count(body)
-    blocks = write_blocks(body, buckets)
+    block_bytes, buckets = layout(body)
+    blocks = write_blocks(body, block_bytes, buckets)
 
     def ask(t: pa.Table) -> pa.Table:
         b = Block(t.column("text").to_pylist(), t.column("train").to_numpy().astype(bool), buckets)

@@ -10,12 +10,14 @@ dealt to key buckets, where the family lives: each batch becomes a level, levels
 equal size merge geometrically, and the batches are scanned against the levels for entries of
 other documents. Two rounds make it exact:
 
-1. A run whose whole content also stands in a smaller document goes as a whole. A run whose
-   minimizer other documents hold with other bytes around it is open, and so is the first
-   document's run for every such content.
+1. A run whose whole content also stands in a smaller document goes as a whole. Two runs with one
+   minimizer and different contents can share a 50-byte string only if the 17 bytes on the left of
+   it or the 17 on its right are equal; entries carry 8-bit hashes of both, and a run that agrees
+   with another in one of them is open.
 2. Of open runs every 50-byte string is looked up by its own hash in the same way.
 
-Then each block marks the bytes. Hashes have 64 bits; texts move once, into the blocks.
+Then each block marks the bytes. Keys and strings have 64-bit hashes; texts move once, into the
+blocks.
 """
 
 from __future__ import annotations
@@ -27,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.blocks import GOLDEN, bucket_count, by_bucket, mix, write_blocks
+from cadence.llm.blocks import GOLDEN, by_bucket, layout, mix, write_blocks
 from cadence.llm.common import cut, query, read, texts
 
 LENGTH = 50
 GRAM = 16                  # bytes of a minimizer
 PIECE = 1 << 18            # bytes of documents hashed together, so that arrays stay in cache
+SIDE = (LENGTH - GRAM) // 2  # bytes on one side of the minimizer that a string must have, left or right
 CLEAN, GONE, OPEN = 0, 1, 2
+ABSENT, ANY = 0, 255       # sides that agree with none, and with all
 
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -65,6 +69,7 @@ class Runs:
             part = np.frombuffer(padded, "<u8", (n - o + 7) // 8, o)
             words[o::8] = part[:len(words[o::8])]
         h = mix(words[:n - GRAM + 1] * GOLDEN + words[GRAM - 8:n - GRAM + 1 + GRAM - 8])
+        self.words, self.hashes = words, h
         least, reach = h, 1
         while reach * 2 <= w:
             least = np.minimum(least[:-reach], least[reach:])
@@ -82,15 +87,41 @@ class Runs:
         after = np.searchsorted(bounds, edge, side="right")
         stop = np.append(bounds, len(least))[after]
         self.size = stop - edge
-        self.key = mix(least[edge] + np.uint64(1))
+        self.least = least[edge]
+        self.key = mix(self.least + np.uint64(1))
+
+    def sides(self) -> np.ndarray:
+        """8-bit hashes of the `SIDE` bytes left (high byte) and right of each run's minimizer. A
+        side that none of the run's strings has in full is `ABSENT`; runs that a repeated
+        minimizer made have no one place for it and are `ANY`. Functions of the run's content."""
+        w = LENGTH - GRAM + 1
+        one = self.size <= w
+        view = np.lib.stride_tricks.sliding_window_view(self.hashes, w)
+        place = np.zeros(len(self.start), np.int64)
+        for k in range(0, len(self.start), 4096):
+            at = self.start[k:k + 4096]
+            same = view[at] == self.least[k:k + 4096, None]
+            one[k:k + 4096] &= same.sum(axis=1) == 1
+            place[k:k + 4096] = at + same.argmax(axis=1)
+        one &= place >= self.start + self.size - 1
+        left = one & (place - self.start >= SIDE)
+        right = one & (LENGTH - GRAM - (place - self.start - self.size + 1) >= SIDE)
+        out = []
+        for has, first in ((left, place - SIDE), (right, place + GRAM)):
+            f = first[has]
+            h = np.full(len(place), ABSENT, np.uint64)
+            h[has] = mix(mix(self.words[f] * GOLDEN + self.words[f + 8]) + self.words[f + SIDE - 8]) % np.uint64(254) + np.uint64(1)
+            out.append(np.where(one, h, np.uint64(ANY)))
+        return out[0] << np.uint64(8) | out[1]
 
     def content(self) -> np.ndarray:
-        """64-bit hash of all bytes of each run, its length included."""
+        """48-bit hash of all bytes of each run, its length included, then the hashes of its sides."""
         n = len(self.data)
         prefix = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE[self.data] * _powers(_BASE, n), out=prefix[1:])
         low, high = self.start, self.start + self.size + LENGTH - 1
-        return mix((prefix[high] - prefix[low]) * _powers(_BASE_INVERSE, n)[low] + self.size.astype(np.uint64) * GOLDEN)
+        h = mix((prefix[high] - prefix[low]) * _powers(_BASE_INVERSE, n)[low] + self.size.astype(np.uint64) * GOLDEN)
+        return h & ~np.uint64(0xFFFF) | self.sides()
 
     def strings(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(run, hash) of every 50-byte string of the runs ``which``, in order."""
@@ -118,8 +149,7 @@ def pieces(encoded: list[bytes]):
 
 
 class Family:
-    """Levels of sorted (key, content) entries with the smallest document and, per key, how many
-    contents it has. A batch is one level; a level merges with the next while that is at most
+    """Levels of sorted (key, content) entries with the smallest document of each. A batch is one level; a level merges with the next while that is at most
     twice its size, so there are logarithmically many and an entry is merged as often."""
 
     def __init__(self):
@@ -144,23 +174,38 @@ class Family:
         while len(self.levels) > 1:
             self.levels.append(self._level(*map(np.concatenate, zip(self.levels.pop(), self.levels.pop()))))
 
-    def scan(self, key: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(smallest document with this key and content; number of contents of this key) of a
-        settled family, by merging the batch with the level. Everything asked for is there."""
-        k, c, d = self.levels[0]
-        low, high = np.searchsorted(k, key), np.searchsorted(k, key, side="right")
-        at = low.copy()
-        several = np.flatnonzero(high - low > 1)
-        if len(several):
-            # Contents are ascending within a key: binary search in all ranges at once.
-            a, b = low[several], high[several] - 1
-            want = content[several]
-            while (a < b).any():
-                middle = (a + b) // 2
-                less = c[middle] < want
-                a, b = np.where(less, middle + 1, a), np.where(less, b, middle)
-            at[several] = a
-        return d[at], high - low
+    def agreeing(self) -> np.ndarray:
+        """For every entry of a settled family: does another content of its key agree on a side?"""
+        key, content, _ = self.levels[0]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        group = np.cumsum(new) - 1
+        several = (np.bincount(group) > 1)[group]
+        sides = content & np.uint64(0xFFFF)
+        out = np.zeros(len(key), bool)
+        any_side = np.zeros(len(key), bool)
+        for shift in (8, 0):
+            side = (sides >> np.uint64(shift)) & np.uint64(0xFF)
+            any_side |= side == ANY
+            code = group.astype(np.uint64) << np.uint64(8) | side
+            _, inverse, count = np.unique(code, return_inverse=True, return_counts=True)
+            out |= (count[inverse] > 1) & (side != ABSENT)
+        with_any = np.bincount(group, any_side)[group] > 0
+        return several & (out | with_any)
+
+    def find(self, key: np.ndarray, content: np.ndarray) -> np.ndarray:
+        """Where the entries of a batch stand in the settled family; all of them are there."""
+        k, c, _ = self.levels[0]
+        at, high = np.searchsorted(k, key), np.searchsorted(k, key, side="right")
+        several = np.flatnonzero(high - at > 1)
+        # Contents are ascending within a key: binary search in all ranges at once.
+        a, b, want = at[several], high[several] - 1, content[several]
+        while (a < b).any():
+            middle = (a + b) // 2
+            less = c[middle] < want
+            a, b = np.where(less, middle + 1, a), np.where(less, b, middle)
+        at[several] = a
+        return at
 
 
 def _rows(block: int, edge: np.ndarray, **columns: np.ndarray) -> pa.Table:
@@ -219,8 +264,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     null id counts as larger than any other. An empty table gives no rows.
     """
     body = texts(docs)
-    buckets = bucket_count(body)
-    blocks = write_blocks(body, buckets)
+    block_bytes, buckets = layout(body)
+    blocks = write_blocks(body, block_bytes, buckets)
 
     def ask_runs(t: pa.Table) -> pa.Table:
         _, _, _, key, content, doc = _all_runs(t)
@@ -233,10 +278,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             batches.append((np.frombuffer(k, np.uint64), np.frombuffer(c, np.uint64), np.frombuffer(d, np.int64)))
             family.add(*batches[-1])
         family.settle()
-        codes = []
+        smallest, agreeing, codes = family.levels[0][2], family.agreeing(), []
         for key, content, doc in batches:
-            smallest, contents = family.scan(key, content)
-            codes.append(np.where(smallest < doc, GONE, np.where(contents > 1, OPEN, CLEAN)))
+            at = family.find(key, content)
+            codes.append(np.where(smallest[at] < doc, GONE, np.where(agreeing[at], OPEN, CLEAN)))
         return _answers(t.column("block").to_pylist(), t.column("bucket")[0].as_py(), codes)
 
     def open_strings(parts, code):
@@ -264,7 +309,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             batches.append((key, np.zeros(len(key), np.uint64), np.frombuffer(d, np.int64)))
             family.add(*batches[-1])
         family.settle()
-        codes = [family.scan(key, content)[0] < doc for key, content, doc in batches]
+        codes = [family.levels[0][2][family.find(key, content)] < doc for key, content, doc in batches]
         return _answers(t.column("block").to_pylist(), t.column("bucket")[0].as_py(), codes)
 
     def remove(t: pa.Table, a: pa.Table) -> pa.Table:

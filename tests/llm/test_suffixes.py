@@ -80,5 +80,6 @@ def test_family_levels():
         assert all(a > 2 * c for a, c in zip(sizes, sizes[1:]))
     f.settle()
     k, c, d = map(np.concatenate, zip(*seen))
-    doc, contents = f.scan(k, c)
-    assert all(x == d[(k == a) & (c == b)].min() and n == len(set(c[k == a])) for a, b, x, n in zip(k, c, doc, contents))
+    at = f.find(k, c)
+    assert (f.levels[0][0][at] == k).all() and (f.levels[0][1][at] == c).all()
+    assert all(x == d[(k == a) & (c == b)].min() for a, b, x in zip(k, c, f.levels[0][2][at]))
