@@ -194,8 +194,10 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
             .filter("n > 1 and winner is not null").drop("n"))
     revisits = (p.select("page_id", "same").join(best, "same").filter(~F.col("page_id").eqNullSafe(F.col("winner")))
                 .distinct().withColumnsRenamed({"page_id": "__page", "same": "__same"}))
-    sample = (p.select(F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "page_id", "url")
-              .orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_ROWS).collect())
+    # A threshold on a hash leaves about twice the sample, whatever the number of pages.
+    share = min(1.0, 2 * SAMPLE_ROWS / max(p.count(), 1))
+    sample = (p.filter(F.pmod(F.xxhash64("page_id", "same"), F.lit(1 << 40)) < int(share * (1 << 40)))
+              .select(F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "page_id", "url").limit(SAMPLE_ROWS).collect())
     dictionary = train_dictionary([make_record(r.page_id, r.url, bytes(r.payload), None, False) for r in sample])
     decided = (p.join(revisits, F.col("page_id").eqNullSafe(F.col("__page")) & (F.col("same") == F.col("__same")), "left")
                .select("page_id", "url", "payload", "winner"))
@@ -266,7 +268,21 @@ def read_archives(spark: SparkSession, folder: str, payload: bool = True) -> Dat
                                  "payload_bytes long, payload_digest string, payload binary")
 
 
-@query("op7_warc")
+_SQL = """
+WITH p AS (SELECT page_id, strlen(COALESCE(html, '')) AS payload_bytes, sha1(COALESCE(html, '')) AS h FROM pages),
+b AS (SELECT *, array_to_string(list_transform(range(0, 40), lambda i:
+        substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (strpos('0123456789abcdef', substr(h, CAST(i AS INTEGER) + 1, 1)) - 1) + 1, 4)), '') AS bits FROM p),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY h, payload_bytes) AS winner,
+      array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + 16 * CAST(substr(bits, 5 * CAST(i AS INTEGER) + 1, 1) AS INTEGER) + 8 * CAST(substr(bits, 5 * CAST(i AS INTEGER) + 2, 1) AS INTEGER)
+          + 4 * CAST(substr(bits, 5 * CAST(i AS INTEGER) + 3, 1) AS INTEGER) + 2 * CAST(substr(bits, 5 * CAST(i AS INTEGER) + 4, 1) AS INTEGER)
+          + CAST(substr(bits, 5 * CAST(i AS INTEGER) + 5, 1) AS INTEGER), 1)), '') AS payload_digest FROM b)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = winner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> winner THEN winner END AS refers_to FROM w"""
+
+
+@query("op7_warc", _SQL)
 def op7_warc(spark, sf_dir):
     folder = shared_folder(spark, "warc")
     if not write_archives(read(spark, sf_dir, "pages"), folder).count():
