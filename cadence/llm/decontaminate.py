@@ -55,6 +55,7 @@ class Items:
                       for w in by_words]
         if len(self.vocabulary) >= 1 << _BITS:
             raise ValueError(f"over {1 << _BITS} different words in a block of test items; make BLOCK smaller")
+        self.lengths = np.array([len(w) for w in self.words], np.int64)
         self.sizes = sorted({min(GRAM, len(w)) for w in self.words})
         grams = [pack(w, min(GRAM, len(w))) for w in self.words]
         self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
@@ -174,7 +175,7 @@ def suggest(items: Items, numbers: np.ndarray):
     step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     entry = np.repeat(items.seed_first[which], count) + step
     item = items.seed_item[entry]
-    size = np.array([len(w) for w in items.words])[item]
+    size = items.lengths[item]
     place = np.floor_divide(np.repeat(at, count) - items.seed_offset[entry], size)
     pair = np.unique(np.stack([item, place]), axis=1)
     return pair[0], pair[1]

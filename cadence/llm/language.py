@@ -5,7 +5,7 @@ read as one space), square roots of their shares, so its length is one. Families
 apart by linear support vector machines, one per pair of families; the languages of the
 family that wins are told apart by one machine per pair of them. Machines are fitted by dual
 coordinate descent on a bounded sample of the labelled rows: at most `SAMPLE` documents a
-language, those with the smallest hash (production parameter; all else covers all
+language and `TOTAL` in all, those with the smallest hash (production parameter; all else covers all
 rows). Scoring reads every whole text once, in Arrow batches, and moves nothing.
 """
 
@@ -28,7 +28,8 @@ FAMILIES = {
     "fr": "romance", "es": "romance", "it": "romance", "pt": "romance", "ro": "romance", "ca": "romance",
     "ru": "slavic", "pl": "slavic", "cs": "slavic", "uk": "slavic", "bg": "slavic", "sk": "slavic",
 }
-SAMPLE = 600        # labelled documents a language
+SAMPLE = 600        # labelled documents a language, at most
+TOTAL = 12_000      # labelled documents of all languages together, at most
 LANGUAGES = 200     # most languages a model may have
 WIDTH = 8192        # hashed trigrams
 SHARPNESS = 4.0     # margin to probability
@@ -114,6 +115,7 @@ def fit(labelled: DataFrame, families: dict[str, str] = FAMILIES, per_language:
     names = sorted(sizes)
     if not names:
         return LanguageModel({}, {}, np.zeros((1, WIDTH + 1), np.float32))
+    per_language = max(1, min(per_language, TOTAL // len(names)))
     # A threshold on the hash leaves a little more than the sample; only that much is ranked.
     most = F.create_map(*[F.lit(v) for n in names for v in
                           (n, int(HASHES * min(1.0, (1.5 * per_language + 100) / sizes[n])))])
@@ -128,7 +130,7 @@ def fit(labelled: DataFrame, families: dict[str, str] = FAMILIES, per_language:
         return pd.DataFrame({"place": [np.flatnonzero(c).astype(np.int32) for c in counts],
                              "n": [c[c > 0].astype(np.int32) for c in counts]})
 
-    # At most per_language rows for each of at most LANGUAGES languages.
+    # At most TOTAL rows (or one for each of at most LANGUAGES languages).
     rows = few.select("lang", "__rank", counted("text").alias("c")).select("lang", "__rank", "c.place", "c.n").collect()
     rows.sort(key=lambda r: (r.lang, r["__rank"]))
     x, lang = np.zeros((len(rows), WIDTH), np.float32), np.array([r.lang for r in rows])
