@@ -1,8 +1,8 @@
 """Embedding near-duplicates with an inverted multi-index.
 
 Vectors of a label that are equal collapse to one class first. Two independent codebooks, one
-per half of the (unit) vectors, are fitted by k-means on a bounded sample (`SAMPLE` rows with
-the smallest hash of their id); their product grid has K x K cells, and every class is indexed
+per half of the (unit) vectors, are fitted by k-means on a bounded sample (`SAMPLE` rows, told
+by a hash of their id); their product grid has K x K cells, and every class is indexed
 in its cell. Every class also searches: a multi-sequence traversal visits the cells by
 ascending distance (sum of both halves' squared distances to the codewords). How many cells it
 visits is calibrated: simulated partners of sampled vectors, placed exactly at the threshold in
@@ -166,11 +166,13 @@ def _meetings(batches: Iterator[pa.RecordBatch], threshold: float):
 def _links(classes: DataFrame, threshold: float, target: float, sample_rows: int) -> DataFrame | None:
     """(id, links, other) of classes (group, id, copies, vector) that all have one dimension."""
     spark = classes.sparkSession
-    sample = np.array([r.vector for r in classes.select("vector", "id").orderBy(F.xxhash64("id"), "id")
-                       .limit(sample_rows).collect()], np.float64)
-    if not len(sample):
-        return None
     size = classes.agg(F.count(F.lit(1)), F.approx_count_distinct("group")).first()
+    if not size[0]:
+        return None
+    # A threshold on the hash of the id leaves a little more than the sample, whatever the size.
+    share = min(1.0, (1.1 * sample_rows + 100) / size[0])
+    few = classes.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < int(share * (1 << 40)))
+    sample = np.array([r.vector for r in few.select("vector").limit(sample_rows).collect()], np.float64)
     index = MultiIndex(sample, size[0] / max(size[1], 1), threshold, target)
 
     def place(batches):
@@ -186,7 +188,7 @@ def _links(classes: DataFrame, threshold: float, target: float, sample_rows: int
 
     small_batches(spark, 2000)
     placed = cut(classes.select("group", "id", "copies", "vector").mapInArrow(
-        place, "group long, id long, copies long, vector array<double>, own int, visits array<int>"))
+        place, f"group long, id long, copies long, vector {dict(classes.dtypes)['vector']}, own int, visits array<int>"))
     members = placed.select("group", F.col("own").alias("cell"), "id", "copies", "vector")
     visitors = placed.select("group", F.explode("visits").alias("cell"), "id", "copies", "vector")
     parts = (placed.groupBy("group", F.col("own").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("ni"))
@@ -212,8 +214,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, target: float =
     id link with nothing (a null id gets a null component and is not kept). Repeated rows count as
     vectors of their own. An empty table gives no rows.
     """
+    # Floats travel as floats; all arithmetic is double.
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"),
-                       F.col("embedding").cast("array<double>").alias("vector"))
+                       F.col("embedding").cast(kind).alias("vector"))
     usable = _usable(F.col("vector")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     # 96 bits of hash stand for (label, vector); -0.0 counts as 0.0.
     even = F.transform("vector", lambda c: c + F.lit(0.0))
@@ -245,6 +249,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, target: float =
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
 
 
-@query("op10_embedding_dedup")
+# Brute force: all pairs of a label. At the size of the oracle check a label is one cell, so the index
+# meets every pair as well.
+_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+u AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND list_sum(list_transform(e, lambda x: x * x)) > 0
+      AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+      WHERE list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.98),
+r(node, seen) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.seen FROM r JOIN l ON r.node = l.a)
+SELECT v.vec_id, CAST((SELECT count(*) FROM l WHERE l.a = v.vec_id) AS BIGINT) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN (SELECT node, min(seen) AS component_id FROM r GROUP BY node) c ON c.node = v.vec_id"""
+
+
+@query("op10_embedding_dedup", _SQL)
 def op10_embedding_dedup(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "embeddings"))
