@@ -9,7 +9,7 @@ from cadence.functions.columns import round_doubles
 from cadence.operators.metrics import (classification_metrics, classification_report,
                                        confusion_matrix, log_loss, per_class_scores, roc_auc,
                                        roc_auc_ovr, valid_targets)
-from cadence.operators.score import linear_logits, nearest_centroid, score_logits
+from cadence.operators.score import linear_logits, nearest_centroid, response_shape, score_logits
 from cadence.plans.catalog import query
 from cadence.tables import table
 
@@ -201,6 +201,24 @@ def q_softmax_argmax(spark, sf_dir):
         F.avg(F.array_max("probabilities")).alias("mean_top_probability")))
 
 
+@query("response_shape", "B04 B01", f"""
+WITH l AS (SELECT vec_id, {", ".join(_LOGIT.format(c=c) for c in range(_CLASSES))} FROM embeddings),
+p AS (SELECT vec_id, CASE WHEN l0 = greatest(l0, l1, l2) THEN 0 WHEN l1 = greatest(l0, l1, l2) THEN 1 ELSE 2 END AS k FROM l)
+SELECT 'linear-v1' AS model_version, CAST(k AS DOUBLE) AS prediction, CAST(count(*) AS BIGINT) AS n,
+       CAST(count(*) FILTER (WHERE vec_id % 2 = 1) AS BIGINT) AS generated_ids,
+       CAST(sum(CASE WHEN vec_id % 2 = 0 THEN vec_id ELSE 0 END) AS BIGINT) AS given_ids FROM p GROUP BY k""")
+def q_response_shape(spark, sf_dir):
+    """Responses to scored requests; those with an odd id come without one."""
+    emb = table(spark, sf_dir, "embeddings").select(
+        F.when(F.col("vec_id") % 2 == 0, F.col("vec_id").cast("string")).alias("request_id"),
+        F.col("embedding").cast("array<double>").alias("x"))
+    r = response_shape(score_logits(emb, linear_logits(F.col("x"), _W)), "linear-v1")
+    made = F.col("request_id").startswith("req_")
+    return r.groupBy("model_version", "prediction").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.count_if(made).cast("bigint").alias("generated_ids"),
+        F.coalesce(F.sum(F.when(~made, F.col("request_id")).cast("bigint")), F.lit(0)).cast("bigint").alias("given_ids"))
+
+
 __all__ = ["argmax", "softmax"]
 
 

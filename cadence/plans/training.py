@@ -42,7 +42,7 @@ def q_mlp_history(spark, sf_dir):
                   .select("iteration", "loss", F.col("__best").isNotNull().alias("best"))
 
 
-@query("mlp_batch_scores", "B01 B04")
+@query("mlp_batch_scores", "B01")
 def q_mlp_batch_scores(spark, sf_dir):
     data, model = _model(spark, sf_dir)
     s = score(model, data, version="1")
