@@ -2,10 +2,12 @@
 
 Links stay distributed; every round is two grouped minima and two joins, written to the
 shared checkpoint folder. Rounds grow with the logarithm of the longest path, not with it.
+`join_labels` is the same for the links that a task has met by itself.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +39,19 @@ def connected_components(links: DataFrame) -> DataFrame:
     # A star forest now: every node but a component's smallest has that one as its only neighbour.
     return (e.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
             .unionByName(e.select(F.col("lo").alias("node"), F.col("lo").alias("component"))).distinct())
+
+
+def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Union of the classes of a[i] and b[i], classes being numbered by their smallest member."""
+    while True:
+        la, lb = label[a], label[b]
+        if np.array_equal(la, lb):
+            return label
+        low = np.minimum(la, lb)
+        np.minimum.at(label, la, low)
+        np.minimum.at(label, lb, low)
+        while True:
+            jumped = label[label]
+            if np.array_equal(jumped, label):
+                break
+            label = jumped

@@ -25,8 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.common import cut, query, read, small_batches
-from cadence.llm.components import connected_components
-from cadence.llm.simhash import _join_labels
+from cadence.llm.components import connected_components, join_labels
 
 SAMPLE = 20_000
 CELL = 256            # wanted members of a cell, for the size of the codebooks
@@ -117,7 +116,7 @@ def meet(member: np.ndarray, weight: np.ndarray, visitor: np.ndarray, member_id:
         near &= v_at[i:i + 512, None] != m_at
         links[i:i + 512] = near @ weight
         v, m = np.nonzero(near)
-        label = _join_labels(label, v_at[i:i + 512][v], m_at[m])
+        label = join_labels(label, v_at[i:i + 512][v], m_at[m])
     moved = np.flatnonzero(label != np.arange(len(ids)))
     return links, ids[moved], ids[label[moved]]
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.common import cut, query, read, small_batches, texts
-from cadence.llm.components import connected_components
+from cadence.llm.components import connected_components, join_labels
 
 SEED = 42
 TREE = 4096
@@ -103,22 +103,6 @@ class Forest:
         return np.concatenate(out_q), np.concatenate(out_n)
 
 
-def _join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Union of the classes of a[i] and b[i], classes being numbered by their smallest member."""
-    while True:
-        la, lb = label[a], label[b]
-        if np.array_equal(la, lb):
-            return label
-        low = np.minimum(la, lb)
-        np.minimum.at(label, la, low)
-        np.minimum.at(label, lb, low)
-        while True:
-            jumped = label[label]
-            if np.array_equal(jumped, label):
-                break
-            label = jumped
-
-
 def link_batch(run: np.ndarray, value: np.ndarray, tree: np.ndarray, search: np.ndarray, radius: int):
     """Links that join, in every run, all values within ``radius`` of each other: pairs of row
     indexes (row, smallest row of its class). ``tree`` rows form the trees, ``search`` rows search."""
@@ -129,7 +113,7 @@ def link_batch(run: np.ndarray, value: np.ndarray, tree: np.ndarray, search: np.
     for i in range(0, len(rows_q), QUERIES_AT_ONCE):
         rows = rows_q[i:i + QUERIES_AT_ONCE]
         q, node = forest.within(run[rows], value[rows], radius)
-        label = _join_labels(label, rows[q], rows_t[node])
+        label = join_labels(label, rows[q], rows_t[node])
     moved = np.flatnonzero(label != np.arange(len(value)))
     return moved, label[moved]
 
