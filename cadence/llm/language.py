@@ -30,7 +30,7 @@ FAMILIES = {
 }
 SAMPLE = 600        # labelled documents a language, at most
 TOTAL = 12_000      # labelled documents of all languages together, at most
-LANGUAGES = 200     # most languages a model may have
+LANGUAGES = 60      # most languages a model may have: 1,770 machines, 58 MB, at most
 WIDTH = 8192        # hashed trigrams
 SHARPNESS = 4.0     # margin to probability
 UNKNOWN = "und"
