@@ -95,8 +95,10 @@ def column_modes(df: DataFrame, columns: list[str]) -> dict[str, Any]:
 
 def fit_missing(df: DataFrame, strategy: str = "mean", fill_value: Any = None,
                 columns: list[str] | None = None, exact: bool = True,
-                only_missing: bool = True) -> Imputation:
-    """Fit fill values. Pass 1 counts missing values of every column (and takes the mean,
+                only_missing: bool = True, missing: dict[str, int] | None = None,
+                zeros: dict[str, int] | None = None) -> Imputation:
+    """Fit fill values. ``missing`` gives counts that are known already and spares a pass (not
+    for means); ``zeros`` is filled with the number of zeros of the columns it names, on the way. Pass 1 counts missing values of every column (and takes the mean,
     when asked) in one aggregate; medians and modes are then computed only for columns that
     hold missing values (``only_missing``) - a fill value of a complete column is never
     used, and exact medians / modes are the expensive aggregates."""
@@ -112,10 +114,16 @@ def fit_missing(df: DataFrame, strategy: str = "mean", fill_value: Any = None,
     num = [c for c in numeric_columns(df) if c in cols]
     cat = [c for c in categorical_columns(df) if c in cols]
     aggs = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
+    aggs += [F.count_if(F.col(c) == 0).alias(f"z{i}") for i, c in enumerate(zeros or {})]
     if strategy == "mean":
         aggs += [F.avg(c).cast("double").alias(f"a{i}") for i, c in enumerate(cols) if c in num]
-    row = base.agg(*aggs).first()  # one row: null counts (+ means)
-    has_null = {c for i, c in enumerate(cols) if row[f"n{i}"]}
+    if missing is not None and strategy != "mean":
+        has_null = {c for c in cols if missing.get(c)}
+    else:
+        row = base.agg(*aggs).first()  # one row: null counts (+ means)
+        has_null = {c for i, c in enumerate(cols) if row[f"n{i}"]}
+        for i, c in enumerate(zeros or {}):
+            zeros[c] = row[f"z{i}"]
     need = (lambda c: c in has_null) if only_missing else (lambda c: True)
     if strategy == "mode":
         targets = [c for c in cols if need(c)]

@@ -54,11 +54,15 @@ class Preprocessor:
         """Fit every step on ``df``, each on what the steps before made of it."""
         cols = [c for c in df.columns if c not in self.keys]
         df = df.select(*cols)
-        self.imputation = fit_missing(df, self.missing_strategy, exact=self.exact)
+        zeros = {c: 0 for c in self.zero_as_missing_columns if c in cols}
+        self.imputation = fit_missing(df, self.missing_strategy, exact=self.exact, zeros=zeros)
         df = apply_missing(df, self.imputation)
-        if self.zero_as_missing_columns:
-            df = zero_as_missing(df, self.zero_as_missing_columns)
-            self.zero_imputation = fit_missing(df, "median", exact=self.exact, columns=self.zero_as_missing_columns)
+        if zeros:
+            df = zero_as_missing(df, list(zeros))
+            # Filling leaves nothing missing but the zeros just counted (and whole columns of NULL, or
+            # fills that are zero themselves, which a new count would find).
+            known = all(v not in (None, 0) for v in self.imputation.fills.values()) and self.missing_strategy not in ("fill", "drop")
+            self.zero_imputation = fit_missing(df, "median", exact=self.exact, columns=list(zeros), missing=zeros if known else None)
             df = apply_missing(df, self.zero_imputation)
         if self.encoding_method == "label":
             self.codes = fit_label_codes(df)
