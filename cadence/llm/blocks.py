@@ -10,7 +10,8 @@ data, not tasks, a lost executor changes nothing.
 Passes ask questions about keys (hashes). A block sends its sorted keys to key buckets, one
 binary row per bucket; the bucket answers in the same order, so an answer needs no keys. Blocks
 and buckets grow with the root of the text, so that such a row holds hundreds of keys at any
-size (8 MB blocks up to 80 GB of text, 300 MB blocks for 100 TB).
+size (8 MB blocks up to 44 GB of text, 400 MB blocks for 100 TB). There are four key buckets to a
+partition, which evens out what hashing gives a task.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from cadence.llm.common import shared_folder, small_batches
 
 BLOCK_BYTES = 8 << 20      # at least
-ROW_KEYS = 800             # a block times half a bucket has this many bytes for each byte of text, at least
+ROW_KEYS = 1600            # the square of a block's bytes for each byte of text, at least
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -40,12 +41,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def layout(docs: DataFrame) -> tuple[int, int]:
-    """(bytes of a block; buckets for blocks and for keys): a bucket stands for two blocks' worth of
-    text, or less where the session asks for more partitions."""
+def layout(docs: DataFrame) -> tuple[int, int, int]:
+    """(bytes of a block, buckets of blocks, buckets of keys): a bucket of blocks stands for two
+    blocks of text, or less where the session asks for more partitions."""
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     block = max(BLOCK_BYTES, math.isqrt(ROW_KEYS * total))
-    return block, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * block)))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * block)))
+    return block, parts, 4 * parts
 
 
 def write_blocks(docs: DataFrame, block_bytes: int, buckets: int) -> DataFrame:
@@ -79,6 +81,8 @@ def write_blocks(docs: DataFrame, block_bytes: int, buckets: int) -> DataFrame:
 
 def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(order of ``keys`` by bucket, then key; first place of every bucket and the end)."""
-    bucket = (keys % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((keys, bucket))
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+    order = np.argsort(keys)
+    # Numbers of 16 bits are sorted by radix, in one go.
+    bucket = (keys[order] % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+    within = np.argsort(bucket, kind="stable")
+    return order[within], np.searchsorted(bucket[within], np.arange(buckets + 1))

@@ -114,8 +114,8 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     """
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~held_out).alias("train"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    block_bytes, buckets = layout(body)
-    blocks = write_blocks(body, block_bytes, buckets)
+    block_bytes, parts, buckets = layout(body)
+    blocks = write_blocks(body, block_bytes, parts)
 
     def ask(t: pa.Table) -> pa.Table:
         b = Block(t.column("text").to_pylist(), t.column("train").to_numpy().astype(bool), buckets)

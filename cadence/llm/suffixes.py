@@ -23,6 +23,7 @@ blocks.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,19 @@ _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
+@lru_cache(maxsize=4)
+def _table(base: int, size: int) -> np.ndarray:
+    out = np.full(size, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    return _table(int(base), PIECE + LENGTH)[:n] if n <= PIECE + LENGTH else _table.__wrapped__(int(base), n)
+
+
 class Runs:
-    """Runs of 50-byte strings with one minimizer, over some documents set end to end.
+    """Runs of 50-byte strings with one minimizer, over some documents (or a part of one) set end to end.
     ``start`` and ``size``: first string and number of strings of each run, as places in ``data``."""
 
     def __init__(self, data: bytes, length: np.ndarray):
@@ -137,14 +143,22 @@ class Runs:
 
 
 def pieces(encoded: list[bytes]):
-    """(numbers of the documents, their bytes end to end, their lengths), `PIECE` bytes or one document."""
+    """(documents' numbers, places in them, their bytes end to end, lengths): `PIECE` bytes of whole
+    documents, or `PIECE` strings of a longer one. Pieces of a document overlap by one byte less
+    than a string, so that every string begins in exactly one."""
     low = 0
     while low < len(encoded):
+        if len(encoded[low]) > PIECE + LENGTH - 1:
+            for at in range(0, len(encoded[low]) - LENGTH + 1, PIECE):
+                part = encoded[low][at:at + PIECE + LENGTH - 1]
+                yield np.array([low]), np.array([at]), part, np.array([len(part)])
+            low += 1
+            continue
         high, held = low, 0
         while high < len(encoded) and (high == low or held + len(encoded[high]) <= PIECE):
             held += len(encoded[high])
             high += 1
-        yield np.arange(low, high), b"".join(encoded[low:high]), np.array([len(e) for e in encoded[low:high]])
+        yield np.arange(low, high), np.zeros(high - low, np.int64), b"".join(encoded[low:high]), np.array([len(e) for e in encoded[low:high]])
         low = high
 
 
@@ -157,10 +171,15 @@ class Family:
 
     @staticmethod
     def _level(key: np.ndarray, content: np.ndarray, doc: np.ndarray):
-        order = np.lexsort((doc, content, key))
+        # Sorted runs are merged by the stable sort; only entries that share a key are sorted further.
+        order = np.argsort(key, kind="stable")
         key, content, doc = key[order], content[order], doc[order]
+        same = key[1:] == key[:-1]
+        tied = np.flatnonzero(np.concatenate(([False], same)) | np.concatenate((same, [False]))) if len(key) else np.zeros(0, int)
+        inner = tied[np.lexsort((doc[tied], content[tied], key[tied]))]
+        content[tied], doc[tied] = content[inner], doc[inner]
         first = np.ones(len(key), bool)
-        first[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
+        first[1:] = ~same | (content[1:] != content[:-1])
         return key[first], content[first], doc[first]
 
     def add(self, key: np.ndarray, content: np.ndarray, doc: np.ndarray) -> None:
@@ -177,21 +196,23 @@ class Family:
     def agreeing(self) -> np.ndarray:
         """For every entry of a settled family: does another content of its key agree on a side?"""
         key, content, _ = self.levels[0]
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        group = np.cumsum(new) - 1
-        several = (np.bincount(group) > 1)[group]
-        sides = content & np.uint64(0xFFFF)
         out = np.zeros(len(key), bool)
-        any_side = np.zeros(len(key), bool)
+        same = key[1:] == key[:-1]
+        if not same.any():
+            return out
+        several = np.flatnonzero(np.concatenate(([False], same)) | np.concatenate((same, [False])))
+        new = np.ones(len(several), bool)
+        new[1:] = key[several[1:]] != key[several[:-1]]
+        group = np.cumsum(new) - 1
+        agree, any_side = np.zeros(len(several), bool), np.zeros(len(several), bool)
         for shift in (8, 0):
-            side = (sides >> np.uint64(shift)) & np.uint64(0xFF)
+            side = (content[several] >> np.uint64(shift)) & np.uint64(0xFF)
             any_side |= side == ANY
             code = group.astype(np.uint64) << np.uint64(8) | side
             _, inverse, count = np.unique(code, return_inverse=True, return_counts=True)
-            out |= (count[inverse] > 1) & (side != ABSENT)
-        with_any = np.bincount(group, any_side)[group] > 0
-        return several & (out | with_any)
+            agree |= (count[inverse] > 1) & (side != ABSENT)
+        out[several] = agree | (np.bincount(group, any_side)[group] > 0)
+        return out
 
     def find(self, key: np.ndarray, content: np.ndarray) -> np.ndarray:
         """Where the entries of a batch stand in the settled family; all of them are there."""
@@ -221,16 +242,18 @@ def _documents(t: pa.Table) -> tuple[list[bytes], np.ndarray]:
     return t.column("text").cast(pa.binary()).to_pylist(), ids
 
 
-def _all_runs(t: pa.Table):
-    """(bytes, ids, [(document numbers, Runs)], key, content, doc) of a block, runs of all pieces in order."""
+def _all_runs(t: pa.Table, contents: bool = False):
+    """(bytes, ids, [(document numbers, places, Runs)], key, content if asked for, doc) of a block,
+    runs of all pieces in order."""
     encoded, ids = _documents(t)
     parts, key, content, doc = [], [], [], []
-    for numbers, data, length in pieces(encoded):
+    for numbers, places, data, length in pieces(encoded):
         r = Runs(data, length)
         if len(r.start):
-            parts.append((numbers, r))
+            parts.append((numbers, places, r))
             key.append(r.key)
-            content.append(r.content())
+            if contents:
+                content.append(r.content())
             doc.append(ids[numbers[r.doc[r.start]]])
     join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
     return encoded, ids, parts, join(key, np.uint64), join(content, np.uint64), join(doc, np.int64)
@@ -264,11 +287,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     null id counts as larger than any other. An empty table gives no rows.
     """
     body = texts(docs)
-    block_bytes, buckets = layout(body)
-    blocks = write_blocks(body, block_bytes, buckets)
+    block_bytes, parts, buckets = layout(body)
+    blocks = write_blocks(body, block_bytes, parts)
 
     def ask_runs(t: pa.Table) -> pa.Table:
-        _, _, _, key, content, doc = _all_runs(t)
+        _, _, _, key, content, doc = _all_runs(t, contents=True)
         order, edge = by_bucket(key, buckets)
         return _rows(t.column("block")[0].as_py(), edge, key=key[order], content=content[order], doc=doc[order])
 
@@ -287,7 +310,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def open_strings(parts, code):
         """(run, hash) of the strings of open runs; runs are numbered over all parts of the block."""
         run, hashes, before = [], [], 0
-        for _, r in parts:
+        for _, _, r in parts:
             which = np.flatnonzero(code[before:before + len(r.start)] == OPEN)
             if len(which):
                 a, h = r.strings(which)
@@ -318,10 +341,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         code = _codes(a.filter(pa.array(step == 1)), by_bucket(key, buckets)[0])
         run, h = open_strings(parts, code)
         hit = _codes(a.filter(pa.array(step == 2)), by_bucket(h, buckets)[0])
-        removed, spans = np.zeros(len(encoded), np.int64), np.zeros(len(encoded), np.int64)
-        kept = list(encoded)
+        masks: dict[int, np.ndarray] = {}
         before = 0
-        for numbers, r in parts:
+        for numbers, places, r in parts:
             n = len(r.start)
             mine = code[before:before + n]
             change = np.zeros(len(r.data) + 1, np.int64)
@@ -339,16 +361,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 np.add.at(change, at, 1)
                 np.add.at(change, at + LENGTH, -1)
             cover = np.cumsum(change[:-1]) > 0
-            if cover.any():
-                np.add.at(removed, numbers[r.doc[cover]], 1)
-                begins = cover.copy()
-                begins[1:] &= ~cover[:-1] | (r.doc[1:] != r.doc[:-1])
-                np.add.at(spans, numbers[r.doc[begins]], 1)
-                edge = np.searchsorted(r.doc, np.arange(len(numbers) + 1))
-                for i in np.unique(r.doc[cover]):
-                    part = slice(edge[i], edge[i + 1])
-                    kept[numbers[i]] = r.data[part][~cover[part]].tobytes()
+            edge = np.searchsorted(r.doc, np.arange(len(numbers) + 1))
+            for i in np.unique(r.doc[cover]):
+                d, part = int(numbers[i]), cover[edge[i]:edge[i + 1]]
+                mask = masks.setdefault(d, np.zeros(len(encoded[d]), bool))
+                mask[places[i]:places[i] + len(part)] |= part
             before += n
+        removed, spans, kept = np.zeros(len(encoded), np.int64), np.zeros(len(encoded), np.int64), list(encoded)
+        for d, mask in masks.items():
+            removed[d] = mask.sum()
+            spans[d] = mask[0] + (mask[1:] & ~mask[:-1]).sum()
+            kept[d] = np.frombuffer(encoded[d], np.uint8)[~mask].tobytes()
         return pa.Table.from_arrays([
             t.column("doc_id"), pa.array([len(e) for e in encoded], pa.int64()), pa.array(removed), pa.array(spans),
             pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(kept, pa.binary())],
