@@ -63,7 +63,7 @@ class Runs:
     def __init__(self, data: bytes, length: np.ndarray):
         self.data = np.frombuffer(data, np.uint8)
         n, w = len(self.data), LENGTH - GRAM + 1
-        self.doc = np.repeat(np.arange(len(length)), length)
+        self.doc = np.repeat(np.arange(len(length), dtype=np.int32), length)
         self.start = self.size = np.zeros(0, np.int64)
         self.key = np.zeros(0, np.uint64)
         if n < LENGTH:
@@ -254,6 +254,7 @@ def _all_runs(t: pa.Table, contents: bool = False):
             key.append(r.key)
             if contents:
                 content.append(r.content())
+            r.words = r.hashes = None  # 16 bytes for each byte of the block, not needed any more
             doc.append(ids[numbers[r.doc[r.start]]])
     join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
     return encoded, ids, parts, join(key, np.uint64), join(content, np.uint64), join(doc, np.int64)
