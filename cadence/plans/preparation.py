@@ -340,8 +340,8 @@ _PART_SPLIT = _hash_case("o_orderkey", 1500, 3000)
 @query("prepare_written", "F15 S13 S11 F09 F06", f"""
 WITH b AS (SELECT *, {_PART_SPLIT} AS split FROM orders),
 t AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS s, avg(o_custkey) AS mc, stddev_pop(o_custkey) AS sc FROM b WHERE split = 'train')
-SELECT split, CAST(count(*) AS BIGINT) AS n, round(avg((o_totalprice - m) / s), 6) AS mean_totalprice,
-       round(avg((o_custkey - mc) / sc), 6) AS mean_custkey, CAST(sum(o_orderkey) AS BIGINT) AS keys,
+SELECT split, CAST(count(*) AS BIGINT) AS n, round(max((o_totalprice - m) / s), 6) AS max_totalprice,
+       round(min((o_custkey - mc) / sc), 6) AS min_custkey, CAST(sum(o_orderkey) AS BIGINT) AS keys,
        round(avg(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END), 6) AS mean_status
 FROM b, t GROUP BY split""")
 def q_prepare_written(spark, sf_dir):
@@ -358,8 +358,8 @@ def q_prepare_written(spark, sf_dir):
     again = Preprocessor.load(spark, done["preprocessor"]).transform(raw).select("o_orderkey", "o_totalprice", "o_custkey", "o_orderstatus")
     splits = spark.read.parquet(f"{base}/out/splits").select("o_orderkey", F.col("split").cast("string").alias("split"))
     return round_doubles(again.join(splits, "o_orderkey").groupBy("split").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("o_totalprice").alias("mean_totalprice"),
-        F.avg("o_custkey").alias("mean_custkey"), F.sum("o_orderkey").cast("bigint").alias("keys"),
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.max("o_totalprice").alias("max_totalprice"),
+        F.min("o_custkey").alias("min_custkey"), F.sum("o_orderkey").cast("bigint").alias("keys"),
         F.avg("o_orderstatus").alias("mean_status")))
 
 
