@@ -35,19 +35,23 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         F.struct(F.lit(c).alias("column"), _present(c).alias("v")) for c in columns])).alias("kv"))
         .select(*g, "kv.column", "kv.v").where(F.col("v").isNotNull())
         .groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("__c")))
-    ranked = running_totals(counts, keys, ["v"], "__c", before="__first", total="n", partitions=partitions)
+    ranks = [F.floor, F.ceil]
 
-    def holds(rank):
-        return (F.col("__first") <= rank) & (rank < F.col("__first") + F.col("__c"))
+    def holds(rank, first, size):
+        return (first <= rank) & (rank < first + size)
 
-    ranks = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
-    wanted = [holds(f(r)) for r in ranks for f in (F.floor, F.ceil)]
-    picked = ranked.where(_any(wanted)).groupBy(*keys).agg(
+    def any_wanted(first, size, n):
+        return _any([holds(f((n - 1) * F.lit(float(p))), first, size) for p in probs for f in ranks])
+
+    ranked = running_totals(counts, keys, ["v"], "__c", before="__first", total="n", partitions=partitions, wanted=any_wanted)
+    first, size, n = F.col("__first"), F.col("__c"), F.col("n")
+    at = [(n - 1) * F.lit(float(p)) for p in probs]
+    picked = ranked.where(any_wanted(first, size, n)).groupBy(*keys).agg(
         F.max("n").cast("bigint").alias("n"),
-        *[F.max(F.when(holds(f(r)), F.col("v"))).alias(f"__{side}{i}")
-          for i, r in enumerate(ranks) for side, f in (("a", F.floor), ("b", F.ceil))])
+        *[F.max(F.when(holds(f(r), first, size), F.col("v"))).alias(f"__{side}{i}")
+          for i, r in enumerate(at) for side, f in (("a", F.floor), ("b", F.ceil))])
     q = []
-    for i, r in enumerate(ranks):
+    for i, r in enumerate(at):
         a, b, share = F.col(f"__a{i}"), F.col(f"__b{i}"), r - F.floor(r)
         q.append(F.when(share == 0, a).otherwise(a + share * (b - a)))
     return picked.select(*keys, "n", F.array(*q).alias("quantiles"))

@@ -38,22 +38,27 @@ def global_rank(df: DataFrame, order: list[str], out: str = "rank", partitions:
             .withColumn(out, F.col("__off") + pos).drop("__pid", "__at", "__off"))
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on keys where NULL equals NULL (group keys may be NULL)."""
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on keys where NULL equals NULL (group keys may be NULL)."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = None
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
         cond = c if cond is None else cond & c
-    return left.join(r, cond, "left").drop(*[f"__r_{k}" for k in keys])
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def running_totals(df: DataFrame, groups: list[str], order: list[str], value: str,
-                   before: str = "__before", total: str = "__total", partitions: int | None = None) -> DataFrame:
+                   before: str = "__before", total: str = "__total", partitions: int | None = None,
+                   wanted=None) -> DataFrame:
     """``df`` with the sum of ``value`` over a group's rows that come earlier in ``order``, and over
     all of them. Rows are range-partitioned by (groups, order, a running row id) and written once,
     so neither a large group nor many equal rows end up in one task; a table of one row per
-    partition and group holds the offsets."""
+    partition and group holds the offsets.
+
+    ``wanted(first, size, total)`` says whether a group's part of a partition, which covers the
+    running sums from ``first`` to ``first + size``, is of interest; the rows of all other parts
+    are left out before they are sorted."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -65,8 +70,10 @@ def running_totals(df: DataFrame, groups: list[str], order: list[str], value: st
     earlier = by_group.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
     sums = (placed.groupBy(*keys).agg(F.sum(value).alias("__s"))
             .withColumn(total, F.sum("__s").over(by_group))
-            .withColumn("__off", F.sum("__s").over(earlier) - F.col("__s")).drop("__s"))
+            .withColumn("__off", F.sum("__s").over(earlier) - F.col("__s")))
+    if wanted is not None:
+        sums = sums.where(wanted(F.col("__off"), F.col("__s"), F.col(total)))
+    rows = join_null_safe(placed, sums.drop("__s"), keys, "left" if wanted is None else "inner")
     mine = Window.partitionBy(*keys).orderBy(*order, "__tie").rowsBetween(Window.unboundedPreceding, 0)
-    inside = placed.withColumn("__in", F.sum(value).over(mine) - F.col(value))
-    return (join_null_safe(inside, sums, keys).withColumn(before, F.col("__off") + F.col("__in"))
-            .drop("__tie", "__part", "__in", "__off"))
+    return (rows.withColumn(before, F.col("__off") + F.sum(value).over(mine) - F.col(value))
+            .drop("__tie", "__part", "__off"))
