@@ -1,13 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram and rare-word seeds, then Smith-Waterman alignment.
 
 1. Test items become sequences of word numbers (equal items collapse to one). One pass over the
-   documents counts, for every word n-gram of an item, the documents that hold it.
-2. Of every item the rarer half of its n-grams are its seeds, so each item keeps seeds however
-   often it was copied, and phrases that everybody uses seed nothing that rarer ones could.
+   documents counts, for every word of an item, the documents that hold it.
+2. Every word 3-gram of an item is a seed, and so are its rarest words: an alignment without a
+   common 3-gram pays an error for every two matches, so it needs about two thirds of the item's
+   words to reach the score, and one word more than it may leave out cannot be missed by it.
 3. A second pass joins passages to items on the seeds: a seed at word p of a document and word o
-   of an item suggests the passage around diagonal p - o. Every suggested passage is aligned with
-   its item word by word (match +2, mismatch -1, gap -1); the score is the best local alignment
-   over that of an exact copy. Paraphrased and edited copies lose points, not the match.
+   of an item suggests the passage around diagonal p - o. Suggested passages that hold too few of
+   the item's words for the score are passed over; every other one is aligned with its item word
+   by word (match +2, mismatch -1, gap -1); the score is the best local alignment over that of an
+   exact copy. Seeds, passages and the word count lose no alignment that reaches the score.
 
 The test set is a stated query set: it is read in blocks of at most `BLOCK` items, each of which
 is sent to all tasks; documents are never shuffled and no candidate is dropped.
@@ -15,6 +17,7 @@ is sent to all tasks; documents are never shuffled and no candidate is dropped.
 
 from __future__ import annotations
 
+import math
 import re
 from itertools import repeat
 
@@ -56,43 +59,47 @@ class Items:
         if len(self.vocabulary) >= 1 << _BITS:
             raise ValueError(f"over {1 << _BITS} different words in a block of test items; make BLOCK smaller")
         self.lengths = np.array([len(w) for w in self.words], np.int64)
-        self.sizes = sorted({min(GRAM, len(w)) for w in self.words})
-        grams = [pack(w, min(GRAM, len(w))) for w in self.words]
-        self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        self.offset = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
-        self.gram = np.concatenate(grams) if grams else np.zeros(0, np.int64)
-        self.keys = np.unique(self.gram)
 
     def numbers(self, text: str) -> np.ndarray:
         w = words(text)
         return np.fromiter(map(self.vocabulary.get, w, repeat(0)), np.int64, len(w))
 
-    def hits(self, numbers: np.ndarray, keys: np.ndarray):
-        """(word position, index into the sorted ``keys``) of every n-gram of a document among them."""
+    def hits(self, numbers: np.ndarray):
+        """(word position, index into ``seeds``) of every seed in a document."""
         at, which = [], []
-        for n in self.sizes:
+        for n in (1, GRAM):
             g = pack(numbers, n)
             p = np.flatnonzero(g)
-            k = np.searchsorted(keys, g[p])
-            k[k == len(keys)] = 0
-            ok = keys[k] == g[p] if len(keys) else np.zeros(len(p), bool)
+            k = np.searchsorted(self.seeds, g[p])
+            k[k == len(self.seeds)] = 0
+            ok = self.seeds[k] == g[p]
             at.append(p[ok])
             which.append(k[ok])
         return np.concatenate(at), np.concatenate(which)
 
-    def choose_seeds(self, held_by: np.ndarray) -> None:
-        """Keep the rarer half of each item's n-grams. ``held_by``: documents holding each of ``keys``."""
-        count = held_by[np.searchsorted(self.keys, self.gram)]
-        order = np.lexsort((self.gram, count, self.item))
-        item = self.item[order]
-        first = np.searchsorted(item, np.arange(len(self.words)))
-        size = np.bincount(item, minlength=len(self.words))
-        rank = np.arange(len(item)) - first[item]
-        seed = order[rank < np.maximum((size[item] + 1) // 2, np.minimum(size[item], 8))]
-        seed = seed[np.argsort(self.gram[seed], kind="stable")]
-        self.seed_item, self.seed_offset = self.item[seed], self.offset[seed]
-        self.seeds, self.seed_first = np.unique(self.gram[seed], return_index=True)
-        self.seed_count = np.diff(np.append(self.seed_first, len(seed)))
+    def choose_seeds(self, held_by: np.ndarray, min_score: float) -> None:
+        """All n-grams of the items and, of each item, as many of its rarest words as leave too few
+        others for ``min_score``. ``held_by``: documents holding each word number."""
+        item, offset, gram = [], [], []
+        for i, w in enumerate(self.words):
+            least = least_score(len(w), min_score)
+            # Runs of fewer than GRAM matches: at least one error between two of them.
+            matches = max(-(-least // MATCH), -(-(least - 1) * (GRAM - 1) // (MATCH * (GRAM - 1) - 1)), 1)
+            rare = np.lexsort((w, held_by[w]))[:max(len(w) - matches + 1, 0)]
+            grams = pack(w, GRAM)
+            item.append(np.full(len(rare) + len(grams), i))
+            offset += [rare, np.arange(len(grams))]
+            gram += [w[rare], grams]
+        item, offset, gram = np.concatenate(item), np.concatenate(offset), np.concatenate(gram)
+        order = np.argsort(gram, kind="stable")
+        self.seed_item, self.seed_offset = item[order], offset[order]
+        self.seeds, self.seed_first = np.unique(gram[order], return_index=True)
+        self.seed_count = np.diff(np.append(self.seed_first, len(order)))
+
+
+def least_score(size: int, min_score: float) -> int:
+    """Alignment score that an item of ``size`` words needs."""
+    return max(math.ceil(min_score * MATCH * size - 1e-9), 1)
 
 
 def pack(numbers: np.ndarray, n: int) -> np.ndarray:
@@ -127,28 +134,42 @@ def smith_waterman(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray,
     return best, end
 
 
-def align(items: Items, found: list[tuple], min_score: float) -> dict:
+def align(items: Items, docs: list[np.ndarray], found: list[tuple], min_score: float) -> dict:
     """Best (score, start, end) of each (document, item) over its suggested passages.
-    ``found``: (document, numbers, items, quarters) as `suggest` gives them."""
-    by_item: dict[int, list[tuple]] = {}
-    for doc, numbers, item, place in found:
-        for i, q in zip(item.tolist(), place.tolist()):
-            by_item.setdefault(i, []).append((doc, numbers, q))
+    ``docs``: word numbers; ``found``: (document, items, places) as `suggest` gives them."""
+    if not found:
+        return {}
+    flat = np.concatenate([*docs, np.zeros(1, np.int64)])
+    sizes = np.array([len(d) for d in docs])
+    first = np.cumsum(sizes) - sizes
+    doc = np.repeat([f[0] for f in found], [len(f[1]) for f in found])
+    item, place = np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])
+    order = np.argsort(item, kind="stable")
+    doc, item, place = doc[order], item[order], place[order]
+    names, begins = np.unique(item, return_index=True)
     out: dict = {}
-    for i, places in by_item.items():
+    for i, begin, stop in zip(names.tolist(), begins.tolist(), [*begins[1:].tolist(), len(item)]):
         w = items.words[i]
         size = len(w)
-        half = (size + 1) // 2
-        width = 2 * size + 2 * half
-        for k in range(0, len(places), ALIGN_AT_ONCE):
-            part = places[k:k + ALIGN_AT_ONCE]
-            windows, starts = np.zeros((len(part), width), np.int64), []
-            for r, (_, numbers, q) in enumerate(part):
-                low, high = max(q * size - half, 0), min((q + 2) * size + half, len(numbers))
-                windows[r, :high - low] = numbers[low:high]
-                starts.append(low)
+        least = least_score(size, min_score)
+        margin = max(MATCH * size - least, 0)   # most inserted words an alignment can afford
+        width = 2 * size + 2 * margin
+        kinds, copies = np.unique(w, return_counts=True)
+        for k in range(begin, stop, ALIGN_AT_ONCE):
+            part = slice(k, min(k + ALIGN_AT_ONCE, stop))
+            owner, starts = doc[part], place[part] * size - margin
+            at = starts[:, None] + np.arange(width)
+            windows = np.where((at >= 0) & (at < sizes[owner][:, None]), flat[first[owner][:, None] + np.clip(at, 0, sizes[owner][:, None])], 0)
+            # No alignment has more matches than the passage has words of the item.
+            kind = np.minimum(np.searchsorted(kinds, windows), len(kinds) - 1)
+            row, column = np.nonzero(kinds[kind] == windows)
+            held = np.bincount(row * len(kinds) + kind[row, column], minlength=len(windows) * len(kinds)).reshape(len(windows), -1)
+            enough = np.flatnonzero(np.minimum(held, copies).sum(axis=1) * MATCH >= least)
+            if not len(enough):
+                continue
+            owner, starts, windows = owner[enough], starts[enough], windows[enough]
             best, end = smith_waterman(w, windows)
-            good = np.flatnonzero(best >= min_score * MATCH * size)
+            good = np.flatnonzero(best >= least)
             if not len(good):
                 continue
             # The start of an alignment is the end of the mirrored one.
@@ -157,28 +178,27 @@ def align(items: Items, found: list[tuple], min_score: float) -> dict:
                 mirrored[r, :end[g] + 1] = windows[g, end[g]::-1]
             _, back = smith_waterman(w[::-1], mirrored)
             for r, g in enumerate(good):
-                doc = part[g][0]
-                entry = (float(best[g]) / (MATCH * size), -(starts[g] + int(end[g] - back[r])), starts[g] + int(end[g]) + 1)
-                if entry > out.get((doc, i), (0.0, 0, 0)):
-                    out[doc, i] = entry
+                d, low = int(owner[g]), int(starts[g])
+                entry = (float(best[g]) / (MATCH * size), -(low + int(end[g] - back[r])), low + int(end[g]) + 1)
+                if entry > out.get((d, i), (0.0, 0, 0)):
+                    out[d, i] = entry
     return out
 
 
 def suggest(items: Items, numbers: np.ndarray):
-    """(item, place) of the passages that seeds suggest: place q stands for the words from
-    (q - 1/2) to (q + 5/2) item lengths, which holds any copy whose diagonal begins in the
-    q-th length, with room for half a length of insertions on either side."""
-    at, which = items.hits(numbers, items.seeds)
+    """(item, place) of the passages that seeds suggest: place q stands for the diagonals that
+    begin in the q-th item length; `align` adds room on either side for all the insertions that
+    the score leaves room for."""
+    at, which = items.hits(numbers)
     if not len(at):
         return None
     count = items.seed_count[which]
     step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     entry = np.repeat(items.seed_first[which], count) + step
     item = items.seed_item[entry]
-    size = items.lengths[item]
-    place = np.floor_divide(np.repeat(at, count) - items.seed_offset[entry], size)
-    pair = np.unique(np.stack([item, place]), axis=1)
-    return pair[0], pair[1]
+    place = np.floor_divide(np.repeat(at, count) - items.seed_offset[entry], items.lengths[item])
+    pair = np.unique(item << 40 | place + 1)   # no place is below -1
+    return pair >> 40, (pair & (1 << 40) - 1) - 1
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
@@ -196,7 +216,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     for k in range(blocks):
         rows = bench.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
         items = Items([(-1 if r.item_id is None else r.item_id, r.text) for r in rows])
-        if not len(items.keys):
+        if not items.words:
             continue
         part = _passages(body, items, min_score)
         out = part if out is None else out.unionByName(part)
@@ -205,29 +225,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
 
 def _passages(body: DataFrame, items: Items, min_score: float) -> DataFrame:
     def count(batches):
-        held = np.zeros(len(items.keys), np.int64)
+        held = np.zeros(len(items.vocabulary) + 1, np.int64)
         for b in batches:
             for text in b.column(0).to_pylist():
-                held[np.unique(items.hits(items.numbers(text), items.keys)[1])] += 1
+                held[np.unique(items.numbers(text))] += 1
         some = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], names=["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], names=["word", "n"])
 
-    held = np.zeros(len(items.keys), np.int64)
-    # One row for every n-gram of the block at most.
-    for r in body.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        held[r.gram] = r.n
-    items.choose_seeds(held)
+    held = np.zeros(len(items.vocabulary) + 1, np.int64)
+    # One row for every word of the block at most.
+    for r in body.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
+        held[r.word] = r.n
+    items.choose_seeds(held, min_score)
 
     def passages(batches):
         for b in batches:
             ids, found = b.column(0).to_pylist(), []
-            for d, text in enumerate(b.column(1).to_pylist()):
-                numbers = items.numbers(text)
+            docs = [items.numbers(text) for text in b.column(1).to_pylist()]
+            for d, numbers in enumerate(docs):
                 pair = suggest(items, numbers)
                 if pair is not None:
-                    found.append((d, numbers, *pair))
+                    found.append((d, *pair))
             rows = [(ids[d], int(items.ids[i]) if items.ids[i] >= 0 else None, s, -start, end)
-                    for (d, i), (s, start, end) in sorted(align(items, found, min_score).items())]
+                    for (d, i), (s, start, end) in sorted(align(items, docs, found, min_score).items())]
             if rows:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))],

@@ -79,3 +79,40 @@ def test_edges(spark):
     got = sorted(((r.doc_id, r.item_id, r.score, r.start_word, r.end_word) for r in D.contaminated(docs, bench).collect()), key=str)
     assert got == sorted([(None, 1, 1.0, 1, 6), (4, 4, 1.0, 0, 1), (4, 4, 1.0, 0, 1), (5, None, 1.0, 0, 4)], key=str)
     assert D.contaminated(docs.limit(0), bench).count() == 0 and D.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_every_alignment_over_the_score(spark):
+    """Edits that leave few or no 3-grams, parts of items, and a large group of equal edited copies,
+    against cell-by-cell alignment of all (document, item) pairs."""
+    rng = random.Random(11)
+    vocab, other = _vocab(rng, 3000), ["the", "of", "and"]
+    items = [[rng.choice(vocab) for _ in range(n)] for n in (38, 38, 59, 16, 38, 24)] + [["a", "b"] * 6, ["two", "words"]]
+    edits = {"every 5th": lambda w: [rng.choice(vocab) if k % 5 == 4 else x for k, x in enumerate(w)],
+             "every 4th": lambda w: [rng.choice(vocab) if k % 4 == 3 else x for k, x in enumerate(w)],
+             "every 3rd": lambda w: [rng.choice(vocab) if k % 3 == 2 else x for k, x in enumerate(w)],
+             "first half": lambda w: w[:len(w) // 2 + 1],
+             "last half": lambda w: w[-(len(w) // 2 + 1):],
+             "inserted": lambda w: [y for x in w for y in (x, rng.choice(other))][:-1],
+             "inserted in the first half": lambda w: [y for k, x in enumerate(w) for y in ([x, *other] if k < 10 and k % 2 else [x])]}
+    docs = []
+    for edit in edits.values():
+        for w in items:
+            body = [rng.choice(vocab + other * 300) for _ in range(rng.randint(30, 150))]
+            at = rng.randrange(len(body))
+            docs.append(body[:at] + edit(w) + body[at:])
+    same = edits["every 5th"](items[0])
+    docs += [[rng.choice(vocab) for _ in range(20)] + same for _ in range(300)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.item_id): r.score for r in D.contaminated(df, bench).collect()}
+    want = {}
+    for d, w in enumerate(docs):
+        for i, x in enumerate(items):
+            # Below half of the words in common no alignment reaches the score.
+            s = brute_score(x, w) if 2 * sum(y in set(w) for y in x) >= len(x) else 0
+            if s >= D.MIN_SCORE:
+                want[d, i] = s
+    assert got == want
+    assert {(d, 0) for d in range(len(docs) - 300, len(docs))} <= set(got)
+    planted = {(k * len(items) + i, i) for k, name in enumerate(edits) for i, w in enumerate(items) if brute_score(w, edits[name](w)) >= 0.5}
+    assert len(planted) > 45 and planted <= set(got)
