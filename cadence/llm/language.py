@@ -3,34 +3,46 @@
 A text is a vector of hashed character trigrams (lower case, everything that is not a letter
 read as one space), square roots of their shares, so its length is one. Families are told
 apart by linear support vector machines, one per pair of families; the languages of the
-family that wins are told apart by one machine per pair of them. Machines are fitted by dual
-coordinate descent on a bounded sample of the labelled rows: at most `SAMPLE` documents a
-language and `TOTAL` in all, those with the smallest hash (production parameter; all else covers all
-rows). Scoring reads every whole text once, in Arrow batches, and moves nothing.
+family that wins are told apart by one machine per pair of them. Where there are more than `FAN`
+families, or languages in one, the likest (by their mean vectors) are put into at most `FAN`
+groups, told apart first, and so on: any number of languages makes a tree whose nodes have at
+most 120 machines. Machines are fitted in Spark tasks by dual coordinate descent on a bounded sample
+of the labelled rows: at most `SAMPLE` documents a language and `TOTAL` in all, but one of every
+language, those with the smallest hash (production parameter; all else covers all rows). They are
+written to the shared folder, and a worker loads the nodes that its texts reach. The driver holds
+the languages' names and the sample, no machine. Scoring reads every whole text once, in Arrow
+batches, and moves nothing.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import crc_mod, query, read, small_batches
+from cadence.llm.common import crc_mod, query, read, shared_folder, small_batches
+from cadence.llm.warc import _store
 
-# Language families by ISO 639-1 code. A language not listed is a family of its own.
+# Language families by ISO 639-1 code. A tag goes by its first part, in any case (en-US:
+# en). A language not listed is a family of its own.
 FAMILIES = {
     "en": "germanic", "de": "germanic", "nl": "germanic", "sv": "germanic", "da": "germanic", "no": "germanic",
     "fr": "romance", "es": "romance", "it": "romance", "pt": "romance", "ro": "romance", "ca": "romance",
     "ru": "slavic", "pl": "slavic", "cs": "slavic", "uk": "slavic", "bg": "slavic", "sk": "slavic",
 }
 SAMPLE = 600        # labelled documents a language, at most
-TOTAL = 12_000      # labelled documents of all languages together, at most
-LANGUAGES = 60      # most languages a model may have: 1,770 machines, 58 MB, at most
+TOTAL = 12_000      # labelled documents of all languages together, at most (or one a language)
+FAN = 16            # children of a node, at most: 120 machines, 4 MB
+NODES_HELD = 16     # nodes a worker keeps in memory
+SKETCH = 256        # numbers by which languages are compared for grouping
 WIDTH = 8192        # hashed trigrams
 SHARPNESS = 4.0     # margin to probability
 UNKNOWN = "und"
@@ -47,80 +59,139 @@ def trigram_counts(text: str) -> np.ndarray:
     return np.bincount((code * np.uint32(2_654_435_761)) >> np.uint32(32 - WIDTH.bit_length() + 1), minlength=WIDTH)
 
 
-def vector(counts: np.ndarray) -> np.ndarray:
-    return np.sqrt(counts / counts.sum()).astype(np.float32)
+def vector(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, values) of the entries that are not zero; the bias comes last."""
+    place = np.flatnonzero(counts)
+    return np.append(place, WIDTH), np.append(np.sqrt(counts[place] / counts.sum()), 1).astype(np.float32)
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 4.0, epochs: int = 30, seed: int = 7) -> np.ndarray:
-    """Weights (and bias, last) of a linear machine with squared hinge loss; y is +1 or -1.
-    Both sides weigh alike, whatever their numbers."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+def fit_svm(x: list[tuple], y: np.ndarray, c: float = 4.0, epochs: int = 30, seed: int = 7) -> np.ndarray:
+    """Weights (and bias, last) of a linear machine with squared hinge loss; ``x`` as `vector` gives
+    it, y is +1 or -1. Both sides weigh alike, whatever their numbers."""
     share = np.where(y > 0, (y > 0).mean(), (y < 0).mean())
     diagonal = 1 / (2 * c * 0.5 / share)
-    norm = (x * x).sum(axis=1) + diagonal
-    w, alpha, rng = np.zeros(x.shape[1], np.float32), np.zeros(len(x)), np.random.default_rng(seed)
+    norm = np.array([(v * v).sum() for _, v in x]) + diagonal
+    w, alpha, rng = np.zeros(WIDTH + 1, np.float32), np.zeros(len(x)), np.random.default_rng(seed)
     for _ in range(epochs):
         largest = 0.0
         for i in rng.permutation(len(x)):
-            gradient = y[i] * (x[i] @ w) - 1 + diagonal[i] * alpha[i]
+            place, value = x[i]
+            gradient = y[i] * (value @ w[place]) - 1 + diagonal[i] * alpha[i]
             step = max(alpha[i] - gradient / norm[i], 0.0) - alpha[i]
             if step:
                 alpha[i] += step
-                w += np.float32(step * y[i]) * x[i]
+                w[place] += np.float32(step * y[i]) * value
                 largest = max(largest, abs(step))
         if largest < 1e-3:
             break
     return w
 
 
+@lru_cache(NODES_HELD)
+def load_node(folder: str, node: int) -> np.ndarray:
+    """Weights of a node's machines, a column each, in the order of the pairs of its children."""
+    files, path = _store(folder)
+    t = pq.read_table(f"{path}/node={node}", filesystem=files, columns=["pair", "weights"], partitioning=None).sort_by("pair")
+    return np.ascontiguousarray(np.stack([np.frombuffer(w.as_py(), np.float32) for w in t["weights"]]).T)
+
+
 @dataclass
 class LanguageModel:
-    """``machines``: (first, second) -> row of ``weights``, between families and, inside a
-    family, between languages; positive margins speak for the first."""
+    """``nodes``: children of each node, a language's name or the number of another node; node 0
+    is the root. ``folder`` holds the machines of every node, one a pair of children; positive
+    margins speak for the first."""
     families: dict[str, list[str]]
-    machines: dict[tuple[str, str], int]
-    weights: np.ndarray
-
-    def _winner(self, names: list[str], margin: np.ndarray) -> tuple[str, float]:
-        if len(names) == 1:
-            return names[0], 1.0
-        votes, sums = dict.fromkeys(names, 0), dict.fromkeys(names, 0.0)
-        for a, b in combinations(names, 2):
-            m = float(margin[self.machines[a, b]])
+    nodes: list[list[str | int]]
+    folder: str
+
+    @staticmethod
+    def _winner(n: int, margin: np.ndarray) -> tuple[int, float]:
+        votes, sums, least = [0] * n, [0.0] * n, [np.inf] * n
+        for (a, b), m in zip(combinations(range(n), 2), margin.tolist()):
             votes[a if m >= 0 else b] += 1
             sums[a] += m
             sums[b] -= m
-        best = max(names, key=lambda n: (votes[n], sums[n]))
-        least = min(float(margin[self.machines[a, b]]) * (1 if a == best else -1)
-                    for a, b in combinations(names, 2) if best in (a, b))
-        return best, float(1 / (1 + np.exp(-SHARPNESS * least)))
+            least[a], least[b] = min(least[a], m), min(least[b], -m)
+        best = max(range(n), key=lambda k: (votes[k], sums[k]))
+        return best, float(1 / (1 + np.exp(-SHARPNESS * least[best])))
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out, at = [(UNKNOWN, 0.0)] * len(texts), {}
+        for i, t in enumerate(texts):
+            if t is not None and self.families and _LETTER.search(t):
+                at.setdefault(0, []).append((i, vector(trigram_counts(t)), 1.0))
+        while at:
+            # All texts at a node together: it is loaded once a batch.
+            node = min(at)
+            children, rows = self.nodes[node], at.pop(node)
+            weights = load_node(self.folder, node) if len(children) > 1 else None
+            for i, (place, value), p in rows:
+                k, q = (0, 1.0) if weights is None else self._winner(len(children), value @ weights[place])
+                if isinstance(children[k], str):
+                    out[i] = children[k], p * q
+                else:
+                    at.setdefault(children[k], []).append((i, (place, value), p * q))
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.families or not _LETTER.search(text):
-            return UNKNOWN, 0.0
-        margin = self.weights @ np.append(vector(trigram_counts(text)), np.float32(1))
-        family, p = self._winner(list(self.families), margin)
-        language, q = self._winner([f"{family}/{x}" for x in self.families[family]], margin)
-        return language.split("/", 1)[1], p * q
+        return self.predict_all([text])[0]
+
+
+def family_of(lang: str, families: dict[str, str] = FAMILIES) -> str:
+    return families.get(lang) or families.get(re.split("[-_]", lang.lower())[0], lang)
+
+
+def alike(sketches: np.ndarray) -> list[np.ndarray]:
+    """Numbers of the rows in at most FAN groups of like rows and about equal size: halves along the
+    direction in which the rows differ most, halved again."""
+    parts = [np.arange(len(sketches))]
+    while len(parts) * 2 <= FAN:
+        halves = []
+        for p in parts:
+            x = sketches[p] - sketches[p].mean(axis=0)
+            direction = np.linalg.eigh(x.T @ x)[1][:, -1]
+            order = p[np.argsort(x @ direction, kind="stable")]
+            halves += [np.sort(order[:len(p) // 2]), np.sort(order[len(p) // 2:])]
+        parts = halves
+    return parts
+
+
+def grow(groups: dict[str, list[str]], sketch: dict[str, np.ndarray]) -> tuple[list[list], list[list[list[str]]]]:
+    """(children of each node, languages below each child of each node)."""
+    nodes, below = [], []
+
+    def add(children: list[tuple]) -> int:
+        """``children``: (languages below, what to add for them; None: a single language)."""
+        node = len(nodes)
+        nodes.append([])
+        if len(children) > FAN:
+            parts = alike(np.stack([np.mean([sketch[x] for x in ls], axis=0) for ls, _ in children]))
+            children = [([x for k in p for x in children[k][0]], [children[k] for k in p]) for p in parts]
+        below.append([ls for ls, _ in children])
+        nodes[node] = [ls[0] if inner is None else add(inner) for ls, inner in children]
+        return node
+
+    add([(ls, [([x], None) for x in ls]) for ls in groups.values()])
+    return nodes, below
 
 
 def fit(labelled: DataFrame, families: dict[str, str] = FAMILIES, per_language: int = SAMPLE) -> LanguageModel:
     """Model from (doc_id, text, lang) rows; rows without language or without a letter are
     left out. No labelled row: a model that answers `und`. One language: always that one."""
+    spark = labelled.sparkSession
     usable = labelled.filter("lang is not null and text is not null").filter(F.col("text").rlike(r"\p{L}"))
-    small_batches(labelled.sparkSession, 200)
-    sizes = {r.lang: r["count"] for r in usable.groupBy("lang").count().limit(LANGUAGES + 1).collect()}
-    if len(sizes) > LANGUAGES:
-        raise ValueError(f"over {LANGUAGES} languages")
+    small_batches(spark, 200)
+    sizes = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
     names = sorted(sizes)
     if not names:
-        return LanguageModel({}, {}, np.zeros((1, WIDTH + 1), np.float32))
+        return LanguageModel({}, [], "")
     per_language = max(1, min(per_language, TOTAL // len(names)))
     # A threshold on the hash leaves a little more than the sample; only that much is ranked.
-    most = F.create_map(*[F.lit(v) for n in names for v in
-                          (n, int(HASHES * min(1.0, (1.5 * per_language + 100) / sizes[n])))])
+    most = spark.createDataFrame([(n, int(HASHES * min(1.0, (1.5 * per_language + 100) / sizes[n]))) for n in names],
+                                 "lang string, __most long")
     spot = F.pmod(F.xxhash64("doc_id", "text"), F.lit(HASHES))
-    few = usable.select("doc_id", "text", "lang", spot.alias("__spot")).filter(F.col("__spot") < F.element_at(most, F.col("lang")))
+    few = (usable.select("doc_id", "text", "lang", spot.alias("__spot")).join(F.broadcast(most), "lang")
+           .filter(F.col("__spot") < F.col("__most")))
     ranked = F.row_number().over(Window.partitionBy("lang").orderBy("__spot", "doc_id"))
     few = few.withColumn("__rank", ranked).filter(F.col("__rank") <= per_language)
 
@@ -130,31 +201,51 @@ def fit(labelled: DataFrame, families: dict[str, str] = FAMILIES, per_language:
         return pd.DataFrame({"place": [np.flatnonzero(c).astype(np.int32) for c in counts],
                              "n": [c[c > 0].astype(np.int32) for c in counts]})
 
-    # At most TOTAL rows (or one for each of at most LANGUAGES languages).
-    rows = few.select("lang", "__rank", counted("text").alias("c")).select("lang", "__rank", "c.place", "c.n").collect()
-    rows.sort(key=lambda r: (r.lang, r["__rank"]))
-    x, lang = np.zeros((len(rows), WIDTH), np.float32), np.array([r.lang for r in rows])
-    for i, r in enumerate(rows):
-        x[i, r.place] = np.sqrt(np.array(r.n) / sum(r.n))
+    # At most TOTAL rows, or one of each language.
+    rows = few.select("lang", "__rank", counted("text").alias("c")).select("lang", "__rank", "c.place", "c.n").toArrow()
+    rows = rows.sort_by([("lang", "ascending"), ("__rank", "ascending")]).combine_chunks()
+    x, of, sketch = [], {}, {n: np.zeros(SKETCH, np.float32) for n in names}
+    for i, (lang, place, n) in enumerate(zip(rows["lang"].to_pylist(), rows["place"], rows["n"])):
+        place, n = place.values.to_numpy(), n.values.to_numpy()
+        x.append((np.append(place, np.int32(WIDTH)), np.append(np.sqrt(n / n.sum()), 1).astype(np.float32)))
+        of.setdefault(lang, []).append(i)
+        np.add.at(sketch[lang], place % SKETCH, x[i][1][:-1])
+    for n in names:
+        sketch[n] /= max(len(of.get(n, [])), 1)
     groups: dict[str, list[str]] = {}
     for n in names:
-        groups.setdefault(families.get(n, n), []).append(n)
-    family = np.array([families.get(n, n) for n in lang])
-    machines, weights = {}, [np.zeros(WIDTH + 1, np.float32)]
-    tasks = [((a, b), family == a, family == b) for a, b in combinations(groups, 2)]
-    tasks += [((f"{g}/{a}", f"{g}/{b}"), lang == a, lang == b) for g, ls in groups.items() for a, b in combinations(ls, 2)]
-    for pair, first, second in tasks:
-        use = first | second
-        machines[pair] = len(weights)
-        weights.append(fit_svm(x[use], np.where(first[use], 1.0, -1.0)))
-    return LanguageModel(groups, machines, np.stack(weights))
+        groups.setdefault(family_of(n, families), []).append(n)
+    nodes, below = grow(groups, sketch)
+    members = [[np.array([i for n in ls for i in of.get(n, [])], np.int64) for ls in child] for child in below]
+    machines = [(node, pair, a, b) for node, child in enumerate(below)
+                for pair, (a, b) in enumerate(combinations(range(len(child)), 2))]
+    model = LanguageModel(groups, nodes, shared_folder(spark, "language"))
+    if not machines:
+        return model
+    sample = spark.sparkContext.broadcast((x, members))
+
+    def fitted(batches):
+        x, members = sample.value
+        for batch in batches:
+            for node, pair, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                first, second = members[node][a], members[node][b]
+                w = fit_svm([x[i] for i in (*first, *second)], np.repeat([1.0, -1.0], [len(first), len(second)]))
+                yield pa.RecordBatch.from_arrays([pa.array([node]), pa.array([pair]), pa.array([w.tobytes()])],
+                                                 names=["node", "pair", "weights"])
+
+    tasks = spark.createDataFrame(machines, "node long, pair long, a long, b long")
+    # A node's machines in a few files, the work spread.
+    tasks = tasks.repartition(min(len(machines), max(8, len(machines) // 60)), "node", F.floor(F.col("pair") / 8))
+    tasks.mapInArrow(fitted, "node long, pair long, weights binary").write.partitionBy("node").parquet(model.folder)
+    sample.unpersist()
+    return model
 
 
 def predict(model: LanguageModel, text: str = "text") -> Column:
     """struct(lang_pred, score) of a text column. Null text or text without a letter: (`und`, 0)."""
     @F.pandas_udf("struct<lang_pred: string, score: double>")
     def run(body: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([model.predict(t) for t in body], columns=["lang_pred", "score"])
+        return pd.DataFrame(model.predict_all(body.tolist()), columns=["lang_pred", "score"])
     return run(F.col(text))
 
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from cadence.llm import language as L
@@ -37,3 +38,25 @@ def test_edge_cases(spark):
     assert none.count() == 0
     unlabelled, _ = L.identify(docs.filter("lang is null"), L.F.lit(False))
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
+
+
+def test_any_number_of_languages(spark):
+    """120 languages with words of their own, noisy tags and 60 tags of one row each."""
+    rng = random.Random(3)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 6)))
+    rows = []
+    for k in range(120):
+        words = [word(rng.sample("abcdefghijklmnopqrstuvwxyz", 9)) for _ in range(40)]
+        rows += [(len(rows) + i, " ".join(rng.choice(words) for _ in range(40)), f"x{k:03}") for i in range(10)]
+    rows += [(len(rows) + i, "the house and the garden of the old town " * 3, t) for i, t in enumerate(["en-US", "EN", "en"] * 5)]
+    rows += [(len(rows) + i, " ".join(word("qwxz") for _ in range(30)), f"typo-{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out, model = L.identify(docs, L.F.col("doc_id") % 10 == 3)
+    got = {r.doc_id: r for r in out.collect()}
+    assert len(got) == len(rows)
+    held = [r for r in rows if r[0] % 10 == 3 and r[2].startswith("x")]
+    assert sum(got[d].lang_pred == lang for d, _, lang in held) / len(held) > 0.95
+    assert {got[d].lang_pred for d, _, lang in rows if lang[:2].lower() == "en"} <= {"en-US", "EN", "en"}
+    assert model.families["germanic"] == ["EN", "en", "en-US"]
+    assert max(map(len, model.nodes)) <= L.FAN
+    assert sorted(c for n in model.nodes for c in n if isinstance(c, str)) == sorted({r[2] for r in rows if r[0] % 10 != 3})
