@@ -180,14 +180,18 @@ def simhash_components(docs: DataFrame, shingle: int = 4, radius: int = 4) -> Da
 
     component_id is the smallest doc_id reachable over links of at most ``radius`` bits.
     Documents without words have fingerprint zero and link like others. A document with a
-    null id gets the component of its fingerprint, null if nothing there has an id. Repeated
-    rows come out as often as they go in; an empty table gives no rows.
+    null id gets the component of its fingerprint, null if nothing there has an id. Different
+    texts under one id are documents of their own, not linked by the id. Repeated rows come out as often as they go in; an empty table gives no rows.
     """
     prints = cut(fingerprints(docs, shingle))
-    classes = prints.groupBy("bits").agg(F.min("doc_id").alias("id"))
-    found = connected_components(links(classes.filter("id is not null"), radius))
-    classes = (classes.join(found, F.col("id") == F.col("node"), "left")
-               .select(F.col("bits").alias("class"), F.coalesce("component", "id").alias("component_id")))
+    # A class is known by its fingerprint, since different texts may share an id.
+    classes = prints.groupBy("bits").agg(F.min("doc_id").alias("least"))
+    found = connected_components(links(classes.filter("least is not null").select(F.col("bits").alias("id"), "bits"), radius))
+    classes = classes.join(found, F.col("bits") == F.col("node"), "left")
+    smallest = (classes.filter("component is not null").groupBy(F.col("component").alias("__component"))
+                .agg(F.min("least").alias("smallest")))
+    classes = (classes.join(smallest, F.col("component") == F.col("__component"), "left")
+               .select(F.col("bits").alias("class"), F.coalesce("smallest", "least").alias("component_id")))
     return (prints.join(classes, F.col("bits") == F.col("class"))
             .select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id"))
 

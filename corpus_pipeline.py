@@ -42,30 +42,35 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(__key, text): the id, or for a null id a large number made from the text."""
+    """With __key, the id, or for a null id a large number made from the text; and __one, a hash of
+    key and text, since different texts may share an id."""
     made = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
-    return docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), made))
+    keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), made))
+    return keyed.withColumn("__one", F.xxhash64("__key", "text"))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest id, once if rows repeat it.
+    Different texts under one id are documents of their own.
     Documents without an id come after all others; equal texts among them are one document."""
     ship_package(spark)
     keyed = _keyed(docs)
-    groups = simhash_components(keyed.select(F.col("__key").alias("doc_id"), "text"))
-    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__first"))
-    again = F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64("text")))
-    return (keyed.join(first, F.col("__key") == F.col("__first"), "left_semi")
-            .withColumn("__row", again).filter("__row = 1").drop("__row", "__key"))
+    groups = simhash_components(keyed.select(F.col("__one").alias("doc_id"), "text")).distinct()
+    ids = keyed.groupBy("__one").agg(F.min("__key").alias("__key"))
+    first = (groups.join(ids, F.col("doc_id") == F.col("__one")).groupBy("component_id")
+             .agg(F.min(F.struct("__key", "__one")).alias("least")).select(F.col("least.__one").alias("__first")))
+    again = F.row_number().over(Window.partitionBy("__one").orderBy("__key"))
+    return (keyed.join(first, F.col("__one") == F.col("__first"), "left_semi")
+            .withColumn("__row", again).filter("__row = 1").drop("__row", "__key", "__one"))
 
 
 def without_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no copy of a test item."""
     ship_package(spark)
     keyed = _keyed(docs)
-    found = contaminated(keyed.select(F.col("__key").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
+    found = contaminated(keyed.select(F.col("__one").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
     hit = found.select(F.col("doc_id").alias("__hit")).distinct()
-    return keyed.join(hit, F.col("__key") == F.col("__hit"), "left_anti").drop("__key")
+    return keyed.join(hit, F.col("__one") == F.col("__hit"), "left_anti").drop("__key", "__one")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,3 +70,14 @@ def test_edges(spark):
     assert clean.columns == df.columns and {r.score for r in plain.collect()} == {1, 2}
     empty = _stages(spark, df.limit(0), sf)
     assert [d.count() for d in empty] == [0] * 5
+
+
+def test_different_texts_under_one_id(spark):
+    sf = "/root/testdata/sf0.001"
+    t = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id in (3, 4, 5)").orderBy("doc_id").collect()]
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet").first().text
+    rows = [(7, t[0], "en"), (7, t[1], "en"), (7, t[1], "en"), (9, t[1], "en"), (8, t[2], "de"), (8, f"{t[0]} {t[1]} {bench}", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    _, single, clean, _, _ = _stages(spark, df, sf)
+    assert sorted((r.doc_id, r.text) for r in single.collect()) == sorted({r[:2] for r in rows if r[0] != 9})
+    assert sorted((r.doc_id, r.text) for r in clean.collect()) == sorted({r[:2] for r in rows[:2] + rows[4:5]})

@@ -76,3 +76,11 @@ def test_long_chain(spark):
     n = 300
     e = spark.range(n - 1).selectExpr("id as a", "id + 1 as b")
     assert {(r.node, r.component) for r in connected_components(e).collect()} == {(i, 0) for i in range(n)}
+
+
+def test_different_texts_under_one_id(spark):
+    a, b = "one two three four five six seven", "wholly other words stand in this text here"
+    df = spark.createDataFrame([(7, a), (7, b), (8, a), (9, b), (5, b)], "doc_id long, text string")
+    got = {(r.doc_id, r.fingerprint): r.component_id for r in S.simhash_components(df).collect()}
+    pa, pb = (f"{brute_print(t):016x}" for t in (a, b))
+    assert pa != pb and got == {(7, pa): 7, (8, pa): 7, (7, pb): 5, (9, pb): 5, (5, pb): 5}
