@@ -7,8 +7,10 @@ the smallest hash), so equal 50-byte strings are always represented by equal ent
 next to each other with one minimizer form a run and share an entry: the hash of the 16 bytes,
 the hash of all bytes of the run, and the document. Arrays are sorted by the first hash and
 dealt to key buckets, where the family lives: each batch becomes a level, levels of about
-equal size merge geometrically, and the batches are scanned against the levels for entries of
-other documents. Two rounds make it exact:
+equal size merge geometrically. After the last batch the levels are settled into one array, and
+the batches' entries are looked up in it: what goes depends on the smallest document over all
+batches, later ones too, and one array answers that in one lookup. No level outlives a run. Two
+rounds make it exact:
 
 1. A run whose whole content also stands in a smaller document goes as a whole. Two runs with one
    minimizer and different contents can share a 50-byte string only if the 17 bytes on the left of
