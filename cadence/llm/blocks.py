@@ -71,8 +71,14 @@ def write_blocks(docs: DataFrame, block_bytes: int, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(of), *b.columns], names=["block", *b.schema.names])
 
     schema = "block long, " + ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
+    return write_bucketed(docs.mapInArrow(number, schema), buckets)
+
+
+def write_bucketed(rows: DataFrame, buckets: int) -> DataFrame:
+    """``rows`` (with a column block), written once as a table bucketed by block and read back."""
+    spark = rows.sparkSession
     name = f"cadence_blocks_{uuid.uuid4().hex}"
-    (docs.mapInArrow(number, schema).write.bucketBy(buckets, "block").option("path", shared_folder(spark, "blocks"))
+    (rows.write.bucketBy(buckets, "block").option("path", shared_folder(spark, "blocks"))
      .option("compression", "zstd").saveAsTable(name))
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # an external table: the files stay, and so does what was read from it
