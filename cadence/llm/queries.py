@@ -4,7 +4,7 @@ import importlib
 
 from cadence.llm.common import ORACLE, QUERIES
 
-MODULES = ("audit", "conversations", "decontaminate", "embeddings", "language", "packing", "pii", "scoring", "sharding", "simhash", "suffixes", "warc")
+MODULES = ("audit", "conversations", "decontaminate", "embeddings", "fertility", "language", "packing", "pii", "scoring", "sharding", "simhash", "suffixes", "warc")
 
 # op7 and op10 have DuckDB SQL, beside their queries. The other eight have none: their hashes (XXH64,
 # CRC-32), tokenizer, trained models, alignments, bootstrapped patterns and byte spans have no DuckDB
