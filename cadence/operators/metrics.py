@@ -4,17 +4,17 @@ Everything starts from one grouped count per (label, prediction) pair - a map-si
 aggregate whose output has at most k^2 rows - so accuracy, precision / recall / F1
 (weighted, macro, micro, per class), the confusion matrix and the report never move rows.
 ROC-AUC is exact (ties count one half) and distributed: rows collapse to distinct scores
-with positive / negative counts, are range-partitioned once, and each takes the negatives
-below it from its partition and the partition's offset. No window runs over a whole table.
+with positive / negative counts in ranges of about equal size, and each takes the negatives
+below it from its range and the totals of the ranges below. No window runs over a whole table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.arrays import log_softmax_at
-from cadence.functions.ranking import running_totals
+from cadence.functions.quantiles import equal_ranges
 from cadence.functions.stats import ratio_or_zero
 from cadence.session import checkpoint_dir
 
@@ -97,13 +97,28 @@ def confusion_wide(df: DataFrame, label: str, pred: str) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("prediction", "count")))).alias("counts"))
 
 
-def _auc_from_counts(counts: DataFrame, groups: list[str]) -> DataFrame:
-    """counts: (groups..., score, pos, neg) with one row per distinct score per group.
-    Returns (groups..., pos_total, neg_total, auc) with ties counted one half."""
-    local = running_totals(counts, groups, ["score"], "neg", before="__below")
-    return local.groupBy(*groups).agg(
+def _auc(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """rows: (groups..., score, hit), hit telling positives. Returns (groups..., pos_total, neg_total,
+    auc) with ties counted one half.
+
+    Scores are dealt to ranges of about equal size. A range's totals say how many negatives lie below
+    it, and inside a range the distinct scores are sorted by themselves, so ties are exact and no
+    task sees more than a range."""
+    ranged = equal_ranges(rows, "score", groups, out="__range")
+    keys = [*groups, "__range"]
+    counts = ranged.groupBy(*keys, "score").agg(F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg"))
+    inside = Window.partitionBy(*keys).orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
+    below = F.sum("neg").over(inside) - F.col("neg")
+    totals = counts.withColumn("__below", below).groupBy(*keys).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
+        F.sum(F.col("pos") * (F.col("__below") + F.col("neg") / 2.0)).alias("__won"))
+    # At most a few thousand ranges a group.
+    earlier = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("__range").rowsBetween(
+        Window.unboundedPreceding, 0)
+    won = F.col("__won") + F.col("pos") * (F.sum("neg").over(earlier) - F.col("neg"))
+    return totals.withColumn("__won", won).groupBy(*groups).agg(
         F.sum("pos").cast("bigint").alias("pos_total"), F.sum("neg").cast("bigint").alias("neg_total"),
-        F.sum(F.col("pos") * (F.col("__below") + F.col("neg") / 2.0)).alias("__num")).select(
+        F.sum("__won").alias("__num")).select(
         *groups, "pos_total", "neg_total",
         F.try_divide(F.col("__num"), F.col("pos_total") * F.col("neg_total").cast("double")).alias("auc"))
 
@@ -117,10 +132,8 @@ def scored(df: DataFrame, score: str) -> tuple[DataFrame, DataFrame]:
 def roc_auc(df: DataFrame, label: str, score: str, positive: int = 1) -> DataFrame:
     """One row (pos_total, neg_total, auc); auc NULL with a single class. Rows without a
     score don't rank; ``scored`` counts them."""
-    df = scored(df, score)[0]
-    counts = df.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.count_if(F.col(label) == positive).alias("pos"), F.count_if(F.col(label) != positive).alias("neg"))
-    out = _auc_from_counts(counts, [])
+    df = scored(df, score)[0].where(F.col(label).isNotNull())
+    out = _auc(df.select(F.col(score).cast("double").alias("score"), (F.col(label) == positive).alias("hit")), [])
     return out.select("pos_total", "neg_total",
                       F.when((F.col("pos_total") > 0) & (F.col("neg_total") > 0), F.col("auc")).alias("auc"))
 
@@ -130,10 +143,9 @@ def roc_auc_ovr(df: DataFrame, label: str, probs: str, average: str = "weighted"
     (``weighted``) or plainly (``macro``). Returns one row (classes, auc)."""
     exploded = df.select(F.col(label).cast("long").alias("y"),
                          F.posexplode(probs).alias("cls", "score"))
-    exploded = scored(exploded, "score")[0]
-    counts = exploded.groupBy("cls", F.col("score").cast("double").alias("score")).agg(
-        F.count_if(F.col("y") == F.col("cls")).alias("pos"), F.count_if(F.col("y") != F.col("cls")).alias("neg"))
-    per = _auc_from_counts(counts, ["cls"]).where(F.col("pos_total") > 0)
+    exploded = scored(exploded, "score")[0].where(F.col("y").isNotNull())
+    per = _auc(exploded.select("cls", F.col("score").cast("double").alias("score"), (F.col("y") == F.col("cls")).alias("hit")),
+               ["cls"]).where(F.col("pos_total") > 0)
     if average == "weighted":
         auc = F.try_divide(F.sum(F.col("auc") * F.col("pos_total")), F.sum("pos_total").cast("double"))
     else:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ MAX_CENTROID_CELLS = 200_000   # k x d literal cells inlined in the scoring expr
 def linear_logits(x: Column, weights: list[list[float]], bias: list[float] | None = None) -> Column:
     """logits[c] = sum_i x_i * w[c][i] + b[c] as an array column."""
     bias = bias or [0.0] * len(weights)
-    return F.array(*[dot(x, F.array(*[F.lit(float(v)) for v in w])) + F.lit(float(b))
+    return F.array(*[dot(x, F.lit(np.array(w, dtype=float))) + F.lit(float(b))
                      for w, b in zip(weights, bias)])
 
 
@@ -55,7 +56,7 @@ def fit_centroids(df: DataFrame, vec: str, label: str) -> tuple[list[int], list[
 def centroid_scores(vec: Column, centroids: list[list[float]]) -> Column:
     """Dot product of the vector with every centroid (array of k doubles)."""
     x = vec.cast("array<double>")
-    return F.array(*[dot(x, F.array(*[F.lit(float(v)) for v in c])) for c in centroids])
+    return F.array(*[dot(x, F.lit(np.array(c, dtype=float))) for c in centroids])
 
 
 def nearest_centroid(df: DataFrame, vec: str, label: str, fit_df: DataFrame | None = None) -> DataFrame:

@@ -19,10 +19,14 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python workers get batches of at most so many bytes, so that long texts don't pile up in one.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "cadence", extra: dict | None = None) -> SparkSession:
@@ -51,8 +55,11 @@ _shipped: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, as ``--py-files`` would:
-    functions run by workers import it, and only the driver's folder is sure to have it."""
+    functions run by workers import it, and only the driver's folder is sure to have it. A session that
+    was built elsewhere gets the bound on their batches, which no operator changes afterwards."""
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_BYTES, None) != BASE_CONF[BATCH_BYTES]:
+        spark.conf.set(BATCH_BYTES, BASE_CONF[BATCH_BYTES])
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
