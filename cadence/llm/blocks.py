@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import shared_folder, small_batches
+from cadence.llm.common import shared_folder
 
 BLOCK_BYTES = 8 << 20      # at least
 ROW_KEYS = 1600            # the square of a block's bytes for each byte of text, at least
@@ -52,8 +52,6 @@ def layout(docs: DataFrame) -> tuple[int, int, int]:
 
 def write_blocks(docs: DataFrame, block_bytes: int, buckets: int) -> DataFrame:
     """``docs`` (with a text column) with a column block, read back from the written table."""
-    spark = docs.sparkSession
-    small_batches(spark)
     at = docs.columns.index("text")
 
     def number(batches):

@@ -57,11 +57,6 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.set(CLEANUP, before)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most ``rows`` rows, so that long texts don't pile up in a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def crc_mod(key: str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``: the fold rule of the contracts (null id: the empty string)."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % n

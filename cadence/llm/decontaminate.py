@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import query, read, small_batches, texts
+from cadence.llm.common import query, read, texts
 
 GRAM = 3               # words of a seed
 BLOCK = 20_000         # test items sent to the tasks at once
@@ -208,7 +208,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     hold and match nothing; rows repeat if documents do. Null document ids are reported as null.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     body = texts(docs)
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     blocks = max(1, -(-bench.count() // BLOCK))

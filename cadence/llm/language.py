@@ -28,7 +28,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import crc_mod, query, read, shared_folder, small_batches
+from cadence.llm.common import crc_mod, query, read, shared_folder
 from cadence.llm.warc import _store
 
 # Language families by ISO 639-1 code. A tag goes by its first part, in any case (en-US:
@@ -180,7 +180,6 @@ def fit(labelled: DataFrame, families: dict[str, str] = FAMILIES, per_language:
     left out. No labelled row: a model that answers `und`. One language: always that one."""
     spark = labelled.sparkSession
     usable = labelled.filter("lang is not null and text is not null").filter(F.col("text").rlike(r"\p{L}"))
-    small_batches(spark, 200)
     sizes = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
     names = sorted(sizes)
     if not names:
@@ -254,7 +253,6 @@ def identify(docs: DataFrame, held_out: Column) -> tuple[DataFrame, LanguageMode
     (doc_id, held_out, lang_pred, score). Repeated rows are scored each; an empty table gives no rows."""
     narrow = docs.select("doc_id", "text", "lang")
     model = fit(narrow.filter(~held_out))
-    small_batches(docs.sparkSession)
     out = narrow.select("doc_id", held_out.alias("held_out"), predict(model).alias("__p"))
     return out.select("doc_id", "held_out", "__p.lang_pred", "__p.score"), model
 

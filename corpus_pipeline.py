@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from cadence.llm.common import read, shared_folder, small_batches  # noqa: E402
+from cadence.llm.common import read, shared_folder  # noqa: E402
 from cadence.llm.decontaminate import contaminated  # noqa: E402
 from cadence.llm.language import UNKNOWN, fit, predict  # noqa: E402
 from cadence.llm.packing import pack_documents, tokenizer_path  # noqa: E402
@@ -34,7 +34,6 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     told, and the same texts go."""
     ship_package(spark)
     model = fit(docs.select("doc_id", "text", "lang"))
-    small_batches(spark)
     if not model.families:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     judged = docs.withColumn("__told", predict(model))
