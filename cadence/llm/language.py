@@ -7,7 +7,7 @@ family that wins are told apart by one machine per pair of them. Where there are
 families, or languages in one, the likest (by their mean vectors) are put into at most `FAN`
 groups, told apart first, and so on: any number of languages makes a tree whose nodes have at
 most 120 machines. Machines are fitted in Spark tasks by dual coordinate descent on a bounded sample
-of the labelled rows: at most `SAMPLE` documents a language and `TOTAL` in all, but one of every
+of the labelled rows: at most `SAMPLE` different texts a language and `TOTAL` in all, but one of every
 language, those with the smallest hash (production parameter; all else covers all rows). They are
 written to the shared folder, and a worker loads the nodes that its texts reach. The driver holds
 the languages' names and the sample, no machine. Scoring reads every whole text once, in Arrow
@@ -48,10 +48,14 @@ SHARPNESS = 4.0     # margin to probability
 UNKNOWN = "und"
 HASHES = 1 << 40
 
-_LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(r"[\W\d_]+")
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of a Unicode letter category occurs (as \\p{L} has it: no digits, fractions, numerals)."""
+    return any(map(str.isalpha, text))
+
+
 def trigram_counts(text: str) -> np.ndarray:
     body = f" {_OTHER.sub(' ', text.lower())} ".encode("utf-8", "surrogatepass")
     b = np.frombuffer(body, np.uint8).astype(np.uint32)
@@ -118,7 +122,7 @@ class LanguageModel:
     def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
         out, at = [(UNKNOWN, 0.0)] * len(texts), {}
         for i, t in enumerate(texts):
-            if t is not None and self.families and _LETTER.search(t):
+            if t is not None and self.families and has_letter(t):
                 at.setdefault(0, []).append((i, vector(trigram_counts(t)), 1.0))
         while at:
             # All texts at a node together: it is loaded once a batch.
@@ -176,11 +180,13 @@ def grow(groups: dict[str, list[str]], sketch: dict[str, np.ndarray]) -> tuple[l
 
 
 def fit(labelled: DataFrame, families: dict[str, str] = FAMILIES, per_language: int = SAMPLE) -> LanguageModel:
-    """Model from (doc_id, text, lang) rows; rows without language or without a letter are
+    """Model from rows with text and lang; rows without language or without a letter are
     left out. No labelled row: a model that answers `und`. One language: always that one."""
     spark = labelled.sparkSession
     usable = labelled.filter("lang is not null and text is not null").filter(F.col("text").rlike(r"\p{L}"))
-    sizes = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
+    # Different texts count, not rows: a text that is there thousands of times is one candidate.
+    usable = usable.select("text", "lang", F.pmod(F.xxhash64("text"), F.lit(HASHES)).alias("__spot"))
+    sizes = {r.lang: r["count"] for r in usable.select("lang", "__spot").distinct().groupBy("lang").count().collect()}
     names = sorted(sizes)
     if not names:
         return LanguageModel({}, [], "")
@@ -188,10 +194,9 @@ def fit(labelled: DataFrame, families: dict[str, str] = FAMILIES, per_language:
     # A threshold on the hash leaves a little more than the sample; only that much is ranked.
     most = spark.createDataFrame([(n, int(HASHES * min(1.0, (1.5 * per_language + 100) / sizes[n]))) for n in names],
                                  "lang string, __most long")
-    spot = F.pmod(F.xxhash64("doc_id", "text"), F.lit(HASHES))
-    few = (usable.select("doc_id", "text", "lang", spot.alias("__spot")).join(F.broadcast(most), "lang")
-           .filter(F.col("__spot") < F.col("__most")))
-    ranked = F.row_number().over(Window.partitionBy("lang").orderBy("__spot", "doc_id"))
+    few = (usable.join(F.broadcast(most), "lang").filter(F.col("__spot") < F.col("__most"))
+           .groupBy("lang", "__spot").agg(F.first("text").alias("text")))
+    ranked = F.row_number().over(Window.partitionBy("lang").orderBy("__spot"))
     few = few.withColumn("__rank", ranked).filter(F.col("__rank") <= per_language)
 
     @F.pandas_udf("struct<place: array<int>, n: array<int>>")

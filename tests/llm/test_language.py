@@ -60,3 +60,56 @@ def test_any_number_of_languages(spark):
     assert model.families["germanic"] == ["EN", "en", "en-US"]
     assert max(map(len, model.nodes)) <= L.FAN
     assert sorted(c for n in model.nodes for c in n if isinstance(c, str)) == sorted({r[2] for r in rows if r[0] % 10 != 3})
+
+
+def test_letters_are_unicode_letters(spark):
+    rows = [(1, "the house and the garden", "en"), (2, "das Haus und der Garten", "de")]
+    rows += [(10 + i, t, None) for i, t in enumerate(["½", "²", "Ⅷ 12", "٣", "_", "①", "ª", "é", "字"])]
+    out, _ = L.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), L.F.lit(False))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in out.collect()}
+    assert all(got[10 + i] == ("und", 0.0) for i in range(6))
+    assert all(got[10 + i][0] in ("en", "de") for i in range(6, 9))
+
+
+def test_language_of_repeated_rows_is_learned(spark):
+    rng = random.Random(5)
+    words = "the of and to in house garden town is was for that with on as old".split()
+    rows = [(i, " ".join(rng.choice(words) for _ in range(20)), "en") for i in range(3000)]
+    rows = [r for r in rows if r[0] != 7] + [(7, "das Haus und der Garten in der alten Stadt", "de")] * 5000
+    out, _ = L.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), L.F.lit(False))
+    assert out.filter("doc_id = 7 and lang_pred = 'de'").count() == 5000
+
+
+def test_prediction_matches_plain_version(spark):
+    """One text after the other, with dense vectors and the machines of each node as they were written."""
+    import numpy as np
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out, model = L.identify(docs, L.F.lit(False))
+    truth = {r.doc_id: r.text for r in docs.collect()}
+    machines = {(r.node, r.pair): np.frombuffer(r.weights, np.float32) for r in spark.read.parquet(model.folder).collect()}
+
+    def plain(text):
+        if not any(c.isalpha() for c in text):
+            return "und"
+        body, dense = " " + L.re.sub(r"[\W\d_]+", " ", text.lower()) + " ", np.zeros(L.WIDTH + 1)
+        data = body.encode()
+        for i in range(len(data) - 2):
+            code = data[i] << 16 | data[i + 1] << 8 | data[i + 2]
+            dense[(code * 2_654_435_761 % 2**32) >> 19] += 1
+        dense = np.sqrt(dense / dense.sum())
+        dense[-1] = 1
+        node = 0
+        while True:
+            children = model.nodes[node]
+            votes, sums, pair = [0] * len(children), [0.0] * len(children), 0
+            for a in range(len(children)):
+                for b in range(a + 1, len(children)):
+                    margin = float(dense @ machines[node, pair])
+                    votes[a if margin >= 0 else b] += 1
+                    sums[a], sums[b], pair = sums[a] + margin, sums[b] - margin, pair + 1
+            node = children[max(range(len(children)), key=lambda k: (votes[k], sums[k]))]
+            if isinstance(node, str):
+                return node
+
+    for r in out.collect():
+        assert r.lang_pred == (plain(truth[r.doc_id]) if truth[r.doc_id] else "und")
