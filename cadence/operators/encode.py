@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.columns import categorical_columns
+from cadence.functions.quantiles import small_table
 from cadence.functions.ranking import global_rank
 
 NULL_TOKEN = "None"          # string form a missing value takes before encoding (fixed value)
@@ -68,6 +69,47 @@ def fit_label_codes(df: DataFrame, columns: list[str] | None = None) -> LabelCod
     return codes
 
 
+def _with_fills(counts: DataFrame, fills: dict[str, tuple]) -> DataFrame:
+    """``counts`` (column, value, n) of the columns in ``fills``, with the missing values of each, {column:
+    (fill, how many)}, counted as its fill; a column without any value has its fill alone."""
+    spark = counts.sparkSession
+    rows = [(c, str(v), int(n)) for c, (v, n) in fills.items()]  # one row a column
+    more = spark.createDataFrame(rows, "column string, value string, n long")
+    both = counts.where(F.col("column").isin(list(fills))).unionByName(more).groupBy("column", "value").agg(F.sum("n").alias("n"))
+    any_value = F.max("n").over(Window.partitionBy("column"))
+    return both.withColumn("__any", any_value).where((F.col("n") > 0) | (F.col("__any") == 0)).drop("__any")
+
+
+def codes_from_counts(counts: DataFrame, fills: dict[str, tuple]) -> tuple[LabelCodes, dict[str, tuple]]:
+    """Label codes from the counts of values, and (n, mean, sum of squared deviations, least, greatest) of the
+    codes of each column, the missing values filled. Only columns beyond INLINE_MAX values get a code table."""
+    codes, moments = LabelCodes(), {}
+    if not fills:
+        return codes, moments
+    filled = _with_fills(counts, fills)
+    sizes = filled.groupBy("column").agg(F.count(F.lit(1)).alias("size"))
+    head = filled.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy("value"))).where(F.col("rank") <= INLINE_MAX)
+    by_col: dict[str, list] = {c: [] for c in fills}
+    for r in head.join(sizes, "column").collect():  # <= INLINE_MAX rows a column
+        codes.sizes[r["column"]] = r["size"]
+        by_col[r["column"]].append((r["rank"] - 1, r["value"], r["n"]))
+    for c in fills:
+        if codes.sizes[c] <= INLINE_MAX:
+            codes.inline[c] = {v: i for i, v, _ in by_col[c]}
+            n = sum(k for _, _, k in by_col[c])
+            mean = sum(i * k for i, _, k in by_col[c]) / n if n else 0.0
+            moments[c] = (n, mean, sum(k * (i - mean) ** 2 for i, _, k in by_col[c]), 0.0, float(len(by_col[c]) - 1))
+            continue
+        mine = filled.where(F.col("column") == c).select("value", "n")
+        codes.tables[c] = small_table(global_rank(mine, ["value"], "code").withColumn("code", F.col("code").cast("int")))
+        x, n = F.col("code").cast("double"), F.col("n").cast("double")
+        m = codes.tables[c].agg(F.sum("n").alias("n"), (F.sum(x * n) / F.sum(n)).alias("mean"), F.max("code").alias("high")).first()
+        m2 = codes.tables[c].agg(F.sum(n * (x - F.lit(m["mean"])) ** 2)).first()[0]
+        moments[c] = (m["n"], m["mean"], m2, 0.0, float(m["high"]))
+        codes.tables[c] = codes.tables[c].select("value", "code")
+    return codes, moments
+
+
 def apply_label_codes(df: DataFrame, codes: LabelCodes, handle_unknown: str = "error") -> DataFrame:
     """Replace each fitted column by its integer code. Unseen values raise (``error``) or get
     -1 (``keep``)."""
@@ -140,6 +182,19 @@ def fit_categories(df: DataFrame, columns: list[str] | None = None,
     return out
 
 
+def categories_from_counts(counts: DataFrame, fills: dict[str, tuple], max_categories: int = INLINE_MAX) -> dict[str, list[str]]:
+    """Sorted categories of each column from the counts of its values, the missing ones filled."""
+    filled = _with_fills(counts, fills) if fills else counts.limit(0)
+    rank = F.row_number().over(Window.partitionBy("column").orderBy("value"))
+    out: dict[str, list[str]] = {c: [] for c in fills}
+    for r in filled.withColumn("rank", rank).where(F.col("rank") <= max_categories + 1).collect():  # that many rows a column
+        out[r["column"]].append(r["value"])
+    for c, values in out.items():
+        if len(values) > max_categories:
+            raise ValueError(f"column {c} has more than {max_categories} categories; use label codes or one_hot_vectors instead")
+    return {c: sorted(v) for c, v in out.items()}
+
+
 def apply_categories(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:
     """F07 apply: drop each column, append its boolean ``<col>_<value>`` columns; NULL and
     unseen values give all false."""

@@ -19,7 +19,7 @@ from cadence.functions.columns import (categorical_columns, is_missing, nan_to_n
                                        numeric_columns)
 
 STRATEGIES = ("mean", "median", "mode", "fill", "drop")
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 @dataclass
@@ -56,7 +56,7 @@ def fill_missing(df: DataFrame, value: Any) -> DataFrame:
             lit = F.lit(str(value))
         elif isinstance(value, (int, float)) and not isinstance(value, bool) and isinstance(
                 t, (T.NumericType,)):
-            if isinstance(t, _INTEGRAL) and isinstance(value, float) and not value.is_integer():
+            if isinstance(t, INTEGRAL) and isinstance(value, float) and not value.is_integer():
                 lit = F.lit(value)  # column widens to double, like a pandas int column would
             else:
                 lit = F.lit(value).cast(t)
@@ -135,7 +135,7 @@ def fit_missing(df: DataFrame, strategy: str = "mean", fill_value: Any = None,
         if c in num and need(c):
             if strategy == "mean":
                 params.fills[c] = row[f"a{i}"]
-            if c in has_null and isinstance(df.schema[c].dataType, _INTEGRAL):
+            if (c in has_null or not only_missing) and isinstance(df.schema[c].dataType, INTEGRAL):
                 params.widen.append(c)
     if strategy == "median":
         med_cols = [c for c in num if need(c)]

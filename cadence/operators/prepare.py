@@ -15,11 +15,14 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.operators.encode import (LabelCodes, apply_categories, apply_label_codes, code_table, fit_categories,
-                                      fit_label_codes, load_codes)
+from cadence.functions.columns import categorical_columns, is_missing, numeric_columns
+from cadence.functions.quantiles import exact_quantiles
+from cadence.operators.encode import (LabelCodes, apply_categories, apply_label_codes, categories_from_counts, code_table,
+                                      codes_from_counts, fit_categories, fit_label_codes, load_codes)
 from cadence.operators.features import create_features
-from cadence.operators.impute import Imputation, apply_missing, fit_missing, zero_as_missing
-from cadence.operators.scale import ScaleParams, apply_scaler, fit_scaler, load_scaler, scaler_table
+from cadence.operators.fitstate import FitState, Moments, fit_state, modes
+from cadence.operators.impute import INTEGRAL, Imputation, apply_missing, fit_missing, zero_as_missing
+from cadence.operators.scale import ScaleParams, apply_scaler, fit_scaler, load_scaler, scaler_from_moments, scaler_table
 from cadence.operators.split import hash_split
 
 
@@ -42,8 +45,12 @@ class Preprocessor:
     polynomial: list[str] | None = None
     exclude_from_scaling: list[str] = field(default_factory=list)
     exact: bool = True
+    fill_value: Any = None
     keys: list[str] = field(default_factory=list)   # neither imputed, encoded nor scaled
     # fitted state
+    state: FitState | None = None
+    columns: list[str] = field(default_factory=list)
+    integral: list[str] = field(default_factory=list)
     imputation: Imputation | None = None
     zero_imputation: Imputation | None = None
     codes: LabelCodes | None = None
@@ -51,18 +58,116 @@ class Preprocessor:
     scaler: ScaleParams | None = None
 
     def fit(self, df: DataFrame) -> Preprocessor:
-        """Fit every step on ``df``, each on what the steps before made of it."""
+        """Fit every step on ``df``, each on what the steps before make of it. Every column gets a fill
+        value, also one without a missing value here, so that later rows never keep a NULL."""
         cols = [c for c in df.columns if c not in self.keys]
         df = df.select(*cols)
-        zeros = {c: 0 for c in self.zero_as_missing_columns if c in cols}
-        self.imputation = fit_missing(df, self.missing_strategy, exact=self.exact, zeros=zeros)
-        df = apply_missing(df, self.imputation)
+        self.zero_as_missing_columns = [c for c in self.zero_as_missing_columns if c in cols]
+        if self.missing_strategy in ("fill", "drop"):
+            return self._fit_by_steps(df)
+        num = numeric_columns(df)
+        self.integral = [f.name for f in df.schema.fields if f.name in num and isinstance(f.dataType, INTEGRAL)]
+        self.columns = cols if self.missing_strategy == "mode" else [c for c in cols if c in num or c in categorical_columns(df)]
+        self.state = self._state_of(df)
+        exact = {}
+        if self.exact:
+            first = self._first_fills({}) if self.missing_strategy != "median" else {}
+            exact = self._exact_medians(df, num if self.missing_strategy == "median" else [], first)
+        self._derive(exact)
+        return self
+
+    def update(self, df: DataFrame) -> Preprocessor:
+        """Extend the fit by a batch of new rows without reading the earlier ones: states add up. Means, modes,
+        codes and the scaler are those of all rows together; medians are to the precision of the sketch."""
+        if self.state is None:
+            raise RuntimeError("only a preprocessor fitted with mean, median or mode can be updated")
+        self.state = self.state.merge(self._state_of(df.select(*self.columns)))
+        self._derive({})
+        return self
+
+    def _state_of(self, df: DataFrame) -> FitState:
+        median, mode, cat = self.missing_strategy == "median", self.missing_strategy == "mode", categorical_columns(df)
+        return fit_state(df, self.zero_as_missing_columns, numeric_columns(df) if median else [],
+                         [c for c in df.columns if c not in cat] if mode else [])
+
+    def _exact_medians(self, df: DataFrame, columns: list[str], fills: dict[str, Any]) -> dict[tuple, float]:
+        """{(step, column): median}: of ``columns`` (step 0), and of the zero-as-missing columns once NULLs are
+        filled and zeros taken out (step 1), both in one pair of scans where the fill is known."""
+        def medians(exprs: dict[str, Any]) -> dict[str, float]:
+            if not exprs:
+                return {}
+            rows = exact_quantiles(df.select(*[e.alias(k) for k, e in exprs.items()]), list(exprs), [0.5]).collect()
+            return {r["column"]: r["quantiles"][0] for r in rows}  # one row a column
+
+        def filled(c):
+            fill = fills.get(c)
+            x = F.when(~is_missing(df, c), F.col(c).cast("double"))
+            return F.nullif(x if fill is None else F.coalesce(x, F.lit(float(fill))), F.lit(0.0))
+
+        names = {f"m{i}": (0, c) for i, c in enumerate(columns)}
+        zeros = {f"z{i}": (1, c) for i, c in enumerate(self.zero_as_missing_columns)}
+        first = {k: F.col(c).cast("double") for k, (_, c) in names.items()}
+        if columns and any(self.state.numbers[c].missing for _, c in zeros.values()):
+            got = medians(first)  # the fills of NULLs are needed before zeros can be filled
+            fills = {c: got.get(k) for k, (_, c) in names.items()}
+            got |= medians({k: filled(c) for k, (_, c) in zeros.items()})
+        else:
+            got = medians(first | {k: filled(c) for k, (_, c) in zeros.items()})
+        return {at: got[k] for k, at in (names | zeros).items() if k in got}
+
+    def _first_fills(self, exact: dict[tuple, float]) -> dict[str, Any]:
+        """Fill values of missing values: numbers by the strategy, the others by their mode."""
+        numbers, names = self.state.numbers, list(self.state.missing)
+        if self.missing_strategy == "mode":
+            found = modes(self.state, self.columns)
+            fills = {c: float(v) if c in numbers else v for c, v in found.items()}
+            return {c: 0 if self.fill_value is None else self.fill_value for c in [*numbers, *names]} | fills
+        found = modes(self.state, names)
+        fills = {c: found.get(c, "unknown") for c in names}
+        if self.missing_strategy == "mean":
+            return fills | {c: s.all.mean if s.present else None for c, s in numbers.items()}
+        # The sketches of zero-as-missing columns are without the zeros, which still count here.
+        zeros = {c: (numbers[c].zeros, 0.0) for c in self.zero_as_missing_columns}
+        sketched = {} if all((0, c) in exact for c, s in numbers.items() if s.present) else self.state.medians(zeros)
+        return fills | {c: exact.get((0, c), sketched.get(c)) for c in numbers}
+
+    def _derive(self, exact: dict[tuple, float]) -> None:
+        """Fill values, codes and scaler from the state; ``exact`` has medians that are known exactly."""
+        fills, numbers = self._first_fills(exact), self.state.numbers
+        widen = [c for c in self.integral if self.missing_strategy != "mode" and fills[c] is not None]
+        self.imputation, zeros = Imputation(self.missing_strategy, fills, widen), self.zero_as_missing_columns
+        second: dict[str, Any] = {}
         if zeros:
-            df = zero_as_missing(df, list(zeros))
-            # Filling leaves nothing missing but the zeros just counted (and whole columns of NULL, or
-            # fills that are zero themselves, which a new count would find).
-            known = all(v not in (None, 0) for v in self.imputation.fills.values()) and self.missing_strategy not in ("fill", "drop")
-            self.zero_imputation = fit_missing(df, "median", exact=self.exact, columns=list(zeros), missing=zeros if known else None)
+            constants = {c: (numbers[c].missing, float(fills[c])) for c in zeros if fills[c]}
+            sketched = {} if all((1, c) in exact for c in zeros) else self.state.medians(constants)
+            second = {c: exact.get((1, c), sketched.get(c)) for c in zeros}
+            self.zero_imputation = Imputation("median", second, [c for c in zeros if c in self.integral and c not in widen])
+        moments = {}
+        for c, s in numbers.items():
+            null, zero = s.missing, s.zeros
+            if c not in zeros:
+                moments[c] = s.all.merge(Moments.constant(null if fills[c] is not None else 0, fills[c] or 0.0))
+                continue
+            if fills[c] == 0:
+                null, zero = 0, zero + null
+            kept = s.nonzero.merge(Moments.constant(null if fills[c] is not None else 0, fills[c] or 0.0))
+            moments[c] = kept.merge(Moments.constant(zero if second[c] is not None else 0, second[c] or 0.0))
+        if self.encoding_method == "label":
+            self.codes, of_codes = codes_from_counts(self.state.values, {c: (fills[c], n) for c, n in self.state.missing.items()})
+            moments |= {c: Moments(*m) for c, m in of_codes.items()}
+        else:
+            self.categories = categories_from_counts(self.state.values, {c: (fills[c], n) for c, n in self.state.missing.items()})
+        self.scaler = scaler_from_moments({c: moments[c] for c in self.columns if c in moments and c not in self.exclude_from_scaling},
+                                          self.scaling_method)
+
+    def _fit_by_steps(self, df: DataFrame) -> Preprocessor:
+        """For constant fills and dropped rows, whose moments do not add up by column: every step reads
+        what the one before made."""
+        self.imputation = fit_missing(df, self.missing_strategy, self.fill_value)
+        df = apply_missing(df, self.imputation)
+        if self.zero_as_missing_columns:
+            df = zero_as_missing(df, self.zero_as_missing_columns)
+            self.zero_imputation = fit_missing(df, "median", exact=self.exact, columns=self.zero_as_missing_columns, only_missing=False)
             df = apply_missing(df, self.zero_imputation)
         if self.encoding_method == "label":
             self.codes = fit_label_codes(df)
@@ -94,10 +199,12 @@ class Preprocessor:
         """Fitted label codes and scaler as tables under ``path``, fill values as JSON rows."""
         code_table(self.codes or LabelCodes(), spark).write.mode("overwrite").parquet(f"{path}/codes")
         scaler_table(self.scaler, spark).write.mode("overwrite").parquet(f"{path}/scaler")
-        state = {"missing": asdict(self.imputation), "zero": asdict(self.zero_imputation) if self.zero_imputation else None,
+        if self.state:
+            self.state.write(f"{path}/fit")
+        state = {"missing": asdict(self.imputation), "fitted": self.state is not None, "zero": asdict(self.zero_imputation) if self.zero_imputation else None,
                  "categories": self.categories, "settings": {k: getattr(self, k) for k in (
                      "missing_strategy", "encoding_method", "scaling_method", "zero_as_missing_columns", "interactions",
-                     "polynomial", "exclude_from_scaling", "keys")}}
+                     "polynomial", "exclude_from_scaling", "exact", "fill_value", "keys", "columns", "integral")}}
         spark.createDataFrame([(json.dumps(state),)], "state string").write.mode("overwrite").parquet(f"{path}/state")
 
     @classmethod
@@ -109,6 +216,7 @@ class Preprocessor:
         out.categories = state["categories"]
         if out.encoding_method == "label":
             out.codes = load_codes(spark.read.parquet(f"{path}/codes"))
+        out.state = FitState.read(spark, f"{path}/fit") if state["fitted"] else None
         out.scaler = load_scaler(spark.read.parquet(f"{path}/scaler"), out.scaling_method)
         return out
 
@@ -120,7 +228,7 @@ def run_pipeline(df: DataFrame, config: dict[str, Any] | None = None,
     fc = config.get("feature_config") or {}
     pre = Preprocessor(missing_strategy=config.get("missing_strategy", "mean"),
                        encoding_method=config.get("encoding_method", "label"),
-                       scaling_method=config.get("scaling_method", "standard"),
+                       scaling_method=config.get("scaling_method", "standard"), fill_value=config.get("fill_value"),
                        interactions=fc.get("interactions"), polynomial=fc.get("polynomial"),
                        exclude_from_scaling=config.get("exclude_from_scaling", []))
     out = pre.fit_transform(df)
@@ -149,7 +257,7 @@ def prepare(df: DataFrame, key: str | list[str], target: str | None = None,
     pre = Preprocessor(missing_strategy=config.get("missing_strategy", "mean"),
                        encoding_method=config.get("encoding_method", "label"),
                        scaling_method=config.get("scaling_method", "standard"),
-                       zero_as_missing_columns=zero_as_missing_columns or [],
+                       zero_as_missing_columns=zero_as_missing_columns or [], fill_value=config.get("fill_value"),
                        interactions=fc.get("interactions"), polynomial=fc.get("polynomial"),
                        exclude_from_scaling=[] if scale_target else [tgt], keys=[*keys, "split"])
     split = hash_split(df, key, test_size, val_size, seed, exact=exact_split)

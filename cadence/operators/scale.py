@@ -5,6 +5,7 @@ Fit = one aggregate pass giving two literals per column; apply = one projection.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -50,6 +51,21 @@ def fit_scaler(df: DataFrame, columns: list[str] | None = None, method: str = "s
     return out
 
 
+def scaler_from_moments(moments: dict, method: str = "standard") -> ScaleParams:
+    """Scaler from {column: moments}, objects with n, mean, m2 (sum of squared deviations), low and high."""
+    if method not in ("standard", "minmax"):
+        raise ValueError(f"Unknown scaling method: {method}")
+    out = ScaleParams(method)
+    for c, m in moments.items():
+        if not m.n:
+            out.params[c] = (None, None)
+        elif method == "standard":
+            out.params[c] = (m.mean, math.sqrt(m.m2 / m.n) or 1.0)
+        else:
+            out.params[c] = (m.low, m.high - m.low)
+    return out
+
+
 def apply_scaler(df: DataFrame, sp: ScaleParams) -> DataFrame:
     df = nan_to_null(df, list(sp.params))
     out = {}

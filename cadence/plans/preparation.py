@@ -363,6 +363,36 @@ def q_prepare_written(spark, sf_dir):
         F.avg("o_orderstatus").alias("mean_status")))
 
 
+@query("prepare_unseen", "F15 F01 F03 F06 F09 P07", f"""
+WITH b AS (SELECT *, {_PART_SPLIT} AS split FROM orders),
+g AS (SELECT o_orderkey, split, CASE WHEN split = 'train' OR o_orderkey % 3 > 0 THEN o_totalprice END AS price,
+             CASE WHEN split = 'train' OR o_orderkey % 5 > 0 THEN o_custkey END AS cust,
+             CASE WHEN split <> 'train' AND o_orderkey % 7 = 0 THEN 0 ELSE o_totalprice + 1 END AS gauge,
+             CASE WHEN split = 'train' OR o_orderkey % 4 > 0 THEN o_orderstatus END AS status FROM b),
+t AS (SELECT avg(price) AS mp, stddev_pop(price) AS sp, avg(cust) AS mc, stddev_pop(cust) AS sc, avg(gauge) AS mg, stddev_pop(gauge) AS sg,
+             quantile_cont(gauge, 0.5) AS zg FROM g WHERE split = 'train'),
+m AS (SELECT status AS ms FROM g WHERE split = 'train' GROUP BY status ORDER BY count(*) DESC, status LIMIT 1)
+SELECT split, CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS nulls, round(avg((coalesce(price, mp) - mp) / sp), 6) AS mean_price,
+       round(avg((coalesce(cust, mc) - mc) / sc), 6) AS mean_cust, round(avg((coalesce(nullif(gauge, 0), zg) - mg) / sg), 6) AS mean_gauge,
+       round(avg(CASE coalesce(status, ms) WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END), 6) AS mean_status
+FROM g, t, m GROUP BY split""")
+def q_prepare_unseen(spark, sf_dir):
+    """Fitted on train rows that miss nothing; the other rows have NULLs in a number, an integer and a text, and
+    zeros that stand for missing values. They get the fitted values."""
+    raw = hash_split(table(spark, sf_dir, "orders"), "o_orderkey")
+    train = F.col("split") == "train"
+    key = F.col("o_orderkey")
+    gaps = raw.select("o_orderkey", F.when(train | (key % 3 > 0), F.col("o_totalprice")).alias("price"),
+                      F.when(train | (key % 5 > 0), F.col("o_custkey")).alias("cust"),
+                      F.when(~train & (key % 7 == 0), 0.0).otherwise(F.col("o_totalprice") + 1).alias("gauge"),
+                      F.when(train | (key % 4 > 0), F.col("o_orderstatus")).alias("status"))
+    out, _, _ = prepare(gaps, "o_orderkey", "status", fit_on="train", zero_as_missing_columns=["gauge"])
+    null = F.col("price").isNull() | F.col("cust").isNull() | F.col("gauge").isNull() | F.col("status").isNull()
+    return round_doubles(out.groupBy("split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.count_if(null).cast("bigint").alias("nulls"), F.avg("price").alias("mean_price"),
+        F.avg("cust").alias("mean_cust"), F.avg("gauge").alias("mean_gauge"), F.avg("status").alias("mean_status")))
+
+
 @query("run_pipeline", "F14 F01 F05 F08", """
 WITH c AS (SELECT c_acctbal, CAST(c_nationkey AS DOUBLE) AS n, dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS seg FROM customer)
 SELECT CAST(count(*) AS BIGINT) AS n, round(max((c_acctbal - a) / s), 6) AS max_acctbal, round(min((n - an) / sn), 6) AS min_nation,

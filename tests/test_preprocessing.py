@@ -159,3 +159,45 @@ def test_mode_of_large_integers(spark):
     big = 2**53 + 1
     df = spark.createDataFrame([(big, True), (big, True), (big - 1, False), (None, None)], "v long, b boolean")
     assert column_modes(df, ["v", "b"]) == {"v": big, "b": True}
+
+
+def _batch(spark, rows):
+    return spark.createDataFrame(rows, "k long, a double, i int, z double, s string, split string")
+
+
+def test_later_rows_get_the_fitted_values(spark):
+    """Columns without a missing value when fitted still fill later ones; new zeros count as missing."""
+    from cadence.operators.prepare import Preprocessor
+    seen = [(k, float(k % 5), k % 4, float(1 + k % 3), "xyy"[k % 3], "train") for k in range(60)]
+    for strategy, a, i in (("mean", 2.0, 1.5), ("median", 2.0, 1.5), ("mode", 0.0, 0)):
+        pre = Preprocessor(strategy, zero_as_missing_columns=["z"], keys=["k", "split"], scaling_method="minmax").fit(_batch(spark, seen))
+        later = _batch(spark, [(100, None, None, 0.0, None, "val"), (101, float("nan"), 3, None, "x", "val")])
+        rows = {r.k: r for r in pre.transform(later).collect()}
+        assert (rows[100].a, rows[100].i, rows[100].z, rows[100].s) == (a / 4, pytest.approx(i / 3), 0.5, 1.0)
+        assert (rows[101].a, rows[101].i, rows[101].s) == (a / 4, 1.0, 0.0)
+        assert rows[101].z == (0.5 if strategy != "mode" else 0.0)
+
+
+def test_update_equals_a_fit_on_all_rows(spark, tmp_dir):
+    from cadence.operators.prepare import Preprocessor
+    import random
+    rng = random.Random(3)
+    value = lambda: rng.choice([None, 0.0, float("nan"), *[rng.gauss(50, 9)] * 4])
+    rows = [(k, value(), rng.choice([None, 0, 3, 8]), value(), rng.choice([None, "p", "q", f"v{k}"]), "train") for k in range(1500)]
+    for strategy in ("mean", "median", "mode"):
+        settings = dict(missing_strategy=strategy, zero_as_missing_columns=["z"], keys=["k", "split"])
+        Preprocessor(**settings).fit(_batch(spark, rows[:400])).save(spark, f"{tmp_dir}/{strategy}")
+        grown = Preprocessor.load(spark, f"{tmp_dir}/{strategy}").update(_batch(spark, rows[400:700])).update(_batch(spark, rows[700:]))
+        whole = Preprocessor(**settings).fit(_batch(spark, rows))
+        assert grown.imputation.fills.keys() == whole.imputation.fills.keys() == {"a", "i", "z", "s"}
+        for c, v in whole.imputation.fills.items():
+            assert grown.imputation.fills[c] == (pytest.approx(v, rel=0.02) if strategy == "median" and c in "az" else v if c == "s" else pytest.approx(v))
+        assert grown.zero_imputation.fills["z"] == pytest.approx(whole.zero_imputation.fills["z"], rel=0.02)
+        assert whole.codes.sizes["s"] > 256  # a code table
+        assert {r.value: r.code for r in grown.codes.tables["s"].collect()} == {r.value: r.code for r in whole.codes.tables["s"].collect()}
+        # The closed form of the moments is that of the filled rows.
+        filled = whole.transform(_batch(spark, rows))
+        for c in ("a", "i", "z", "s"):
+            m = filled.select(F.avg(c), F.stddev_pop(c)).first()
+            assert (m[0], m[1]) == (pytest.approx(0, abs=1e-9), pytest.approx(1, abs=1e-9))
+            assert filled.where(F.col(c).isNull()).count() == 0
