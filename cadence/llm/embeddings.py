@@ -1,6 +1,7 @@
 """Embedding near-duplicates with an inverted multi-index.
 
-Vectors of a label that are equal collapse to one class first. Two independent codebooks, one
+Vectors of a label that are equal collapse to one class first. Labels are indexed by size, so that a
+large one has many cells and small ones few. Two independent codebooks, one
 per half of the (unit) vectors, are fitted by k-means on a bounded sample (`SAMPLE` rows, told
 by a hash of their id); their product grid has K x K cells, and every class is indexed
 in its cell. Every class also searches: a multi-sequence traversal visits the cells by
@@ -24,15 +25,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadence.functions.quantiles import small_table
 from cadence.llm.common import cut, query, read
 from cadence.llm.components import connected_components, join_labels
 
 SAMPLE = 20_000
-CELL = 256            # wanted members of a cell, for the size of the codebooks
+CELL = 256            # wanted members of a cell, for the size of a label's codebooks
 MAX_CODEWORDS = 256
 TARGET = 0.99         # share of simulated partners at the threshold that a search must meet
 PART = 4096
-DIMENSIONS = 16       # most different vector lengths in a table
 
 
 def k_means(x: np.ndarray, k: int, rounds: int = 15, seed: int = 11) -> np.ndarray:
@@ -54,11 +55,11 @@ def squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 class MultiIndex:
     """Codebooks of both halves and the number of cells that a search visits."""
 
-    def __init__(self, sample: np.ndarray, per_label: float, threshold: float, target: float):
+    def __init__(self, sample: np.ndarray, k: int, threshold: float, target: float):
         x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
         self.half = max(1, x.shape[1] // 2)
         distinct = len(np.unique(x, axis=0))
-        self.k = int(np.clip(np.ceil(np.sqrt(per_label / CELL)), 1, min(MAX_CODEWORDS, distinct)))
+        self.k = min(k, distinct)
         self.books = [k_means(x[:, :self.half], self.k), k_means(x[:, self.half:], self.k)]
         rng = np.random.default_rng(5)
         x = x[:2000]
@@ -103,22 +104,28 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
-def meet(member: np.ndarray, weight: np.ndarray, visitor: np.ndarray, member_id: np.ndarray, visitor_id: np.ndarray,
-         threshold: float):
-    """(links of each visitor, links (a, b) that join what is linked): all visitors against all members."""
-    ids, where = np.unique(np.concatenate([member_id, visitor_id]), return_inverse=True)
-    m_at, v_at = where[:len(member_id)], where[len(member_id):]
-    label, links = np.arange(len(ids)), np.zeros(len(visitor_id), np.int64)
+def meet(member: np.ndarray, visitor: np.ndarray, members: dict[str, np.ndarray], visitors: dict[str, np.ndarray], threshold: float):
+    """(links of each visitor, links of each member, links (a, b) that join what is linked): all visitors against
+    all members, given with their ids, numbers of copies, and own cells (visitors) and visited cells
+    (members). A linked pair counts at its visitor; at its member only if that one does not visit the
+    visitor's cell, where it counts the pair itself."""
+    ids, where = np.unique(np.concatenate([members["id"], visitors["id"]]), return_inverse=True)
+    m_at, v_at = where[:len(member)], where[len(member):]
+    label, links, back = np.arange(len(ids)), np.zeros(len(visitor), np.int64), np.zeros(len(member), np.int64)
     m_norm = np.linalg.norm(member, axis=1)
     for i in range(0, len(visitor), 512):
-        part = visitor[i:i + 512]
+        part, own, copies = visitor[i:i + 512], visitors["own"][i:i + 512], visitors["copies"][i:i + 512]
         near = part @ member.T / (np.linalg.norm(part, axis=1)[:, None] * m_norm) >= threshold
         near &= v_at[i:i + 512, None] != m_at
-        links[i:i + 512] = near @ weight
+        links[i:i + 512] = near @ members["copies"]
         v, m = np.nonzero(near)
+        for cell in np.unique(own[np.unique(v)]):
+            unmet = ~(members["visits"] == cell).any(axis=1)
+            if unmet.any():
+                back[unmet] += near[own == cell][:, unmet].T @ copies[own == cell]
         label = join_labels(label, v_at[i:i + 512][v], m_at[m])
     moved = np.flatnonzero(label != np.arange(len(ids)))
-    return links, ids[moved], ids[label[moved]]
+    return links, back, ids[moved], ids[label[moved]]
 
 
 def _meetings(batches: Iterator[pa.RecordBatch], threshold: float):
@@ -133,14 +140,19 @@ def _meetings(batches: Iterator[pa.RecordBatch], threshold: float):
             is_member = part.column("member").to_numpy(zero_copy_only=False).astype(bool)
             if is_member.all() or not is_member.any():
                 continue
-            ids, x = part.column("id").to_numpy(), _matrix(part.column("vector").combine_chunks())
-            weight = part.column("copies").to_numpy()
-            links, a, b = meet(x[is_member], weight[is_member], x[~is_member], ids[is_member], ids[~is_member], threshold)
-            some = links > 0
+            x = _matrix(part.column("vector").combine_chunks())
+            column = {c: part.column(c).to_numpy() for c in ("id", "copies", "own")}
+            members = {c: v[is_member] for c, v in column.items()}
+            visits = part.column("visits").filter(pa.array(is_member)).combine_chunks()
+            members["visits"] = visits.flatten().to_numpy().reshape(int(is_member.sum()), -1)
+            visitors = {c: v[~is_member] for c, v in column.items()}
+            links, back, a, b = meet(x[is_member], x[~is_member], members, visitors, threshold)
+            counted = [(visitors["id"][links > 0], links[links > 0]), (members["id"][back > 0], back[back > 0])]
+            n = sum(len(i) for i, _ in counted)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([ids[~is_member][some], a])),
-                 pa.array(np.concatenate([links[some], np.zeros(len(a), np.int64)])),
-                 pa.array(np.concatenate([np.zeros(some.sum(), np.int64), b]), mask=np.arange(some.sum() + len(a)) < some.sum())],
+                [pa.array(np.concatenate([*[i for i, _ in counted], a])),
+                 pa.array(np.concatenate([*[c for _, c in counted], np.zeros(len(a), np.int64)])),
+                 pa.array(np.concatenate([np.zeros(n, np.int64), b]), mask=np.arange(n + len(a)) < n)],
                 names=["id", "links", "other"])
 
     last = None
@@ -162,17 +174,14 @@ def _meetings(batches: Iterator[pa.RecordBatch], threshold: float):
         yield from done(pa.Table.from_batches(held))
 
 
-def _links(classes: DataFrame, threshold: float, target: float, sample_rows: int) -> DataFrame | None:
-    """(id, links, other) of classes (group, id, copies, vector) that all have one dimension."""
-    spark = classes.sparkSession
-    size = classes.agg(F.count(F.lit(1)), F.approx_count_distinct("group")).first()
-    if not size[0]:
-        return None
+def _links(classes: DataFrame, k: int, threshold: float, target: float, sample_rows: int) -> DataFrame:
+    """(id, links, other) of classes (group, id, copies, vector) that all have one dimension, with
+    codebooks of ``k`` words."""
     # A threshold on the hash of the id leaves a little more than the sample, whatever the size.
-    share = min(1.0, (1.1 * sample_rows + 100) / size[0])
+    share = min(1.0, (1.1 * sample_rows + 100) / classes.count())
     few = classes.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < int(share * (1 << 40)))
     sample = np.array([r.vector for r in few.select("vector").limit(sample_rows).collect()], np.float64)
-    index = MultiIndex(sample, size[0] / max(size[1], 1), threshold, target)
+    index = MultiIndex(sample, k, threshold, target)
 
     def place(batches):
         for b in batches:
@@ -187,8 +196,9 @@ def _links(classes: DataFrame, threshold: float, target: float, sample_rows: int
 
     placed = cut(classes.select("group", "id", "copies", "vector").mapInArrow(
         place, f"group long, id long, copies long, vector {dict(classes.dtypes)['vector']}, own int, visits array<int>"))
-    members = placed.select("group", F.col("own").alias("cell"), "id", "copies", "vector")
-    visitors = placed.select("group", F.explode("visits").alias("cell"), "id", "copies", "vector")
+    members = placed.select("group", F.col("own").alias("cell"), "id", "copies", "vector", "own", "visits")
+    visitors = placed.select("group", F.explode("visits").alias("cell"), "id", "copies", "vector", "own",
+                             F.lit(None).cast("array<int>").alias("visits"))
     parts = (placed.groupBy("group", F.col("own").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("ni"))
              .join(visitors.groupBy("group", "cell").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("nj")), ["group", "cell"]))
     spot = F.xxhash64("id")
@@ -199,7 +209,7 @@ def _links(classes: DataFrame, threshold: float, target: float, sample_rows: int
                          .withColumn("j", F.pmod(spot, F.col("nj")).cast("int"))
                          .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ni") - 1))).withColumn("member", F.lit(0))))
     keys = ["group", "cell", "i", "j"]
-    return (both.select(*keys, "member", "id", "copies", "vector").repartition(*keys).sortWithinPartitions(*keys)
+    return (both.select(*keys, "member", "id", "copies", "vector", "own", "visits").repartition(*keys).sortWithinPartitions(*keys)
             .mapInArrow(lambda batches: _meetings(batches, threshold), "id long, links long, other long"))
 
 
@@ -219,17 +229,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, target: float =
     usable = _usable(F.col("vector")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     # 96 bits of hash stand for (label, vector); -0.0 counts as 0.0.
     even = F.transform("vector", lambda c: c + F.lit(0.0))
-    rows = v.select("vec_id", "vector", F.when(usable, F.size("vector")).alias("size"), F.xxhash64("label").alias("group"),
+    rows = v.select("vec_id", "vector", F.when(usable, F.size("vector")).alias("size"), F.xxhash64("label", F.size("vector")).alias("group"),
                     F.xxhash64("label", even).alias("h1"), F.hash("label", even).alias("h2"))
     classes = cut(rows.filter("size is not null").groupBy("size", "group", "h1", "h2")
                   .agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")))
-    sizes = [r.size for r in classes.select("size").distinct().limit(DIMENSIONS + 1).collect()]
-    if len(sizes) > DIMENSIONS:
-        raise ValueError(f"vectors of over {DIMENSIONS} different lengths")
+    # Lengths are filled up with zeros to a power of two, which leaves cosines as they are; a group's index has
+    # as many cells as its own size asks for, again by powers of two. Few combinations can occur.
+    words = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.sqrt(F.col("rows") / CELL), F.lit(1.0)))))
+    groups = small_table(classes.groupBy("group").agg(F.count(F.lit(1)).alias("rows"))
+                         .select(F.col("group").alias("of"), F.least(words, F.lit(float(MAX_CODEWORDS))).cast("int").alias("k")))
+    length = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("size").cast("double")))).cast("int")
+    zero = F.lit(0.0).cast(kind[6:-1])
+    tiers = cut(classes.join(groups, F.col("group") == F.col("of")).withColumn("length", length).select(
+        "group", "id", "copies", "k", "length", F.concat("vector", F.array_repeat(zero, F.col("length") - F.col("size"))).alias("vector")))
     found = None
-    for size in sorted(sizes):
-        part = _links(classes.filter(F.col("size") == size), threshold, target, sample_rows)
-        found = part if found is None or part is None else found.unionByName(part)
+    for r in sorted(tiers.select("length", "k").distinct().collect()):
+        part = _links(tiers.filter((F.col("length") == r.length) & (F.col("k") == r.k)), r.k, threshold, target, sample_rows)
+        found = part if found is None else found.unionByName(part)
     if found is None:
         found = vectors.sparkSession.createDataFrame([], "id long, links long, other long")
     found = cut(found.groupBy("id", "other").agg(F.sum("links").alias("links")))

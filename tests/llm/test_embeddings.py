@@ -69,7 +69,7 @@ def test_many_cells_and_parts(spark, monkeypatch):
 
 def test_traversal_is_by_distance():
     rng = np.random.default_rng(1)
-    index = E.MultiIndex(rng.normal(size=(500, 8)), 256 * 49, 0.98, 0.99)
+    index = E.MultiIndex(rng.normal(size=(500, 8)), 7, 0.98, 0.99)
     x = rng.normal(size=(20, 8))
     first, second = index.distances(x)
     for a, b, cells in zip(first, second, index.traverse(x)):
@@ -91,3 +91,36 @@ def test_edges(spark):
     assert by[13] == (1, 13, True) and by[14] == (1, 13, False) and by[16] == (1, 15, False) and by[None] == (0, None, False)
     assert all(by[i] == (0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10, 12))
     assert E.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_production_cells_large_label_beside_many_small(spark):
+    """One label of 10,000 vectors has 8 x 8 cells with the production parameters; 200 labels of a few vectors have
+    one cell each. Links count the same on both sides."""
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(4000, 16))
+    near = base[rng.integers(0, 4000, 6000)]
+    u = rng.normal(size=near.shape)
+    u -= (u * near).sum(axis=1, keepdims=True) / (near * near).sum(axis=1, keepdims=True) * near
+    c = rng.uniform(0.975, 1, size=(6000, 1))
+    near = c * near + np.sqrt(1 - c * c) * u / np.linalg.norm(u, axis=1, keepdims=True) * np.linalg.norm(near, axis=1, keepdims=True)
+    x = np.concatenate([base, near])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    rows += [(20_000 + i, (x[i % 3] + 0.01 * rng.normal(size=16)).tolist(), 1 + i % 200) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    got = {r.vec_id: r for r in E.near_duplicates(df).collect()}
+    links, component, pairs = brute(rows)
+    wrong = [v for (v, _, _), n in zip(rows, links) if got[v].n_links != n]
+    assert sum(got[v].n_links for v, _, _ in rows) >= 0.985 * sum(links)
+    assert len(wrong) <= 0.01 * len(rows) and all(v < 20_000 for v in wrong)
+    # A lost pair is lost on both of its sides: what is missing adds up in pairs within what is near.
+    missing = {v: n - got[v].n_links for (v, _, _), n in zip(rows, links)}
+    assert min(missing.values()) >= 0 and sum(missing.values()) % 2 == 0
+    for v in wrong:
+        assert any(missing[rows[q][0]] for p, q in pairs if rows[p][0] == v)
+
+
+def test_many_lengths(spark):
+    rows = [(100 * n + i, [1.0] * (n - 1) + [1.0 + 0.01 * i], 1) for n in range(1, 25) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.near_duplicates(df).collect()}
+    assert all(got[100 * n + i] == (2, 100 * n) for n in range(1, 25) for i in range(3))
