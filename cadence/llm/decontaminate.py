@@ -11,7 +11,11 @@
    by word (match +2, mismatch -1, gap -1); the score is the best local alignment over that of an
    exact copy. Seeds, passages and the word count lose no alignment that reaches the score.
 
-The test set is a stated query set: it is read in blocks of at most `BLOCK` items, each of which
+An alignment must also score as much as `MIN_MATCHED` words in a row; an item of fewer words matches only a
+document that is an exact copy of it and nothing else.
+Long items are aligned with few passages at a time, in bounded memory.
+
+The test set is a stated query set: it is read in blocks of about `BLOCK_BYTES` of text, each of which
 is sent to all tasks; documents are never shuffled and no candidate is dropped.
 """
 
@@ -29,12 +33,13 @@ from pyspark.sql import functions as F
 from cadence.llm.common import query, read, texts
 
 GRAM = 3               # words of a seed
-BLOCK = 20_000         # test items sent to the tasks at once
+BLOCK_BYTES = 4 << 20  # text of the test items sent to the tasks at once, about
 MIN_SCORE = 0.5        # of the score of an exact copy
+MIN_MATCHED = 5        # words: fewer are common in any text, so shorter items match whole documents only
 MATCH, MISS, GAP = 2, -1, 1
-ALIGN_AT_ONCE = 2048   # passages aligned together
+CELLS_AT_ONCE = 1 << 19  # words of the passages aligned together
 _WORDS = re.compile(r"\w+").findall
-_BITS = 21             # of a word number inside a packed n-gram
+_MIX = np.int64(0x9E3779B97F4A7C15 - (1 << 64))  # packs n-grams; a collision suggests a passage in vain, no more
 
 SCHEMA = "doc_id long, item_id long, score double, start_word long, end_word long"
 
@@ -56,8 +61,6 @@ class Items:
         self.vocabulary: dict[str, int] = {}
         self.words = [np.array([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in w], np.int64)
                       for w in by_words]
-        if len(self.vocabulary) >= 1 << _BITS:
-            raise ValueError(f"over {1 << _BITS} different words in a block of test items; make BLOCK smaller")
         self.lengths = np.array([len(w) for w in self.words], np.int64)
 
     def numbers(self, text: str) -> np.ndarray:
@@ -98,21 +101,22 @@ class Items:
 
 
 def least_score(size: int, min_score: float) -> int:
-    """Alignment score that an item of ``size`` words needs."""
-    return max(math.ceil(min_score * MATCH * size - 1e-9), 1)
+    """Alignment score that an item of ``size`` words needs: the share of an exact copy's, and that of
+    MIN_MATCHED words in a row (or of all words, if it has fewer)."""
+    return max(math.ceil(min_score * MATCH * size - 1e-9), MATCH * min(size, MIN_MATCHED))
 
 
 def pack(numbers: np.ndarray, n: int) -> np.ndarray:
-    """Every run of n word numbers as one number; 0 where a word isn't in the vocabulary."""
+    """Every run of n word numbers as one number, a single one as itself; 0 where a word isn't in the vocabulary."""
     if len(numbers) < n:
         return np.zeros(0, np.int64)
     parts = [numbers[i:len(numbers) - n + 1 + i] for i in range(n)]
     g = np.zeros(len(parts[0]), np.int64)
     known = np.ones(len(g), bool)
     for p in parts:
-        g = g << _BITS | p
+        g = g * _MIX + p
         known &= p > 0
-    return np.where(known, g, 0)
+    return np.where(known, np.where(g == 0, 1, g), 0)
 
 
 def smith_waterman(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,8 +159,9 @@ def align(items: Items, docs: list[np.ndarray], found: list[tuple], min_score: f
         margin = max(MATCH * size - least, 0)   # most inserted words an alignment can afford
         width = 2 * size + 2 * margin
         kinds, copies = np.unique(w, return_counts=True)
-        for k in range(begin, stop, ALIGN_AT_ONCE):
-            part = slice(k, min(k + ALIGN_AT_ONCE, stop))
+        at_once = max(CELLS_AT_ONCE // width, 1)
+        for k in range(begin, stop, at_once):
+            part = slice(k, min(k + at_once, stop))
             owner, starts = doc[part], place[part] * size - margin
             at = starts[:, None] + np.arange(width)
             windows = np.where((at >= 0) & (at < sizes[owner][:, None]), flat[first[owner][:, None] + np.clip(at, 0, sizes[owner][:, None])], 0)
@@ -164,7 +169,8 @@ def align(items: Items, docs: list[np.ndarray], found: list[tuple], min_score: f
             kind = np.minimum(np.searchsorted(kinds, windows), len(kinds) - 1)
             row, column = np.nonzero(kinds[kind] == windows)
             held = np.bincount(row * len(kinds) + kind[row, column], minlength=len(windows) * len(kinds)).reshape(len(windows), -1)
-            enough = np.flatnonzero(np.minimum(held, copies).sum(axis=1) * MATCH >= least)
+            enough = np.minimum(held, copies).sum(axis=1) * MATCH >= least
+            enough = np.flatnonzero(enough if size >= MIN_MATCHED else enough & (sizes[owner] == size))
             if not len(enough):
                 continue
             owner, starts, windows = owner[enough], starts[enough], windows[enough]
@@ -205,12 +211,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     """(doc_id, item_id, score, start_word, end_word): every test item a document holds a copy of,
     with the best aligned passage (word numbers, end exclusive). Equal items are reported under
     their smallest item_id. Documents without a copy give no row; null or empty texts and items
-    hold and match nothing; rows repeat if documents do. Null document ids are reported as null.
+    hold and match nothing; items of fewer than MIN_MATCHED words match only documents without any other word; rows repeat if documents do. Null document ids are reported as null.
     """
     spark = docs.sparkSession
     body = texts(docs)
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    blocks = max(1, -(-bench.count() // BLOCK))
+    blocks = max(1, -(-(bench.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0) // BLOCK_BYTES))
     out = None
     for k in range(blocks):
         rows = bench.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()

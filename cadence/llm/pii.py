@@ -35,9 +35,10 @@ _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 IP_OK = rf"^{_PART}(?:\.{_PART}){{3}}$"
 CANDIDATE = r"(?<![^\s:=])[^\s:=0-9@]*+[0-9@][^\s:=]*+"
 OPENING, CLOSING = r"^[(\"'\[{<]+", r"[)\"'\]}>.,;:!?]+$"
-WINDOW = 80            # characters on the left that a pattern may come from
+WINDOW = 80            # characters on the left that are looked at first for a pattern's two words
 MIN_SUPPORT = 5.0      # summed score of a pattern's distinct instances
-MIN_CONFIDENCE = 0.9   # mean score of a pattern's distinct instances
+MIN_CONFIDENCE = 0.9   # score of a pattern's known instances: seeds and reached ones against other things
+MIN_SHARE = 0.4        # summed score by all of a pattern's distinct instances, unknown ones included
 
 MARK = "\x01"
 
@@ -50,16 +51,17 @@ def _pieces(text: Column, pattern: str, needs: Column) -> Column:
 
 
 def _matches(pieces: Column) -> Column:
-    """array of struct(start, end, value, left) from `_pieces`; left: the text between the last
-    match and this one, its last `WINDOW` characters."""
+    """array of struct(start, end, value, left) from `_pieces`; left: the end of the text between the last
+    match and this one, its last `WINDOW` characters if they hold two whole words, else all of it."""
     none = F.array().cast("array<struct<start:long,end:long,value:string,left:string>>")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit(False).alias("match"), F.lit("").alias("left"), none.alias("out"))
 
     def step(s, piece):
-        end = s["at"] + F.length(piece)
+        end, near = s["at"] + F.length(piece), F.substring(piece, -WINDOW, WINDOW)
+        left = F.when(near.rlike(r"\s\S+\s+\S+\s*$"), near).otherwise(piece)
         found = F.struct(s["at"].alias("start"), end.alias("end"), piece.alias("value"), s["left"].alias("left"))
         return F.struct(end.alias("at"), (~s["match"]).alias("match"),
-                        F.when(s["match"], F.lit("")).otherwise(F.substring(piece, -WINDOW, WINDOW)).alias("left"),
+                        F.when(s["match"], F.lit("")).otherwise(left).alias("left"),
                         F.when(s["match"], F.array_append(s["out"], found)).otherwise(s["out"]).alias("out"))
     return F.aggregate(pieces, start, step, lambda s: s["out"])
 
@@ -117,15 +119,28 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def accepted_patterns(occurrences: DataFrame, min_support: float = MIN_SUPPORT,
-                      min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(pattern, confidence) after the last round. ``occurrences``: (pattern, instance, seed)."""
+                      min_confidence: float = MIN_CONFIDENCE, min_share: float = MIN_SHARE) -> DataFrame:
+    """(pattern, confidence) after the last round. ``occurrences``: (pattern, instance, seed).
+
+    An instance that is no seed speaks against a pattern if it is known to be something else: if it
+    also stands in a pattern that has instances enough and not one seed among them. An instance that is seen nowhere
+    else is unknown and speaks neither for nor against, as long as ``min_share`` of the instances are known to be
+    identifiers."""
     edges = cut(occurrences.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
+    plain = (edges.groupBy("pattern").agg(F.max("seed").alias("any"), F.count(F.lit(1)).alias("n"))
+             .filter(~F.col("any") & (F.col("n") >= min_support)).select("pattern"))
+    other = edges.join(plain, "pattern").groupBy("instance").agg(F.lit(1).alias("other"))
+    edges = cut(edges.join(other, "instance", "left").select(
+        "pattern", "instance", "seed", F.when(~F.col("seed"), F.col("other")).alias("other")))
     seeds = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("fixed"))
     scores, before = seeds.withColumnRenamed("fixed", "score"), -1
     while True:
         confident = cut(edges.join(scores, "instance").groupBy("pattern")
-                        .agg(F.sum("score").alias("support"), F.avg("score").alias("confidence"))
-                        .filter((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence))
+                        .agg(F.sum("score").alias("support"), F.avg("score").alias("share"),
+                             F.sum(F.when(F.col("other") == 1, 1 - F.col("score")).otherwise(0.0)).alias("against"))
+                        .withColumn("confidence", F.col("support") / F.greatest(F.col("support") + F.col("against"), F.lit(1e-9)))
+                        .filter((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence)
+                                & (F.col("share") >= min_share))
                         .select("pattern", "confidence"))
         now = confident.count()
         if now <= before or not now:

@@ -64,7 +64,7 @@ def test_blocks_give_the_same(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     one = sorted(map(tuple, D.contaminated(docs, bench).collect()))
-    monkeypatch.setattr(D, "BLOCK", 10)
+    monkeypatch.setattr(D, "BLOCK_BYTES", 500)
     assert sorted(map(tuple, D.contaminated(docs, bench).collect())) == one and one
     held = {(r.doc_id, b.item_id) for b in bench.collect() for r in docs.collect()
             if f" {' '.join(D.words(b.text))} " in f" {' '.join(D.words(r.text))} "}
@@ -110,9 +110,34 @@ def test_every_alignment_over_the_score(spark):
         for i, x in enumerate(items):
             # Below half of the words in common no alignment reaches the score.
             s = brute_score(x, w) if 2 * sum(y in set(w) for y in x) >= len(x) else 0
-            if s >= D.MIN_SCORE:
+            enough = s * len(x) >= D.MIN_MATCHED if len(x) >= D.MIN_MATCHED else w == x
+            if s >= D.MIN_SCORE and enough:
                 want[d, i] = s
     assert got == want
     assert {(d, 0) for d in range(len(docs) - 300, len(docs))} <= set(got)
-    planted = {(k * len(items) + i, i) for k, name in enumerate(edits) for i, w in enumerate(items) if brute_score(w, edits[name](w)) >= 0.5}
-    assert len(planted) > 45 and planted <= set(got)
+    planted = {(k * len(items) + i, i) for k, name in enumerate(edits) for i, w in enumerate(items) if brute_score(w, edits[name](w)) >= 0.5 and len(w) > 4}
+    assert len(planted) > 40 and planted <= set(got)
+
+
+def test_short_items_do_not_flag_common_words(spark):
+    bench = spark.createDataFrame([(1, "what is"), (2, "the"), (3, "is it on or off"), (4, "one two three four five six seven")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the cat is what is on the mat"), (2, "What is?"), (3, "the"), (4, "the the"),
+                                  (5, "so is it on or off now"), (6, "is it on or gone"), (7, "one two three four five"), (8, "one two three four")],
+                                 "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, round(r.score, 3)) for r in D.contaminated(docs, bench).collect()}
+    assert got == {(2, 1, 1.0), (3, 2, 1.0), (5, 3, 1.0), (7, 4, 0.714)}
+
+
+def test_very_long_items(spark):
+    """Items of 10,000 words, one of 3,000,000 characters: a copy with edits, and a half that just reaches the score."""
+    rng = random.Random(8)
+    vocab = _vocab(rng, 20_000)
+    item = [rng.choice(vocab) for _ in range(10_000)]
+    edited = [w for k, w in enumerate(item) if k % 50]
+    docs = [(1, " ".join(["before", *edited, "behind"])), (2, " ".join(item[:5_200])), (3, " ".join(item[:4_000])), (4, " ".join(vocab[:3_000]))]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "x" * 3_000_000 + " y z")], "item_id long, text string")
+    got = {r.doc_id: r for r in D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert set(got) == {1, 2}
+    assert got[2].score == 0.52 and (got[2].start_word, got[2].end_word) == (0, 5_200)
+    assert abs(got[1].score - (2 * 9_800 - 199) / 20_000) < 1e-3

@@ -74,3 +74,33 @@ def test_redaction_overlaps_nulls_and_empty(spark):
     assert sorted(map(str, (r.text for r in out)))[:2] == ["", "None"] and len(out) == 4
     assert next(r for r in out if r.doc_id == 1).text == "call [PHONE] or [EMAIL] and [PHONE], [CARD]"
     assert P.find_personal_data(df.limit(0)).count() == 0 and P.redact(df.limit(0)).count() == 0
+
+
+def test_found_and_missed_by_share_of_unseen(spark):
+    """A hundred seeds in one context, beside 5, 20 and 50 identifiers of no known form; the same contexts with
+    tokens that are known to be something else; and a context in which seeds are rare."""
+    rows, want = [], {}
+    for name, unseen in (("alpha", 5), ("beta", 20), ("gamma", 50)):
+        rows += [f"please use {name}-id: {name}{i}@host.example.com now" for i in range(100)]
+        for i in range(unseen):
+            want[len(rows)] = f"{name}-{i}#x"
+            rows.append(f"please use {name}-id: {name}-{i}#x now")
+    for i in range(40):  # version numbers stand in a context without any seed, so they are known
+        rows.append(f"installed release {i}.7 today")
+        rows.append(f"as the delta-id: {i}.7 said")
+    rows += [f"as the delta-id: d{i}@host.example.com said" for i in range(60)]
+    rows += [f"written by hand u{i}@host.example.com" for i in range(10)] + [f"written by hand no{i}9 today" for i in range(90)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in P.find_personal_data(df).collect()}
+    extra = {i: [rows[i][s.start:s.end] for s in got[i].all if s not in got[i].base] for i in got}
+    assert {i: [v] for i, v in want.items()} == {i: v for i, v in extra.items() if v}
+
+
+def test_patterns_of_long_words(spark):
+    """Two words on the left make a pattern, however long they are."""
+    long = "w" * 300
+    rows = [f"{long} {long}x: user{i}@host.example.com" for i in range(20)] + [f"{long} {long}x: h{i}#1" for i in range(3)]
+    rows += [f"v{long} {long}y: h{i}#2" for i in range(9)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {c.two for r in P.scan(df).collect() for c in r.found}
+    assert found == {f"{long} {long}x:", f"v{long} {long}y:"}
