@@ -23,18 +23,26 @@ def run_counter(runs: DataFrame, label: str = "status") -> DataFrame:
     return runs.groupBy(label).agg(F.count(F.lit(1)).cast("bigint").alias("count"))
 
 
+def histogram_counts(runs: DataFrame, value: str, buckets: list[float] | None = None, group: list[str] | None = None) -> DataFrame:
+    """One row per group: values at or below each bucket's bound (b0, b1, ...), their number and their sum.
+    Rows of several tables add up."""
+    aggs = [F.count_if(F.col(value) <= F.lit(x)).cast("bigint").alias(f"b{i}") for i, x in enumerate(sorted(buckets or DEFAULT_BUCKETS))]
+    return runs.groupBy(*(group or [])).agg(*aggs, F.count(F.col(value)).cast("bigint").alias("__inf"), F.sum(value).alias("__sum"))
+
+
+def histogram_rows(counts: DataFrame, buckets: list[float] | None = None, group: list[str] | None = None) -> DataFrame:
+    """Cumulative ``le`` buckets (+Inf last) with sum and total, a row each."""
+    g = group or []
+    les = [F.struct(F.lit(str(x)).alias("le"), F.col(f"b{i}").alias("count")) for i, x in enumerate(sorted(buckets or DEFAULT_BUCKETS))]
+    les.append(F.struct(F.lit("+Inf").alias("le"), F.col("__inf").alias("count")))
+    return counts.select(*g, F.explode(F.array(*les)).alias("h"), F.col("__sum").alias("sum"),
+                         F.col("__inf").alias("total")).select(*g, "h.le", "h.count", "sum", "total")
+
+
 def duration_histogram(runs: DataFrame, value: str = "duration_seconds",
                        buckets: list[float] | None = None, group: list[str] | None = None) -> DataFrame:
     """Cumulative ``le`` buckets (+Inf last) with sum and count, in one aggregate pass."""
-    b = sorted(buckets or DEFAULT_BUCKETS)
-    g = group or []
-    aggs = [F.count_if(F.col(value) <= F.lit(x)).cast("bigint").alias(f"b{i}") for i, x in enumerate(b)]
-    aggs += [F.count(F.col(value)).cast("bigint").alias("__inf"), F.sum(value).alias("__sum")]
-    one = runs.groupBy(*g).agg(*aggs)
-    les = [F.struct(F.lit(str(x)).alias("le"), F.col(f"b{i}").alias("count")) for i, x in enumerate(b)]
-    les.append(F.struct(F.lit("+Inf").alias("le"), F.col("__inf").alias("count")))
-    return one.select(*g, F.explode(F.array(*les)).alias("h"), F.col("__sum").alias("sum"),
-                      F.col("__inf").alias("total")).select(*g, "h.le", "h.count", "sum", "total")
+    return histogram_rows(histogram_counts(runs, value, buckets, group), buckets, group)
 
 
 def last_gauge(updates: DataFrame, labels: list[str], value: str, ts: str = "ts") -> DataFrame:

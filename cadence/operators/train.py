@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -19,7 +20,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.arrays import argmax
 from cadence.operators.metrics import (classification_metrics, confusion_matrix, log_loss, roc_auc_ovr,
                                        valid_targets)
 from cadence.session import checkpoint_dir
@@ -45,6 +45,9 @@ def _gbt(n_features: int, n_classes: int, seed: int = 42, **kw):
     return GBTClassifier(seed=seed, **kw)
 
 
+HISTORY = "epoch int, train_loss double, eval_loss double, accuracy double"
+WARM = ("mlp", "classifier")   # models that take initial weights
+
 # Model registry by name (extensible).
 MODELS: dict[str, Callable[..., Any]] = {"mlp": _mlp, "classifier": _mlp, "logistic": _logistic,
                                          "random_forest": _forest, "gbt": _gbt}
@@ -196,6 +199,58 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def train_epochs(train: DataFrame, val: DataFrame, epochs: int, path: str, model_type: str = "mlp", iterations: int = 10,
+                 n_features: int | None = None, n_classes: int | None = None, resume: bool = False, **params) -> dict[str, Any]:
+    """Training in epochs of ``iterations`` optimiser steps on assembled frames, validated after each.
+
+    An epoch goes on from the weights of the one before (models that take no initial weights are fitted
+    anew with as many steps more; their optimiser walks the same path again). Its model is saved under ``path`` as
+    ``epoch=<n>`` with a row of the history (epoch, train_loss, eval_loss, accuracy); ``best`` names the epoch with the
+    highest accuracy, the first one among equals, and `load_best` gives its model back. With ``resume`` the
+    epochs that a run before has finished are kept and training goes on behind them."""
+    spark = train.sparkSession
+    checkpoint_dir(spark)
+    n_classes = n_classes or int(train.agg(F.max("label")).first()[0]) + 1
+    n_features = n_features or len(train.select("features").first()[0])
+    data = {"train": train.select("features", "label").checkpoint(), "val": val.select("features", "label").checkpoint()}
+    rows = [r.asDict() for r in read_history(spark, path).orderBy("epoch").collect()] if resume else []  # one row an epoch
+    weights = load_model(f"{path}/epoch={rows[-1]['epoch']}").stages[-1].weights if rows and model_type in WARM else None
+    for epoch in range(len(rows) + 1, epochs + 1):
+        warm = model_type in WARM
+        est = create_estimator(model_type, n_features, n_classes, max_iter=iterations if warm else iterations * epoch, **params)
+        if weights is not None:
+            est = est.setInitialWeights(weights)
+        model = PipelineModel(stages=[est.fit(data["train"])])
+        weights = model.stages[-1].weights if warm else None
+        losses = loss_history(model).orderBy(F.col("iteration").desc()).first()["loss"]
+        result, _ = evaluate(model, data["val"])
+        m = result.first()
+        save_model(model, f"{path}/epoch={epoch}")
+        rows.append({"epoch": epoch, "train_loss": float(losses), "eval_loss": m["loss"], "accuracy": m["accuracy"]})
+        spark.createDataFrame([(rows[-1]["epoch"], rows[-1]["train_loss"], rows[-1]["eval_loss"], rows[-1]["accuracy"])], HISTORY) \
+            .coalesce(1).write.mode("overwrite").parquet(f"{path}/history/run={epoch}")
+    best = best_epoch(read_history(spark, path)).first()["epoch"]
+    return {"model_path": f"{path}/epoch={best}", "best_epoch": best, "final_metrics": rows[-1], "history": rows}
+
+
+def read_history(spark, path: str) -> DataFrame:
+    """(epoch, train_loss, eval_loss, accuracy) of the finished epochs under ``path``."""
+    try:
+        return spark.read.parquet(f"{path}/history").drop("run")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], HISTORY)
+
+
+def load_best(spark, path: str) -> PipelineModel:
+    """The model of the best finished epoch under ``path``."""
+    best = best_epoch(read_history(spark, path)).first()
+    if best is None:
+        raise FileNotFoundError(f"no finished epoch under {path}")
+    return load_model(f"{path}/epoch={best['epoch']}")
+
+
 def train_run(df: DataFrame, feature_cols: list[str] | str, label: str, key: str, model_type: str = "mlp",
               val_split: float = 0.2, seed: int = 42, **params) -> dict:
     """Split (D02) -> fit (T01) -> evaluate on val (T05) -> result dict with the metrics
@@ -213,6 +268,6 @@ def train_run(df: DataFrame, feature_cols: list[str] | str, label: str, key: str
             "final_accuracy": row["accuracy"], "final_f1_score": row["f1_score"], "val_loss": row["loss"]}
 
 
-__all__ = ["MODELS", "assemble", "argmax", "best_epoch", "create_estimator", "evaluate", "evaluate_path", "evaluate_rows", "evaluate_run", "fit",
-           "list_model_types", "load_model", "loss_history", "register_model_type", "save_model",
-           "score", "score_pair", "train_run"]
+__all__ = ["MODELS", "assemble", "best_epoch", "create_estimator", "evaluate", "evaluate_path", "evaluate_rows", "evaluate_run", "fit",
+           "list_model_types", "load_best", "load_model", "loss_history", "read_history", "register_model_type", "save_model",
+           "score", "score_pair", "train_epochs", "train_run"]

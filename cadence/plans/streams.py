@@ -13,9 +13,9 @@ from cadence.plans.catalog import query
 from cadence.plans.evaluation import _EMB
 from cadence.plans.rollout import _SH
 from cadence.session import scratch_path
-from cadence.streaming.streams import (canary_windows, incremental_input, pair_streams,
-                                       read_gauges, rollout_state_machine, run_available,
-                                       run_updates, stream_gauges, stream_scores, table_stream)
+from cadence.streaming.streams import (canary_windows, incremental_input, pair_streams, read_counters, read_gauges,
+                                       read_histograms, rollout_state_machine, rollout_with_deadlines, run_available, run_updates,
+                                       stream_counters, stream_gauges, stream_histograms, stream_scores, table_stream)
 from cadence.tables import table
 
 _BUCKET = "(('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100)"
@@ -122,6 +122,65 @@ def q_stream_gauges(spark, sf_dir):
     return read_gauges(spark, target).select("model_name", "model_version", F.round("accuracy", 6).alias("accuracy"))
 
 
+_GAPS = "(extract('dayofyear' FROM ts) * 5 + length(event_type)) % 11 > 0 AND NOT (event_type = 'error' AND extract('day' FROM ts) > 3)"
+
+
+@query("stream_deadlines", "W04 C04", f"""
+WITH w AS (SELECT 'deploy_' || event_type AS deployment_id, time_bucket(INTERVAL '1 day', ts) AS ws, count(*) AS n,
+                  count(*) FILTER (WHERE user_id % 5 = 0) AS errors, {_RANKED.format(v="value", p=0.95)} AS p95
+           FROM events WHERE {_BUCKET} < 25 AND {_GAPS} GROUP BY 1, 2),
+g AS (SELECT deployment_id, min(ws) AS t0 FROM w GROUP BY 1), top AS (SELECT max(ws) AS latest FROM w),
+s AS (SELECT deployment_id, i, t0 + i * INTERVAL 1 DAY AS ws FROM g, range(0, 5) AS r(i)),
+h AS (SELECT s.deployment_id, s.i, s.ws, COALESCE(NOT (errors / n > 0.4 OR p95 > 400.0 OR 1.0 - errors / n < 0.6), false) AS healthy
+      FROM s LEFT JOIN w ON s.deployment_id = w.deployment_id AND s.ws = w.ws, top WHERE n IS NOT NULL OR s.ws + INTERVAL 1 DAY < latest),
+f AS (SELECT *, COALESCE(min(i) FILTER (WHERE NOT healthy) OVER (PARTITION BY deployment_id), 1000000) AS bad FROM h)
+SELECT deployment_id, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(CASE WHEN healthy THEN least(i + 1, 4) ELSE i END AS INTEGER) AS stage_index,
+       CAST({_STATE_STAGES}[i + 1] AS INTEGER) AS percentage, healthy,
+       CASE WHEN NOT healthy THEN 'rolled_back' WHEN i = 4 THEN 'completed' ELSE 'in_progress' END AS status,
+       array_to_string({_STATE_STAGES}[1:CASE WHEN healthy THEN i + 1 ELSE i END], ',') AS stages_completed
+FROM f WHERE i <= least(bad, 4)""")
+def q_stream_deadlines(spark, sf_dir):
+    """Daily canary windows of a log with whole days missing, and one deployment that falls silent: a stage
+    without traffic fails, by the gap or by the timer."""
+    ev = table_stream(spark, sf_dir, "events").where(
+        ((F.dayofyear("ts") * 5 + F.length("event_type")) % 11 > 0) & ~((F.col("event_type") == "error") & (F.dayofmonth("ts") > 3)))
+    log = ev.select("user_id", "ts", F.concat(F.lit("deploy_"), F.col("event_type")).alias("deployment_id"),
+                    (F.col("user_id") % 5 == 0).alias("is_error"), F.col("value").alias("latency_ms"))
+    windows = run_updates(canary_windows(log, 25, window="1 day", watermark="1 hour", group=["deployment_id"]), "gap-windows",
+                          ["window_start", "window_end", "arm", "deployment_id"])
+    src = windows.where(F.col("arm") == "canary").select(
+        "deployment_id", "window_start", "requests", "errors", F.col("latency_pct")[1].alias("latency_p95_ms"))
+    path = scratch_path(spark, f"streams/deadline-input-{uuid.uuid4().hex[:8]}")
+    src.write.parquet(path)
+    stream = spark.readStream.schema(src.schema).parquet(path)
+    out = run_available(rollout_with_deadlines(stream, _STATE_STAGES, 86_400, 0.4, 400.0, 0.6), "rollout-deadlines")
+    return out.withColumns({"stages_completed": F.array_join(F.col("stages_completed").cast("array<string>"), ","),
+                            "window_start": F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")})
+
+
+_RUN_BOUNDS = [1.0, 5.0, 10.0, 25.0, 50.0, 100.0, 250.0]
+
+
+@query("stream_counters", "W05 M01", "SELECT event_type AS status, CAST(count(*) AS BIGINT) AS count FROM events GROUP BY 1")
+def q_stream_counters(spark, sf_dir):
+    """Counters of a stream; a second run finds nothing new and adds nothing."""
+    target = scratch_path(spark, f"streams/counter-table-{uuid.uuid4().hex[:8]}")
+    for _ in range(2):
+        stream_counters(table_stream(spark, sf_dir, "events").select(F.col("event_type").alias("status")), ["status"], target)
+    return read_counters(spark, target)
+
+
+@query("stream_histogram", "W05 M02", " UNION ALL ".join(
+    f"SELECT event_type AS status, '{b}' AS le, CAST(count(*) FILTER (WHERE value <= {b}) AS BIGINT) AS count, round(sum(value), 6) AS sum, "
+    f"CAST(count(value) AS BIGINT) AS total FROM events GROUP BY 1" for b in _RUN_BOUNDS)
+    + " UNION ALL SELECT event_type, '+Inf', CAST(count(value) AS BIGINT), round(sum(value), 6), CAST(count(value) AS BIGINT) FROM events GROUP BY 1")
+def q_stream_histogram(spark, sf_dir):
+    runs = table_stream(spark, sf_dir, "events").select(F.col("event_type").alias("status"), F.col("value").alias("duration_seconds"))
+    target = scratch_path(spark, f"streams/histogram-table-{uuid.uuid4().hex[:8]}")
+    stream_histograms(runs, "duration_seconds", target, _RUN_BOUNDS, ["status"])
+    return read_histograms(spark, target, _RUN_BOUNDS, ["status"]).withColumn("sum", F.round("sum", 6))
+
+
 @query("stream_incremental", "W06", """
 SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, round(sum(o_totalprice), 6) AS total FROM orders GROUP BY 1""")
 def q_stream_incremental(spark, sf_dir):

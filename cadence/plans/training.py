@@ -42,6 +42,23 @@ def q_mlp_history(spark, sf_dir):
                   .select("iteration", "loss", F.col("__best").isNotNull().alias("best"))
 
 
+@query("mlp_epochs", "T03 T04 T05 S16")
+def q_mlp_epochs(spark, sf_dir):
+    """Six epochs, each validated; the best one, loaded from its checkpoint, gives its metrics again."""
+    import uuid
+
+    from cadence.operators.train import load_best, read_history, train_epochs
+    from cadence.session import scratch_path
+    data = _embedding_data(spark, sf_dir)
+    train, val = data.where(F.col("split") == "train"), data.where(F.col("split") == "val")
+    path = scratch_path(spark, f"epochs/mlp-{uuid.uuid4().hex[:8]}")
+    done = train_epochs(train, val, 6, path, iterations=8, n_features=64, n_classes=10, hidden=[16])
+    again, _ = evaluate(load_best(spark, path), val)
+    both = read_history(spark, path).withColumn("best", F.col("epoch") == done["best_epoch"])
+    same = F.abs(F.col("accuracy") - F.lit(again.first()["accuracy"])) < 1e-12
+    return round_doubles(both.withColumn("reproduced", F.when(F.col("best"), same)))
+
+
 @query("mlp_batch_scores", "B01")
 def q_mlp_batch_scores(spark, sf_dir):
     data, model = _model(spark, sf_dir)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cadence.functions.hashing import hash_bucket
+from cadence.operators.monitor import histogram_counts, histogram_rows
 from cadence.session import scratch_path
 
 
@@ -170,6 +171,72 @@ def rollout_state_machine(stage_metrics: DataFrame, stages: list[int], error_rat
         step, ROLLOUT_OUTPUT_SCHEMA, ROLLOUT_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
+DEADLINE_STATE_SCHEMA = "stage_index int, status string, stages_completed array<int>, expected timestamp"
+
+
+def rollout_with_deadlines(stage_metrics: DataFrame, stages: list[int], window_seconds: int, error_rate_threshold: float,
+                           latency_threshold_ms: float, health_threshold: float, watermark: str = "0 seconds") -> DataFrame:
+    """The canary of C04 as a stream: stage i of a deployment is its i-th window of ``window_seconds`` from its
+    first one on, and a window without canary requests has no health, so its stage fails.
+
+    ``stage_metrics`` has rows as `rollout_state_machine` takes them. A window that is left out is noticed when a
+    later one arrives, or, if none does, by an event-time timer at the end of the window that is due: it
+    fires once the watermark (the newest window end of any deployment, less ``watermark``) has passed it; rows that
+    come later than that are dropped. One row per
+    window of a deployment, empty ones included, until the rollout is completed or rolled back."""
+    length = pd.Timedelta(seconds=window_seconds)
+
+    def step(key, batches: Iterator[pd.DataFrame], state):
+        idx, status, done, expected = state.get if state.exists else (0, "in_progress", [], None)
+        done, rows = list(done), []
+        expected = None if expected is None else pd.Timestamp(expected)
+
+        def judge(start, healthy: bool) -> None:
+            nonlocal idx, status, expected
+            pct = stages[idx]
+            if healthy:
+                done.append(pct)
+                idx += 1
+                if idx >= len(stages):
+                    status, idx = "completed", len(stages) - 1
+            else:
+                status = "rolled_back"
+            rows.append((key[0], start, idx, pct, healthy, status, list(done)))
+            expected = start + length
+
+        if not state.hasTimedOut:
+            for w in pd.concat(list(batches)).sort_values("window_start").itertuples():
+                expected = w.window_start if expected is None else expected
+                if status == "in_progress" and w.window_start > expected:
+                    judge(expected, False)
+                if status != "in_progress" or w.window_start < expected:
+                    continue
+                errors = w.errors / w.requests if w.requests else 0.0
+                latency = 0.0 if pd.isna(w.latency_p95_ms) else w.latency_p95_ms
+                judge(w.window_start, bool(w.requests and errors <= error_rate_threshold and latency <= latency_threshold_ms
+                                           and 1.0 - errors >= health_threshold))
+        passed = state.getCurrentWatermarkMs()
+        due = _ms(expected + length)
+        if status == "in_progress" and (state.hasTimedOut or due <= passed):
+            judge(expected, False)
+        state.update((idx, status, done, expected.to_pydatetime()))
+        if status == "in_progress":
+            state.setTimeoutTimestamp(due)
+        if rows:
+            yield pd.DataFrame(rows, columns=["deployment_id", "window_start", "stage_index", "percentage",
+                                              "healthy", "status", "stages_completed"])
+
+    # Event time is a window's end, so that a row is late only when the timer of its window has passed.
+    ended = F.col("window_start") + F.make_interval(secs=F.lit(window_seconds))
+    return stage_metrics.withColumn("__end", ended).withWatermark("__end", watermark).groupBy("deployment_id").applyInPandasWithState(
+        step, ROLLOUT_OUTPUT_SCHEMA, DEADLINE_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def _ms(t: pd.Timestamp) -> int:
+    """Epoch milliseconds of a time of the session's zone, UTC."""
+    return int(t.tz_localize("UTC").timestamp() * 1000) if t.tzinfo is None else int(t.timestamp() * 1000)
+
+
 # W05 ----------------------------------------------------------------------------------
 
 def _fs(path: str):
@@ -194,39 +261,81 @@ def _epochs(target_path: str) -> list[int]:
     return sorted(out)
 
 
-def read_gauges(spark: SparkSession, target_path: str) -> DataFrame:
-    """The newest complete gauge snapshot."""
+def _newest(spark: SparkSession, target_path: str) -> DataFrame:
     eps = _epochs(target_path)
     if not eps:
-        raise FileNotFoundError(f"no gauge snapshot under {target_path}")
+        raise FileNotFoundError(f"no snapshot under {target_path}")
     return spark.read.parquet(f"{target_path}/epoch={eps[-1]}")
 
 
-def stream_gauges(updates: DataFrame, labels: list[str], value: str, target_path: str,
-                  checkpoint: str | None = None, keep: int = 2) -> None:
-    """Last-value gauges kept up to date from a stream. Each micro-batch is reduced to one
-    row per label set (``max_by`` on event time), merged with the previous snapshot (newest
-    wins) and written as snapshot ``epoch=<batch id>``. A retried batch rewrites its own
-    snapshot from the untouched previous one, so executor or driver loss never loses
-    gauges; readers take the newest complete snapshot (``read_gauges``). The table is one
-    row per label set. The checkpoint belongs to the target (``<target_path>-checkpoint``
+def _snapshots(updates: DataFrame, target_path: str, checkpoint: str | None, keep: int, reduce, combine) -> None:
+    """A small table kept up to date from a stream: every micro-batch is reduced, combined with the previous
+    snapshot and written as snapshot ``epoch=<batch id>``. A retried batch rewrites its own
+    snapshot from the untouched previous one, so nothing is lost or counted twice; readers take the newest complete
+    one. The checkpoint belongs to the target (``<target_path>-checkpoint``
     unless given), so a later run resumes, takes only new input, and its epochs go on rising."""
     ckpt = checkpoint or f"{target_path.rstrip('/')}-checkpoint"
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        b = batch.groupBy(*labels).agg(F.max_by(F.struct("ts", value), F.struct("ts", value)).alias("g"))
+        now = reduce(batch)
         prev = [e for e in _epochs(target_path) if e < epoch_id]
         if prev:
-            cur = batch.sparkSession.read.parquet(f"{target_path}/epoch={prev[-1]}")
-            b = cur.select(*labels, F.struct("ts", value).alias("g")).unionByName(b) \
-                   .groupBy(*labels).agg(F.max("g").alias("g"))
-        b.select(*labels, "g.ts", F.col(f"g.{value}").alias(value)) \
-         .write.mode("overwrite").parquet(f"{target_path}/epoch={epoch_id}")
+            now = combine(batch.sparkSession.read.parquet(f"{target_path}/epoch={prev[-1]}").unionByName(now))
+        now.write.mode("overwrite").parquet(f"{target_path}/epoch={epoch_id}")
         fs, base = _fs(target_path)
         for old in prev[:-max(1, keep - 1)]:
             fs.delete_dir(f"{base}/epoch={old}")
 
-    _run(updates.select(*labels, "ts", value).writeStream.foreachBatch(merge).option("checkpointLocation", ckpt))
+    _run(updates.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt))
+
+
+def read_gauges(spark: SparkSession, target_path: str) -> DataFrame:
+    """The newest complete gauge snapshot."""
+    return _newest(spark, target_path)
+
+
+def stream_gauges(updates: DataFrame, labels: list[str], value: str, target_path: str,
+                  checkpoint: str | None = None, keep: int = 2) -> None:
+    """Last-value gauges (M03) kept up to date from a stream, a row per label set: the newest event time wins
+    (see `_snapshots`)."""
+    def last(rows: DataFrame) -> DataFrame:
+        newest = F.max(F.struct("ts", value)).alias("g")
+        return rows.groupBy(*labels).agg(newest).select(*labels, "g.ts", F.col(f"g.{value}").alias(value))
+
+    _snapshots(updates.select(*labels, "ts", value), target_path, checkpoint, keep, last, last)
+
+
+def stream_counters(runs: DataFrame, labels: list[str], target_path: str, checkpoint: str | None = None, keep: int = 2) -> None:
+    """Counters (M01) kept up to date from a stream: a count per label set, to which every micro-batch adds its
+    own once, however often it is retried (see `_snapshots`)."""
+    _snapshots(runs.select(*labels), target_path, checkpoint, keep,
+               lambda rows: rows.groupBy(*labels).agg(F.count(F.lit(1)).cast("bigint").alias("count")),
+               lambda both: both.groupBy(*labels).agg(F.sum("count").cast("bigint").alias("count")))
+
+
+def read_counters(spark: SparkSession, target_path: str) -> DataFrame:
+    """The newest complete counters."""
+    return _newest(spark, target_path)
+
+
+def stream_histograms(runs: DataFrame, value: str, target_path: str, buckets: list[float] | None = None,
+                      labels: list[str] | None = None, checkpoint: str | None = None, keep: int = 2) -> None:
+    """Histograms (M02) kept up to date from a stream: bucket counts, sum and total per label set, to which every
+    micro-batch adds its own once (see `_snapshots`)."""
+    labels = labels or []
+
+    def add(both: DataFrame) -> DataFrame:
+        parts = [c for c in both.columns if c not in labels]
+        return both.groupBy(*labels).agg(*[F.sum(c).cast(dict(both.dtypes)[c]).alias(c) for c in parts])
+
+    _snapshots(runs.select(*labels, value), target_path, checkpoint, keep,
+               lambda rows: histogram_counts(rows, value, buckets, labels), add)
+
+
+def read_histograms(spark: SparkSession, target_path: str, buckets: list[float] | None = None,
+                    labels: list[str] | None = None) -> DataFrame:
+    """The newest complete histograms, in the rows of `duration_histogram`."""
+    return histogram_rows(_newest(spark, target_path), buckets, labels)
 
 
 # W06 ----------------------------------------------------------------------------------

@@ -147,3 +147,79 @@ def test_evaluate_rows_errors(spark):
     runs = spark.createDataFrame([("r", "x", 1)], "run_id string, run_name string, started_at int")
     with pytest.raises(ValueError, match="no run named"):
         evaluate_run(runs, "z", None, df, "y", 3)
+
+
+def test_epochs_keep_the_best_model(spark, tmp_dir):
+    from cadence.operators.train import assemble, evaluate, load_best, read_history, train_epochs
+    rows = [(float(i % 7), float(i % 11), float(i % 7 > i % 11)) for i in range(400)]
+    data = assemble(spark.createDataFrame(rows, "a double, b double, y double"), ["a", "b"], "y")
+    train, val = data.sample(False, 0.7, 1), data.sample(False, 0.3, 2)
+    for kind, params in (("mlp", {"hidden": [4]}), ("logistic", {})):
+        path = os.path.join(tmp_dir, kind)
+        first = train_epochs(train, val, 2, path, kind, iterations=4, **params)
+        done = train_epochs(train, val, 5, path, kind, iterations=4, resume=True, **params)
+        assert [r["epoch"] for r in done["history"]] == [1, 2, 3, 4, 5] and done["history"][:2] == first["history"]
+        history = {r.epoch: r for r in read_history(spark, path).collect()}
+        best = min(history.values(), key=lambda r: (-r.accuracy, r.epoch))
+        assert done["best_epoch"] == best.epoch and done["model_path"].endswith(f"epoch={best.epoch}")
+        again = evaluate(load_best(spark, path), val)[0].first()
+        assert (again["accuracy"], again["loss"]) == (best.accuracy, pytest.approx(best.eval_loss, abs=1e-12))
+        losses = [r["train_loss"] for r in done["history"]]
+        assert losses == sorted(losses, reverse=True)  # each epoch goes on from the one before
+    with pytest.raises(FileNotFoundError):
+        load_best(spark, os.path.join(tmp_dir, "none"))
+
+
+def test_deadlines_fail_stages_without_traffic(spark, tmp_dir):
+    import datetime as dt
+
+    from cadence.streaming.streams import rollout_with_deadlines, run_available
+    schema = "deployment_id string, window_start timestamp, requests long, errors long, latency_p95_ms double"
+    hour = lambda h: dt.datetime(2024, 1, 1, h)
+    src, base = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+
+    def run(rows):
+        spark.createDataFrame([(d, hour(h), n, e, 10.0) for d, h, n, e in rows], schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        out = run_available(rollout_with_deadlines(stream, [1, 50, 100], 3600, 0.2, 100.0, 0.8, "2 hours"), "d", base=base)
+        return {(r.deployment_id, r.window_start.hour): (r.healthy, r.status, r.stages_completed) for r in out.collect()}
+
+    got = run([("steady", 0, 5, 0), ("gap", 0, 5, 0), ("gap", 2, 5, 0), ("silent", 0, 5, 0), ("zero", 0, 0, 0), ("bad", 1, 4, 2)])
+    assert got["gap", 1] == (False, "rolled_back", [1]) and ("gap", 2) not in got          # noticed by a later window
+    assert got["zero", 0] == (False, "rolled_back", []) and got["bad", 1] == (False, "rolled_back", [])
+    assert got["steady", 0] == got["silent", 0] == (True, "in_progress", [1])
+    got = run([("steady", 1, 5, 0), ("late", 4, 5, 0)])
+    assert got["steady", 1] == (True, "in_progress", [1, 50])
+    assert got["silent", 1] == (False, "rolled_back", [1])                                    # by the timer: the watermark is past the end of hour 1
+    got = run([("silent", 1, 5, 0), ("steady", 2, 5, 0)])
+    assert got["silent", 1] == (False, "rolled_back", [1])                                    # too late
+    assert len([k for k in got if k[0] == "silent"]) == 2
+
+
+def test_counters_and_histograms_count_a_retried_batch_once(spark, tmp_dir):
+    from cadence.operators.monitor import duration_histogram
+    from cadence.streaming.streams import read_counters, read_histograms, stream_counters, stream_histograms
+    src, schema = os.path.join(tmp_dir, "in"), "status string, seconds double"
+    targets = [os.path.join(tmp_dir, "counters"), os.path.join(tmp_dir, "histograms")]
+    rows = []
+
+    def run():
+        stream_counters(spark.readStream.schema(schema).parquet(src), ["status"], targets[0])
+        stream_histograms(spark.readStream.schema(schema).parquet(src), "seconds", targets[1], [1.0, 10.0], ["status"])
+        whole = spark.createDataFrame(rows, schema)
+        assert {r["status"]: r["count"] for r in read_counters(spark, targets[0]).collect()} == {
+            r["status"]: r["count"] for r in whole.groupBy("status").count().collect()}
+        want = sorted(map(str, duration_histogram(whole, "seconds", [1.0, 10.0], ["status"]).collect()))
+        assert sorted(map(str, read_histograms(spark, targets[1], [1.0, 10.0], ["status"]).collect())) == want
+
+    for k in range(3):
+        rows += [("ok", 0.5 * k + i) for i in range(4)] + [(None, 20.0), ("bad", None)]
+        spark.createDataFrame(rows[-6:], schema).coalesce(1).write.mode("append").parquet(src)
+        run()
+    for t in targets:  # the last batch was written, but its commit was lost: it is run again
+        commits = sorted(f for f in os.listdir(f"{t}-checkpoint/commits") if f.isdigit())
+        os.remove(f"{t}-checkpoint/commits/{commits[-1]}")
+        crc = f"{t}-checkpoint/commits/.{commits[-1]}.crc"
+        if os.path.exists(crc):
+            os.remove(crc)
+    run()
