@@ -1,4 +1,4 @@
-"""Categorical encoding: label codes (F05, F06) and one-hot columns.
+"""Categorical encoding: label codes (F05, F06), one-hot columns and one-hot vectors.
 
 Label codes: distinct values (one shuffle of distinct values only) are ranked on the small
 distinct table, never on rows. Applying the codes picks a plan by the checked code-table
@@ -177,7 +177,7 @@ def fit_categories(df: DataFrame, columns: list[str] | None = None,
         capped = vals.limit(max_categories + 1).collect()
         if len(capped) > max_categories:
             raise ValueError(f"column {c} has more than {max_categories} categories; "
-                             "use label codes or the vector form instead")
+                             "use one_hot_vectors instead")
         out[c] = sorted(r["v"] for r in capped)
     return out
 
@@ -206,3 +206,42 @@ def apply_categories(df: DataFrame, categories: dict[str, list[str]]) -> DataFra
 def one_hot(df: DataFrame, columns: list[str] | None = None, max_categories: int = INLINE_MAX) -> DataFrame:
     """fit and apply on one frame."""
     return apply_categories(df, fit_categories(df, columns, max_categories))
+
+
+@dataclass
+class OneHotVectors:
+    """F07 in vector form: codes of each column's values, and how many there are."""
+    codes: LabelCodes
+    sizes: dict[str, int]
+
+
+def fit_one_hot_vectors(df: DataFrame, columns: list[str] | None = None) -> OneHotVectors:
+    """Codes of the values of each column, in sorted order, from one grouping; any number of categories."""
+    cols = columns if columns is not None else categorical_columns(df)
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("kv"))
+    counts = small_table(long.select("kv.*").where("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    codes, _ = codes_from_counts(counts, {c: (NULL_TOKEN, 0) for c in cols})
+    return OneHotVectors(codes, {c: codes.sizes[c] for c in cols})
+
+
+def apply_one_hot_vectors(df: DataFrame, fitted: OneHotVectors) -> DataFrame:
+    """Replace each fitted column by a sparse vector ``<col>_vector`` with a 1 at the place of its value; NULL and
+    unseen values give a vector of zeros. A row carries one number a column, whatever the number of
+    categories."""
+    from pyspark.ml.feature import OneHotEncoder
+    cols = list(fitted.sizes)
+    null = [F.col(c).isNull().alias(f"__null_{c}") for c in cols]
+    # The codes replace the columns, so whether a value was there is kept beside them.
+    codes = apply_label_codes(df.select("*", *null), fitted.codes, "keep")
+    out = codes.withColumns({f"__at_{c}": F.when(F.col(f"__null_{c}") | (F.col(c) < 0), n).otherwise(F.col(c)).cast("double")
+                             for c, n in fitted.sizes.items()})
+    # One more category than there are stands for none, and is the last one, which the encoder drops.
+    sizes = df.sparkSession.createDataFrame([tuple(float(n) for n in fitted.sizes.values())], [f"__at_{c}" for c in cols])
+    model = OneHotEncoder(inputCols=[f"__at_{c}" for c in cols], outputCols=[f"{c}_vector" for c in cols], dropLast=True).fit(sizes)
+    keep = [c for c in df.columns if c not in cols]
+    return model.transform(out).select(*keep, *[f"{c}_vector" for c in cols])
+
+
+def one_hot_vectors(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """F07 in vector form: fit and apply on one frame."""
+    return apply_one_hot_vectors(df, fit_one_hot_vectors(df, columns))

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.arrays import log_softmax_at
-from cadence.functions.quantiles import equal_ranges
+from cadence.functions.quantiles import equal_ranges, small_table
+from cadence.functions.ranking import global_rank
 from cadence.functions.stats import ratio_or_zero
 from cadence.session import checkpoint_dir
 
@@ -77,16 +78,17 @@ def classification_metrics(df: DataFrame, label: str, pred: str, average: str =
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
     """E04 long form (label, prediction, count), zero-filled over the grid of all classes seen.
 
-    The pair counts are written once (at most one row per pair that occurs); the classes are
-    gathered into one array per row of classes and exploded, so the grid is data, built by the
-    executors, however many classes there are."""
+    The pair counts are written once (at most one row per pair that occurs). The classes are numbered;
+    every class lists the numbers of all others, which are joined to their classes, so the k x k cells
+    come from k rows in as many tasks as there are partitions, and no row holds the classes."""
     checkpoint_dir(df.sparkSession)
     pc = pair_counts(df, label, pred).checkpoint()
     classes = pc.select(F.explode(F.array("label", "prediction")).alias("c")).where(F.col("c").isNotNull()).distinct()
-    # k classes make k*k cells of output; the list of k is exploded against itself.
-    every = classes.agg(F.collect_list("c").alias("all"))
-    grid = (every.select(F.explode("all").alias("label"), "all").repartition("label")
-            .select("label", F.explode("all").alias("prediction")))
+    numbered = small_table(global_rank(classes, ["c"], "at"))
+    last = numbered.agg(F.max("at")).first()[0]
+    every = F.sequence(F.lit(0), F.lit(-1 if last is None else last).cast("int")).cast("array<bigint>")
+    grid = (numbered.where("at is not null").select(F.col("c").alias("label"), F.explode(every).alias("at"))
+            .join(numbered.select(F.col("c").alias("prediction"), "at"), "at").select("label", "prediction"))
     return grid.join(pc, ["label", "prediction"], "left") \
                .select("label", "prediction", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.functions.arrays import argmax, dot, output_switch, softmax
+from cadence.session import checkpoint_dir
 
-MAX_CENTROID_CELLS = 200_000   # k x d literal cells inlined in the scoring expression
+MAX_CENTROID_CELLS = 200_000   # classes x dimensions up to which centroids are literals; beyond, the size of a block
 
 
 def linear_logits(x: Column, weights: list[list[float]], bias: list[float] | None = None) -> Column:
@@ -37,14 +38,17 @@ def score_logits(df: DataFrame, logits: Column, version: str = "unknown") -> Dat
         "prediction": pred, "probabilities": probs, "model_version": F.lit(version)}).drop("__logits")
 
 
-def fit_centroids(df: DataFrame, vec: str, label: str) -> tuple[list[int], list[list[float]]]:
-    """Class centroids: posexplode -> groupBy(label, pos).avg (map-side combined, output
-    k x d rows), collected under a checked bound."""
-    cells = (df.select(F.col(label).alias("label"), F.posexplode(F.col(vec).cast("array<double>")).alias("pos", "x"))
-             .groupBy("label", "pos").agg(F.avg("x").alias("c")))
-    rows = cells.limit(MAX_CENTROID_CELLS + 1).collect()
-    if len(rows) > MAX_CENTROID_CELLS:
-        raise ValueError(f"more than {MAX_CENTROID_CELLS} centroid cells (classes x dimensions) to inline")
+def centroid_cells(df: DataFrame, vec: str, label: str) -> DataFrame:
+    """Class centroids as (label, pos, c): posexplode -> groupBy(label, pos).avg (map-side combined, k x d rows)."""
+    return (df.select(F.col(label).cast("long").alias("label"), F.posexplode(F.col(vec).cast("array<double>")).alias("pos", "x"))
+            .groupBy("label", "pos").agg(F.avg("x").alias("c")))
+
+
+def fit_centroids(cells: DataFrame, max_cells: int = MAX_CENTROID_CELLS) -> tuple[list[int], list[list[float]]] | None:
+    """(labels, centroids) of at most ``max_cells`` cells; None if there are more."""
+    rows = cells.limit(max_cells + 1).collect()
+    if len(rows) > max_cells:
+        return None
     by: dict[int, dict[int, float]] = {}
     for r in rows:
         by.setdefault(r["label"], {})[r["pos"]] = r["c"]
@@ -59,17 +63,68 @@ def centroid_scores(vec: Column, centroids: list[list[float]]) -> Column:
     return F.array(*[dot(x, F.lit(np.array(c, dtype=float))) for c in centroids])
 
 
-def nearest_centroid(df: DataFrame, vec: str, label: str, fit_df: DataFrame | None = None) -> DataFrame:
+def nearest_centroid(df: DataFrame, vec: str, label: str, fit_df: DataFrame | None = None,
+                     max_cells: int = MAX_CENTROID_CELLS) -> DataFrame:
     """prediction = label of the centroid with the largest dot product (first label on
-    ties), probabilities = softmax of the dot products."""
-    labels, cents = fit_centroids(fit_df if fit_df is not None else df, vec, label)
+    ties), probabilities = softmax of the dot products, in the order of the labels. Up to ``max_cells`` cells the
+    centroids are literals of a projection; more are met block by block (`centroid_scores_by_blocks`)."""
+    cells = centroid_cells(fit_df if fit_df is not None else df, vec, label)
+    fitted = fit_centroids(cells, max_cells)
+    if fitted is None:
+        scored = centroid_scores_by_blocks(df, vec, cells, max_cells)
+        return scored.withColumn("probabilities", softmax(F.col("__s"))).drop("__s")
+    labels, cents = fitted
     scores = centroid_scores(F.col(vec), cents)
-    lab_arr = F.array(*[F.lit(v) for v in labels])
+    lab_arr = F.lit(np.array(labels, dtype=np.int64)) if labels else F.array().cast("array<bigint>")
     return df.withColumn("__s", scores).withColumns({
         "prediction": F.element_at(lab_arr, argmax(F.col("__s")) + 1).cast("long"),
         "probabilities": softmax(F.col("__s"))}).drop("__s")
 
 
+BLOCK_VALUES = 8_000_000   # numbers of the vectors that meet a block of centroids at once
+
+
+def centroid_scores_by_blocks(df: DataFrame, vec: str, cells: DataFrame, block_cells: int = MAX_CENTROID_CELLS) -> DataFrame:
+    """``df`` with ``prediction`` and ``__s``, the dot products with all centroids in the order of their labels.
+
+    A blocked matrix product: centroids come in blocks of ``block_cells`` numbers, vectors in chunks, and each pair
+    of a block and a chunk is multiplied in a task of its own; the best label and the block's products go
+    back to the row. No centroid table is held by the driver or sent to all tasks."""
+    from cadence.functions.quantiles import small_table
+    from cadence.functions.ranking import global_rank
+    checkpoint_dir(df.sparkSession)
+    rows = df.withColumn("__row", F.monotonically_increasing_id()).checkpoint()
+    vectors = cells.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "c"))), lambda x: x["c"]).alias("centroid"))
+    centroids = small_table(global_rank(vectors, ["label"], "at"))
+    size = centroids.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("centroid")).alias("d")).first()
+    per_block = max(1, block_cells // size["d"])
+    blocks, chunks = -(-size["k"] // per_block), max(1, -(-rows.count() * size["d"] // BLOCK_VALUES))
+    left = (rows.select("__row", F.col(vec).cast("array<double>").alias("x")).withColumn("chunk", F.pmod(F.xxhash64("__row"), F.lit(chunks)))
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))))
+    right = (centroids.withColumn("block", F.floor(F.col("at") / per_block).cast("bigint"))
+             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<bigint>"))))
+
+    def multiply(v, c):
+        import pyarrow as pa
+        names = ["__row", "block", "label", "best", "products"]
+        if not v.num_rows or not c.num_rows:
+            return pa.table({n: pa.array([], t) for n, t in zip(names, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64())))})
+        matrix = lambda col: np.asarray(col.combine_chunks().flatten()).reshape(len(col), -1)
+        c = c.sort_by("at")
+        products = matrix(v.column("x")) @ matrix(c.column("centroid")).T
+        best = products.argmax(axis=1)  # the first label among equal ones
+        n, k = products.shape
+        return pa.table([v.column("__row"), v.column("block"), c.column("label").take(pa.array(best)).cast(pa.int64()),
+                         pa.array(products[np.arange(n), best]),
+                         pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * k, pa.int32()), pa.array(products.ravel()))], names=names)
+
+    met = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(
+        multiply, "__row long, block long, label long, best double, products array<double>")
+    whole = met.groupBy("__row").agg(F.max_by("label", F.struct("best", -F.col("label"))).alias("prediction"),
+                                     F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "products"))), lambda b: b["products"])).alias("__s"))
+    return rows.join(whole, "__row", "left").drop("__row")
+
+
 def validate_features(df: DataFrame, features: str, width: int) -> tuple[DataFrame, DataFrame]:
     """Rows whose feature array has the expected width and no NULL/NaN go to the first
     output, all others (with a reason) to the reject output."""

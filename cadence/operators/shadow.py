@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.arrays import predictions_match, scalar_predictions_match
-from cadence.functions.quantiles import grouped_quantiles
+from cadence.functions.quantiles import exact_quantiles, grouped_quantiles, small_table
+from cadence.functions.ranking import join_null_safe
 from cadence.functions.stats import ratio
 from cadence.session import checkpoint_dir
 
@@ -138,3 +139,35 @@ def prediction_drift(cmp: DataFrame, group: list[str] | None = None, eps: float
     shares = counts.withColumn("p", F.greatest(F.col("np") / F.sum("np").over(w), F.lit(eps))) \
                    .withColumn("s", F.greatest(F.col("ns") / F.sum("ns").over(w), F.lit(eps)))
     return shares.groupBy(*g).agg(F.sum((F.col("s") - F.col("p")) * F.ln(F.col("s") / F.col("p"))).alias("psi"))
+
+
+def numeric_drift(base: DataFrame, current: DataFrame, columns: list[str], buckets: int = 10,
+                  group: list[str] | None = None, eps: float = 1e-6) -> DataFrame:
+    """H07 over numbers: (group..., column, psi, ks, n_base, n_current) of ``current`` against ``base``.
+
+    Buckets are fitted on the base: their bounds are its exact quantiles, a value on a bound belonging below it. PSI
+    is the sum over buckets of (c - b) ln(c / b), shares floored at ``eps``; KS is the greatest distance of the two
+    cumulative shares at the bounds. NULL and NaN do not count. Groups or columns without a value on either
+    side have no row. Both frames are reduced to a count per bucket before anything is shuffled."""
+    g = group or []
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = small_table(exact_quantiles(base, columns, probs, g).select(*g, "column", F.col("quantiles").alias("__bounds")))
+    long = None
+    for side, df in (("base", base), ("current", current)):
+        part = df.select(*g, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])).alias("e"),
+                         F.lit(side).alias("__side")).select(*g, "e.*", "__side")
+        long = part if long is None else long.unionByName(part)
+    long = join_null_safe(long.where(F.col("v").isNotNull() & ~F.isnan("v")), bounds, [*g, "column"], "inner")
+    bucket = sum((F.when(F.col("v") > F.get("__bounds", F.lit(i)), 1).otherwise(0) for i in range(buckets - 1)), F.lit(0))
+    counts = (long.select(*g, "column", "__side", bucket.alias("__bucket")).groupBy(*g, "column", "__bucket")
+              .agg(F.count_if(F.col("__side") == "base").alias("b"), F.count_if(F.col("__side") == "current").alias("c")))
+    # At most ``buckets`` rows a column and group; one that neither side fills adds nothing.
+    w = Window.partitionBy(*g, "column")
+    upto = w.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
+    nb, nc = F.sum("b").over(w), F.sum("c").over(w)
+    shares = counts.select(*g, "column", nb.alias("nb"), nc.alias("nc"), F.greatest(F.try_divide("b", nb), F.lit(eps)).alias("pb"),
+                           F.greatest(F.try_divide("c", nc), F.lit(eps)).alias("pc"),
+                           F.abs(F.try_divide(F.sum("b").over(upto), nb) - F.try_divide(F.sum("c").over(upto), nc)).alias("d"))
+    return shares.where((F.col("nb") > 0) & (F.col("nc") > 0)).groupBy(*g, "column").agg(
+        F.sum((F.col("pc") - F.col("pb")) * F.ln(F.col("pc") / F.col("pb"))).alias("psi"), F.max("d").alias("ks"),
+        F.max("nb").cast("bigint").alias("n_base"), F.max("nc").cast("bigint").alias("n_current"))

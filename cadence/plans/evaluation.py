@@ -140,6 +140,14 @@ def q_nearest_centroid(spark, sf_dir):
         F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+@query("nearest_centroid_blocks", "B06", f"""WITH {_EMB}
+SELECT y AS label, pred AS prediction, CAST(count(*) AS BIGINT) AS n FROM ep GROUP BY 1, 2""")
+def q_nearest_centroid_blocks(spark, sf_dir):
+    """The centroids in blocks of a few classes, as a table too large for literals is scored."""
+    s = nearest_centroid(table(spark, sf_dir, "embeddings"), "embedding", "label", max_cells=200)
+    return s.groupBy(F.col("label").cast("long").alias("label"), "prediction").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
 @query("multiclass_metrics", "E01 E02 B06", _weighted_sql(_EMB, "ep"))
 def q_multiclass_metrics(spark, sf_dir):
     return round_doubles(classification_metrics(centroid_scored(spark, sf_dir), "y", "pred"))

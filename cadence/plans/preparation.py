@@ -193,6 +193,22 @@ def q_label_encode(spark, sf_dir):
 _PRIOS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
+@query("one_hot_vectors", "F07", """
+SELECT CAST(o_custkey AS VARCHAR) AS category, CAST(count(*) AS BIGINT) AS n FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1""")
+def q_one_hot_vectors(spark, sf_dir):
+    """Sparse one-hot vectors of the customers of orders, added up: one count for each of many categories."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    from cadence.operators.encode import apply_one_hot_vectors, code_table, fit_one_hot_vectors
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("o_custkey"))
+    fitted = fit_one_hot_vectors(o)
+    sums = apply_one_hot_vectors(o, fitted).agg(Summarizer.sum(F.col("o_custkey_vector")).alias("v"))
+    counts = sums.select(F.posexplode(vector_to_array("v")).alias("code", "n"))
+    return (counts.join(code_table(fitted.codes, spark), "code")
+            .select(F.col("value").alias("category"), F.col("n").cast("bigint").alias("n")))
+
+
 @query("one_hot", "F07", "SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, " + ", ".join(
     f"CAST(sum(CAST(COALESCE(o_orderpriority = '{p}', false) AS INTEGER)) AS BIGINT) AS \"o_orderpriority_{p}\""
     for p in _PRIOS) + " FROM orders GROUP BY o_orderstatus")

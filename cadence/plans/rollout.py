@@ -14,7 +14,7 @@ from cadence.functions.columns import round_doubles
 from cadence.operators.canary import (arm_metrics, assign_arm, canary_metrics, check_health,
                                       requests_from_events, rollout_outcome, stage_progression)
 from cadence.operators.shadow import (compare, comparison_metrics, mismatch_samples,
-                                      pair_predictions, prediction_drift, recommendation,
+                                      numeric_drift, pair_predictions, prediction_drift, recommendation,
                                       stop_summary)
 from cadence.plans.catalog import query
 from cadence.tables import table
@@ -236,6 +236,33 @@ def q_shadow_drift(spark, sf_dir):
     return round_doubles(prediction_drift(c, ["deployment_id"]))
 
 
+_DRIFT_BUCKETS = 10
+
+
+@query("numeric_drift", "H07", f"""
+WITH e AS (SELECT event_type, value, ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) AS base,
+                  CASE WHEN user_id % 3 = 0 THEN value * 1.2 + 1 ELSE value END AS moved FROM events),
+u AS (SELECT event_type, 'value' AS col, value AS v, base FROM e UNION ALL
+      SELECT event_type, 'moved', CASE WHEN base THEN value ELSE moved END, base FROM e),
+q AS (SELECT event_type, col, quantile_cont(v, {[i / _DRIFT_BUCKETS for i in range(1, _DRIFT_BUCKETS)]}) AS bounds FROM u WHERE base GROUP BY 1, 2),
+k AS (SELECT event_type, col, len(list_filter(bounds, lambda x: x < v)) AS bucket, count(*) FILTER (WHERE base) AS b, count(*) FILTER (WHERE NOT base) AS c
+      FROM u JOIN q USING (event_type, col) WHERE v IS NOT NULL GROUP BY 1, 2, 3),
+s AS (SELECT event_type, col, sum(b) OVER w AS nb, sum(c) OVER w AS nc, greatest(b / sum(b) OVER w, 1e-6) AS pb, greatest(c / sum(c) OVER w, 1e-6) AS pc,
+             abs(sum(b) OVER o / sum(b) OVER w - sum(c) OVER o / sum(c) OVER w) AS d
+      FROM k WINDOW w AS (PARTITION BY event_type, col), o AS (PARTITION BY event_type, col ORDER BY bucket))
+SELECT event_type, col AS "column", round(sum((pc - pb) * ln(pc / pb)), 6) AS psi, round(max(d), 6) AS ks,
+       CAST(max(nb) AS BIGINT) AS n_base, CAST(max(nc) AS BIGINT) AS n_current FROM s GROUP BY 1, 2""")
+def q_numeric_drift(spark, sf_dir):
+    """Second half of the event log against the first, per event type: as it is, and with a third of the users moved."""
+    ev = table(spark, sf_dir, "events")
+    ends = ev.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    middle = ends["a"] + (ends["b"] - ends["a"]) / 2
+    moved = F.when(F.col("user_id") % 3 == 0, F.col("value") * 1.2 + 1).otherwise(F.col("value"))
+    base = ev.where(F.col("ts") < F.lit(middle)).select("event_type", "value", F.col("value").alias("moved"))
+    current = ev.where(F.col("ts") >= F.lit(middle)).select("event_type", "value", moved.alias("moved"))
+    return round_doubles(numeric_drift(base, current, ["value", "moved"], _DRIFT_BUCKETS, ["event_type"]))
+
+
 # ----------------------------------------------------------------------------------------
 # Gates and deployment records
 

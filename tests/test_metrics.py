@@ -110,3 +110,32 @@ def test_confusion_of_many_classes(spark):
     assert (r["n"], r["c"]) == (1_000_000, 20_000) and time.time() - t < 60
     small = confusion_wide(df.where("y < 3 and p < 3"), "y", "p").orderBy("label").collect()
     assert all(sorted(x["counts"]) == sorted(y["label"] for y in small) for x in small)
+
+
+def test_five_thousand_centroids(spark):
+    import numpy as np
+
+    from cadence.operators.score import nearest_centroid
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(5000, 64))
+    fit_rows = [(int(i), c.tolist()) for i, c in enumerate(centres)]
+    queries = [(int(i), (3 * centres[i] + 0.1 * rng.normal(size=64)).tolist()) for i in rng.integers(0, 5000, 300)]
+    fit_df = spark.createDataFrame(fit_rows, "label long, x array<double>")
+    df = spark.createDataFrame(queries, "want long, x array<double>").repartition(3)
+    out = nearest_centroid(df, "x", "label", fit_df).collect()
+    assert len(out) == 300
+    for r in out[:40]:
+        s = centres @ np.array(r.x)
+        p = np.exp(s - s.max())
+        assert r.prediction == r.want == s.argmax() and np.allclose(r.probabilities, p / p.sum(), atol=1e-9)
+    assert all(r.prediction == r.want for r in out)
+
+
+def test_blocks_equal_literals_with_ties(spark):
+    from cadence.operators.score import nearest_centroid
+    rows = [(i % 4, [float(i % 2), 1.0]) for i in range(40)] + [(9, [0.0, 1.0])]  # labels with equal centroids
+    df = spark.createDataFrame(rows, "label long, x array<double>")
+    a = nearest_centroid(df, "x", "label").collect()
+    b = nearest_centroid(df, "x", "label", max_cells=3).collect()
+    key = lambda r: (r.label, r.x, r.prediction, [round(p, 9) for p in r.probabilities])
+    assert sorted(map(key, a)) == sorted(map(key, b))

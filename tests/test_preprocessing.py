@@ -201,3 +201,26 @@ def test_update_equals_a_fit_on_all_rows(spark, tmp_dir):
             m = filled.select(F.avg(c), F.stddev_pop(c)).first()
             assert (m[0], m[1]) == (pytest.approx(0, abs=1e-9), pytest.approx(1, abs=1e-9))
             assert filled.where(F.col(c).isNull()).count() == 0
+
+
+def test_one_hot_vectors_beyond_the_column_limit(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from cadence.operators.encode import apply_one_hot_vectors, fit_one_hot_vectors
+    rows = [(i, f"v{i % 1000}" if i % 11 else None, "None" if i % 2 else "b") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, wide string, small string")
+    with pytest.raises(ValueError, match="one_hot_vectors"):
+        one_hot(df, ["wide"])
+    fitted = fit_one_hot_vectors(df, ["wide", "small"])
+    assert fitted.sizes == {"wide": 1000, "small": 2}
+    out = apply_one_hot_vectors(df, fitted)
+    assert out.columns == ["k", "wide_vector", "small_vector"]
+    order = {v: i for i, v in enumerate(sorted({r[1] for r in rows if r[1]}))}
+    for r in out.collect():
+        wide, small = rows[r.k][1], rows[r.k][2]
+        assert (r.wide_vector.size, r.wide_vector.indices.tolist()) == (1000, [order[wide]] if wide else [])
+        assert vector_to_array and r.small_vector.toArray().tolist() == ([1.0, 0.0] if small == "None" else [0.0, 1.0])
+    later = apply_one_hot_vectors(spark.createDataFrame([(1, "new", None)], "k long, wide string, small string"), fitted).first()
+    assert later.wide_vector.numNonzeros() == later.small_vector.numNonzeros() == 0
+    none = apply_one_hot_vectors(df.where("wide is null").select("wide"), fit_one_hot_vectors(df.where("wide is null").select("wide")))
+    assert {r.wide_vector.numNonzeros() for r in none.collect()} == {0}

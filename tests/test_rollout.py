@@ -142,3 +142,27 @@ def test_stages_without_canary_traffic_are_listed_and_fail(spark):
         assert [(r["stage"], r["requests_total"], r["status"]) for r in st.orderBy("stage").collect()] == [
             (0, 0, "failed"), (1, 0, "skipped"), (2, 0, "skipped"), (3, 0, "skipped"), (4, 1, "skipped")]
         assert rollout_outcome(st, group).first()["status"] == "rolled_back"
+
+
+def test_numeric_drift_against_plain_version(spark):
+    import math
+    import random
+
+    import numpy as np
+
+    from cadence.operators.shadow import numeric_drift
+    rng = random.Random(1)
+    base = [(g, rng.gauss(0, 1)) for g in ("a", None) for _ in range(500)] + [("a", None), ("a", float("nan")), ("only base", 1.0)]
+    current = [("a", rng.gauss(0, 1)) for _ in range(400)] + [(None, rng.gauss(1, 2)) for _ in range(300)] + [("only current", 1.0)]
+    schema = "g string, x double"
+    out = {r.g: r for r in numeric_drift(spark.createDataFrame(base, schema), spark.createDataFrame(current, schema), ["x"], 10, ["g"]).collect()}
+    assert set(out) == {"a", None}
+    for g, r in out.items():
+        b, c = ([v for k, v in rows if k == g and v is not None and not math.isnan(v)] for rows in (base, current))
+        edges = np.quantile(b, [i / 10 for i in range(1, 10)])
+        pb, pc = (np.bincount(np.searchsorted(edges, x), minlength=10) / len(x) for x in (b, c))
+        fb, fc = np.maximum(pb, 1e-6), np.maximum(pc, 1e-6)
+        assert r.psi == pytest.approx(((fc - fb) * np.log(fc / fb)).sum())
+        assert r.ks == pytest.approx(np.abs(np.cumsum(pb) - np.cumsum(pc)).max())
+        assert (r.n_base, r.n_current) == (len(b), len(c))
+    assert out["a"].psi < 0.1 < out[None].psi
