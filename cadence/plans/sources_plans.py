@@ -90,6 +90,29 @@ def q_feather_roundtrip(spark, sf_dir):
     return _orders_agg(decode_feather(orders.mapInArrow(encode, "content binary"), orders.schema))
 
 
+@query("feather_batches", "S04", f"SELECT * REPLACE (round(total, 2) AS total) FROM ({_ORDERS_AGG})")
+def q_feather_batches(spark, sf_dir):
+    """orders as Feather files that tasks write into the shared folder, with a record batch for every thousand
+    rows, read by batches."""
+    from cadence.sources.feather import _store, read_feather_batches
+    path = _scratch(spark, "orders-feather")
+
+    def write(batches):
+        import pyarrow as pa
+        import pyarrow.feather as feather
+        from pyspark import TaskContext
+        whole = list(batches)
+        if whole:
+            fs, folder = _store(path)
+            fs.create_dir(folder, recursive=True)
+            with fs.open_output_stream(f"{folder}/part-{TaskContext.get().partitionId():05}.feather") as out:
+                feather.write_feather(pa.Table.from_batches(whole), out, compression="lz4", chunksize=1000)
+            yield pa.RecordBatch.from_pydict({"rows": [sum(b.num_rows for b in whole)]})
+
+    table(spark, sf_dir, "orders").mapInArrow(write, "rows long").collect()  # a row a task
+    return _orders_agg(read_feather_batches(spark, path, part_bytes=64 << 10)).withColumn("total", F.round("total", 2))
+
+
 @query("processed_sink", "S12 S02", _ORDERS_AGG)
 def q_processed_sink(spark, sf_dir):
     path = _scratch(spark, "orders-parquet")

@@ -2,6 +2,7 @@ import os
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from cadence.sources import (detect_format, load_training_data, read_mixed_directory, read_source,
                              require_data, union_by_name, write_splits)
@@ -126,3 +127,20 @@ def test_cluster_needs_a_shared_folder():
     fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(fake)
+
+
+def test_feather_is_split_by_record_batches(spark, tmp_dir):
+    import pandas as pd
+    import pyarrow.feather as feather
+
+    from cadence.sources.feather import read_feather_batches
+    for k in range(2):
+        frame = pd.DataFrame({"i": range(k * 5000, (k + 1) * 5000), "s": [f"text {j} é" if j % 7 else None for j in range(5000)], "x": 0.5})
+        feather.write_feather(frame, os.path.join(tmp_dir, f"p{k}.feather"), compression="zstd" if k else "uncompressed", chunksize=100)
+    df = read_feather_batches(spark, tmp_dir, part_bytes=8 << 10)
+    assert df.rdd.getNumPartitions() > 10 and df.columns == ["i", "s", "x"]  # one file, many tasks
+    assert df.agg(F.count("i"), F.count("s"), F.sum("i"), F.sum("x")).first()[0:4] == (10_000, 2 * (5000 - 715), sum(range(10_000)), 5000.0)
+    narrow = read_feather_batches(spark, os.path.join(tmp_dir, "p1.feather"), ["s", "i"])
+    assert narrow.columns == ["s", "i"] and narrow.where("i = 5001").first().s == "text 1 é"
+    with pytest.raises(FileNotFoundError):
+        read_feather_batches(spark, os.path.join(tmp_dir, "none"))
