@@ -6,8 +6,10 @@ unigrams of the contract, known words and unknown ones. With C the number of tim
 word was followed, the failure arc weighs r(C) = k / (k + C**0.25), and an arc to w weighs
 (1 - r(C)) c(w) / C + r(C) p(w), so the weights of a state sum to one; k is solved so that the
 expected failure mass is the share of bigrams seen once (Good-Turing), from counts over all
-training tokens. Scoring walks each text once from left to right, carries the state and adds
-log10 weights.
+training tokens. Of order 2, a state is the word before, so the state of each token is known without
+walking: a text's transitions are looked up all at once, the arc if there is one, else the failure arc and the
+unigram, and their log10 weights are added up from left to right. Tests hold this against an explicit
+automaton that is walked token by token.
 
 Counts of the whole corpus fit no worker, so each block of documents gets the slice of the
 automaton its own texts can walk: it sends its distinct words and bigrams with their counts

@@ -8,8 +8,8 @@ files through Spark, loads the dictionary, decodes frame by frame and validates
 versions, headers, lengths and digests.
 
 Of pages with equal payloads the one with the largest id is stored as response; the others are
-revisit records that refer to it. Equality is decided on (SHA-1, length) of the payload, which
-move through the shuffle instead of the payload.
+revisit records that refer to it. Equality is decided on (SHA-1, length) of the payload in narrow rows; the
+pages, payloads included, then move once, to meet the decision on their digest.
 """
 
 from __future__ import annotations
