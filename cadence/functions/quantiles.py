@@ -18,7 +18,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.ranking import join_null_safe
@@ -60,6 +60,15 @@ def _brackets(n: Column, at: Column, probs: int) -> tuple[list[Column], list[Col
     return [end(0, i, float("-inf")) for i in range(probs)], [end(1, i, float("inf")) for i in range(probs)]
 
 
+def _ends(sketch: Row, probs: int) -> tuple[list[float], list[float]]:
+    """The same of a row that has been read."""
+    k = next((k for k, (least, _) in enumerate(WIDTHS) if sketch["n"] >= least), None)
+    if k is None:
+        return [float("-inf")] * probs, [float("inf")] * probs
+    at = [sketch["at"][(k * probs + i) * 2:(k * probs + i) * 2 + 2] for i in range(probs)]
+    return [x for x, _ in at], [x for _, x in at]
+
+
 def small_table(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, so that the planner knows its size and
     broadcasts it only if it is small. For tables with a row per group."""
@@ -68,29 +77,35 @@ def small_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _summarised(df: DataFrame, aggs: list, columns: list[str], probs: list[float], g: list[str]) -> DataFrame:
-    """First pass: ``aggs`` and a struct __s{i} of count and sketch for every column."""
+def _summarised(df: DataFrame, aggs: list, columns: list[str], probs: list[float], g: list[str]) -> DataFrame | Row:
+    """First pass: ``aggs`` and a struct __s{i} of count and sketch for every column; a table with groups, else its
+    only row."""
     sketches = [F.struct(*_sketch(c, probs)).alias(f"__s{i}") for i, c in enumerate(columns)]
     if g:
         return small_table(df.groupBy(*g).agg(*aggs, *sketches))
-    one = df.agg(*aggs, *sketches)
-    return df.sparkSession.createDataFrame([one.first()], one.schema)  # one row
+    return df.agg(*aggs, *sketches).first()
 
 
-def _refined(df: DataFrame, first: DataFrame, columns: list[str], probs: list[float], g: list[str]) -> DataFrame:
+def _refined(df: DataFrame, first: DataFrame | Row, columns: list[str], probs: list[float], g: list[str]) -> DataFrame:
     """Second pass: (groups..., column, n, quantiles) from the brackets of the first."""
     k = len(probs)
     ordered = sorted(range(k), key=lambda i: probs[i])  # brackets in ascending order
     sorted_probs = [probs[i] for i in ordered]
     places = [ordered.index(i) for i in range(k)]
-    lows, highs = _brackets(F.col("__s.n"), F.col("__s.at"), k)
-    brackets = (first.select(*g, F.posexplode(F.array(*[f"__s{i}" for i in range(len(columns))])).alias("__i", "__s"))
-                .select(*g, "__i", F.col("__s.n").alias("__n"), *[lows[i].alias(f"__low{j}") for j, i in enumerate(ordered)],
-                        *[highs[i].alias(f"__high{j}") for j, i in enumerate(ordered)]))
     values = (df.select(*g, F.posexplode(F.array(*[_present(c) for c in columns])).alias("__i", "__v"))
               .where(F.col("__v").isNotNull()))
-    # Without groups the brackets are one row a column, a proven bound; with groups their size decides.
-    rows = join_null_safe(values, brackets, [*g, "__i"], "inner") if g else values.join(F.broadcast(brackets), "__i")
+    if g:
+        lows, highs = _brackets(F.col("__s.n"), F.col("__s.at"), k)
+        brackets = (first.select(*g, F.posexplode(F.array(*[f"__s{i}" for i in range(len(columns))])).alias("__i", "__s"))
+                    .select(*g, "__i", F.col("__s.n").alias("__n"), *[lows[i].alias(f"__low{j}") for j, i in enumerate(ordered)],
+                            *[highs[i].alias(f"__high{j}") for j, i in enumerate(ordered)]))
+        rows = join_null_safe(values, brackets, [*g, "__i"], "inner")
+    else:  # a number for each column, looked up by its place
+        ends = [_ends(first[f"__s{i}"], k) for i in range(len(columns))]
+        place = lambda x, kind: F.get(F.lit(np.array(x, dtype=kind)), F.col("__i"))
+        rows = values.select("__i", "__v", place([first[f"__s{i}"]["n"] for i in range(len(columns))], np.int64).alias("__n"),
+                             *[place([e[side][i] for e in ends], np.float64).alias(f"__{name}{j}")
+                               for j, i in enumerate(ordered) for side, name in ((0, "low"), (1, "high"))])
     # Buckets ascend: what lies before the first bracket, the first bracket's slots, what lies between, and so on.
     v, bucket, inside = F.col("__v"), F.lit(k * (SLOTS + 1)), F.lit(False)
     for j in range(k - 1, -1, -1):
@@ -159,31 +174,35 @@ def grouped_quantiles(df: DataFrame, aggs: list, value_cols: list[str], probs: l
     first = _summarised(df, aggs, value_cols, probs, g)
     wide = _refined(df, first, value_cols, probs, g).groupBy(*g).agg(
         *[F.max(F.when(F.col("column") == c, F.col("quantiles"))).alias(n) for c, n in zip(value_cols, names)])
-    base = first.drop(*[f"__s{i}" for i in range(len(value_cols))])
     if g:
-        return join_null_safe(base, wide, g)
+        return join_null_safe(first.drop(*[f"__s{i}" for i in range(len(value_cols))]), wide, g)
     if not aggs:
         return wide
-    # Both sides are one row: stack them and keep each column's non-null value (no join).
-    both = base.unionByName(wide, allowMissingColumns=True)
-    return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
-
-
-def equal_ranges(df: DataFrame, value: str, groups: list[str] | None = None, ranges: int = 4096, out: str = "range") -> DataFrame:
-    """``df`` with the number of the range that ``value`` lies in: at most ``ranges`` ranges per group,
-    ascending, with about as many rows each. Bounds come from a sketch (one pass, off by a thousandth of the
-    rows); equal values share a range, whatever their number. NULL and NaN get range 0."""
-    g, steps = list(groups or []), ranges.bit_length() - 1
-    if ranges != 1 << steps:
-        raise ValueError("ranges must be a power of two")
+    # One row on both sides: what has been read stands beside the quantiles as literals.
+    types = df.groupBy().agg(*aggs).schema
+    return wide.select(*[F.lit(first[f.name]).cast(f.dataType).alias(f.name) for f in types], *names)
+
+
+def equal_ranges(df: DataFrame, value: str, groups: list[str] | None = None, rows_each: int = 1_000_000, out: str = "range") -> DataFrame:
+    """``df`` with the number of the range that ``value`` lies in: ascending ranges of about ``rows_each`` rows,
+    as many (1 to 4,096, a power of two) as the largest group asks for. Bounds come from a sketch (one pass, off by a
+    thousandth of the rows); equal values share a range, whatever their number. NULL and NaN get range 0."""
+    g, grid = list(groups or []), 4096
     x = _present(value)
-    bounds = _quantiles_of(x, np.arange(1, ranges) / ranges).alias("__bounds")
+    sizes = df.groupBy(*g).agg(F.count(x).alias("n"))
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    steps = min((-(-most // rows_each) - 1).bit_length() if most else 0, 12)
+    if not steps:
+        return df.withColumn(out, F.lit(0))
+    bounds = _quantiles_of(x, np.arange(1, grid) / grid).alias("__bounds")
     if g:
         df = join_null_safe(df, small_table(df.groupBy(*g).agg(bounds)), g)
     else:
-        df = df.withColumn("__bounds", F.lit(np.array(df.agg(bounds).first()[0] or [0.0] * (ranges - 1))))
-    # Binary search for the number of bounds below the value, a step a projection.
-    df = df.withColumn("__x", x).withColumn(out, F.lit(0))
+        df = df.withColumn("__bounds", F.lit(np.array(df.agg(bounds).first()[0])))
+    # Binary search for the number of bounds below the value, a step a projection, by every ``stride``-th bound.
+    stride, keep = grid >> steps, [F.col(c) for c in df.columns if c != "__bounds"]
+    df = df.select(*keep, "__bounds", x.alias("__x"), F.lit(0).alias(out))
     for k in range(steps - 1, -1, -1):
-        df = df.withColumn(out, F.when(F.col("__x") > F.get("__bounds", F.col(out) + ((1 << k) - 1)), F.col(out) + (1 << k)).otherwise(F.col(out)))
+        bound = F.get("__bounds", (F.col(out) + (1 << k)) * stride - 1)
+        df = df.select(*keep, "__bounds", "__x", F.when(F.col("__x") > bound, F.col(out) + (1 << k)).otherwise(F.col(out)).alias(out))
     return df.drop("__x", "__bounds")

@@ -80,33 +80,37 @@ def _with_fills(counts: DataFrame, fills: dict[str, tuple]) -> DataFrame:
     return both.withColumn("__any", any_value).where((F.col("n") > 0) | (F.col("__any") == 0)).drop("__any")
 
 
-def codes_from_counts(counts: DataFrame, fills: dict[str, tuple]) -> tuple[LabelCodes, dict[str, tuple]]:
+def codes_from_counts(counts: DataFrame, fills: dict[str, tuple], heads: dict | None = None) -> tuple[LabelCodes, dict[str, tuple]]:
     """Label codes from the counts of values, and (n, mean, sum of squared deviations, least, greatest) of the
-    codes of each column, the missing values filled. Only columns beyond INLINE_MAX values get a code table."""
+    codes of each column, the missing values filled. Only columns beyond INLINE_MAX values get a code table.
+    ``heads`` has the size and the first values of each column where they are known (see `FitState.heads`)."""
     codes, moments = LabelCodes(), {}
-    if not fills:
-        return codes, moments
-    filled = _with_fills(counts, fills)
-    sizes = filled.groupBy("column").agg(F.count(F.lit(1)).alias("size"))
-    head = filled.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy("value"))).where(F.col("rank") <= INLINE_MAX)
-    by_col: dict[str, list] = {c: [] for c in fills}
-    for r in head.join(sizes, "column").collect():  # <= INLINE_MAX rows a column
-        codes.sizes[r["column"]] = r["size"]
-        by_col[r["column"]].append((r["rank"] - 1, r["value"], r["n"]))
-    for c in fills:
-        if codes.sizes[c] <= INLINE_MAX:
-            codes.inline[c] = {v: i for i, v, _ in by_col[c]}
-            n = sum(k for _, _, k in by_col[c])
-            mean = sum(i * k for i, _, k in by_col[c]) / n if n else 0.0
-            moments[c] = (n, mean, sum(k * (i - mean) ** 2 for i, _, k in by_col[c]), 0.0, float(len(by_col[c]) - 1))
+    if heads is None:
+        from cadence.operators.fitstate import FitState
+        heads = FitState({}, counts, {}, []).heads()
+    large = {}
+    for c, (fill, missing) in fills.items():
+        head = heads.get(c)
+        values = dict(head.values) if head else {}
+        if missing or not head:
+            values[str(fill)] = values.get(str(fill), 0) + int(missing)
+        if (head.size if head else 0) > INLINE_MAX or len(values) > INLINE_MAX:
+            large[c] = (fill, missing)
             continue
+        ordered = sorted(values)
+        codes.inline[c], codes.sizes[c] = {v: i for i, v in enumerate(ordered)}, len(ordered)
+        n = sum(values.values())
+        mean = sum(i * values[v] for i, v in enumerate(ordered)) / n if n else 0.0
+        moments[c] = (n, mean, sum(values[v] * (i - mean) ** 2 for i, v in enumerate(ordered)), 0.0, float(len(ordered) - 1))
+    filled = _with_fills(counts, large) if large else None
+    for c in large:
         mine = filled.where(F.col("column") == c).select("value", "n")
-        codes.tables[c] = small_table(global_rank(mine, ["value"], "code").withColumn("code", F.col("code").cast("int")))
+        table = small_table(global_rank(mine, ["value"], "code").withColumn("code", F.col("code").cast("int")))
         x, n = F.col("code").cast("double"), F.col("n").cast("double")
-        m = codes.tables[c].agg(F.sum("n").alias("n"), (F.sum(x * n) / F.sum(n)).alias("mean"), F.max("code").alias("high")).first()
-        m2 = codes.tables[c].agg(F.sum(n * (x - F.lit(m["mean"])) ** 2)).first()[0]
-        moments[c] = (m["n"], m["mean"], m2, 0.0, float(m["high"]))
-        codes.tables[c] = codes.tables[c].select("value", "code")
+        m = table.agg(F.sum("n").alias("n"), (F.sum(x * n) / F.sum(n)).alias("mean"), F.max("code").alias("high")).first()
+        m2 = table.agg(F.sum(n * (x - F.lit(m["mean"])) ** 2)).first()[0]
+        moments[c], codes.sizes[c] = (m["n"], m["mean"], m2, 0.0, float(m["high"])), m["high"] + 1
+        codes.tables[c] = table.select("value", "code")
     return codes, moments
 
 

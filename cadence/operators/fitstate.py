@@ -18,11 +18,12 @@ from bisect import bisect_left
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.columns import categorical_columns, is_missing, numeric_columns
 from cadence.functions.quantiles import SKETCH, small_table
+from cadence.operators.encode import INLINE_MAX
 
 GRID = 2000   # steps of rank at which a sketch is read
 
@@ -58,12 +59,34 @@ class ColumnState:
     sketch: bytes | None = None
 
 
+@dataclass
+class Head:
+    size: int
+    mode: str
+    values: dict[str, int]
+
+
 @dataclass
 class FitState:
     numbers: dict[str, ColumnState]
     values: DataFrame                 # (column, value, n): categorical columns, and numeric ones on demand
     missing: dict[str, int]           # of the columns in ``values``
     zero_columns: list[str]
+    _heads: dict[str, Head] | None = None
+
+    def heads(self) -> dict[str, Head]:
+        """Number of values, mode and the first `INLINE_MAX` values with their counts of every column that has a
+        value: one job, remembered."""
+        if self._heads is None:
+            number = F.when(F.col("column").isin(list(self.numbers)), F.col("value").try_cast("double"))
+            best = F.min_by("value", F.struct((-F.col("n")).alias("n"), number.alias("number"), F.col("value")))
+            sizes = self.values.groupBy("column").agg(F.count(F.lit(1)).alias("size"), best.alias("mode"))
+            first = F.row_number().over(Window.partitionBy("column").orderBy("value"))
+            rows = self.values.withColumn("rank", first).where(F.col("rank") <= INLINE_MAX).join(sizes, "column").collect()
+            self._heads = {}
+            for r in rows:  # <= INLINE_MAX a column
+                self._heads.setdefault(r["column"], Head(r["size"], r["mode"], {})).values[r["value"]] = r["n"]
+        return self._heads
 
     def merge(self, other: FitState) -> FitState:
         """State of both tables together. Columns must be the same."""
@@ -124,32 +147,26 @@ class FitState:
         return cls(numbers, spark.read.parquet(f"{path}/values"), rest["missing"], rest["zero_columns"])
 
 
-def fit_state(df: DataFrame, zero_columns: list[str] | None = None, sketches: list[str] | None = None,
-              counted: list[str] | None = None) -> FitState:
-    """State of ``df``: one aggregate for numbers, one grouping for values. ``sketches`` lists the numeric columns
-    that get a sketch (all, if not given; always those of ``zero_columns``), ``counted`` numeric
-    columns whose values are counted as well. NaN counts as missing."""
+def fit_state(df: DataFrame, zero_columns: list[str] | None = None, counted: list[str] | None = None) -> FitState:
+    """State of ``df``, sketches apart (see `add_sketches`): one aggregate for numbers, one grouping for values.
+    ``counted`` lists numeric columns whose values are counted as well. NaN counts as missing."""
     num, cat = numeric_columns(df), categorical_columns(df)
     zero_columns = [c for c in zero_columns or [] if c in num]
-    sketches = [c for c in num if c in zero_columns or sketches is None or c in sketches]
-    aggs = [F.struct(F.count_if(is_missing(df, c)).alias("missing")).alias(f"v{i}") for i, c in enumerate(cat)]
+    aggs = [F.count_if(is_missing(df, c)).alias(f"v{i}") for i, c in enumerate(cat)]
     for i, c in enumerate(num):
         x = F.when(~is_missing(df, c), F.col(c).cast("double"))
-        parts = [("all", x)] + ([("nonzero", F.nullif(x, F.lit(0.0)))] if c in zero_columns else [])
-        moments = [F.struct(F.count(y).alias("n"), F.avg(y).alias("mean"), F.var_pop(y).alias("var"), F.min(y).alias("low"),
-                            F.max(y).alias("high")).alias(k) for k, y in parts]
-        sketch = [F.kll_sketch_agg_double(parts[-1][1], F.lit(SKETCH)).alias("sketch")] if c in sketches else []
-        aggs.append(F.struct(F.count_if(is_missing(df, c)).alias("missing"), F.count_if(x == 0).alias("zeros"), *moments, *sketch).alias(f"n{i}"))
-    row = df.agg(*aggs).first() if aggs else None  # one row, a struct a column
-
-    def moments_of(s) -> Moments:
-        return Moments(s["n"], s["mean"], s["var"] * s["n"], s["low"], s["high"]) if s["n"] else Moments()
-
-    numbers = {}
-    for i, c in enumerate(num):
-        s = row[f"n{i}"].asDict()
-        numbers[c] = ColumnState(s["all"]["n"], s["missing"], s["zeros"], moments_of(s["all"]),
-                                 moments_of(s["nonzero"]) if c in zero_columns else None, bytes(s["sketch"]) if c in sketches else None)
+        aggs += [F.count_if(is_missing(df, c)).alias(f"missing{i}"), F.count_if(x == 0).alias(f"zeros{i}")]
+        for k, y in [("all", x)] + ([("nonzero", F.nullif(x, F.lit(0.0)))] if c in zero_columns else []):
+            aggs += [F.count(y).alias(f"{k}_n{i}"), F.avg(y).alias(f"{k}_mean{i}"), F.var_pop(y).alias(f"{k}_var{i}"),
+                     F.min(y).alias(f"{k}_low{i}"), F.max(y).alias(f"{k}_high{i}")]
+    row = df.agg(*aggs).first() if aggs else None  # one row, a few numbers a column
+
+    def moments_of(k: str, i: int) -> Moments:
+        n = row[f"{k}_n{i}"]
+        return Moments(n, row[f"{k}_mean{i}"], row[f"{k}_var{i}"] * n, row[f"{k}_low{i}"], row[f"{k}_high{i}"]) if n else Moments()
+
+    numbers = {c: ColumnState(row[f"all_n{i}"], row[f"missing{i}"], row[f"zeros{i}"], moments_of("all", i),
+                              moments_of("nonzero", i) if c in zero_columns else None) for i, c in enumerate(num)}
     of = [*cat, *(counted or [])]
     if of:
         long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.when(~is_missing(df, c), F.col(c)).cast("string").alias("value"))
@@ -157,13 +174,23 @@ def fit_state(df: DataFrame, zero_columns: list[str] | None = None, sketches: li
         values = small_table(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
     else:
         values = df.sparkSession.createDataFrame([], "column string, value string, n long")
-    return FitState(numbers, values, {c: row[f"v{i}"]["missing"] for i, c in enumerate(cat)}, zero_columns)
+    return FitState(numbers, values, {c: row[f"v{i}"] for i, c in enumerate(cat)}, zero_columns)
+
+
+def add_sketches(state: FitState, df: DataFrame, columns: list[str]) -> FitState:
+    """``state`` with the sketches of ``columns``, from one more aggregate over the table it was fitted on."""
+    aggs = []
+    for i, c in enumerate(columns):
+        x = F.when(~is_missing(df, c), F.col(c).cast("double"))
+        aggs.append(F.kll_sketch_agg_double(F.nullif(x, F.lit(0.0)) if c in state.zero_columns else x, F.lit(SKETCH)).alias(f"s{i}"))
+    row = df.agg(*aggs).first() if aggs else None
+    for i, c in enumerate(columns):
+        state.numbers[c].sketch = bytes(row[f"s{i}"])
+    return state
 
 
 def modes(state: FitState, columns: list[str]) -> dict[str, str]:
     """Most frequent value of each of ``columns``, the least among equals; absent without values.
     Numbers are compared as numbers."""
-    number = F.when(F.col("column").isin(list(state.numbers)), F.col("value").try_cast("double"))
-    best = F.min_by("value", F.struct((-F.col("n")).alias("n"), number.alias("number"), F.col("value")))
-    rows = state.values.where(F.col("column").isin(columns)).groupBy("column").agg(best.alias("mode")).collect()  # one row a column
-    return {r.column: r.mode for r in rows}
+    heads = state.heads()
+    return {c: heads[c].mode for c in columns if c in heads}

@@ -20,7 +20,7 @@ from cadence.functions.quantiles import exact_quantiles
 from cadence.operators.encode import (LabelCodes, apply_categories, apply_label_codes, categories_from_counts, code_table,
                                       codes_from_counts, fit_categories, fit_label_codes, load_codes)
 from cadence.operators.features import create_features
-from cadence.operators.fitstate import FitState, Moments, fit_state, modes
+from cadence.operators.fitstate import FitState, Moments, add_sketches, fit_state, modes
 from cadence.operators.impute import INTEGRAL, Imputation, apply_missing, fit_missing, zero_as_missing
 from cadence.operators.scale import ScaleParams, apply_scaler, fit_scaler, load_scaler, scaler_from_moments, scaler_table
 from cadence.operators.split import hash_split
@@ -56,6 +56,7 @@ class Preprocessor:
     codes: LabelCodes | None = None
     categories: dict[str, list[str]] | None = None
     scaler: ScaleParams | None = None
+    _source: DataFrame | None = None    # what the state was fitted on, until its sketches are wanted
 
     def fit(self, df: DataFrame) -> Preprocessor:
         """Fit every step on ``df``, each on what the steps before make of it. Every column gets a fill
@@ -69,6 +70,7 @@ class Preprocessor:
         self.integral = [f.name for f in df.schema.fields if f.name in num and isinstance(f.dataType, INTEGRAL)]
         self.columns = cols if self.missing_strategy == "mode" else [c for c in cols if c in num or c in categorical_columns(df)]
         self.state = self._state_of(df)
+        self._source = df
         exact = {}
         if self.exact:
             first = self._first_fills({}) if self.missing_strategy != "median" else {}
@@ -81,14 +83,23 @@ class Preprocessor:
         codes and the scaler are those of all rows together; medians are to the precision of the sketch."""
         if self.state is None:
             raise RuntimeError("only a preprocessor fitted with mean, median or mode can be updated")
-        self.state = self.state.merge(self._state_of(df.select(*self.columns)))
+        df = df.select(*self.columns)
+        self.state = self._sketched().merge(add_sketches(self._state_of(df), df, self._sketch_columns()))
         self._derive({})
         return self
 
     def _state_of(self, df: DataFrame) -> FitState:
-        median, mode, cat = self.missing_strategy == "median", self.missing_strategy == "mode", categorical_columns(df)
-        return fit_state(df, self.zero_as_missing_columns, numeric_columns(df) if median else [],
-                         [c for c in df.columns if c not in cat] if mode else [])
+        cat = categorical_columns(df)
+        return fit_state(df, self.zero_as_missing_columns, [c for c in df.columns if c not in cat] if self.missing_strategy == "mode" else [])
+
+    def _sketch_columns(self) -> list[str]:
+        """Columns whose median may be wanted."""
+        return list(self.state.numbers) if self.missing_strategy == "median" else self.zero_as_missing_columns
+
+    def _sketched(self) -> FitState:
+        """The state with its sketches, which an exact fit does without until it is saved or updated."""
+        columns = [c for c in self._sketch_columns() if self.state.numbers[c].sketch is None]
+        return add_sketches(self.state, self._source, columns) if columns else self.state
 
     def _exact_medians(self, df: DataFrame, columns: list[str], fills: dict[str, Any]) -> dict[tuple, float]:
         """{(step, column): median}: of ``columns`` (step 0), and of the zero-as-missing columns once NULLs are
@@ -128,7 +139,7 @@ class Preprocessor:
             return fills | {c: s.all.mean if s.present else None for c, s in numbers.items()}
         # The sketches of zero-as-missing columns are without the zeros, which still count here.
         zeros = {c: (numbers[c].zeros, 0.0) for c in self.zero_as_missing_columns}
-        sketched = {} if all((0, c) in exact for c, s in numbers.items() if s.present) else self.state.medians(zeros)
+        sketched = {} if all((0, c) in exact for c, s in numbers.items() if s.present) else self._sketched().medians(zeros)
         return fills | {c: exact.get((0, c), sketched.get(c)) for c in numbers}
 
     def _derive(self, exact: dict[tuple, float]) -> None:
@@ -139,7 +150,7 @@ class Preprocessor:
         second: dict[str, Any] = {}
         if zeros:
             constants = {c: (numbers[c].missing, float(fills[c])) for c in zeros if fills[c]}
-            sketched = {} if all((1, c) in exact for c in zeros) else self.state.medians(constants)
+            sketched = {} if all((1, c) in exact for c in zeros) else self._sketched().medians(constants)
             second = {c: exact.get((1, c), sketched.get(c)) for c in zeros}
             self.zero_imputation = Imputation("median", second, [c for c in zeros if c in self.integral and c not in widen])
         moments = {}
@@ -153,7 +164,8 @@ class Preprocessor:
             kept = s.nonzero.merge(Moments.constant(null if fills[c] is not None else 0, fills[c] or 0.0))
             moments[c] = kept.merge(Moments.constant(zero if second[c] is not None else 0, second[c] or 0.0))
         if self.encoding_method == "label":
-            self.codes, of_codes = codes_from_counts(self.state.values, {c: (fills[c], n) for c, n in self.state.missing.items()})
+            self.codes, of_codes = codes_from_counts(self.state.values, {c: (fills[c], n) for c, n in self.state.missing.items()},
+                                                     self.state.heads())
             moments |= {c: Moments(*m) for c, m in of_codes.items()}
         else:
             self.categories = categories_from_counts(self.state.values, {c: (fills[c], n) for c, n in self.state.missing.items()})
@@ -200,7 +212,7 @@ class Preprocessor:
         code_table(self.codes or LabelCodes(), spark).write.mode("overwrite").parquet(f"{path}/codes")
         scaler_table(self.scaler, spark).write.mode("overwrite").parquet(f"{path}/scaler")
         if self.state:
-            self.state.write(f"{path}/fit")
+            self._sketched().write(f"{path}/fit")
         state = {"missing": asdict(self.imputation), "fitted": self.state is not None, "zero": asdict(self.zero_imputation) if self.zero_imputation else None,
                  "categories": self.categories, "settings": {k: getattr(self, k) for k in (
                      "missing_strategy", "encoding_method", "scaling_method", "zero_as_missing_columns", "interactions",

@@ -139,3 +139,21 @@ def test_blocks_equal_literals_with_ties(spark):
     b = nearest_centroid(df, "x", "label", max_cells=3).collect()
     key = lambda r: (r.label, r.x, r.prediction, [round(p, 9) for p in r.probabilities])
     assert sorted(map(key, a)) == sorted(map(key, b))
+
+
+def test_auc_over_many_ranges(spark, monkeypatch):
+    import functools
+    import random
+
+    from cadence.functions.quantiles import equal_ranges
+    from cadence.operators import metrics as M
+    rng = random.Random(2)
+    rows = [(rng.randrange(2), rng.choice([0.5, 0.25, rng.random(), rng.random() ** 6])) for _ in range(4000)] + [(1, None), (0, float("nan"))]
+    df = spark.createDataFrame(rows, "y int, s double")
+    one = M.roc_auc(df, "y", "s").first()
+    monkeypatch.setattr(M, "equal_ranges", functools.partial(equal_ranges, rows_each=100))
+    many = M.roc_auc(df, "y", "s").first()
+    assert equal_ranges(df, "s", rows_each=100).select("range").distinct().count() > 20
+    pos, neg = ([s for y, s in rows[:4000] if y == v] for v in (1, 0))
+    want = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / len(pos) / len(neg)
+    assert one["auc"] == pytest.approx(want) == many["auc"] and one["pos_total"] == many["pos_total"] == len(pos)
