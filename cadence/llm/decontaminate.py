@@ -108,6 +108,8 @@ def least_score(size: int, min_score: float) -> int:
 
 def pack(numbers: np.ndarray, n: int) -> np.ndarray:
     """Every run of n word numbers as one number, a single one as itself; 0 where a word isn't in the vocabulary."""
+    if n == 1:
+        return numbers
     if len(numbers) < n:
         return np.zeros(0, np.int64)
     parts = [numbers[i:len(numbers) - n + 1 + i] for i in range(n)]
@@ -116,7 +118,9 @@ def pack(numbers: np.ndarray, n: int) -> np.ndarray:
     for p in parts:
         g = g * _MIX + p
         known &= p > 0
-    return np.where(known, np.where(g == 0, 1, g), 0)
+    g |= 1
+    g[~known] = 0
+    return g
 
 
 def smith_waterman(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
