@@ -33,14 +33,22 @@ def file_stream(spark: SparkSession, directory: str, file_glob: str, schema: T.S
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    df = file_stream(spark, sf_dir, f"{name}.parquet", schema)
+    """A table as a file stream: one Parquet file, or a folder of that name with the files of the table."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    # A file stream reads a folder, and a glob filter sees file names only.
+    df = file_stream(spark, path, "*", schema) if _is_folder(spark, path) else file_stream(spark, sf_dir, f"{name}.parquet", schema)
     for f in df.schema.fields:
         if isinstance(f.dataType, T.TimestampNTZType):
             df = df.withColumn(f.name, F.col(f.name).cast("timestamp"))
     return df
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(p).isDirectory()
+
+
 def run_available(df: DataFrame, name: str, output_mode: str = "append", base: str | None = None) -> DataFrame:
     """Run a streaming plan over everything available now (trigger availableNow) into a
     Parquet sink; returns the written table. With the same ``base`` folder a later run resumes

@@ -223,3 +223,17 @@ def test_counters_and_histograms_count_a_retried_batch_once(spark, tmp_dir):
         if os.path.exists(crc):
             os.remove(crc)
     run()
+
+
+def test_stream_scoring_of_a_table_in_several_files(spark, tmp_dir):
+    from cadence.plans.streams import q_stream_scoring
+    rows = [(i, [float(i % 3 == k) + 0.01 * (i % 7) for k in range(4)], i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    df.coalesce(1).write.parquet(f"{tmp_dir}/part")
+    os.mkdir(f"{tmp_dir}/file")
+    part = next(n for n in os.listdir(f"{tmp_dir}/part") if n.startswith("part-"))
+    os.rename(f"{tmp_dir}/part/{part}", f"{tmp_dir}/file/embeddings.parquet")
+    df.repartition(3).write.parquet(f"{tmp_dir}/folder/embeddings.parquet")
+    for kind in ("file", "folder", "folder/"):
+        got = sorted(map(tuple, q_stream_scoring(spark, f"{tmp_dir}/{kind}").collect()))
+        assert got == [(k, k, 20) for k in range(3)], kind
