@@ -21,11 +21,12 @@ is sent to all tasks; documents are never shuffled and no candidate is dropped.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
-from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,9 +39,17 @@ MIN_SCORE = 0.5        # of the score of an exact copy
 MIN_MATCHED = 5        # words: fewer are common in any text, so shorter items match whole documents only
 MATCH, MISS, GAP = 2, -1, 1
 CELLS_AT_ONCE = 1 << 19  # words of the passages aligned together
+HITS_AT_ONCE = 1 << 20   # places of the seeds of a batch looked at together
+LONG = 64                # bytes; longer words are looked up one by one
 _WORDS = re.compile(r"\w+").findall
 _MIX = np.int64(0x9E3779B97F4A7C15 - (1 << 64))  # packs n-grams; a collision suggests a passage in vain, no more
 
+# Lower case of a byte that is a word character, 0 for others; what isn't ASCII stands for itself.
+_LOWER = np.array([c if c > 127 else ord(chr(c).lower()) if _WORDS(chr(c)) else 0 for c in range(256)], np.uint8)
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)   # the first n of 8 bytes
+_SIGMA = 0x3A3   # the only character whose lower case depends on its neighbours
+_ODD = 1         # stands for characters whose lower case has another number of bytes, and for that one
+
 SCHEMA = "doc_id long, item_id long, score double, start_word long, end_word long"
 
 
@@ -48,6 +57,37 @@ def words(text: str) -> list[str]:
     return _WORDS(text.lower())
 
 
+@functools.cache
+def lower_codes() -> np.ndarray:
+    """Lower case of the characters up to 0xFFFF: 0 if it is no word character, _ODD for odd ones."""
+    out = np.zeros(1 << 16, np.int32)
+    for c in range(128, 1 << 16):
+        low = chr(c).lower()
+        same = len(low) == 1 and (ord(low) < 0x80, ord(low) < 0x800) == (c < 0x80, c < 0x800)
+        out[c] = _ODD if not same or c == _SIGMA else ord(low) if _WORDS(low) else 0
+    return out
+
+
+def lower_bytes(raw: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Put the bytes of UTF-8 text into ``low``, those of word characters in lower case and 0 for others;
+    gives the places of odd characters, which stay as they are."""
+    np.take(_LOWER, raw, out=low[:len(raw)])
+    lead = np.flatnonzero(raw > 0xBF)
+    odd = [lead[raw[lead] > 0xEF]]
+    for mark, n in ((0xC0, 2), (0xE0, 3)):
+        at = lead[(raw[lead] >= mark) & (raw[lead] <= mark | 0xFF >> n + 1)]
+        code = raw[at].astype(np.int32) & 0xFF >> n + 1
+        for i in range(1, n):
+            code = code << 6 | raw[at + i] & 63
+        to = lower_codes()[code] if len(at) else code
+        odd.append(at[to == _ODD])
+        other = np.flatnonzero((to != code) & (to != _ODD))
+        at, to = at[other], to[other]
+        for i in range(n):
+            low[at + i] = np.where(to > 0, (0x80 if i else mark) | to >> 6 * (n - 1 - i) & 63, 0)
+    return np.sort(np.concatenate(odd))
+
+
 class Items:
     """A block of test items as word numbers, and the n-grams they hold."""
 
@@ -62,23 +102,105 @@ class Items:
         self.words = [np.array([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in w], np.int64)
                       for w in by_words]
         self.lengths = np.array([len(w) for w in self.words], np.int64)
-
-    def numbers(self, text: str) -> np.ndarray:
-        w = words(text)
-        return np.fromiter(map(self.vocabulary.get, w, repeat(0)), np.int64, len(w))
-
-    def hits(self, numbers: np.ndarray):
-        """(word position, index into ``seeds``) of every seed in a document."""
-        at, which = [], []
-        for n in (1, GRAM):
-            g = pack(numbers, n)
-            p = np.flatnonzero(g)
-            k = np.searchsorted(self.seeds, g[p])
-            k[k == len(self.seeds)] = 0
-            ok = self.seeds[k] == g[p]
-            at.append(p[ok])
-            which.append(k[ok])
-        return np.concatenate(at), np.concatenate(which)
+        self.spell()
+
+    def spell(self) -> None:
+        """``levels``: the words of the vocabulary up to LONG bytes, 8 bytes at a time. A level numbers these bytes, and
+        them with what stands before; ``ends`` has the word that ends there."""
+        self.levels = []
+        live = [(0, b, n) for w, n in self.vocabulary.items() if len(b := w.encode()) <= LONG]
+        while live:
+            parts = [int.from_bytes(w[:8], "little") for _, w, _ in live]
+            chunks = pd.Index(np.unique(np.array(parts, np.uint64)))
+            pairs = np.array([s for s, _, _ in live], np.int64) * len(chunks) + chunks.get_indexer(np.array(parts, np.uint64))
+            pairs, state = np.unique(pairs, return_inverse=True)
+            ends = np.zeros(len(pairs), np.int32)
+            for s, (_, w, n) in zip(state.tolist(), live):
+                if len(w) <= 8:
+                    ends[s] = n
+            self.levels.append((chunks, pd.Index(pairs), ends))
+            live = [(s, w[8:], n) for s, (_, w, n) in zip(state.tolist(), live) if len(w) > 8]
+
+    def numbers(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the words of all texts, one text after the other (0: not in the vocabulary), and how
+        many words each text has. The same as looking up `words` of each text."""
+        column.validate(full=True)   # UTF-8
+        column = column.cast(pa.large_binary())
+        offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+        size = int(offsets[-1] - offsets[0])
+        raw = np.frombuffer(column.buffers()[2], np.uint8, size, int(offsets[0])) if size else np.zeros(0, np.uint8)
+        offsets = offsets - offsets[0]
+        low = np.zeros((size // 8 + 2) * 8, np.uint8)
+        odd = lower_bytes(raw, low)
+        inside = low[:size] > 0
+        inner = offsets[(offsets > 0) & (offsets < size)]
+        opens, closes = inside.copy(), inside.copy()
+        opens[1:] &= ~inside[:-1]
+        closes[:-1] &= ~inside[1:]
+        opens[inner], closes[inner - 1] = inside[inner], inside[inner - 1]
+        start, length = np.flatnonzero(opens), np.flatnonzero(closes)
+        length = length + 1 - start
+
+        eight = low.view("<u8")
+        out, live, state = np.zeros(len(start), np.int32), np.arange(len(start)), 0
+        for k, (chunks, pairs, ends) in enumerate(self.levels):
+            at, left = start[live] + 8 * k, length[live] - 8 * k
+            word, shift = at >> 3, (at & 7).astype(np.uint64) * np.uint64(8)
+            part = eight[word] >> shift | eight[word + 1] << np.uint64(63) - shift << np.uint64(1)
+            chunk = chunks.get_indexer(part & _KEEP[np.minimum(left, 8)])
+            state = pairs.get_indexer(np.where(chunk < 0, -1, state * len(chunks) + chunk)) if k else chunk
+            done = np.flatnonzero((state >= 0) & (left <= 8))
+            out[live[done]] = ends[state[done]]
+            more = np.flatnonzero((state >= 0) & (left > 8))
+            live, state = live[more], state[more]
+
+        begin = np.searchsorted(start, offsets)
+        long = np.flatnonzero(length > LONG)
+        if not len(odd) and not len(long):
+            return out, np.diff(begin)
+        # Long words, words with an odd character and texts with a sigma, one by one.
+        blob = raw.tobytes()
+        sigma = odd[(raw[odd] == 0xC0 | _SIGMA >> 6) & (raw[np.minimum(odd + 1, size - 1)] == 0x80 | _SIGMA & 63)]
+        whole = np.unique(np.searchsorted(offsets, sigma, "right") - 1)
+        odd = np.union1d(np.searchsorted(start, odd, "right") - 1, long)
+        odd = odd[~np.isin(np.searchsorted(begin, odd, "right") - 1, whole)]
+        known: dict[bytes, list[int]] = {}
+        count, at, instead = np.ones(len(out), np.int64), [], []
+        for k, b, n in zip(odd.tolist(), start[odd].tolist(), length[odd].tolist()):
+            token = blob[b:b + n]
+            found = known.get(token)
+            if found is None:
+                found = known[token] = self.look_up(token.decode())
+            at.append(k)
+            instead.append(found)
+        for d in whole.tolist():
+            count[begin[d]:begin[d + 1]] = 0
+            at.append(begin[d])
+            instead.append(self.look_up(blob[offsets[d]:offsets[d + 1]].decode()))
+        many = np.array([len(x) for x in instead], np.int64)
+        count[at] = many
+        behind = np.append(0, np.cumsum(count))
+        out = np.repeat(out, count)
+        out[np.repeat(behind[at] - np.cumsum(many) + many, many) + np.arange(many.sum())] = [n for x in instead for n in x]
+        return out, np.diff(behind[begin])
+
+    def look_up(self, text: str) -> list[int]:
+        return [self.vocabulary.get(w, 0) for w in words(text)]
+
+    def hits(self, numbers: np.ndarray, sizes: np.ndarray):
+        """(position, index into ``seeds``) of every seed in texts that stand one after the other."""
+        known = numbers > 0
+        grams = known[:max(len(known) - GRAM + 1, 0)].copy()
+        behind = np.cumsum(sizes)
+        for i in range(1, GRAM):
+            grams &= known[i:len(grams) + i]
+            across = behind - i
+            grams[across[(across >= 0) & (across < len(grams))]] = False
+        at = [np.flatnonzero(known), np.flatnonzero(grams)]
+        which = [self.word_seed[numbers[at[0]]],
+                 self.seeds.get_indexer(join([numbers[at[1] + i].astype(np.int64) for i in range(GRAM)]))]
+        at, which = np.concatenate(at), np.concatenate(which)
+        return at[which >= 0], which[which >= 0]
 
     def choose_seeds(self, held_by: np.ndarray, min_score: float) -> None:
         """All n-grams of the items and, of each item, as many of its rarest words as leave too few
@@ -89,14 +211,16 @@ class Items:
             # Runs of fewer than GRAM matches: at least one error between two of them.
             matches = max(-(-least // MATCH), -(-(least - 1) * (GRAM - 1) // (MATCH * (GRAM - 1) - 1)), 1)
             rare = np.lexsort((w, held_by[w]))[:max(len(w) - matches + 1, 0)]
-            grams = pack(w, GRAM)
+            grams = join([w[k:max(len(w) - GRAM + 1, 0) + k] for k in range(GRAM)])
             item.append(np.full(len(rare) + len(grams), i))
             offset += [rare, np.arange(len(grams))]
             gram += [w[rare], grams]
         item, offset, gram = np.concatenate(item), np.concatenate(offset), np.concatenate(gram)
         order = np.argsort(gram, kind="stable")
         self.seed_item, self.seed_offset = item[order], offset[order]
-        self.seeds, self.seed_first = np.unique(gram[order], return_index=True)
+        seeds, self.seed_first = np.unique(gram[order], return_index=True)
+        self.seeds = pd.Index(seeds)
+        self.word_seed = self.seeds.get_indexer(np.arange(len(self.vocabulary) + 1))
         self.seed_count = np.diff(np.append(self.seed_first, len(order)))
 
 
@@ -106,21 +230,12 @@ def least_score(size: int, min_score: float) -> int:
     return max(math.ceil(min_score * MATCH * size - 1e-9), MATCH * min(size, MIN_MATCHED))
 
 
-def pack(numbers: np.ndarray, n: int) -> np.ndarray:
-    """Every run of n word numbers as one number, a single one as itself; 0 where a word isn't in the vocabulary."""
-    if n == 1:
-        return numbers
-    if len(numbers) < n:
-        return np.zeros(0, np.int64)
-    parts = [numbers[i:len(numbers) - n + 1 + i] for i in range(n)]
+def join(parts: list[np.ndarray]) -> np.ndarray:
+    """n-grams of word numbers, given as the first, second... words of all, as one number each."""
     g = np.zeros(len(parts[0]), np.int64)
-    known = np.ones(len(g), bool)
     for p in parts:
         g = g * _MIX + p
-        known &= p > 0
-    g |= 1
-    g[~known] = 0
-    return g
+    return g | 1
 
 
 def smith_waterman(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,18 +257,15 @@ def smith_waterman(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray,
     return best, end
 
 
-def align(items: Items, docs: list[np.ndarray], found: list[tuple], min_score: float) -> dict:
+def align(items: Items, numbers: np.ndarray, sizes: np.ndarray, doc: np.ndarray, item: np.ndarray, place: np.ndarray,
+          min_score: float) -> dict:
     """Best (score, start, end) of each (document, item) over its suggested passages.
-    ``docs``: word numbers; ``found``: (document, items, places) as `suggest` gives them."""
-    if not found:
+    ``numbers``, ``sizes``: the documents; ``doc``, ``item``, ``place``: as `suggest` gives them, by item."""
+    if not len(item):
         return {}
-    flat = np.concatenate([*docs, np.zeros(1, np.int64)])
-    sizes = np.array([len(d) for d in docs])
+    flat = np.append(numbers, np.int32(0))
     first = np.cumsum(sizes) - sizes
-    doc = np.repeat([f[0] for f in found], [len(f[1]) for f in found])
-    item, place = np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])
-    order = np.argsort(item, kind="stable")
-    doc, item, place = doc[order], item[order], place[order]
+    kind_of = np.zeros(len(items.vocabulary) + 1, np.int32)   # of each word number, the how-manieth word of the item
     names, begins = np.unique(item, return_index=True)
     out: dict = {}
     for i, begin, stop in zip(names.tolist(), begins.tolist(), [*begins[1:].tolist(), len(item)]):
@@ -163,6 +275,8 @@ def align(items: Items, docs: list[np.ndarray], found: list[tuple], min_score: f
         margin = max(MATCH * size - least, 0)   # most inserted words an alignment can afford
         width = 2 * size + 2 * margin
         kinds, copies = np.unique(w, return_counts=True)
+        kind_of[:] = 0
+        kind_of[kinds] = np.arange(1, len(kinds) + 1)
         at_once = max(CELLS_AT_ONCE // width, 1)
         for k in range(begin, stop, at_once):
             part = slice(k, min(k + at_once, stop))
@@ -170,11 +284,16 @@ def align(items: Items, docs: list[np.ndarray], found: list[tuple], min_score: f
             at = starts[:, None] + np.arange(width)
             windows = np.where((at >= 0) & (at < sizes[owner][:, None]), flat[first[owner][:, None] + np.clip(at, 0, sizes[owner][:, None])], 0)
             # No alignment has more matches than the passage has words of the item.
-            kind = np.minimum(np.searchsorted(kinds, windows), len(kinds) - 1)
-            row, column = np.nonzero(kinds[kind] == windows)
-            held = np.bincount(row * len(kinds) + kind[row, column], minlength=len(windows) * len(kinds)).reshape(len(windows), -1)
-            enough = np.minimum(held, copies).sum(axis=1) * MATCH >= least
-            enough = np.flatnonzero(enough if size >= MIN_MATCHED else enough & (sizes[owner] == size))
+            kind = kind_of[windows]
+            some = np.flatnonzero(np.count_nonzero(kind, axis=1) * MATCH >= least)
+            if not len(some):
+                continue
+            kind = kind[some]
+            row, column = np.nonzero(kind)
+            held = np.bincount(row * len(kinds) + kind[row, column] - 1, minlength=len(some) * len(kinds)).reshape(len(some), -1)
+            enough = some[np.minimum(held, copies).sum(axis=1) * MATCH >= least]
+            if size < MIN_MATCHED:
+                enough = enough[sizes[owner[enough]] == size]
             if not len(enough):
                 continue
             owner, starts, windows = owner[enough], starts[enough], windows[enough]
@@ -195,20 +314,28 @@ def align(items: Items, docs: list[np.ndarray], found: list[tuple], min_score: f
     return out
 
 
-def suggest(items: Items, numbers: np.ndarray):
-    """(item, place) of the passages that seeds suggest: place q stands for the diagonals that
-    begin in the q-th item length; `align` adds room on either side for all the insertions that
+def suggest(items: Items, numbers: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, item, place) of the passages that seeds suggest, by item: place q stands for the diagonals
+    that begin in the q-th item length; `align` adds room on either side for all the insertions that
     the score leaves room for."""
-    at, which = items.hits(numbers)
-    if not len(at):
-        return None
+    at, which = items.hits(numbers, sizes)
+    doc = np.repeat(np.arange(len(sizes)), sizes)[at]
+    at = at - (np.cumsum(sizes) - sizes)[doc]
     count = items.seed_count[which]
-    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    entry = np.repeat(items.seed_first[which], count) + step
-    item = items.seed_item[entry]
-    place = np.floor_divide(np.repeat(at, count) - items.seed_offset[entry], items.lengths[item])
-    pair = np.unique(item << 40 | place + 1)   # no place is below -1
-    return pair >> 40, (pair & (1 << 40) - 1) - 1
+    room = np.cumsum(sizes + 2)   # places of a document: -1 to the number of its words
+    slot = room - sizes - 2
+    found = [np.zeros(0, np.int64)]
+    cuts = np.unique(np.searchsorted(np.cumsum(count), np.arange(0, count.sum() + HITS_AT_ONCE, HITS_AT_ONCE)))
+    for part in map(slice, cuts, [*cuts[1:], len(count)]):
+        n = count[part]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        entry = np.repeat(items.seed_first[which[part]], n) + step
+        item = items.seed_item[entry]
+        place = np.floor_divide(np.repeat(at[part], n) - items.seed_offset[entry], items.lengths[item])
+        found.append(np.unique(item * room[-1] + np.repeat(slot[doc[part]], n) + place + 1))
+    item, rest = np.divmod(np.unique(np.concatenate(found)), room[-1])
+    doc = np.searchsorted(slot, rest, "right") - 1
+    return doc, item, rest - slot[doc] - 1
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
@@ -236,8 +363,10 @@ def _passages(body: DataFrame, items: Items, min_score: float) -> DataFrame:
     def count(batches):
         held = np.zeros(len(items.vocabulary) + 1, np.int64)
         for b in batches:
-            for text in b.column(0).to_pylist():
-                held[np.unique(items.numbers(text))] += 1
+            numbers, sizes = items.numbers(b.column(0))
+            some = np.flatnonzero(numbers)
+            once = np.unique(np.repeat(np.arange(len(sizes)), sizes)[some] * len(held) + numbers[some])
+            held += np.bincount(once % len(held), minlength=len(held))
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], names=["word", "n"])
 
@@ -249,14 +378,12 @@ def _passages(body: DataFrame, items: Items, min_score: float) -> DataFrame:
 
     def passages(batches):
         for b in batches:
-            ids, found = b.column(0).to_pylist(), []
-            docs = [items.numbers(text) for text in b.column(1).to_pylist()]
-            for d, numbers in enumerate(docs):
-                pair = suggest(items, numbers)
-                if pair is not None:
-                    found.append((d, *pair))
-            rows = [(ids[d], int(items.ids[i]) if items.ids[i] >= 0 else None, s, -start, end)
-                    for (d, i), (s, start, end) in sorted(align(items, docs, found, min_score).items())]
+            if not len(b):
+                continue
+            ids = b.column(0)
+            docs = items.numbers(b.column(1))
+            rows = [(ids[d].as_py(), int(items.ids[i]) if items.ids[i] >= 0 else None, s, -start, end)
+                    for (d, i), (s, start, end) in sorted(align(items, *docs, *suggest(items, *docs), min_score).items())]
             if rows:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))],

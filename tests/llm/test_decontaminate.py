@@ -141,3 +141,48 @@ def test_very_long_items(spark):
     assert set(got) == {1, 2}
     assert got[2].score == 0.52 and (got[2].start_word, got[2].end_word) == (0, 5_200)
     assert abs(got[1].score - (2 * 9_800 - 199) / 20_000) < 1e-3
+
+
+def test_batches_are_numbered_as_their_words(monkeypatch):
+    """Texts of a batch together give the same numbers as words one by one, in any script; only words
+    with odd characters, very long ones and texts with a capital sigma are looked at one by one."""
+    import pyarrow as pa
+    rng = random.Random(4)
+    plain = ["a", "Bc", "z_9", "abcdefgh", "ABCDEFGHI", "sixteen_letters_", "x" * 40, "É", "ß", "señor", "Жук", "中文", " ", "\n", "\0", "-", "·", "\xa0", "—", "’"]
+    odd = ["İ", "K", "ẞ", "Ⱥ", "ΟΔΟΣ", "Σ", "😀", "𐐀", "̇", "σ", "Y" * 64, "y" * 65, "Жу" * 40, "y" * 200]
+
+    def text(parts, between=""):
+        return between.join(rng.choice(parts) for _ in range(rng.randint(0, 60)))
+
+    items = D.Items([(i, text(plain + odd if i % 2 else plain)) for i in range(40)])
+    for parts, between in ((plain, " "), (plain, ""), (plain + odd, "")):
+        docs = [text(parts, between) if i % 5 else "" for i in range(300)]
+        want = [[items.vocabulary.get(w, 0) for w in D.words(t)] for t in docs]
+        with monkeypatch.context() as m:
+            if between:
+                m.setattr(D, "words", None)
+            for column in (pa.array(docs), pa.array(["é", *docs], pa.large_string()).slice(1)):
+                numbers, sizes = items.numbers(column)
+                assert sizes.tolist() == [len(w) for w in want]
+                assert numbers.tolist() == [n for w in want for n in w]
+    assert items.numbers(pa.array([], pa.string()))[0].tolist() == []
+    assert len(D.Items([(1, "y" * 3_000_000)]).levels) == 0   # not cut into 375,000 pieces
+
+
+def test_places_of_a_batch_in_parts(monkeypatch):
+    """Seeds with many places are looked at in bounded parts: the same passages come out."""
+    import pyarrow as pa
+    rng = random.Random(6)
+    vocab = _vocab(rng, 12)
+    items = D.Items([(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(6, 20)))) for i in range(20)])
+    items.choose_seeds(np.ones(len(items.vocabulary) + 1, np.int64), D.MIN_SCORE)
+    docs = items.numbers(pa.array([" ".join(rng.choice(vocab) for _ in range(rng.choice((0, 1, 2, 3, 50)))) for _ in range(40)]))
+    want = set()
+    first = np.cumsum(docs[1]) - docs[1]
+    for d, (b, n) in enumerate(zip(first.tolist(), docs[1].tolist())):
+        alone = D.suggest(items, docs[0][b:b + n], docs[1][d:d + 1])
+        want |= {(d, i, q) for i, q in zip(alone[1].tolist(), alone[2].tolist())}
+    for at_once in (D.HITS_AT_ONCE, 7, 1):
+        monkeypatch.setattr(D, "HITS_AT_ONCE", at_once)
+        got = list(zip(*(x.tolist() for x in D.suggest(items, *docs))))
+        assert len(got) == len(want) and set(got) == want
